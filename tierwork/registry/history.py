@@ -126,18 +126,17 @@ def file_stats(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, strftime(o_orderdate, '%Y-%m') AS o_orderdate_month,
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, strftime(o_orderdate, '%Y') AS o_orderdate_year,
            o_orderstatus FROM orders""")
 def partition_write_roundtrip(t: Tables) -> DataFrame:
     """Write twice as create-or-replace with time and identity partitions, the
     second time from the table itself, and read back."""
     wh = t.warehouse("replace")
     orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
-    tables.replace_table(wh, orders, "silver.orders", "months(o_orderdate), o_orderstatus")
-    again = wh.table("silver.orders").drop("o_orderdate_month")
-    tables.replace_table(wh, again, "silver.orders", "months(o_orderdate), o_orderstatus")
-    return wh.table("silver.orders").withColumn(
-        "o_orderdate_month", F.date_format(F.col("o_orderdate_month").cast("date"), "yyyy-MM"))
+    tables.replace_table(wh, orders, "silver.orders", "years(o_orderdate), o_orderstatus")
+    again = wh.table("silver.orders").drop("o_orderdate_year")
+    tables.replace_table(wh, again, "silver.orders", "years(o_orderdate), o_orderstatus")
+    return wh.table("silver.orders").withColumn("o_orderdate_year", F.col("o_orderdate_year").cast("string"))
 
 
 @query(with_ctes("""
