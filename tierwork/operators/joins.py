@@ -24,12 +24,17 @@ def with_child_totals(parent: DataFrame, child: DataFrame, keys: list[str], tota
     return parent.join(summary, keys, "left")
 
 
-def with_group_total(df: DataFrame, keys: list[str], total: Column, name: str, min_hot_rows: int = skew.MIN_HOT_ROWS) -> DataFrame:
+def with_group_total(
+    df: DataFrame, keys: list[str], total: Column, name: str,
+    over: DataFrame | None = None, min_hot_rows: int = skew.MIN_HOT_ROWS,
+) -> DataFrame:
     """Bring a group total back to every row of the group. Written as aggregate
     plus join, not as a window: a window would hold a whole group in one task.
-    A row with a NULL key gets NULL."""
-    totals = df.groupBy(*keys).agg(total.alias(name))
-    joined = skew.split_join(df, totals, keys, "left", skew.hot_keys(df, keys, min_hot_rows))
+    A row with a NULL key gets NULL. ``over`` names the rows to total when they
+    are not the rows to keep."""
+    source = df if over is None else over
+    totals = source.groupBy(*keys).agg(total.alias(name))
+    joined = skew.split_join(df, totals, keys, "left", skew.hot_keys(source, keys, min_hot_rows))
     return joined.select(*df.columns, name)
 
 

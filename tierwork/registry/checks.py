@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import quality as q
 from ..plans import gold, silver, suites
 from ..plans.metrics import health_report
+from ..sinks.tables import replace_table
 from . import roles, star
 from .base import Tables, query
 from .roles import with_ctes
@@ -145,9 +146,15 @@ _STATUSES = "('created','approved','invoiced','processing','shipped','delivered'
     _bad("silver.order_reviews", "silver", "review_score_between_1_5", "review_score < 1 OR review_score > 5", "silver_reviews"),
 ), "silver_orders", "silver_items", "silver_payments", "silver_reviews"))
 def dq_silver_suite(t: Tables) -> DataFrame:
-    return suites.silver(
-        silver.orders(roles.bronze_orders(t)), silver.order_items(roles.order_items(t)),
-        silver.order_payments(roles.payments(t)), silver.order_reviews(roles.reviews(t)))
+    """The gate runs on stored tables, so they are written first, once each."""
+    wh = t.warehouse("silver-suite")
+    built = {
+        "orders": silver.orders(roles.bronze_orders(t)), "order_items": silver.order_items(roles.order_items(t)),
+        "order_payments": silver.order_payments(roles.payments(t)), "order_reviews": silver.order_reviews(roles.reviews(t)),
+    }
+    for name, df in built.items():
+        replace_table(wh, df, f"silver.{name}")
+    return suites.silver(*[wh.table(f"silver.{name}") for name in built])
 
 
 @query(with_ctes(all_of(
@@ -164,12 +171,20 @@ def dq_silver_suite(t: Tables) -> DataFrame:
     _nulls("gold.dim_product", "gold", "product_id", "dim_product"),
 ), "fact_order_items", "fact_orders", "fact_payments", "dim_product", "dim_seller", "dim_customer", "dim_payment_type"))
 def dq_gold_suite(t: Tables) -> DataFrame:
-    orders, items = silver.orders(roles.bronze_orders(t)), silver.order_items(roles.order_items(t))
-    payments = silver.order_payments(roles.payments(t))
-    types = gold.dim_payment_type(payments)
+    wh = t.warehouse("gold-suite")
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        replace_table(wh, df, name)
+        return wh.table(name)
+
+    orders = stored("silver.orders", silver.orders(roles.bronze_orders(t)))
+    items = stored("silver.order_items", silver.order_items(roles.order_items(t)))
+    payments = stored("silver.order_payments", silver.order_payments(roles.payments(t)))
+    types = stored("gold.dim_payment_type", gold.dim_payment_type(payments))
     return suites.gold({
-        "fact_orders": gold.fact_orders(orders, items), "fact_order_items": gold.fact_order_items(items),
-        "fact_payments": gold.fact_payments(payments, types), "dim_payment_type": types,
+        "fact_orders": stored("gold.fact_orders", gold.fact_orders(orders, items)),
+        "fact_order_items": gold.fact_order_items(items),
+        "fact_payments": stored("gold.fact_payments", gold.fact_payments(payments, types)), "dim_payment_type": types,
         "dim_product": star._dim_product(t), "dim_customer": star._dim_customer(t),
         "dim_seller": gold.dim_seller(silver.sellers(roles.sellers(t))),
     }, orders)

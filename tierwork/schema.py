@@ -106,6 +106,9 @@ CALENDAR_RANGE = ("2016-01-01", "2019-12-31")
 NO_CATEGORY = "unknown"
 EPOCH_WATERMARK = "1970-01-01 00:00:00"
 
+# columns that hold one value per load: partitioning by them moves no rows
+CONSTANT_PER_LOAD = {"_ingested_at"}
+
 # --- fixed values: how bronze tables load ------------------------------------
 LAYERS = ["bronze", "silver", "gold", "platinum", "meta"]
 INCREMENTAL = {"orders": ("source_updated_at", "order_purchase_timestamp")}

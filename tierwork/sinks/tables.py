@@ -13,11 +13,15 @@ from __future__ import annotations
 import re
 import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from ..operators.sets import upsert
-from ..schema import LAYERS
+from ..schema import CONSTANT_PER_LOAD, LAYERS
+
+VERSIONS = "meta.table_versions"
+VERSIONS_SCHEMA = "table_name string, version string, operation string, location string, committed_at timestamp"
 
 _TRANSFORM = re.compile(r"^(years|months|days|hours)\(\s*(\w+)\s*\)$")
 # time unit -> (suffix of the derived column, its format)
@@ -88,15 +92,21 @@ def quoted(text: str) -> str:
     return text.replace("'", "''")
 
 
-def write_files(df: DataFrame, path: str, spec: str = "", mode: str = "errorifexists") -> None:
-    """Write Parquet, partitioned by ``spec``. The rebalance hint lets adaptive
-    execution size the files: it splits a partition value that holds much of the
-    data and merges small ones."""
+def partitioned_writer(df: DataFrame, spec: str, mode: str) -> DataFrameWriter:
+    """Writer partitioned by ``spec``. The rebalance hint lets adaptive execution
+    size the files: it splits a partition value that holds much of the data and
+    merges small ones. It costs a shuffle, so it is left out when all rows of a
+    load share the partition value."""
     df, names = with_partitions(df, spec)
-    if names:
-        df.hint("rebalance", *names).write.mode(mode).partitionBy(*names).parquet(path)
-    else:
-        df.write.mode(mode).parquet(path)
+    if not names:
+        return df.write.mode(mode)
+    moves = any(column not in CONSTANT_PER_LOAD for _, column in partition_terms(spec))
+    shaped = df.hint("rebalance", *names) if moves else df
+    return shaped.write.mode(mode).partitionBy(*names)
+
+
+def write_files(df: DataFrame, path: str, spec: str = "", mode: str = "errorifexists") -> None:
+    partitioned_writer(df, spec, mode).parquet(path)
 
 
 def publish(wh: Warehouse, name: str, path: str, condition: str = "") -> None:
@@ -123,10 +133,28 @@ def replace_table(wh: Warehouse, df: DataFrame, name: str, partitioned_by: str =
         return version
     path = f"{wh.location(name)}/version={version}"
     write_files(df, path, partitioned_by)
+    entry = (name, version, "replace", path, datetime.now(timezone.utc))
+    append_rows(wh, wh.spark.createDataFrame([entry], VERSIONS_SCHEMA), VERSIONS)
     publish(wh, name, path)
     return version
 
 
+def table_history(wh: Warehouse, name: str) -> DataFrame:
+    """Versions of a replaced table, oldest first."""
+    return wh.table(VERSIONS).filter(F.col("table_name") == name).orderBy("committed_at")
+
+
+def read_version(wh: Warehouse, name: str, version: str | None = None, moment: datetime | None = None) -> DataFrame:
+    """A replaced table as it was: by version id, or the last version committed
+    up to a moment. One control row reaches the driver."""
+    found = wh.table(VERSIONS).filter(F.col("table_name") == name)
+    found = found.filter(F.col("version") == version) if version else found.filter(F.col("committed_at") <= F.lit(moment))
+    last = found.orderBy(F.desc("committed_at")).first()
+    if last is None:
+        raise LookupError(f"{name} has no version {version or moment}")
+    return wh.spark.read.parquet(last["location"])
+
+
 def append_batch(wh: Warehouse, df: DataFrame, name: str, batch_id: int, partitioned_by: str = "") -> str:
     """Append one batch to an append-only table and return its folder.
 
@@ -134,11 +162,8 @@ def append_batch(wh: Warehouse, df: DataFrame, name: str, batch_id: int, partiti
     a retried batch cannot load twice.
     """
     folder = f"{wh.location(name)}/batch_id={batch_id}"
-    static = df.drop("batch_id") if "batch_id" in df.columns else df
-    static, names = with_partitions(static, partitioned_by)
-    shaped = static.hint("rebalance", *names) if names else static
-    writer = shaped.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*names) if names else writer).parquet(folder)
+    writer = partitioned_writer(df.drop("batch_id"), partitioned_by, "overwrite")
+    writer.option("partitionOverwriteMode", "static").parquet(folder)
     return folder
 
 
