@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from ..operators.incremental import load_increment
 from ..operators.quality import gate
 from ..schema import INCREMENTAL, PARTITIONED_BY, SOURCE_COLUMNS
-from ..sinks.tables import Warehouse, log_rows, replace_table
+from ..sinks.tables import Warehouse, log_rows, replace_tables
 from ..sources.files import read_csv, total_rows, with_provenance
 from ..sources.jdbc import JdbcSource, read_table
 from . import gold, marts, silver, suites
@@ -44,21 +44,22 @@ def ingest_bronze(wh: Warehouse, read: Reader, tables=tuple(SOURCE_COLUMNS), run
     """Load every source table: incrementally where a watermark is defined, as a
     whole otherwise."""
     with job_run(wh, "bronze", "bronze_ingest") as run:
-        for table in tables:
-            name = f"bronze.{table}"
-            df = with_provenance(read(table), table, run_ts)
-            if table in INCREMENTAL:
-                load_increment(wh, df, name, *INCREMENTAL[table], run_ts=run_ts)
-            else:
-                replace_table(wh, run.watch(df, "rows_in"), name, PARTITIONED_BY.get(table, ""))
+        sources = {t: with_provenance(read(t), t, run_ts) for t in tables}
+        for table in [t for t in tables if t in INCREMENTAL]:
+            load_increment(wh, sources.pop(table), f"bronze.{table}", *INCREMENTAL[table], run_ts=run_ts)
+        replace_tables(
+            wh, {f"bronze.{t}": run.watch(df, "rows_in") for t, df in sources.items()},
+            {f"bronze.{t}": spec for t, spec in PARTITIONED_BY.items()})
         run.rows_out = _rows(wh, [f"bronze.{t}" for t in tables])
 
 
 def build_silver(wh: Warehouse) -> None:
     with job_run(wh, "silver", "silver_transform") as run:
         run.rows_in = _rows(wh, [f"bronze.{t}" for t in SOURCE_COLUMNS])
-        for table, (build, inputs) in silver.TABLES.items():
-            replace_table(wh, build(*[wh.table(f"bronze.{t}") for t in inputs]), f"silver.{table}")
+        replace_tables(wh, {
+            f"silver.{table}": build(*[wh.table(f"bronze.{t}") for t in inputs])
+            for table, (build, inputs) in silver.TABLES.items()
+        })
         run.rows_out = _rows(wh, [f"silver.{t}" for t in silver.TABLES])
 
 
@@ -67,16 +68,17 @@ def build_gold(wh: Warehouse) -> None:
     s = {t: wh.table(f"silver.{t}") for t in silver.TABLES}
     with job_run(wh, "gold", "gold_build") as run:
         run.rows_in = _rows(wh, [f"silver.{t}" for t in silver.TABLES])
-        replace_table(wh, gold.dim_customer(s["customers"]), "gold.dim_customer")
-        replace_table(wh, gold.dim_product(s["products"]), "gold.dim_product")
-        replace_table(wh, gold.dim_seller(s["sellers"]), "gold.dim_seller")
-        replace_table(wh, gold.dim_date(wh.spark), "gold.dim_date")
-        replace_table(wh, gold.dim_payment_type(s["order_payments"]), "gold.dim_payment_type")
-        replace_table(wh, gold.fact_orders(s["orders"], s["order_items"]), "gold.fact_orders")
-        replace_table(wh, gold.fact_order_items(s["order_items"]), "gold.fact_order_items")
-        replace_table(wh, gold.fact_reviews(s["order_reviews"]), "gold.fact_reviews")
-        replace_table(
-            wh, gold.fact_payments(s["order_payments"], wh.table("gold.dim_payment_type")), "gold.fact_payments")
+        replace_tables(wh, {
+            "gold.dim_customer": gold.dim_customer(s["customers"]), "gold.dim_product": gold.dim_product(s["products"]),
+            "gold.dim_seller": gold.dim_seller(s["sellers"]), "gold.dim_date": gold.dim_date(wh.spark),
+            "gold.dim_payment_type": gold.dim_payment_type(s["order_payments"]),
+        })
+        replace_tables(wh, {
+            "gold.fact_orders": gold.fact_orders(s["orders"], s["order_items"]),
+            "gold.fact_order_items": gold.fact_order_items(s["order_items"]),
+            "gold.fact_reviews": gold.fact_reviews(s["order_reviews"]),
+            "gold.fact_payments": gold.fact_payments(s["order_payments"], wh.table("gold.dim_payment_type")),
+        })
         run.rows_out = _rows(wh, [f"gold.{t}" for t in GOLD_TABLES])
 
 
@@ -85,20 +87,19 @@ def build_platinum(wh: Warehouse) -> None:
     the gold suite checks it."""
     g = {t: wh.table(f"gold.{t}") for t in GOLD_TABLES}
     orders, items, customers, products = g["fact_orders"], g["fact_order_items"], g["dim_customer"], g["dim_product"]
-    built = {
-        "mart_monthly_revenue": marts.monthly_revenue(orders, g["dim_date"], orders_unique=True),
-        "mart_state_performance": marts.state_performance(orders, customers, orders_unique=True),
-        "mart_category_ranking": marts.category_ranking(items, orders, products),
-        "mart_delivery_kpi": marts.delivery_kpi(orders),
-        "mart_review_by_category": marts.review_by_category(g["fact_reviews"], items, products, reviews_unique=True),
-        "mart_payment_distribution": marts.payment_distribution(g["fact_payments"]),
-        "mart_customer_retention": marts.customer_retention(orders, customers, orders_unique=True),
-    }
     with job_run(wh, "platinum", "platinum_build_marts") as run:
         run.rows_in = _rows(wh, [f"gold.{t}" for t in GOLD_TABLES])
-        for name, df in built.items():
-            replace_table(wh, df, f"platinum.{name}")
-        run.rows_out = _rows(wh, [f"platinum.{n}" for n in built])
+        built = {
+            "monthly_revenue": marts.monthly_revenue(orders, g["dim_date"], orders_unique=True),
+            "state_performance": marts.state_performance(orders, customers, orders_unique=True),
+            "category_ranking": marts.category_ranking(items, orders, products),
+            "delivery_kpi": marts.delivery_kpi(orders),
+            "review_by_category": marts.review_by_category(g["fact_reviews"], items, products, reviews_unique=True),
+            "payment_distribution": marts.payment_distribution(g["fact_payments"]),
+            "customer_retention": marts.customer_retention(orders, customers, orders_unique=True),
+        }
+        replace_tables(wh, {f"platinum.mart_{name}": df for name, df in built.items()})
+        run.rows_out = _rows(wh, [f"platinum.mart_{name}" for name in built])
 
 
 def validate(wh: Warehouse, layer: str) -> list:

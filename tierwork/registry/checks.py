@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import quality as q
 from ..plans import gold, silver, suites
 from ..plans.metrics import health_report
-from ..sinks.tables import replace_table
+from ..sinks.tables import replace_tables
 from . import roles, star
 from .base import Tables, query
 from .roles import with_ctes
@@ -152,8 +152,7 @@ def dq_silver_suite(t: Tables) -> DataFrame:
         "orders": silver.orders(roles.bronze_orders(t)), "order_items": silver.order_items(roles.order_items(t)),
         "order_payments": silver.order_payments(roles.payments(t)), "order_reviews": silver.order_reviews(roles.reviews(t)),
     }
-    for name, df in built.items():
-        replace_table(wh, df, f"silver.{name}")
+    replace_tables(wh, {f"silver.{name}": df for name, df in built.items()})
     return suites.silver(*[wh.table(f"silver.{name}") for name in built])
 
 
@@ -173,18 +172,19 @@ def dq_silver_suite(t: Tables) -> DataFrame:
 def dq_gold_suite(t: Tables) -> DataFrame:
     wh = t.warehouse("gold-suite")
 
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        replace_table(wh, df, name)
-        return wh.table(name)
+    def stored(built: dict[str, DataFrame]) -> list[DataFrame]:
+        replace_tables(wh, built)
+        return [wh.table(name) for name in built]
 
-    orders = stored("silver.orders", silver.orders(roles.bronze_orders(t)))
-    items = stored("silver.order_items", silver.order_items(roles.order_items(t)))
-    payments = stored("silver.order_payments", silver.order_payments(roles.payments(t)))
-    types = stored("gold.dim_payment_type", gold.dim_payment_type(payments))
+    orders, items, payments = stored({
+        "silver.orders": silver.orders(roles.bronze_orders(t)), "silver.order_items": silver.order_items(roles.order_items(t)),
+        "silver.order_payments": silver.order_payments(roles.payments(t)),
+    })
+    facts, types = stored({
+        "gold.fact_orders": gold.fact_orders(orders, items), "gold.dim_payment_type": gold.dim_payment_type(payments)})
     return suites.gold({
-        "fact_orders": stored("gold.fact_orders", gold.fact_orders(orders, items)),
-        "fact_order_items": gold.fact_order_items(items),
-        "fact_payments": stored("gold.fact_payments", gold.fact_payments(payments, types)), "dim_payment_type": types,
+        "fact_orders": facts, "fact_order_items": gold.fact_order_items(items),
+        "fact_payments": gold.fact_payments(payments, types), "dim_payment_type": types,
         "dim_product": star._dim_product(t), "dim_customer": star._dim_customer(t),
         "dim_seller": gold.dim_seller(silver.sellers(roles.sellers(t))),
     }, orders)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -121,22 +122,43 @@ def publish_empty(wh: Warehouse, name: str, df: DataFrame) -> None:
     wh.spark.sql(f"CREATE OR REPLACE VIEW {wh.catalog_name(name)} AS SELECT {columns} WHERE 1 = 0")
 
 
-def replace_table(wh: Warehouse, df: DataFrame, name: str, partitioned_by: str = "") -> str:
-    """Create or replace a table and return the id of the new version. ``df``
-    may read the table it replaces."""
-    version = uuid.uuid4().hex
-    if wh.table_format != "parquet":
+def replace_tables(wh: Warehouse, built: dict[str, DataFrame], partitioned_by: dict[str, str] | None = None, at_once: int = 4) -> dict[str, str]:
+    """Create or replace independent tables and return the ids of their new
+    versions. A frame may read the table it replaces.
+
+    Up to ``at_once`` writes run at the same time, so that the last tasks of one
+    table do not leave the cluster idle. All versions are recorded with one
+    append; the tables are published after that.
+    """
+    specs = partitioned_by or {}
+    versions = {name: uuid.uuid4().hex for name in built}
+    paths = {name: f"{wh.location(name)}/version={version}" for name, version in versions.items()}
+
+    def write(name: str) -> None:
+        df, spec = built[name], specs.get(name, "")
+        if wh.table_format == "parquet":
+            write_files(df, paths[name], spec)
+            return
         writer = df.writeTo(wh.catalog_name(name)).using(wh.table_format).tableProperty("location", wh.location(name))
-        if partitioned_by:
-            writer = writer.partitionedBy(*native_partitioning(partitioned_by))
+        if spec:
+            writer = writer.partitionedBy(*native_partitioning(spec))
         writer.createOrReplace()
-        return version
-    path = f"{wh.location(name)}/version={version}"
-    write_files(df, path, partitioned_by)
-    entry = (name, version, "replace", path, datetime.now(timezone.utc))
-    append_rows(wh, wh.spark.createDataFrame([entry], VERSIONS_SCHEMA), VERSIONS)
-    publish(wh, name, path)
-    return version
+
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(write, name) for name in built]:
+            done.result()
+    if wh.table_format == "parquet":
+        now = datetime.now(timezone.utc)
+        entries = [(name, versions[name], "replace", paths[name], now) for name in built]
+        append_rows(wh, wh.spark.createDataFrame(entries, VERSIONS_SCHEMA), VERSIONS)
+        for name in built:
+            publish(wh, name, paths[name])
+    return versions
+
+
+def replace_table(wh: Warehouse, df: DataFrame, name: str, partitioned_by: str = "") -> str:
+    """Create or replace one table and return the id of the new version."""
+    return replace_tables(wh, {name: df}, {name: partitioned_by})[name]
 
 
 def table_history(wh: Warehouse, name: str) -> DataFrame:
@@ -168,7 +190,8 @@ def append_batch(wh: Warehouse, df: DataFrame, name: str, batch_id: int, partiti
 
 
 def append_rows(wh: Warehouse, df: DataFrame, name: str) -> None:
-    """Plain append to a log table, created by its first row."""
+    """Plain append of a few rows to a log table, created by its first row. The
+    appends to one log must not overlap."""
     if wh.table_format != "parquet":
         if wh.exists(name):
             df.writeTo(wh.catalog_name(name)).append()
@@ -176,8 +199,9 @@ def append_rows(wh: Warehouse, df: DataFrame, name: str) -> None:
             df.writeTo(wh.catalog_name(name)).using(wh.table_format).create()
         return
     path = f"{wh.location(name)}/rows"
-    df.write.mode("append").parquet(path)
-    publish(wh, name, path)
+    df.coalesce(1).write.mode("append").parquet(path)
+    if not wh.exists(name):
+        publish(wh, name, path)
 
 
 def log_rows(wh: Warehouse, df: DataFrame, name: str, report=print) -> bool:
