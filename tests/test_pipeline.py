@@ -64,7 +64,7 @@ def run(spark, tmp_path_factory):
     tables = source_rows()
     write_csv(f"{folder}/csv", tables)
     wh = Warehouse(spark, f"{folder}/wh", namespace=f"p{uuid.uuid4().hex[:10]}_")
-    pipeline.run_all(wh, pipeline.csv_reader(wh, f"{folder}/csv"), run_ts=RUN)
+    pipeline.run_all(wh, pipeline.csv_reader(wh.spark, f"{folder}/csv"), run_ts=RUN)
     return wh, tables, folder
 
 
@@ -165,7 +165,7 @@ def test_incremental_rerun(run):
     updated = [[*o[:2], "delivered", *o[3:6], late, o[7], late] if o is order else o for o in tables["orders"]]
     write_csv(f"{folder}/csv2", {**tables, "orders": updated})
     for _ in range(2):
-        pipeline.run_all(wh, pipeline.csv_reader(wh, f"{folder}/csv2"), run_ts=RUN + timedelta(days=1))
+        pipeline.run_all(wh, pipeline.csv_reader(wh.spark, f"{folder}/csv2"), run_ts=RUN + timedelta(days=1))
     assert wh.table("bronze.orders").count() == before + 1
     facts = wh.table("gold.fact_orders")
     assert facts.count() == 60
@@ -179,7 +179,7 @@ def test_a_broken_source_stops_at_its_gate(spark, tmp_path):
     write_csv(f"{tmp_path}/csv", tables)
     wh = Warehouse(spark, f"{tmp_path}/wh", namespace=f"p{uuid.uuid4().hex[:10]}_")
     with pytest.raises(QualityError, match="customers.customer_id_not_null.*sellers.row_count_gt_0"):
-        pipeline.run_all(wh, pipeline.csv_reader(wh, f"{tmp_path}/csv"), run_ts=RUN)
+        pipeline.run_all(wh, pipeline.csv_reader(wh.spark, f"{tmp_path}/csv"), run_ts=RUN)
     assert not wh.exists("silver.orders")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import as_col, bin_number, month_start
 
@@ -45,12 +45,15 @@ def histogram(df: DataFrame, column: str | Column, low: float, high: float, bins
 
 def monthly_counts_filled(df: DataFrame, ts: str) -> DataFrame:
     """Rows per month between the first and the last month, empty months as 0.
-    The spine comes from the monthly counts, not from a second scan."""
+
+    Each month fills the gap up to its successor, so the table is read once. The
+    window without a partition sees one row per month, never the table's rows.
+    """
     counts = (
         df.filter(F.col(ts).isNotNull())
         .groupBy(month_start(ts).alias("month")).agg(F.count("*").alias("cnt"))
     )
-    spine = counts.agg(F.min("month").alias("a"), F.max("month").alias("b")).select(
-        F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("month")
-    )
-    return spine.join(counts, "month", "left").select("month", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+    following = F.lead("month").over(Window.orderBy("month"))
+    filled = counts.withColumn("_last", F.coalesce(F.add_months(following, -1), F.col("month"))).select(
+        F.col("month").alias("_own"), "cnt", F.explode(F.sequence("month", "_last", F.expr("interval 1 month"))).alias("month"))
+    return filled.select("month", F.when(F.col("month") == F.col("_own"), F.col("cnt")).otherwise(0).alias("cnt"))

@@ -43,9 +43,11 @@ def attach_key(fact: DataFrame, dim: DataFrame, natural: str, surrogate: str) ->
     return skew.sized_join(fact, dim.select(natural, surrogate), [natural], "left")
 
 
-def keep_known(df: DataFrame, valid: DataFrame, keys: list[str], hot: list[skew.HotKey] = ()) -> DataFrame:
-    """Keep rows whose key occurs in ``valid`` (semi join), hot keys split."""
-    return skew.split_join(df, valid.select(*keys), keys, "left_semi", list(hot))
+def keep_known(df: DataFrame, valid: DataFrame, keys: list[str], hot: list[skew.HotKey] | None = None) -> DataFrame:
+    """Keep rows whose key occurs in ``valid`` (semi join), hot keys split. They
+    are measured on ``df`` unless given; an empty list skips the measurement."""
+    hot = skew.hot_keys(df, keys) if hot is None else hot
+    return skew.split_join(df, valid.select(*keys), keys, "left_semi", hot)
 
 
 def orphan_counts(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

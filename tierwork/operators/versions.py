@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def batch_history(df: DataFrame, batch: str = "batch_id", committed: str = "committed_at", operation: str = "append") -> DataFrame:
-    """One row per batch: when it was committed, what it added, running parent."""
+    """One row per batch: when it was committed and how many rows it added."""
     return df.groupBy(batch).agg(
         F.lit(operation).alias("operation"),
         F.max(committed).alias("committed_at"),
@@ -14,6 +14,17 @@ def batch_history(df: DataFrame, batch: str = "batch_id", committed: str = "comm
     )
 
 
+def with_summary(history: DataFrame, columns: list[str]) -> DataFrame:
+    """Fold columns into a text map ``summary``, as version metadata is kept."""
+    pairs = [x for c in columns for x in (F.lit(c), F.col(c).cast("string"))]
+    return history.select(*[c for c in history.columns if c not in columns], F.create_map(*pairs).alias("summary"))
+
+
+def summary_value(key: str) -> Column:
+    """Look up one entry of ``summary``; NULL when it is absent."""
+    return F.try_element_at("summary", F.lit(key))
+
+
 def as_of_version(df: DataFrame, version, batch: str = "batch_id") -> DataFrame:
     """Rows visible at a version of an append table. On a table partitioned by
     batch this prunes partitions."""

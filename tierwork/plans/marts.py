@@ -68,8 +68,7 @@ def category_ranking(
     fact_items: DataFrame, fact_orders: DataFrame, dim_product: DataFrame, hot_orders: list[HotKey] | None = None,
 ) -> DataFrame:
     """Revenue and items sold per category, over items of revenue orders."""
-    hot = hot_keys(fact_items, ["order_id"]) if hot_orders is None else hot_orders
-    sold = keep_known(fact_items, revenue_orders(fact_orders), ["order_id"], hot)
+    sold = keep_known(fact_items, revenue_orders(fact_orders), ["order_id"], hot_orders)
     per_product = sold.groupBy("product_id").agg(exact_sum("price").alias("_revenue"), F.count("*").alias("_items"))
     return (
         per_product.join(dim_product.select("product_id", "category_name_english"), "product_id")

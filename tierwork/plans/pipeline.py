@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.incremental import load_increment
 from ..operators.quality import gate
 from ..schema import INCREMENTAL, PARTITIONED_BY, SOURCE_COLUMNS
 from ..sinks.tables import Warehouse, log_rows, replace_tables
 from ..sources.files import read_csv, total_rows, with_provenance
-from ..sources.jdbc import JdbcSource, read_table
+from ..sources.jdbc import JdbcSource, Slices, read_table
 from . import gold, marts, silver, suites
 from .metrics import job_run
 
@@ -25,15 +25,16 @@ GOLD_TABLES = [
 Reader = Callable[[str], DataFrame]
 
 
-def csv_reader(wh: Warehouse, folder: str, files: dict[str, str] | None = None, **options) -> Reader:
+def csv_reader(spark: SparkSession, folder: str, files: dict[str, str] | None = None, **options) -> Reader:
     """Read source tables from CSV files, by default ``<table>.csv``."""
     names = files or {}
-    return lambda table: read_csv(
-        wh.spark, f"{folder}/{names.get(table, table + '.csv')}", SOURCE_COLUMNS[table], **options)
+    return lambda table: read_csv(spark, f"{folder}/{names.get(table, table + '.csv')}", SOURCE_COLUMNS[table], **options)
 
 
-def jdbc_reader(wh: Warehouse, source: JdbcSource) -> Reader:
-    return lambda table: read_table(wh.spark, source, table)
+def jdbc_reader(spark: SparkSession, source: JdbcSource, slices: dict[str, Slices] | None = None) -> Reader:
+    """Read source tables from a database, sliced where ``slices`` names a table."""
+    cuts = slices or {}
+    return lambda table: read_table(spark, source, table, cuts.get(table))
 
 
 def _rows(wh: Warehouse, names: list[str]) -> int:

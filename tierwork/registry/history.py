@@ -89,6 +89,15 @@ def batch_history(t: Tables) -> DataFrame:
     return versions.batch_history(roles.batched_events(t))
 
 
+@query(with_ctes("""
+    SELECT batch_id, 'append' AS operation, CAST(count(*) AS VARCHAR) AS added_rows, CAST(NULL AS VARCHAR) AS removed_rows
+    FROM batched_events GROUP BY 1""", "batched_events"))
+def batch_summary(t: Tables) -> DataFrame:
+    history = versions.batch_history(roles.batched_events(t))
+    return versions.with_summary(history, ["operation", "added_rows"]).select(
+        "batch_id", *[versions.summary_value(k).alias(k) for k in ("operation", "added_rows", "removed_rows")])
+
+
 @query(with_ctes("SELECT event_id, batch_id FROM batched_events WHERE batch_id <= 10", "batched_events"))
 def version_as_of(t: Tables) -> DataFrame:
     return versions.as_of_version(roles.batched_events(t), 10).select("event_id", "batch_id")

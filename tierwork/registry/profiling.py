@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.columns import clean_text
 from ..operators import aggregates, profiles
-from ..sources.files import with_provenance
+from ..session import scratch_path
+from ..sources.files import count_tables, read_csv, with_provenance
 from . import roles
 from .base import Tables, query
 from .roles import with_ctes
@@ -31,8 +33,6 @@ def overview(t: Tables) -> DataFrame:
     SELECT table_name, column_name, n_null, CAST(round(CAST(n_null / n * 100 AS DECIMAL(38,18)), 2) AS DOUBLE) AS pct_null FROM counts WHERE n_null > 0""",
     "src_orders", "src_reviews"))
 def null_profile(t: Tables) -> DataFrame:
-    from ..functions.columns import clean_text
-
     return profiles.null_profile(roles.source_orders(t), "orders").unionByName(
         profiles.null_profile(clean_text(roles.reviews(t)), "order_reviews"))
 
@@ -47,8 +47,6 @@ def null_breakdown(t: Tables) -> DataFrame:
     SELECT count(*) AS total_rows, count(*) - count(review_comment_message) AS n_null,
            CAST(round(CAST((count(*) - count(review_comment_message)) / count(*) * 100 AS DECIMAL(38,18)), 2) AS DOUBLE) AS pct_null FROM src_reviews""", "src_reviews"))
 def comment_null_rate(t: Tables) -> DataFrame:
-    from ..functions.columns import clean_text
-
     return profiles.null_rate(clean_text(roles.reviews(t)), "review_comment_message")
 
 
@@ -155,3 +153,24 @@ def provenance(t: Tables) -> DataFrame:
     """The file name comes from the scan itself."""
     parts = with_provenance(t.part, F.col("_metadata.file_name"), "2024-01-01")
     return parts.select("p_partkey", "p_name", F.col("_ingested_at").cast("timestamp_ntz").alias("_ingested_at"), "_source_file")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")
+def csv_scan(t: Tables) -> DataFrame:
+    """Orders written as CSV and read back, typed by name without inference."""
+    path = scratch_path(t.spark, "csv")
+    columns = ["o_orderdate", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    t.orders.select(*columns).write.option("header", True).csv(path)
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderdate": "timestamp_ntz"}
+    return read_csv(t.spark, path, types)
+
+
+@query("""
+    SELECT 'given_orders' AS table_name, count(*) AS row_count FROM orders
+    UNION ALL SELECT 'given_lineitem', count(*) FROM lineitem
+    UNION ALL SELECT 'given_nowhere', 0""")
+def table_counts(t: Tables) -> DataFrame:
+    """Row counts by name; a table that does not exist counts as 0."""
+    for name in ("orders", "lineitem"):
+        getattr(t, name).createOrReplaceTempView(f"given_{name}")
+    return count_tables(t.spark, ["given_orders", "given_lineitem", "given_nowhere"])
