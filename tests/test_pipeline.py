@@ -156,6 +156,19 @@ def test_gates_and_logs(run):
     assert all(r.status == "success" and r.rows_out > 0 for r in jobs.values())
 
 
+def test_a_new_catalog_finds_the_tables(run):
+    wh, _, _ = run
+    other = Warehouse(wh.spark, wh.root, namespace=f"a{uuid.uuid4().hex[:10]}_")
+    other.bootstrap()
+    found = pipeline.attach(other)
+    assert len(found) == 9 + 8 + 9 + 7
+    for name in ("bronze.orders", "silver.orders", "gold.fact_orders", "platinum.mart_monthly_revenue", "meta.ingest_watermark"):
+        assert other.table(name).exceptAll(wh.table(name)).isEmpty() and other.table(name).count() == wh.table(name).count()
+    empty = Warehouse(wh.spark, f"{wh.root}-none", namespace=f"e{uuid.uuid4().hex[:10]}_")
+    empty.bootstrap()
+    assert pipeline.attach(empty) == []
+
+
 def test_incremental_rerun(run):
     """A delivered order arrives as a new version; nothing else changes."""
     wh, tables, folder = run

@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"tierwork-{args.command}", args.master)
     wh = Warehouse(spark, args.warehouse, namespace=args.namespace)
     wh.bootstrap()
+    pipeline.attach(wh)
     if args.command in ("run", "ingest"):
         if args.csv:
             read = pipeline.csv_reader(spark, args.csv, args.files, multiLine=args.multiline)

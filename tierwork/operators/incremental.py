@@ -83,15 +83,20 @@ def watermarks_after(current: DataFrame, loaded: DataFrame, mark_column: str, na
     return replace_rows(current, "table_name", name, fresh)
 
 
-def _commit(wh: Warehouse, name: str, batch_id: int, rows: int, mark: datetime, run_ts: datetime) -> None:
-    entry = (name, batch_id, uuid.uuid4().hex, "append", rows, mark, run_ts)
-    append_rows(wh, wh.spark.createDataFrame([entry], LEDGER_SCHEMA), LEDGER)
+def publish_watermarks(wh: Warehouse) -> None:
+    """The current watermark of every table, derived from the ledger."""
     wh.spark.sql(
         f"CREATE OR REPLACE VIEW {wh.catalog_name(WATERMARKS)} AS SELECT table_name, max(watermark_value) AS watermark_value, "
         f"max(committed_at) AS updated_at FROM {wh.catalog_name(LEDGER)} GROUP BY table_name"
     )
 
 
+def _commit(wh: Warehouse, name: str, batch_id: int, rows: int, mark: datetime, run_ts: datetime) -> None:
+    entry = (name, batch_id, uuid.uuid4().hex, "append", rows, mark, run_ts)
+    append_rows(wh, wh.spark.createDataFrame([entry], LEDGER_SCHEMA), LEDGER)
+    publish_watermarks(wh)
+
+
 def load_increment(
     wh: Warehouse, df: DataFrame, name: str, mark_column: str, partition_ts: str,
     lookback: timedelta | None = None, keys: list[str] | None = None, run_ts: datetime | None = None,

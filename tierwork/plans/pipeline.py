@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.incremental import load_increment
+from ..operators.incremental import LEDGER, load_increment, publish_watermarks
 from ..operators.quality import gate
 from ..schema import INCREMENTAL, PARTITIONED_BY, SOURCE_COLUMNS
-from ..sinks.tables import Warehouse, log_rows, replace_tables
+from ..sinks.tables import VERSIONS, Warehouse, log_rows, publish, replace_tables
 from ..sources.files import read_csv, total_rows, with_provenance
 from ..sources.jdbc import JdbcSource, Slices, read_table
 from . import gold, marts, silver, suites
-from .metrics import job_run
+from .metrics import JOB_LOG, job_run
 
 DQ_RESULTS = "meta.dq_results"
 GOLD_TABLES = [
@@ -37,6 +38,39 @@ def jdbc_reader(spark: SparkSession, source: JdbcSource, slices: dict[str, Slice
     return lambda table: read_table(spark, source, table, cuts.get(table))
 
 
+def attach(wh: Warehouse) -> list[str]:
+    """Register the tables of an existing warehouse in a catalog that does not
+    know them, such as that of a new session without a metastore: the last
+    version of each replaced table, the committed batches of each incremental
+    one, and the logs. Returns the names. One row per table reaches the driver.
+    """
+    def log(name: str) -> DataFrame | None:
+        try:
+            rows = wh.spark.read.parquet(f"{wh.location(name)}/rows")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        publish(wh, name, f"{wh.location(name)}/rows")
+        return rows
+
+    versions, ledger = log(VERSIONS), log(LEDGER)
+    for name in (DQ_RESULTS, JOB_LOG):
+        log(name)
+    found = []
+    if versions is not None:
+        latest = versions.groupBy("table_name").agg(F.max_by("location", "committed_at").alias("location"))
+        for row in latest.collect():
+            publish(wh, row["table_name"], row["location"])
+            found.append(row["table_name"])
+    if ledger is not None:
+        for row in ledger.groupBy("table_name").agg(F.max("batch_id").alias("batch")).collect():
+            publish(wh, row["table_name"], wh.location(row["table_name"]), f"batch_id <= {row['batch']}")
+            found.append(row["table_name"])
+        publish_watermarks(wh)
+    return sorted(found)
+
+
 def _rows(wh: Warehouse, names: list[str]) -> int:
     return total_rows(wh.spark, [wh.catalog_name(n) for n in names])
 
