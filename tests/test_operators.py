@@ -104,6 +104,7 @@ def test_broadcast_is_measured(spark):
     assert skew.fits_broadcast(df)
     assert not skew.fits_broadcast(df, max_rows=49)
     assert not skew.fits_broadcast(df, max_bytes=40_000)
+    assert not skew.fits_broadcast(df.select(F.array("s").alias("a")))
 
 
 def test_lookup_beyond_broadcast_gives_the_same(spark, skewed, monkeypatch):

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import as_amount, elapsed_days, exact_sum, percent, reached
 from . import aggregates
 from .joins import keep_known, lookup
+from .skew import hot_keys, split_join
 
 
 def overview(tables: dict[str, DataFrame], keys: dict[str, str], times: dict[str, str]) -> DataFrame:
@@ -108,6 +109,13 @@ def repeat_rate(per_person: DataFrame, count: str, names: tuple[str, str, str])
     ).withColumn(rate, percent(repeat, total))
 
 
+def orders_per_person(orders: DataFrame, customers: DataFrame, key: str, person: str, order: str, name: str) -> DataFrame:
+    """Distinct orders per person, where a person may own several customer keys."""
+    per_key = orders.groupBy(key, order).agg(F.count("*").alias("_n"))
+    owned = split_join(per_key, customers.select(key, person), [key], "inner", hot_keys(orders, [key]))
+    return owned.groupBy(person).agg(F.countDistinct(order).alias(name))
+
+
 def key_diagnostics(df: DataFrame, keys: list[list[str]]) -> DataFrame:
     """Rows against distinct keys for several candidate keys."""
     def one(columns: list[str]) -> DataFrame:
@@ -116,6 +124,6 @@ def key_diagnostics(df: DataFrame, keys: list[list[str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(k) for k in keys])
 
 
-def out_of_order(df: DataFrame, earlier: str, later: str) -> Column | DataFrame:
+def out_of_order(df: DataFrame, earlier: str, later: str) -> DataFrame:
     """Rows whose later event precedes the earlier one."""
     return df.agg(F.count_if(F.col(later) < F.col(earlier)).alias("anomalies"))

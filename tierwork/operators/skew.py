@@ -14,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 # A key is split when it holds more than 1/SPLIT_SHARE of the rows, so there can
 # never be more than SPLIT_SHARE such keys: the list is bounded by construction.
@@ -34,7 +34,10 @@ class HotKey:
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure a candidate for broadcasting. The row count of a Parquet table is
-    answered from footers; text is measured only when the count is small."""
+    answered from footers; text is measured only when the count is small. Nested
+    and binary columns have no cheap measure and rule broadcasting out."""
+    if any(isinstance(f.dataType, (ArrayType, BinaryType, MapType, StructType)) for f in df.schema.fields):
+        return False
     rows = df.count()
     if rows > max_rows:
         return False

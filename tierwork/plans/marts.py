@@ -37,13 +37,19 @@ def _orders_in(unique: bool) -> Column:
     return F.sum("_orders") if unique else F.countDistinct("order_id")
 
 
+def _to_dimension(per_key: DataFrame, fact: DataFrame, dim: DataFrame, key: str, unique: bool) -> DataFrame:
+    """Inner join of an aggregated fact with its dimension. When order ids stay
+    in the grain a hot key is still many rows, so it is split."""
+    return split_join(per_key, dim, [key], "inner", [] if unique else hot_keys(fact, [key]))
+
+
 def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Revenue and orders per month; dates outside the calendar are dropped."""
     daily = _per_order_rows(
         revenue_orders(fact_orders), ["purchase_date_id"], orders_unique, _revenue=exact_sum("total_revenue"))
     days = dim_date.select(F.col("date_id").alias("purchase_date_id"), "year", "month")
     return (
-        daily.join(days, "purchase_date_id").groupBy("year", "month")
+        _to_dimension(daily, fact_orders, days, "purchase_date_id", orders_unique).groupBy("year", "month")
         .agg(as_amount(F.sum("_revenue")).alias("revenue"), _orders_in(orders_unique).alias("order_count"))
         .orderBy("year", "month")
     )
@@ -54,8 +60,10 @@ def state_performance(fact_orders: DataFrame, dim_customer: DataFrame, orders_un
         revenue_orders(fact_orders), ["customer_id"], orders_unique, _revenue=exact_sum("total_revenue"),
         _days=F.sum("delivery_days"), _delivered=F.count("delivery_days"),
     )
+    placed = _to_dimension(
+        per_customer, fact_orders, dim_customer.select("customer_id", "state"), "customer_id", orders_unique)
     return (
-        per_customer.join(dim_customer.select("customer_id", "state"), "customer_id").groupBy("state")
+        placed.groupBy("state")
         .agg(
             _orders_in(orders_unique).alias("order_count"), as_amount(F.sum("_revenue")).alias("revenue"),
             F.round(F.try_divide(F.sum("_days"), F.sum("_delivered")), 2).alias("avg_delivery_days"),
@@ -139,8 +147,9 @@ def payment_distribution(fact_payments: DataFrame) -> DataFrame:
 def customer_retention(fact_orders: DataFrame, dim_customer: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Persons and repeat persons, over orders of every status."""
     per_customer = _per_order_rows(fact_orders, ["customer_id"], orders_unique)
+    people = dim_customer.select("customer_id", "customer_unique_id")
     per_person = (
-        per_customer.join(dim_customer.select("customer_id", "customer_unique_id"), "customer_id")
+        _to_dimension(per_customer, fact_orders, people, "customer_id", orders_unique)
         .groupBy("customer_unique_id").agg(_orders_in(orders_unique).alias("order_count"))
     )
     return repeat_rate(per_person, "order_count", ("total_customers", "repeat_customers", "retention_rate_pct"))

@@ -127,8 +127,7 @@ def late_rate(t: Tables) -> DataFrame:
           FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1)""")
 def repeat_rate(t: Tables) -> DataFrame:
     people = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.expr("c_custkey div 2").alias("person"))
-    per_customer = t.orders.groupBy("o_custkey", "o_orderkey").agg(F.count("*").alias("_n"))
-    per_person = per_customer.join(people, "o_custkey").groupBy("person").agg(F.countDistinct("o_orderkey").alias("n"))
+    per_person = profiles.orders_per_person(t.orders, people, "o_custkey", "person", "o_orderkey", "n")
     return profiles.repeat_rate(per_person, "n", ("total_cust", "repeat_cust", "repeat_rate_pct"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import columns as c
-from ..operators import aggregates, joins, sets, windows
+from ..operators import aggregates, joins, sets, skew, windows
 from . import roles
 from .base import Tables, query
 from .roles import first_row, money, nulls_first, with_ctes
@@ -183,7 +183,8 @@ def surrogate_join(t: Tables) -> DataFrame:
 def inner_chain(t: Tables) -> DataFrame:
     places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
     people = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name", "r_name")
-    return t.orders.join(people, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_custkey", "n_name", "r_name")
+    orders = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    return skew.sized_join(orders, people, ["c_custkey"], "inner", measured=t.customer.select("c_custkey", "c_name", "c_mktsegment"))
 
 
 @query("""
