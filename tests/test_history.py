@@ -271,3 +271,22 @@ def test_health_report(spark):
     got = {r.layer: r for r in metrics.health_report(log, checks).collect()}
     assert (got["a"].runs, got["a"].failed_runs, got["a"].avg_duration_sec, got["a"].dq_pass_pct) == (2, 1, 1.5, 50.0)
     assert (got["b"].checks, got["b"].dq_pass_pct) == (0, None)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+def test_inline_rows_keep_times_and_nulls(spark, zone):
+    from datetime import timezone
+
+    from tierwork.sources.files import inline_rows
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = [("a", 1, d(1, 2, 3), datetime(2020, 1, 1, tzinfo=timezone.utc), 1.5), (None, None, None, None, None)]
+        df = inline_rows(spark, rows, "s string, n bigint, plain timestamp_ntz, zoned timestamp, x double")
+        assert df.dtypes == [("s", "string"), ("n", "bigint"), ("plain", "timestamp_ntz"), ("zoned", "timestamp"), ("x", "double")]
+        got = df.select("s", "n", "plain", F.unix_seconds("zoned").alias("zoned"), "x").collect()
+        assert [tuple(r) for r in got] == [("a", 1, d(1, 2, 3), 1577836800, 1.5), (None,) * 5]
+        assert inline_rows(spark, [], "s string").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

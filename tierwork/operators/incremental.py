@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.columns import newer_than
 from ..schema import EPOCH_WATERMARK
 from ..sinks.tables import Warehouse, append_batch, append_rows, publish, publish_empty, with_partitions
+from ..sources.files import inline_rows
 from .sets import absent_rows, replace_rows
 
 LEDGER = "meta.batch_ledger"
@@ -64,11 +65,9 @@ def new_rows(df: DataFrame, mark_column: str, mark) -> DataFrame:
 
 def advance_watermark(current: DataFrame, name: str, value, updated_at) -> DataFrame:
     """The watermark table with one table's row replaced."""
-    fresh = current.sparkSession.createDataFrame([(name,)], "table_name string").select(
-        "table_name",
-        F.lit(value).cast(current.schema["watermark_value"].dataType).alias("watermark_value"),
-        F.lit(updated_at).cast(current.schema["updated_at"].dataType).alias("updated_at"),
-    )
+    types = {f.name: f.dataType.simpleString() for f in current.schema.fields}
+    schema = ", ".join(f"{c} {types[c]}" for c in ("table_name", "watermark_value", "updated_at"))
+    fresh = inline_rows(current.sparkSession, [(name, value, updated_at)], schema)
     return replace_rows(current, "table_name", name, fresh)
 
 
@@ -93,7 +92,7 @@ def publish_watermarks(wh: Warehouse) -> None:
 
 def _commit(wh: Warehouse, name: str, batch_id: int, rows: int, mark: datetime, run_ts: datetime) -> None:
     entry = (name, batch_id, uuid.uuid4().hex, "append", rows, mark, run_ts)
-    append_rows(wh, wh.spark.createDataFrame([entry], LEDGER_SCHEMA), LEDGER)
+    append_rows(wh, inline_rows(wh.spark, [entry], LEDGER_SCHEMA), LEDGER)
     publish_watermarks(wh)
 
 

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import outside
+from ..sources.files import inline_rows
 from .aggregates import duplicate_surplus
 from .joins import orphan_counts
 
@@ -169,7 +170,7 @@ def gate(spark: SparkSession, results: DataFrame, run_ts: datetime | None = None
     for r in rows:
         report(f"[{'PASS' if r.passed else 'FAIL'}] {r.table_name}.{r.check_name} value={r.value} threshold={r.threshold}")
     if save is not None:
-        save(spark.createDataFrame([(*r, run_ts) for r in rows], RESULT_SCHEMA))
+        save(inline_rows(spark, [(*r, run_ts) for r in rows], RESULT_SCHEMA))
     failed = [f"{r.table_name}.{r.check_name}" for r in rows if not r.passed]
     if failed:
         raise QualityError(f"{len(failed)} check(s) failed: {', '.join(failed)}")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions.columns import percent
 from ..sinks.tables import Warehouse, log_rows
+from ..sources.files import inline_rows
 
 JOB_LOG = "meta.job_log"
 JOB_LOG_SCHEMA = (
@@ -60,7 +61,7 @@ def job_run(wh: Warehouse, layer: str, job_name: str, run_id: str | None = None,
     finally:
         row = job_row(run_id, layer, job_name, status, run, round(time.monotonic() - started, 2), error,
                       datetime.now(timezone.utc))
-        log_rows(wh, wh.spark.createDataFrame([row], JOB_LOG_SCHEMA), log)
+        log_rows(wh, inline_rows(wh.spark, [row], JOB_LOG_SCHEMA), log)
 
 
 def health_report(job_log: DataFrame, dq_results: DataFrame) -> DataFrame:

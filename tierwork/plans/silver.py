@@ -12,9 +12,10 @@ from ..schema import LATITUDE_RANGE, LONGITUDE_RANGE, NO_CATEGORY, SOURCE_COLUMN
 
 def typed(bronze: DataFrame, table: str) -> DataFrame:
     """Clean text, then cast the columns that are not yet of their type."""
-    have = dict(clean_text(bronze).dtypes)
+    cleaned = clean_text(bronze)
+    have = dict(cleaned.dtypes)
     wanted = {c: t for c, t in SOURCE_COLUMNS[table].items() if c in have and have[c] != t and t != "string"}
-    return coerce_columns(clean_text(bronze), wanted)
+    return coerce_columns(cleaned, wanted) if wanted else cleaned
 
 
 def orders(bronze: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functi
 
 from ..operators.sets import upsert
 from ..schema import CONSTANT_PER_LOAD, LAYERS
+from ..sources.files import inline_rows
 
 VERSIONS = "meta.table_versions"
 VERSIONS_SCHEMA = "table_name string, version string, operation string, location string, committed_at timestamp"
@@ -150,7 +151,7 @@ def replace_tables(wh: Warehouse, built: dict[str, DataFrame], partitioned_by: d
     if wh.table_format == "parquet":
         now = datetime.now(timezone.utc)
         entries = [(name, versions[name], "replace", paths[name], now) for name in built]
-        append_rows(wh, wh.spark.createDataFrame(entries, VERSIONS_SCHEMA), VERSIONS)
+        append_rows(wh, inline_rows(wh.spark, entries, VERSIONS_SCHEMA), VERSIONS)
         for name in built:
             publish(wh, name, paths[name])
     return versions
@@ -199,7 +200,7 @@ def append_rows(wh: Warehouse, df: DataFrame, name: str) -> None:
             df.writeTo(wh.catalog_name(name)).using(wh.table_format).create()
         return
     path = f"{wh.location(name)}/rows"
-    df.coalesce(1).write.mode("append").parquet(path)
+    df.write.mode("append").parquet(path)
     if not wh.exists(name):
         publish(wh, name, path)
 

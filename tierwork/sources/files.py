@@ -29,8 +29,18 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None
 
 
 def inline_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A few control rows with an explicit schema."""
-    return spark.createDataFrame(rows, schema)
+    """A few control rows with an explicit schema, as literals of the plan: one
+    partition and no Python worker. Times go through text, so that they do not
+    pick up the zone of the driver's machine."""
+    fields = StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.createDataFrame([], schema)
+
+    def literal(value, kind):
+        return F.lit(value.isoformat(sep=" ") if isinstance(value, datetime) else value).cast(kind)
+
+    entries = [F.struct(*[literal(v, f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
 
 
 def with_provenance(df: DataFrame, source: str | Column, run_ts: datetime | None = None) -> DataFrame:
