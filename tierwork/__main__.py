@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 
 from .plans import pipeline
 from .session import build_session
@@ -41,6 +42,8 @@ def arguments() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = build_session(f"tierwork-{args.command}", args.master)
     wh = Warehouse(spark, args.warehouse, namespace=args.namespace)
     wh.bootstrap()

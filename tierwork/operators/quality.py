@@ -7,6 +7,7 @@ further keyed aggregate. The result is one DataFrame with a row per check.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -24,6 +25,9 @@ RESULT_SCHEMA = (
 )
 
 
+LOG = logging.getLogger(__name__)
+
+
 class QualityError(Exception):
     """At least one check of a suite failed."""
 
@@ -161,7 +165,7 @@ def reconcile(source: DataFrame, target: DataFrame, partial_source: bool = False
     return pair.withColumn("matched", rule)
 
 
-def gate(spark: SparkSession, results: DataFrame, run_ts: datetime | None = None, save=None, report=print) -> list:
+def gate(spark: SparkSession, results: DataFrame, run_ts: datetime | None = None, save=None, report=LOG.info) -> list:
     """Run a suite once, report it, save it best effort, then raise
     :class:`QualityError` when a check failed. Only the result rows, one per
     check, reach the driver."""

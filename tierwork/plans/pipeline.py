@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.incremental import LEDGER, load_increment, publish_watermarks
 from ..operators.quality import gate
-from ..schema import INCREMENTAL, PARTITIONED_BY, SOURCE_COLUMNS
+from ..schema import CALENDAR_RANGE, INCREMENTAL, PARTITIONED_BY, PURCHASE_WINDOW, SOURCE_COLUMNS
 from ..sinks.tables import VERSIONS, Warehouse, log_rows, publish, replace_tables
 from ..sources.files import read_csv, total_rows, with_provenance
 from ..sources.jdbc import JdbcSource, Slices, read_table
@@ -98,14 +98,14 @@ def build_silver(wh: Warehouse) -> None:
         run.rows_out = _rows(wh, [f"silver.{t}" for t in silver.TABLES])
 
 
-def build_gold(wh: Warehouse) -> None:
+def build_gold(wh: Warehouse, calendar: tuple[str, str] = CALENDAR_RANGE) -> None:
     """Dimensions first: the payment fact takes its surrogate key from one."""
     s = {t: wh.table(f"silver.{t}") for t in silver.TABLES}
     with job_run(wh, "gold", "gold_build") as run:
         run.rows_in = _rows(wh, [f"silver.{t}" for t in silver.TABLES])
         replace_tables(wh, {
             "gold.dim_customer": gold.dim_customer(s["customers"]), "gold.dim_product": gold.dim_product(s["products"]),
-            "gold.dim_seller": gold.dim_seller(s["sellers"]), "gold.dim_date": gold.dim_date(wh.spark),
+            "gold.dim_seller": gold.dim_seller(s["sellers"]), "gold.dim_date": gold.dim_date(wh.spark, *calendar),
             "gold.dim_payment_type": gold.dim_payment_type(s["order_payments"]),
         })
         replace_tables(wh, {
@@ -137,8 +137,9 @@ def build_platinum(wh: Warehouse) -> None:
         run.rows_out = _rows(wh, [f"platinum.mart_{name}" for name in built])
 
 
-def validate(wh: Warehouse, layer: str) -> list:
-    """Run a layer's suite as a gate; the results go to the quality log first."""
+def validate(wh: Warehouse, layer: str, window: tuple[str, str] = PURCHASE_WINDOW) -> list:
+    """Run a layer's suite as a gate; the results go to the quality log first.
+    ``window`` bounds the purchase times of the silver suite."""
     def named(tables, source=layer):
         return {t: wh.table(f"{source}.{t}") for t in tables}
 
@@ -146,7 +147,7 @@ def validate(wh: Warehouse, layer: str) -> list:
         results = suites.bronze(named(SOURCE_COLUMNS))
     elif layer == "silver":
         t = named(silver.TABLES)
-        results = suites.silver(t["orders"], t["order_items"], t["order_payments"], t["order_reviews"])
+        results = suites.silver(t["orders"], t["order_items"], t["order_payments"], t["order_reviews"], window)
     elif layer == "gold":
         results = suites.gold(named(GOLD_TABLES), wh.table("silver.orders"))
     else:
@@ -154,13 +155,16 @@ def validate(wh: Warehouse, layer: str) -> list:
     return gate(wh.spark, results, save=lambda rows: log_rows(wh, rows, DQ_RESULTS))
 
 
-def run_all(wh: Warehouse, read: Reader, run_ts: datetime | None = None) -> None:
-    """One full run with the gates between the layers."""
+def run_all(
+    wh: Warehouse, read: Reader, run_ts: datetime | None = None, calendar: tuple[str, str] = CALENDAR_RANGE,
+) -> None:
+    """One full run with the gates between the layers. ``calendar`` gives the
+    first and last day of the date dimension and of valid purchase times."""
     wh.bootstrap()
     ingest_bronze(wh, read, run_ts=run_ts)
     validate(wh, "bronze")
     build_silver(wh)
-    validate(wh, "silver")
-    build_gold(wh)
+    validate(wh, "silver", calendar)
+    build_gold(wh, calendar)
     validate(wh, "gold")
     build_platinum(wh)

@@ -16,11 +16,13 @@ def bronze(tables: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
-def silver(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+def silver(
+    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, window: tuple[str, str] = PURCHASE_WINDOW,
+) -> DataFrame:
     return q.check_suite("silver", [
         ("silver.orders", orders, [
             q.not_null("order_id"), q.Unique(("order_id",)), q.in_set("order_status", ORDER_STATUSES),
-            q.in_window("purchase_ts_in_range", "order_purchase_timestamp", *PURCHASE_WINDOW),
+            q.in_window("purchase_ts_in_range", "order_purchase_timestamp", *window),
         ]),
         ("silver.order_items", items, [q.Unique(("order_id", "order_item_id")), q.positive("price")]),
         ("silver.order_payments", payments, [q.in_set("payment_type", PAYMENT_TYPES)]),

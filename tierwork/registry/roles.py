@@ -103,6 +103,13 @@ def geolocation(t: Tables) -> DataFrame:
     )
 
 
+# source table -> its rows
+SOURCES = {
+    "orders": bronze_orders, "order_items": order_items, "customers": customers, "products": products, "sellers": sellers,
+    "order_payments": payments, "order_reviews": reviews, "geolocation": geolocation, "category_translation": translation,
+}
+
+
 def batched_events(t: Tables) -> DataFrame:
     """Events as an append table: one batch per day of the month."""
     return t.events.select(

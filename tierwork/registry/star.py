@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.skew import hot_keys
-from ..plans import gold, marts, silver
+from ..plans import gold, marts, pipeline, silver
 from . import roles
 from .base import Tables, query
 from .roles import table_sql, with_ctes
@@ -140,15 +142,28 @@ def fact_payments(t: Tables) -> DataFrame:
 
 # ---- platinum ----------------------------------------------------------------------
 
-@query(with_ctes("""
+MONTHLY = with_ctes("""
     SELECT CAST(year AS INT) AS year, month, CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
            count(DISTINCT order_id) AS order_count
     FROM fact_orders JOIN dim_date ON date_id = purchase_date_id
-    WHERE order_status NOT IN ('canceled', 'unavailable') GROUP BY 1, 2""", "fact_orders", "dim_date"))
+    WHERE order_status NOT IN ('canceled', 'unavailable') GROUP BY 1, 2""", "fact_orders", "dim_date")
+
+
+@query(MONTHLY)
 def mart_monthly_revenue(t: Tables) -> DataFrame:
     return marts.monthly_revenue(_fact_orders(t), gold.dim_date_for(t.orders, "o_orderdate"), orders_unique=True)
 
 
+@query(MONTHLY)
+def layered_run(t: Tables) -> DataFrame:
+    """All layers as stored tables, with their gates; the result is one mart."""
+    span = t.orders.agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+    wh = t.warehouse("run")
+    pipeline.run_all(
+        wh, lambda table: roles.SOURCES[table](t), datetime(2024, 2, 1), calendar=(str(span[0]), str(span[1])))
+    return wh.table("platinum.mart_monthly_revenue")
+
+
 @query(with_ctes("""
     SELECT state, count(DISTINCT order_id) AS order_count,
            CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue,

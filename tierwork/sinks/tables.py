@@ -10,6 +10,7 @@ same calls use ``DataFrameWriterV2``.
 
 from __future__ import annotations
 
+import logging
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -25,6 +26,8 @@ from ..sources.files import inline_rows
 VERSIONS = "meta.table_versions"
 VERSIONS_SCHEMA = "table_name string, version string, operation string, location string, committed_at timestamp"
 
+LOG = logging.getLogger(__name__)
+
 _TRANSFORM = re.compile(r"^(years|months|days|hours)\(\s*(\w+)\s*\)$")
 # time unit -> (suffix of the derived column, its format)
 _FORMATS = {"years": ("year", "yyyy"), "months": ("month", "yyyy-MM"), "days": ("day", "yyyy-MM-dd"), "hours": ("hour", "yyyy-MM-dd-HH")}
@@ -205,7 +208,7 @@ def append_rows(wh: Warehouse, df: DataFrame, name: str) -> None:
         publish(wh, name, path)
 
 
-def log_rows(wh: Warehouse, df: DataFrame, name: str, report=print) -> bool:
+def log_rows(wh: Warehouse, df: DataFrame, name: str, report=LOG.warning) -> bool:
     """Append to a log table without ever failing the job that logs."""
     try:
         append_rows(wh, df, name)
