@@ -57,6 +57,13 @@ def position(wh: Warehouse, name: str) -> Position:
     return Position(row["mark"] or epoch(), row["batch"] or 0)
 
 
+def loaded_rows(wh: Warehouse, names: list[str]) -> int:
+    """Rows of all committed batches, from the ledger."""
+    if not wh.exists(LEDGER):
+        return 0
+    return wh.table(LEDGER).filter(F.col("table_name").isin(*names)).agg(F.sum("row_count")).first()[0] or 0
+
+
 def new_rows(df: DataFrame, mark_column: str, mark) -> DataFrame:
     """Rows strictly newer than the watermark. The comparison is on the bare
     column, so it reaches the Parquet or JDBC scan. NULL is never newer."""

@@ -8,10 +8,10 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.incremental import LEDGER, load_increment, publish_watermarks
+from ..operators.incremental import LEDGER, load_increment, loaded_rows, publish_watermarks
 from ..operators.quality import gate
 from ..schema import CALENDAR_RANGE, INCREMENTAL, PARTITIONED_BY, PURCHASE_WINDOW, SOURCE_COLUMNS
-from ..sinks.tables import VERSIONS, Warehouse, log_rows, publish, replace_tables
+from ..sinks.tables import VERSIONS, Version, Warehouse, log_rows, publish, recorded_rows, replace_tables
 from ..sources.files import read_csv, total_rows, with_provenance
 from ..sources.jdbc import JdbcSource, Slices, read_table
 from . import gold, marts, silver, suites
@@ -72,7 +72,14 @@ def attach(wh: Warehouse) -> list[str]:
 
 
 def _rows(wh: Warehouse, names: list[str]) -> int:
-    return total_rows(wh.spark, [wh.catalog_name(n) for n in names])
+    """Rows of tables as the logs record them, without reading the tables."""
+    if wh.table_format != "parquet":
+        return total_rows(wh.spark, [wh.catalog_name(n) for n in names])
+    return recorded_rows(wh, names) + loaded_rows(wh, names)
+
+
+def _written(versions: dict[str, Version]) -> int:
+    return sum(v.row_count for v in versions.values())
 
 
 def ingest_bronze(wh: Warehouse, read: Reader, tables=tuple(SOURCE_COLUMNS), run_ts: datetime | None = None) -> None:
@@ -85,17 +92,16 @@ def ingest_bronze(wh: Warehouse, read: Reader, tables=tuple(SOURCE_COLUMNS), run
         replace_tables(
             wh, {f"bronze.{t}": run.watch(df, "rows_in") for t, df in sources.items()},
             {f"bronze.{t}": spec for t, spec in PARTITIONED_BY.items()})
-        run.rows_out = _rows(wh, [f"bronze.{t}" for t in tables])
+        run.rows_out = _rows(wh, [f"bronze.{t}" for t in tables])  # the whole history, not only this load
 
 
 def build_silver(wh: Warehouse) -> None:
     with job_run(wh, "silver", "silver_transform") as run:
         run.rows_in = _rows(wh, [f"bronze.{t}" for t in SOURCE_COLUMNS])
-        replace_tables(wh, {
+        run.rows_out = _written(replace_tables(wh, {
             f"silver.{table}": build(*[wh.table(f"bronze.{t}") for t in inputs])
             for table, (build, inputs) in silver.TABLES.items()
-        })
-        run.rows_out = _rows(wh, [f"silver.{t}" for t in silver.TABLES])
+        }))
 
 
 def build_gold(wh: Warehouse, calendar: tuple[str, str] = CALENDAR_RANGE) -> None:
@@ -103,18 +109,18 @@ def build_gold(wh: Warehouse, calendar: tuple[str, str] = CALENDAR_RANGE) -> Non
     s = {t: wh.table(f"silver.{t}") for t in silver.TABLES}
     with job_run(wh, "gold", "gold_build") as run:
         run.rows_in = _rows(wh, [f"silver.{t}" for t in silver.TABLES])
-        replace_tables(wh, {
+        dimensions = replace_tables(wh, {
             "gold.dim_customer": gold.dim_customer(s["customers"]), "gold.dim_product": gold.dim_product(s["products"]),
             "gold.dim_seller": gold.dim_seller(s["sellers"]), "gold.dim_date": gold.dim_date(wh.spark, *calendar),
             "gold.dim_payment_type": gold.dim_payment_type(s["order_payments"]),
         })
-        replace_tables(wh, {
+        facts = replace_tables(wh, {
             "gold.fact_orders": gold.fact_orders(s["orders"], s["order_items"]),
             "gold.fact_order_items": gold.fact_order_items(s["order_items"]),
             "gold.fact_reviews": gold.fact_reviews(s["order_reviews"]),
             "gold.fact_payments": gold.fact_payments(s["order_payments"], wh.table("gold.dim_payment_type")),
         })
-        run.rows_out = _rows(wh, [f"gold.{t}" for t in GOLD_TABLES])
+        run.rows_out = _written(dimensions) + _written(facts)
 
 
 def build_platinum(wh: Warehouse) -> None:
@@ -133,8 +139,7 @@ def build_platinum(wh: Warehouse) -> None:
             "payment_distribution": marts.payment_distribution(g["fact_payments"]),
             "customer_retention": marts.customer_retention(orders, customers, orders_unique=True),
         }
-        replace_tables(wh, {f"platinum.mart_{name}": df for name, df in built.items()})
-        run.rows_out = _rows(wh, [f"platinum.mart_{name}" for name in built])
+        run.rows_out = _written(replace_tables(wh, {f"platinum.mart_{name}": df for name, df in built.items()}))
 
 
 def validate(wh: Warehouse, layer: str, window: tuple[str, str] = PURCHASE_WINDOW) -> list:

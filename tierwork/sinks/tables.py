@@ -17,14 +17,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 
 from ..operators.sets import upsert
 from ..schema import CONSTANT_PER_LOAD, LAYERS
 from ..sources.files import inline_rows
 
 VERSIONS = "meta.table_versions"
-VERSIONS_SCHEMA = "table_name string, version string, operation string, location string, committed_at timestamp"
+VERSIONS_SCHEMA = (
+    "table_name string, version string, operation string, location string, row_count bigint, committed_at timestamp"
+)
 
 LOG = logging.getLogger(__name__)
 
@@ -97,21 +99,26 @@ def quoted(text: str) -> str:
     return text.replace("'", "''")
 
 
-def partitioned_writer(df: DataFrame, spec: str, mode: str) -> DataFrameWriter:
+def partitioned_writer(df: DataFrame, spec: str, mode: str, counted: Observation | None = None) -> DataFrameWriter:
     """Writer partitioned by ``spec``. The rebalance hint lets adaptive execution
     size the files: it splits a partition value that holds much of the data and
     merges small ones. It costs a shuffle, so it is left out when all rows of a
-    load share the partition value."""
+    load share the partition value. ``counted`` takes the row count in the
+    writing stage, where a retried task is counted once."""
     df, names = with_partitions(df, spec)
-    if not names:
-        return df.write.mode(mode)
     moves = any(column not in CONSTANT_PER_LOAD for _, column in partition_terms(spec))
     shaped = df.hint("rebalance", *names) if moves else df
-    return shaped.write.mode(mode).partitionBy(*names)
+    if counted is not None:
+        shaped = shaped.observe(counted, F.count(F.lit(1)).alias("n"))
+    writer = shaped.write.mode(mode)
+    return writer.partitionBy(*names) if names else writer
 
 
-def write_files(df: DataFrame, path: str, spec: str = "", mode: str = "errorifexists") -> None:
-    partitioned_writer(df, spec, mode).parquet(path)
+def write_files(df: DataFrame, path: str, spec: str = "", mode: str = "errorifexists") -> int:
+    """Write Parquet and return the number of rows written."""
+    counted = Observation()
+    partitioned_writer(df, spec, mode, counted).parquet(path)
+    return counted.get["n"]
 
 
 def publish(wh: Warehouse, name: str, path: str, condition: str = "") -> None:
@@ -126,43 +133,59 @@ def publish_empty(wh: Warehouse, name: str, df: DataFrame) -> None:
     wh.spark.sql(f"CREATE OR REPLACE VIEW {wh.catalog_name(name)} AS SELECT {columns} WHERE 1 = 0")
 
 
-def replace_tables(wh: Warehouse, built: dict[str, DataFrame], partitioned_by: dict[str, str] | None = None, at_once: int = 4) -> dict[str, str]:
-    """Create or replace independent tables and return the ids of their new
-    versions. A frame may read the table it replaces.
+@dataclass(frozen=True)
+class Version:
+    id: str
+    row_count: int
+
+
+def replace_tables(wh: Warehouse, built: dict[str, DataFrame], partitioned_by: dict[str, str] | None = None, at_once: int = 4) -> dict[str, Version]:
+    """Create or replace independent tables and return their new versions. A
+    frame may read the table it replaces.
 
     Up to ``at_once`` writes run at the same time, so that the last tasks of one
     table do not leave the cluster idle. All versions are recorded with one
     append; the tables are published after that.
     """
     specs = partitioned_by or {}
-    versions = {name: uuid.uuid4().hex for name in built}
-    paths = {name: f"{wh.location(name)}/version={version}" for name, version in versions.items()}
+    ids = {name: uuid.uuid4().hex for name in built}
+    paths = {name: f"{wh.location(name)}/version={version}" for name, version in ids.items()}
 
-    def write(name: str) -> None:
+    def write(name: str) -> int:
         df, spec = built[name], specs.get(name, "")
         if wh.table_format == "parquet":
-            write_files(df, paths[name], spec)
-            return
-        writer = df.writeTo(wh.catalog_name(name)).using(wh.table_format).tableProperty("location", wh.location(name))
+            return write_files(df, paths[name], spec)
+        counted = Observation()
+        writer = df.observe(counted, F.count(F.lit(1)).alias("n")).writeTo(wh.catalog_name(name)).using(wh.table_format)
+        writer = writer.tableProperty("location", wh.location(name))
         if spec:
             writer = writer.partitionedBy(*native_partitioning(spec))
         writer.createOrReplace()
+        return counted.get["n"]
 
     with ThreadPoolExecutor(at_once) as pool:
-        for done in [pool.submit(write, name) for name in built]:
-            done.result()
+        rows = dict(zip(built, pool.map(write, built)))
     if wh.table_format == "parquet":
         now = datetime.now(timezone.utc)
-        entries = [(name, versions[name], "replace", paths[name], now) for name in built]
+        entries = [(name, ids[name], "replace", paths[name], rows[name], now) for name in built]
         append_rows(wh, inline_rows(wh.spark, entries, VERSIONS_SCHEMA), VERSIONS)
         for name in built:
             publish(wh, name, paths[name])
-    return versions
+    return {name: Version(ids[name], rows[name]) for name in built}
 
 
 def replace_table(wh: Warehouse, df: DataFrame, name: str, partitioned_by: str = "") -> str:
     """Create or replace one table and return the id of the new version."""
-    return replace_tables(wh, {name: df}, {name: partitioned_by})[name]
+    return replace_tables(wh, {name: df}, {name: partitioned_by})[name].id
+
+
+def recorded_rows(wh: Warehouse, names: list[str]) -> int:
+    """Rows of the current versions of replaced tables, from the version log."""
+    if not wh.exists(VERSIONS):
+        return 0
+    current = wh.table(VERSIONS).filter(F.col("table_name").isin(*names)).groupBy("table_name").agg(
+        F.max_by("row_count", "committed_at").alias("n"))
+    return current.agg(F.sum("n")).first()[0] or 0
 
 
 def table_history(wh: Warehouse, name: str) -> DataFrame:
