@@ -192,9 +192,9 @@ def dq_gold_suite(t: Tables) -> DataFrame:
 
 @query("""
     SELECT layer, runs, failed_runs, avg_duration_sec, max_duration_sec, rows_out, coalesce(checks, 0) AS checks,
-           coalesce(failed_checks, 0) AS failed_checks, CAST(round(CAST((checks - failed_checks) / checks * 100 AS DECIMAL(38,18)), 2) AS DOUBLE) AS dq_pass_pct
+           coalesce(failed_checks, 0) AS failed_checks, CAST(round(CAST(CAST((checks - failed_checks) / checks * 100 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS dq_pass_pct
     FROM (SELECT event_type AS layer, count(*) AS runs, count(*) FILTER (WHERE value > 80) AS failed_runs,
-                 CAST(round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,18)) / count(*), 2) AS DOUBLE) AS avg_duration_sec,
+                 CAST(round(CAST(CAST(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_duration_sec,
                  max(value) AS max_duration_sec, CAST(sum(user_id) AS BIGINT) AS rows_out FROM events GROUP BY 1)
     LEFT JOIN (SELECT event_type AS layer, count(*) AS checks, count(*) FILTER (WHERE value > 50) AS failed_checks
                FROM events WHERE event_type <> 'error' GROUP BY 1) USING (layer)""")

@@ -30,7 +30,7 @@ def overview(t: Tables) -> DataFrame:
                count(*) FILTER (WHERE order_delivered_customer_date IS NULL) AS n_null, count(*) AS n FROM src_orders
         UNION ALL SELECT 'order_reviews', 'review_comment_message', count(*) FILTER (WHERE review_comment_message IS NULL), count(*)
         FROM src_reviews)
-    SELECT table_name, column_name, n_null, CAST(round(CAST(n_null / n * 100 AS DECIMAL(38,18)), 2) AS DOUBLE) AS pct_null FROM counts WHERE n_null > 0""",
+    SELECT table_name, column_name, n_null, CAST(round(CAST(CAST(n_null / n * 100 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS pct_null FROM counts WHERE n_null > 0""",
     "src_orders", "src_reviews"))
 def null_profile(t: Tables) -> DataFrame:
     return profiles.null_profile(roles.source_orders(t), "orders").unionByName(
@@ -45,12 +45,12 @@ def null_breakdown(t: Tables) -> DataFrame:
 
 @query(with_ctes("""
     SELECT count(*) AS total_rows, count(*) - count(review_comment_message) AS n_null,
-           CAST(round(CAST((count(*) - count(review_comment_message)) / count(*) * 100 AS DECIMAL(38,18)), 2) AS DOUBLE) AS pct_null FROM src_reviews""", "src_reviews"))
+           CAST(round(CAST(CAST((count(*) - count(review_comment_message)) / count(*) * 100 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS pct_null FROM src_reviews""", "src_reviews"))
 def comment_null_rate(t: Tables) -> DataFrame:
     return profiles.null_rate(clean_text(roles.reviews(t)), "review_comment_message")
 
 
-@query(with_ctes("SELECT count(review_score) AS scored, CAST(round(CAST(avg(review_score) AS DECIMAL(38,18)), 2) AS DOUBLE) AS mean_score FROM src_reviews", "src_reviews"))
+@query(with_ctes("SELECT count(review_score) AS scored, CAST(round(CAST(CAST(avg(review_score) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS mean_score FROM src_reviews", "src_reviews"))
 def score_mean(t: Tables) -> DataFrame:
     return profiles.score_mean(roles.reviews(t), "review_score")
 
@@ -79,7 +79,7 @@ def delivery_histogram(t: Tables) -> DataFrame:
 
 
 @query(with_ctes("""
-    SELECT count(d) AS finished, CAST(round(CAST(avg(d) AS DECIMAL(38,18)), 2) AS DOUBLE) AS mean_days FROM (
+    SELECT count(d) AS finished, CAST(round(CAST(CAST(avg(d) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS mean_days FROM (
         SELECT date_diff('day', order_purchase_timestamp, order_delivered_customer_date) AS d FROM src_orders)""", "src_orders"))
 def delivery_mean(t: Tables) -> DataFrame:
     return profiles.elapsed_mean(roles.source_orders(t), "order_purchase_timestamp", "order_delivered_customer_date")
@@ -109,7 +109,7 @@ def top_states(t: Tables) -> DataFrame:
 
 
 @query(with_ctes("""
-    SELECT delivered, late, CAST(round(CAST(late / delivered * 100 AS DECIMAL(38,18)), 2) AS DOUBLE) AS late_rate_pct FROM (
+    SELECT delivered, late, CAST(round(CAST(CAST(late / delivered * 100 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS late_rate_pct FROM (
         SELECT count(*) FILTER (WHERE order_status = 'delivered' OR order_delivered_customer_date IS NOT NULL) AS delivered,
                count(*) FILTER (WHERE order_delivered_customer_date > order_estimated_delivery_date) AS late
         FROM src_orders)""", "src_orders"))
@@ -120,7 +120,7 @@ def late_rate(t: Tables) -> DataFrame:
 
 @query("""
     SELECT count(*) AS total_cust, CAST(sum(CASE WHEN n >= 2 THEN 1 ELSE 0 END) AS BIGINT) AS repeat_cust,
-           CAST(round(CAST(sum(CASE WHEN n >= 2 THEN 1 ELSE 0 END) / count(*) * 100 AS DECIMAL(38,18)), 2) AS DOUBLE) AS repeat_rate_pct
+           CAST(round(CAST(CAST(sum(CASE WHEN n >= 2 THEN 1 ELSE 0 END) / count(*) * 100 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS repeat_rate_pct
     FROM (SELECT c_custkey // 2 AS person, count(DISTINCT o_orderkey) AS n
           FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1)""")
 def repeat_rate(t: Tables) -> DataFrame:

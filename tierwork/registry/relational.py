@@ -231,7 +231,7 @@ def hash_agg(t: Tables) -> DataFrame:
 @query("""
     SELECT CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month,
            CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
-           count(DISTINCT l_orderkey) AS order_count, CAST(round(CAST(avg(CAST(l_linenumber AS DOUBLE)) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_line
+           count(DISTINCT l_orderkey) AS order_count, CAST(round(CAST(CAST(avg(CAST(l_linenumber AS DOUBLE)) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_line
     FROM lineitem GROUP BY 1, 2""")
 def distinct_agg(t: Tables) -> DataFrame:
     return t.lineitem.groupBy(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")).agg(
@@ -241,8 +241,8 @@ def distinct_agg(t: Tables) -> DataFrame:
 
 @query("""
     SELECT count(*) AS total, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END)::BIGINT AS returned,
-           CAST(round(CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) / count(*) * 100 AS DECIMAL(38,18)), 2) AS DOUBLE) AS returned_pct,
-           CAST(round(CAST(CAST(NULL AS DOUBLE) AS DECIMAL(38,18)), 2) AS DOUBLE) AS no_rows_pct FROM lineitem""")
+           CAST(round(CAST(CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) / count(*) * 100 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS returned_pct,
+           CAST(round(CAST(CAST(CAST(NULL AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS no_rows_pct FROM lineitem""")
 def conditional_ratio(t: Tables) -> DataFrame:
     returned, never = F.col("l_returnflag") == "R", F.col("l_linenumber") < 0
     return t.lineitem.agg(
@@ -252,7 +252,7 @@ def conditional_ratio(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT c_mktsegment, count(*) AS customers, max(n) AS most_orders, CAST(round(CAST(avg(n) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_orders
+    SELECT c_mktsegment, count(*) AS customers, max(n) AS most_orders, CAST(round(CAST(CAST(avg(n) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_orders
     FROM (SELECT o_custkey, count(DISTINCT o_orderkey) AS n FROM orders GROUP BY 1)
     JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
 def two_level_agg(t: Tables) -> DataFrame:

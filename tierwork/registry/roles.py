@@ -118,6 +118,10 @@ def batched_events(t: Tables) -> DataFrame:
 
 
 # ---- the same in SQL ------------------------------------------------------------
+#
+# Spark rounds the shortest decimal text of a double half up. DuckDB rounds its
+# binary value, so 730.125 and 10.075 could go either way; the SQL therefore
+# rounds through text: round(CAST(CAST(x AS VARCHAR) AS DECIMAL(38,18)), 2).
 
 def first_row(source: str, keys: str, order: str) -> str:
     """One row of ``source`` per key, by a total order."""

@@ -167,7 +167,7 @@ def layered_run(t: Tables) -> DataFrame:
 @query(with_ctes("""
     SELECT state, count(DISTINCT order_id) AS order_count,
            CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
-           CAST(round(CAST(avg(delivery_days) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_delivery_days
+           CAST(round(CAST(CAST(avg(delivery_days) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_delivery_days
     FROM fact_orders JOIN dim_customer USING (customer_id)
     WHERE order_status NOT IN ('canceled', 'unavailable') GROUP BY 1""", "fact_orders", "dim_customer"))
 def mart_state_performance(t: Tables) -> DataFrame:
@@ -187,9 +187,9 @@ def mart_category_ranking(t: Tables) -> DataFrame:
 
 
 @query(with_ctes("""
-    SELECT count(*) AS total_orders, CAST(round(CAST(avg(delivery_days) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_delivery_days,
-           CAST(round(CAST(sum(CASE WHEN (order_status = 'delivered' OR delivery_days IS NOT NULL) AND is_late_delivery THEN 1 ELSE 0 END)
-                 / sum(CASE WHEN order_status = 'delivered' OR delivery_days IS NOT NULL THEN 1 ELSE 0 END) * 100 AS DECIMAL(38,18)), 2) AS DOUBLE)
+    SELECT count(*) AS total_orders, CAST(round(CAST(CAST(avg(delivery_days) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_delivery_days,
+           CAST(round(CAST(CAST(sum(CASE WHEN (order_status = 'delivered' OR delivery_days IS NOT NULL) AND is_late_delivery THEN 1 ELSE 0 END)
+                 / sum(CASE WHEN order_status = 'delivered' OR delivery_days IS NOT NULL THEN 1 ELSE 0 END) * 100 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)
            AS late_delivery_rate_pct
     FROM fact_orders""", "fact_orders"))
 def mart_delivery_kpi(t: Tables) -> DataFrame:
@@ -202,7 +202,7 @@ def mart_delivery_kpi(t: Tables) -> DataFrame:
     order_category AS (SELECT order_id, category_name_english FROM (
         SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY n DESC, category_name_english) AS rn FROM per_category)
         WHERE rn = 1)
-    SELECT category_name_english, CAST(round(CAST(avg(review_score) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_review_score,
+    SELECT category_name_english, CAST(round(CAST(CAST(avg(review_score) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_review_score,
            count(DISTINCT review_id) AS review_count
     FROM fact_reviews JOIN order_category USING (order_id) GROUP BY 1""",
     "fact_reviews", "fact_order_items", "dim_product"))
@@ -225,7 +225,7 @@ def mart_payment_distribution(t: Tables) -> DataFrame:
     , per_person AS (SELECT customer_unique_id, count(DISTINCT order_id) AS n
                      FROM fact_orders JOIN dim_customer USING (customer_id) GROUP BY 1)
     SELECT count(*) AS total_customers, CAST(sum(CASE WHEN n >= 2 THEN 1 ELSE 0 END) AS BIGINT) AS repeat_customers,
-           CAST(round(CAST(sum(CASE WHEN n >= 2 THEN 1 ELSE 0 END) / count(*) * 100 AS DECIMAL(38,18)), 2) AS DOUBLE) AS retention_rate_pct
+           CAST(round(CAST(CAST(sum(CASE WHEN n >= 2 THEN 1 ELSE 0 END) / count(*) * 100 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS retention_rate_pct
     FROM per_person""", "fact_orders", "dim_customer"))
 def mart_customer_retention(t: Tables) -> DataFrame:
     return marts.customer_retention(_fact_orders(t), _dim_customer(t), orders_unique=True)
