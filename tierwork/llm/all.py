@@ -1,6 +1,6 @@
 """Importing this module registers every query of the subpackage."""
 
-from . import jaccard, language, toxicity  # noqa: F401
+from . import decontaminate, jaccard, language, toxicity  # noqa: F401
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
