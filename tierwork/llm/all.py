@@ -1,6 +1,6 @@
 """Importing this module registers every query of the subpackage."""
 
-from . import chat, decontaminate, jaccard, language, mixing, toxicity  # noqa: F401
+from . import chat, decontaminate, jaccard, language, mixing, neighbours, toxicity  # noqa: F401
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
