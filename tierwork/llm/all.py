@@ -1,6 +1,6 @@
 """Importing this module registers every query of the subpackage."""
 
-from . import chat, decontaminate, jaccard, language, licenses, mixing, neighbours, toxicity, warc  # noqa: F401
+from . import chat, decontaminate, jaccard, language, language_model, licenses, mixing, neighbours, toxicity, warc  # noqa: F401
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
