@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierwork.operators import changelog, incremental, versions, windows
-from tierwork.plans import metrics
+from tierwork.plans import metrics, pipeline
 from tierwork.sinks import rewrite, tables
 from tierwork.streaming.incremental import follow_folder
 
@@ -164,15 +164,29 @@ def test_advance_watermark(spark):
     assert sorted(tuple(r) for r in got.collect()) == [("a", d(3), d(3, 2)), ("b", d(2), d(2))]
 
 
-def test_streaming_load_follows_a_folder(spark, wh, tmp_path):
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_streaming_load_follows_a_folder(spark, wh, tmp_path, files_per_batch):
+    """Files out of watermark order, in batches of any size, each row once."""
     drop = f"{tmp_path}/drop"
-    feed(spark, (1, d(1, 5)), (2, d(1, 6))).coalesce(1).write.mode("append").parquet(drop)
-    arguments = (wh, drop, FEED, "bronze.feed", "changed", "bought")
+    for n, day in enumerate((7, 5, 6)):
+        feed(spark, (n, d(1, day))).coalesce(1).write.mode("append").parquet(drop)
+    arguments = (wh, drop, FEED, "bronze.feed", "changed", "bought", "parquet", files_per_batch)
     follow_folder(*arguments)
     feed(spark, (3, d(2, 6))).coalesce(1).write.mode("append").parquet(drop)
     follow_folder(*arguments)
     follow_folder(*arguments)
-    assert sorted((r.id, r.batch_id) for r in wh.table("bronze.feed").collect()) == [(1, 1), (2, 1), (3, 2)]
+    assert sorted(r.id for r in wh.table("bronze.feed").collect()) == [0, 1, 2, 3]
+
+
+def test_a_repeated_batch_is_not_loaded_twice(spark, wh):
+    for rows in (feed(spark, (1, d(1, 5))), feed(spark, (1, d(1, 5)), (2, d(1, 6)))):
+        incremental.load_batch(wh, rows, "bronze.feed", "changed", "bought", 1)
+    assert [r.id for r in wh.table("bronze.feed").collect()] == [1]
+
+
+def test_looking_back_needs_keys(spark, wh):
+    with pytest.raises(ValueError):
+        incremental.load_increment(wh, feed(spark, (1, d(1, 5))), "bronze.feed", "changed", "bought", lookback=timedelta(days=1))
 
 
 # ---- sinks -------------------------------------------------------------------------
@@ -222,6 +236,33 @@ def test_upsert_touches_only_its_partitions(spark, wh):
     assert sorted((r.k, r.s, r.p) for r in wh.table("gold.t").collect()) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
 
 
+STRANGE = ["007", "7", "01", "a:b", "x/y", "k=v", "50%", "sp ace", "plain", "2020-01-01", None]
+
+
+def test_upsert_keeps_strange_partition_values(spark, wh):
+    schema = "k int, s string, p string"
+    tables.upsert_partitions(wh, spark.createDataFrame([(k, "old", p) for k, p in enumerate(STRANGE)], schema), "gold.t", ["k"], "p")
+    again = [(k, "new", p) for k, p in enumerate(STRANGE) if k % 2 == 0]
+    tables.upsert_partitions(wh, spark.createDataFrame([*again, (99, "new", None)], schema), "gold.t", ["k"], "p")
+    want = {(k, "new" if k % 2 == 0 else "old", p) for k, p in enumerate(STRANGE)} | {(99, "new", None)}
+    assert {tuple(r) for r in wh.table("gold.t").collect()} == want
+    with pytest.raises(ValueError):
+        tables.upsert_partitions(wh, spark.createDataFrame([(1, "x", "")], schema), "gold.t", ["k"], "p")
+
+
+def test_replace_keeps_partition_values_and_types(spark, wh):
+    rows = [(k, d(1, 5), p) for k, p in enumerate(STRANGE)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, zip string")
+    first = tables.replace_table(wh, df, "silver.t", "days(ts), zip")
+    want = sorted(((k, t, p, "2020-01-05") for k, t, p in rows), key=str)
+    for found in (wh.table("silver.t"), tables.read_version(wh, "silver.t", first)):
+        assert dict(found.dtypes)["zip"] == "string" and dict(found.dtypes)["ts_day"] == "string"
+        assert sorted((tuple(r) for r in found.select("k", "ts", "zip", "ts_day").collect()), key=str) == want
+    tables.replace_table(wh, wh.table("silver.t").drop("ts_day"), "silver.t", "days(ts), zip")
+    pipeline.attach(wh)
+    assert sorted((tuple(r) for r in wh.table("silver.t").select("k", "ts", "zip", "ts_day").collect()), key=str) == want
+
+
 def test_log_append_never_raises(spark, wh):
     assert tables.log_rows(wh, spark.range(1), "meta.log") and tables.log_rows(wh, spark.range(1), "meta.log")
     assert wh.table("meta.log").count() == 2
@@ -232,10 +273,10 @@ def test_log_append_never_raises(spark, wh):
 def test_rewrite_guard(spark, wh, monkeypatch):
     tables.replace_table(wh, spark.range(10), "silver.t")
     target = f"{wh.root}/moved/t"
-    plan = rewrite.rewrite_plan(wh, {"silver.t": wh.table("silver.t")}, {"silver.t": target}).first()
-    assert (plan.row_count, plan.status) == (10, "move")
     assert rewrite.rewrite_table(wh, "silver.t", wh.table("silver.t"), target) == (10, 10)
-    assert rewrite.rewrite_plan(wh, {"silver.t": wh.table("silver.t")}, {"silver.t": target}).first().status == "ok"
+    assert [r.operation for r in tables.table_history(wh, "silver.t").collect()] == ["replace", "rewrite"]
+    pipeline.attach(wh)
+    assert all(target in path for path in wh.table("silver.t").inputFiles())
 
     real = rewrite.write_files
     monkeypatch.setattr(rewrite, "write_files", lambda df, *rest: real(df.limit(4), *rest))

@@ -94,6 +94,40 @@ def test_split_join_spreads_the_hot_key(spark, skewed):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+MIXED_KEYS = [
+    ("int", "bigint", 1, 2), ("bigint", "int", 1, 2), ("decimal(10,2)", "decimal(12,4)", "1.5", "2.5"), ("date", "timestamp_ntz", "2020-01-01", "2020-01-02"),
+    ("double", "double", -0.0, 3.0), ("int", "double", 0, 5),
+]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("left_type,right_type,hot_value,other", MIXED_KEYS)
+def test_split_join_compares_keys_of_different_types(spark, how, left_type, right_type, hot_value, other):
+    value = F.when(F.col("id") % 10 < 6, F.lit(hot_value).cast(left_type)).when(F.col("id") % 10 < 9, F.lit(other).cast(left_type))
+    left = spark.range(2000).repartition(6).select(value.alias("k"), "id")
+    zero = F.lit(0.0).cast(right_type) if isinstance(hot_value, float) else F.lit(hot_value).cast(right_type)
+    right = spark.range(1).select(zero.alias("k"), F.lit("r").alias("r"))
+    hot = skew.hot_keys(left, ["k"], min_rows=100, other=right)
+    assert hot
+    for known in (hot, skew.hot_keys(left, ["k"], min_rows=100)):
+        split, plain = skew.split_join(left, right, ["k"], how, known), left.join(right, ["k"], how)
+        assert split.columns == plain.columns
+        assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_hot_keys_of_updates_and_parents_are_split(spark):
+    df = spark.range(9000).repartition(6).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id", F.lit(0).alias("v"))
+    updates = spark.createDataFrame([(1, 5), (7, 6)], "k int, v int")
+    plain = df.join(updates.withColumnRenamed("v", "n"), "k", "left").select("k", "id", F.coalesce("n", "v").alias("v"))
+    split = joins.update_from(df, updates, ["k"], ["v"], min_hot_rows=500)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
+    hot = skew.hot_keys(df, ["k"], min_rows=500)
+    totals = {"n": F.sum("v")}
+    child = updates.unionByName(updates)
+    assert sorted(map(str, joins.with_child_totals(df, child, ["k"], totals, hot).collect())) == sorted(
+        map(str, joins.with_child_totals(df, child, ["k"], totals, []).collect()))
+
+
 def test_split_join_refuses_joins_that_keep_the_right_side(skewed):
     with pytest.raises(ValueError):
         skew.split_join(skewed, skewed, ["k"], "full", [])

@@ -115,15 +115,29 @@ def load_increment(
     ``keys`` and watermark value) are left out instead. A source without the
     watermark column falls back to ``partition_ts``.
     """
-    run_ts = run_ts or datetime.now(timezone.utc)
+    if lookback and not keys:
+        raise ValueError("a load that looks back needs the keys that tell rows apart")
     mark_column = mark_column if mark_column in df.columns else partition_ts
     at = position(wh, name)
     start = at.watermark - lookback if lookback else at.watermark
-    rows = new_rows(df, mark_column, start).withColumn("_part_ts", F.col(partition_ts).cast("timestamp_ntz"))
+    rows = new_rows(df, mark_column, start)
     if lookback and at.batch_id:
         rows = absent_rows(rows, new_rows(wh.table(name), mark_column, start), [*keys, mark_column])
+    return load_batch(wh, rows, name, mark_column, partition_ts, at.batch_id + 1, run_ts)
+
+
+def load_batch(
+    wh: Warehouse, rows: DataFrame, name: str, mark_column: str, partition_ts: str, batch_id: int, run_ts: datetime | None = None,
+) -> Load:
+    """Append ``rows`` as batch ``batch_id``, whatever their watermark. A batch that
+    the ledger already names is not loaded again."""
+    at = position(wh, name)
+    if batch_id <= at.batch_id:
+        return Load(None, 0, at.watermark)
+    mark_column = mark_column if mark_column in rows.columns else partition_ts
+    rows = rows.withColumn("_part_ts", F.col(partition_ts).cast("timestamp_ntz"))
     spec = "months(_part_ts)"
-    folder = append_batch(wh, rows, name, at.batch_id + 1, spec)
+    folder = append_batch(wh, rows, name, batch_id, spec)
 
     # count and maximum come from the files just written: the source may have
     # gained rows since, and they must not move the watermark
@@ -133,7 +147,7 @@ def load_increment(
         if not wh.exists(name):
             publish_empty(wh, name, with_partitions(rows, spec)[0].withColumn("batch_id", F.lit(0)))
         return Load(None, 0, at.watermark)
-    mark = max(at.watermark, loaded["mark"])
-    _commit(wh, name, at.batch_id + 1, loaded["n"], mark, run_ts)
-    publish(wh, name, wh.location(name), f"batch_id <= {at.batch_id + 1}")
-    return Load(at.batch_id + 1, loaded["n"], mark)
+    mark = max(at.watermark, loaded["mark"] or at.watermark)
+    _commit(wh, name, batch_id, loaded["n"], mark, run_ts or datetime.now(timezone.utc))
+    publish(wh, name, wh.location(name), f"batch_id <= {batch_id}")
+    return Load(batch_id, loaded["n"], mark)

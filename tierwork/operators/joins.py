@@ -11,17 +11,22 @@ from .windows import dedupe
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str, default) -> DataFrame:
     """Left join to a lookup table; a miss gets ``default``. The lookup is made
     unique by key first, so the join cannot multiply rows."""
-    raw = table.select(key, value).filter(F.col(key).isNotNull())
-    joined = skew.sized_join(df, dedupe(raw, [key]), [key], "left", measured=raw)
+    unique = dedupe(table.select(key, value).filter(F.col(key).isNotNull()), [key])
+    joined = skew.sized_join(df, unique, [key], "left")
     rest = [c for c in df.columns if c != key]
     return joined.select(key, *rest, F.coalesce(F.col(value), F.lit(default)).alias(value))
 
 
-def with_child_totals(parent: DataFrame, child: DataFrame, keys: list[str], totals: dict[str, Column]) -> DataFrame:
+def with_child_totals(
+    parent: DataFrame, child: DataFrame, keys: list[str], totals: dict[str, Column], hot: list[skew.HotKey] | None = None,
+) -> DataFrame:
     """Left join a parent with its pre-aggregated child. The aggregation combines
-    on the map side and its partitioning is reused by the join."""
+    on the map side and its partitioning is reused by the join, unless keys that
+    the parent repeats have to be split. They are measured on the parent unless
+    given; an empty list says that it is unique by key."""
     summary = child.groupBy(*keys).agg(*[expr.alias(name) for name, expr in totals.items()])
-    return parent.join(summary, keys, "left")
+    hot = skew.hot_keys(parent, keys, other=summary) if hot is None else hot
+    return skew.split_join(parent, summary, keys, "left", hot)
 
 
 def with_group_total(
@@ -34,7 +39,7 @@ def with_group_total(
     are not the rows to keep."""
     source = df if over is None else over
     totals = source.groupBy(*keys).agg(total.alias(name))
-    joined = skew.split_join(df, totals, keys, "left", skew.hot_keys(source, keys, min_hot_rows))
+    joined = skew.split_join(df, totals, keys, "left", skew.hot_keys(source, keys, min_hot_rows, df))
     return joined.select(*df.columns, name)
 
 
@@ -46,7 +51,7 @@ def attach_key(fact: DataFrame, dim: DataFrame, natural: str, surrogate: str) ->
 def keep_known(df: DataFrame, valid: DataFrame, keys: list[str], hot: list[skew.HotKey] | None = None) -> DataFrame:
     """Keep rows whose key occurs in ``valid`` (semi join), hot keys split. They
     are measured on ``df`` unless given; an empty list skips the measurement."""
-    hot = skew.hot_keys(df, keys) if hot is None else hot
+    hot = skew.hot_keys(df, keys, other=valid) if hot is None else hot
     return skew.split_join(df, valid.select(*keys), keys, "left_semi", hot)
 
 
@@ -63,11 +68,13 @@ def orphan_counts(child: DataFrame, child_key: str, parent: DataFrame, parent_ke
     return missing.select(F.col("_child").alias(child_key), "orphan_rows")
 
 
-def update_from(target: DataFrame, updates: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def update_from(
+    target: DataFrame, updates: DataFrame, keys: list[str], columns: list[str], min_hot_rows: int = skew.MIN_HOT_ROWS,
+) -> DataFrame:
     """UPDATE ... FROM: overwrite ``columns`` where the key matches, also with
     NULL; other rows stay as they are. ``updates`` must be unique by key."""
     fresh = updates.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns])
-    joined = target.join(fresh, keys, "left")
+    joined = skew.split_join(target, fresh, keys, "left", skew.hot_keys(target, keys, min_hot_rows, fresh))
     return joined.select(*[
         F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
         for c in target.columns

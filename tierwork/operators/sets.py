@@ -23,12 +23,12 @@ def stacked(reports: dict[str, DataFrame], label: str) -> DataFrame:
 def absent_rows(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows, one per key, whose key does not exist yet.
 
-    The existing side is reduced to the keys that occur in the batch first: a
-    small batch is broadcast by Spark at run time and the big table is then read
-    (key columns only) without being shuffled.
+    The existing side is reduced to its distinct keys where they are read, before
+    any of them moves; a hot key sends one row per task.
     """
     fresh = dedupe(incoming, keys)
-    taken = existing.select(*keys).join(incoming.select(*keys), keys, "left_semi").distinct()
+    # both sides are unique by key when they meet, so a hot key is one row of each
+    taken = existing.select(*keys).distinct()
     return fresh.join(taken, keys, "left_anti").select(*incoming.columns)
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 # A key is split when it holds more than 1/SPLIT_SHARE of the rows, so there can
@@ -49,16 +49,31 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return fixed + (measured or 0) <= max_bytes
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = MIN_HOT_ROWS) -> list[HotKey]:
+def common_types(left: DataFrame, right: DataFrame, keys: list[str]) -> dict[str, str]:
+    """The type in which a join compares each key; no job is run."""
+    typed = left.sparkSession.range(0).select(*[
+        F.coalesce(F.lit(None).cast(left.schema[k].dataType), F.lit(None).cast(right.schema[k].dataType)).alias(k) for k in keys])
+    return dict(typed.dtypes)
+
+
+def key_hash(keys: list[str], types: dict[str, str]) -> Column:
+    """Hash of the key in the compared types; equal keys have equal hashes, also
+    INT 1 and BIGINT 1, or -0.0 and 0.0."""
+    parts = [F.col(k).cast(types[k]) for k in keys]
+    return F.xxhash64(*[p + F.lit(0.0).cast(types[k]) if types[k] in ("float", "double") else p for k, p in zip(keys, parts)])
+
+
+def hot_keys(df: DataFrame, keys: list[str], min_rows: int = MIN_HOT_ROWS, other: DataFrame | None = None) -> list[HotKey]:
     """Keys that hold more than 1/SPLIT_SHARE of the rows, found with a mergeable
     frequent-items sketch: one pass over the key columns and no shuffle of keys.
+    ``other`` is the side that ``df`` is joined with, if its key types may differ.
 
     The list only steers balance. A missed or a surplus key, or two keys that
     share a hash, cannot change a join result.
     """
-    key_hash = F.xxhash64(*keys)
+    types = common_types(df, df if other is None else other, keys)
     found = (
-        df.select(key_hash.alias("key_hash"))
+        df.select(key_hash(keys, types).alias("key_hash"))
         .agg(
             F.count("*").alias("total"),
             F.expr(f"approx_top_k(key_hash, {SPLIT_SHARE}, {SKETCH_ITEMS})").alias("items"),
@@ -80,17 +95,19 @@ def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot
     after a task is retried and also separates rows that are exact copies. The
     right rows of a hot key are repeated once per part, so every left row still
     meets all its partners exactly once; hence only joins that keep the left
-    side's grain are accepted.
+    side's grain are accepted. Both sides hash the key in the type the join
+    compares, so keys of different types are repeated alike.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot split a {how} join")
     if not hot:
         return left.join(right, keys, how)
     spark = left.sparkSession
+    types = common_types(left, right, keys)
     parts = F.broadcast(spark.createDataFrame([(h.key_hash, h.parts) for h in hot], "_key_hash bigint, _parts int"))
 
     def with_parts(df: DataFrame) -> DataFrame:
-        return df.withColumn("_key_hash", F.xxhash64(*keys)).join(parts, "_key_hash", "left").drop("_key_hash")
+        return df.withColumn("_key_hash", key_hash(keys, types)).join(parts, "_key_hash", "left").drop("_key_hash")
 
     spread = with_parts(left).withColumn(
         "_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.spark_partition_id(), F.col("_parts")))
@@ -110,4 +127,4 @@ def sized_join(
     ``measured`` names a cheaper frame that is at least as large as ``right``."""
     if fits_broadcast(right if measured is None else measured):
         return left.join(F.broadcast(right), keys, how)
-    return split_join(left, right, keys, how, hot_keys(left, keys, min_rows))
+    return split_join(left, right, keys, how, hot_keys(left, keys, min_rows, right))

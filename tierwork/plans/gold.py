@@ -67,7 +67,7 @@ def _total(column: str) -> Column:
 def fact_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
     """One row per order; items are aggregated before the join."""
     totals = {"total_items": F.count("*"), "total_revenue": _total("price"), "freight_total": _total("freight_value")}
-    joined = with_child_totals(orders, items, ["order_id"], totals)
+    joined = with_child_totals(orders, items, ["order_id"], totals, hot=[])
     bought, arrived = "order_purchase_timestamp", "order_delivered_customer_date"
     return joined.select(
         "order_id", "customer_id", "order_status",

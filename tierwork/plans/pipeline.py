@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.incremental import LEDGER, load_increment, loaded_rows, publish_watermarks
 from ..operators.quality import gate
 from ..schema import CALENDAR_RANGE, INCREMENTAL, PARTITIONED_BY, PURCHASE_WINDOW, SOURCE_COLUMNS
-from ..sinks.tables import VERSIONS, Version, Warehouse, log_rows, publish, recorded_rows, replace_tables
+from ..sinks.tables import VERSIONS, Version, Warehouse, columns_of, log_rows, publish, recorded_rows, replace_tables
 from ..sources.files import read_csv, total_rows, with_provenance
 from ..sources.jdbc import JdbcSource, Slices, read_table
 from . import gold, marts, silver, suites
@@ -59,9 +59,10 @@ def attach(wh: Warehouse) -> list[str]:
         log(name)
     found = []
     if versions is not None:
-        latest = versions.groupBy("table_name").agg(F.max_by("location", "committed_at").alias("location"))
+        latest = versions.groupBy("table_name").agg(*[
+            F.max_by(c, "committed_at").alias(c) for c in ("location", "columns") if c in versions.columns])
         for row in latest.collect():
-            publish(wh, row["table_name"], row["location"])
+            publish(wh, row["table_name"], row["location"], columns=columns_of(row))
             found.append(row["table_name"])
     if ledger is not None:
         for row in ledger.groupBy("table_name").agg(F.max("batch_id").alias("batch")).collect():

@@ -179,22 +179,6 @@ def rewrite_guard(t: Tables) -> DataFrame:
         F.lit("silver.parts").alias("table_name"), "*")
 
 
-@query("""
-    SELECT table_name, row_count, 'ok' AS status FROM (
-        SELECT 'silver.orders' AS table_name, count(*) AS row_count FROM orders)
-    UNION ALL SELECT 'silver.parts', count(*), 'move' FROM part""")
-def rewrite_plan(t: Tables) -> DataFrame:
-    """Dry run: one table lies where it belongs, the other does not."""
-    wh = t.warehouse("plan")
-    for name, df in (("silver.orders", t.orders), ("silver.parts", t.part)):
-        tables.replace_table(wh, df, name)
-    names = ["silver.orders", "silver.parts"]
-    plan = rewrite.rewrite_plan(
-        wh, {n: wh.table(n) for n in names},
-        {"silver.orders": wh.location("silver.orders"), "silver.parts": f"{wh.root}/elsewhere/parts"})
-    return plan.select("table_name", "row_count", "status")
-
-
 @query("""
     SELECT layer, job_name, status, rows_in, rows_out, error_msg FROM (
         SELECT 'bronze' AS layer, 'copy_lines' AS job_name, 'success' AS status, count(*) AS rows_in, count(*) AS rows_out,

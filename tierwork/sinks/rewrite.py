@@ -2,61 +2,28 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from .tables import Warehouse, publish, write_files
-
-PLAN_COLUMNS = ["table_name", "current_location", "target_location", "row_count", "status"]
+from .tables import Warehouse, publish, record_version, with_partitions, write_files
 
 
 class RewriteError(RuntimeError):
     """The rewritten table does not hold the rows of the original."""
 
 
-def current_folder(df: DataFrame) -> str:
-    """Longest common folder of a table's files ('' for a table without files)."""
-    files = sorted(df.inputFiles())
-    if not files:
-        return ""
-    first, last = files[0].split("/"), files[-1].split("/")
-    same = next((i for i, (a, b) in enumerate(zip(first, last)) if a != b), len(first))
-    folder = first[: min(same, len(first) - 1)]
-    while folder and "=" in folder[-1] and not folder[-1].startswith("version="):
-        folder.pop()
-    return "/".join(folder)
-
-
-def plain(path: str) -> str:
-    """A path without scheme and trailing slash, for comparison."""
-    path = path.rstrip("/")
-    return "/" + path.split(":", 1)[1].lstrip("/") if ":/" in path else path
-
-
-def rewrite_plan(wh: Warehouse, tables: dict[str, DataFrame], targets: dict[str, str]) -> DataFrame:
-    """Dry run: what would move where, and how many rows it holds."""
-    def one(name: str, df: DataFrame) -> DataFrame:
-        here, there = current_folder(df), targets[name]
-        status = "ok" if plain(here).startswith(plain(there)) else "move"
-        return df.agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("table_name"), F.lit(here).alias("current_location"),
-            F.lit(there).alias("target_location"), "row_count", F.lit(status).alias("status"),
-        )
-
-    return reduce(DataFrame.unionByName, [one(n, tables[n]) for n in sorted(tables)])
-
-
 def rewrite_table(wh: Warehouse, name: str | None, df: DataFrame, target: str, partitioned_by: str = "") -> tuple[int, int]:
-    """Write ``df`` to ``target``, compare row counts, and only then publish it
-    as ``name`` and compare again. The original files are left in place."""
+    """Write ``df`` to ``target``, compare row counts, and only then record it as a
+    version of ``name`` and publish it. The original files are left in place."""
     before = df.count()
-    write_files(df, target, partitioned_by)
-    written = wh.spark.read.parquet(target).count()
+    written = write_files(df, target, partitioned_by)
     if written != before:
         raise RewriteError(f"{name or target}: {before} rows became {written}; nothing was published")
     if name is not None:
-        publish(wh, name, target)
+        columns = with_partitions(df, partitioned_by)[0].schema
+        record_version(wh, {name: (uuid.uuid4().hex, target, written, columns)}, "rewrite")
+        publish(wh, name, target, columns=columns)
         published = wh.table(name).count()
         if published != before:
             raise RewriteError(f"{name}: {before} rows, but {published} after publishing")

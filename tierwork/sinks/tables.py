@@ -10,6 +10,7 @@ same calls use ``DataFrameWriterV2``.
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 import uuid
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.sets import upsert
 from ..schema import CONSTANT_PER_LOAD, LAYERS
@@ -25,8 +27,9 @@ from ..sources.files import inline_rows
 
 VERSIONS = "meta.table_versions"
 VERSIONS_SCHEMA = (
-    "table_name string, version string, operation string, location string, row_count bigint, committed_at timestamp"
+    "table_name string, version string, operation string, location string, row_count bigint, committed_at timestamp, columns string"
 )
+INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 LOG = logging.getLogger(__name__)
 
@@ -121,10 +124,35 @@ def write_files(df: DataFrame, path: str, spec: str = "", mode: str = "errorifex
     return counted.get["n"]
 
 
-def publish(wh: Warehouse, name: str, path: str, condition: str = "") -> None:
-    """Point ``layer.table`` at a folder, optionally at part of its rows."""
+def publish(wh: Warehouse, name: str, path: str, condition: str = "", columns: StructType | None = None) -> None:
+    """Point ``layer.table`` at a folder, optionally at part of its rows.
+
+    ``columns`` are those of the written frame. They keep partition values as they
+    were: folder names are read as text, also by later readers of the view, which
+    remembers the setting, and cast to the written type; '007' stays '007'."""
     where = f" WHERE {condition}" if condition else ""
-    wh.spark.sql(f"CREATE OR REPLACE VIEW {wh.catalog_name(name)} AS SELECT * FROM parquet.`{path}`{where}")
+    chosen = "*" if columns is None else ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns.fields)
+    statement = f"CREATE OR REPLACE VIEW {wh.catalog_name(name)} AS SELECT {chosen} FROM parquet.`{path}`{where}"
+    before = wh.spark.conf.get(INFERENCE)
+    try:
+        if columns is not None:
+            wh.spark.conf.set(INFERENCE, "false")
+        wh.spark.sql(statement)
+    finally:
+        wh.spark.conf.set(INFERENCE, before)
+
+
+def record_version(wh: Warehouse, written: dict[str, tuple[str, str, int, StructType]], operation: str = "replace") -> None:
+    """Append (version, folder, rows, columns) of each table to the version log."""
+    now = datetime.now(timezone.utc)
+    entries = [(name, version, operation, path, rows, now, columns.json()) for name, (version, path, rows, columns) in written.items()]
+    append_rows(wh, inline_rows(wh.spark, entries, VERSIONS_SCHEMA), VERSIONS)
+
+
+def columns_of(row) -> StructType | None:
+    """The columns a version was written with; logs of before have none."""
+    text = row.asDict().get("columns")
+    return StructType.fromJson(json.loads(text)) if text else None
 
 
 def publish_empty(wh: Warehouse, name: str, df: DataFrame) -> None:
@@ -166,11 +194,10 @@ def replace_tables(wh: Warehouse, built: dict[str, DataFrame], partitioned_by: d
     with ThreadPoolExecutor(at_once) as pool:
         rows = dict(zip(built, pool.map(write, built)))
     if wh.table_format == "parquet":
-        now = datetime.now(timezone.utc)
-        entries = [(name, ids[name], "replace", paths[name], rows[name], now) for name in built]
-        append_rows(wh, inline_rows(wh.spark, entries, VERSIONS_SCHEMA), VERSIONS)
+        columns = {name: with_partitions(df, specs.get(name, ""))[0].schema for name, df in built.items()}
+        record_version(wh, {name: (ids[name], paths[name], rows[name], columns[name]) for name in built})
         for name in built:
-            publish(wh, name, paths[name])
+            publish(wh, name, paths[name], columns=columns[name])
     return {name: Version(ids[name], rows[name]) for name in built}
 
 
@@ -201,7 +228,9 @@ def read_version(wh: Warehouse, name: str, version: str | None = None, moment: d
     last = found.orderBy(F.desc("committed_at")).first()
     if last is None:
         raise LookupError(f"{name} has no version {version or moment}")
-    return wh.spark.read.parquet(last["location"])
+    columns = columns_of(last)
+    rows = wh.spark.read.parquet(last["location"]) if columns is None else wh.spark.read.schema(columns).parquet(last["location"])
+    return rows if columns is None else rows.select(columns.names)
 
 
 def append_batch(wh: Warehouse, df: DataFrame, name: str, batch_id: int, partitioned_by: str = "") -> str:
@@ -242,7 +271,7 @@ def log_rows(wh: Warehouse, df: DataFrame, name: str, report=LOG.warning) -> boo
 
 
 def sql_literal(value) -> str:
-    return f"'{quoted(str(value))}'"
+    return "NULL" if value is None else f"'{quoted(str(value))}'"
 
 
 def upsert_partitions(wh: Warehouse, incoming: DataFrame, name: str, keys: list[str], partition: str) -> list:
@@ -252,14 +281,21 @@ def upsert_partitions(wh: Warehouse, incoming: DataFrame, name: str, keys: list[
 
     Merged partitions go to a fresh folder; afterwards each partition of the
     table is pointed at its new files. Files in use are never overwritten, so a
-    failed run loses nothing and a rerun ends in the same state.
+    failed run loses nothing and a rerun ends in the same state. Folders are
+    numbered, so any value can be stored, NULL as well; an empty text can't, and
+    is refused. The rows that readers find are counted against those written.
     """
+    if wh.table_format != "parquet":
+        raise ValueError("partitions are upserted in Parquet tables; use MERGE where the catalog has a table format")
     spark = wh.spark
     # one value per table partition, not per row
     touched = [r[0] for r in incoming.select(partition).distinct().orderBy(partition).collect()]
+    if "" in touched:
+        raise ValueError(f"{partition} holds an empty text, which names no partition")
+    slots = inline_rows(spark, list(enumerate(touched)), f"_slot int, _value {incoming.schema[partition].dataType.simpleString()}")
     if wh.exists(name):
         current = wh.table(name)
-        affected = current.filter(F.col(partition).isin(*touched))
+        affected = current.join(F.broadcast(slots), F.col(partition).eqNullSafe(F.col("_value")), "left_semi")
         merged = upsert(affected, incoming.select(*current.columns), keys)
     else:
         merged = incoming
@@ -268,12 +304,16 @@ def upsert_partitions(wh: Warehouse, incoming: DataFrame, name: str, keys: list[
             f"CREATE TABLE {wh.catalog_name(name)} ({columns}) USING parquet PARTITIONED BY (`{partition}`) "
             f"LOCATION '{quoted(wh.location(name))}'"
         )
-    folder = f"{wh.location(name)}/merge={uuid.uuid4().hex}"
-    merged.hint("rebalance", partition).write.partitionBy(partition).parquet(folder)
-    for value in touched:
+    folder, written = f"{wh.location(name)}/merge={uuid.uuid4().hex}", Observation()
+    placed = merged.join(F.broadcast(slots), F.col(partition).eqNullSafe(F.col("_value"))).drop(partition, "_value")
+    placed.hint("rebalance", "_slot").observe(written, F.count(F.lit(1)).alias("n")).write.partitionBy("_slot").parquet(folder)
+    for slot, value in enumerate(touched):
         where = f"PARTITION (`{partition}`={sql_literal(value)})"
-        files = f"LOCATION '{quoted(folder)}/{partition}={quoted(str(value))}'"
+        files = f"LOCATION '{quoted(folder)}/_slot={slot}'"
         spark.sql(f"ALTER TABLE {wh.catalog_name(name)} ADD IF NOT EXISTS {where} {files}")
         spark.sql(f"ALTER TABLE {wh.catalog_name(name)} {where} SET {files}")
     spark.catalog.refreshTable(wh.catalog_name(name))
+    found = wh.table(name).join(F.broadcast(slots), F.col(partition).eqNullSafe(F.col("_value")), "left_semi").count()
+    if found != written.get["n"]:
+        raise RuntimeError(f"{name}: {written.get['n']} rows were written, {found} are found")
     return touched

@@ -1,9 +1,10 @@
-"""The incremental load driven by arriving files.
+"""Batches driven by arriving files.
 
-Structured Streaming remembers which files were read; each micro-batch goes
-through the same watermark load as a scheduled run. If a micro-batch is repeated
-after a failure, its rows are no longer newer than the watermark, so nothing is
-loaded twice.
+Structured Streaming remembers which files were read and numbers its
+micro-batches; each becomes the table's batch of that number. What is loaded does
+not depend on how many files one micro-batch holds, nor on the order in which
+they arrive, and a micro-batch that is repeated after a failure is not loaded
+twice. A table is fed either so or by watermark loads.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from ..operators.incremental import load_increment
+from ..operators.incremental import load_batch
 from ..sinks.tables import Warehouse
 
 
@@ -19,18 +20,15 @@ def follow_folder(
     wh: Warehouse, folder: str, schema: StructType | str, name: str, mark_column: str, partition_ts: str,
     file_format: str = "parquet", files_per_batch: int = 1000,
 ) -> None:
-    """Load every file that has arrived since the last call, then return.
-
-    Files must arrive in watermark order, as with any high-watermark load. The
-    query's progress is kept beside the warehouse.
-    """
+    """Load every file that has arrived since the last call, then return. The
+    query's progress is kept beside the warehouse."""
     arriving = (
         wh.spark.readStream.format(file_format).schema(schema)
         .option("maxFilesPerTrigger", files_per_batch).option("latestFirst", False).load(folder)
     )
 
-    def load(batch: DataFrame, _epoch: int) -> None:
-        load_increment(wh, batch, name, mark_column, partition_ts)
+    def load(batch: DataFrame, epoch: int) -> None:
+        load_batch(wh, batch, name, mark_column, partition_ts, epoch + 1)
 
     query = (
         arriving.writeStream.foreachBatch(load)
