@@ -9,11 +9,13 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+from datetime import timedelta
 
 from .plans import pipeline
+from .schema import CALENDAR_RANGE
 from .session import build_session
 from .sinks.tables import Warehouse
-from .sources.jdbc import JdbcSource
+from .sources.jdbc import JdbcSource, column_slices
 
 STEPS = {"silver": pipeline.build_silver, "gold": pipeline.build_gold, "platinum": pipeline.build_platinum}
 
@@ -33,6 +35,10 @@ def arguments() -> argparse.ArgumentParser:
             source.add_argument("--jdbc", help="JSON with url, driver, schema, properties")
             command.add_argument("--files", type=json.loads, default={}, help="JSON: table -> CSV file name")
             command.add_argument("--multiline", action="store_true", help="quoted CSV values hold line breaks")
+            command.add_argument("--slices", type=json.loads, default={}, help="JSON: table -> [column, connections], for --jdbc")
+            command.add_argument("--lookback", type=float, default=0, help="days before the watermark in which late rows are looked for")
+        if name in ("run", "build"):
+            command.add_argument("--calendar", nargs=2, metavar=("FIRST", "LAST"), default=CALENDAR_RANGE, help="days of the date dimension")
         if name == "build":
             command.add_argument("layer", choices=sorted(STEPS))
         if name == "validate":
@@ -52,10 +58,16 @@ def main(argv: list[str] | None = None) -> None:
         if args.csv:
             read = pipeline.csv_reader(spark, args.csv, args.files, multiLine=args.multiline)
         else:
-            read = pipeline.jdbc_reader(spark, JdbcSource(**json.loads(args.jdbc)))
-        {"run": pipeline.run_all, "ingest": pipeline.ingest_bronze}[args.command](wh, read)
+            source = JdbcSource(**json.loads(args.jdbc))
+            cuts = {table: column_slices(spark, source, table, *cut) for table, cut in args.slices.items()}
+            read = pipeline.jdbc_reader(spark, source, cuts)
+        lookback = timedelta(days=args.lookback) if args.lookback else None
+        if args.command == "run":
+            pipeline.run_all(wh, read, calendar=tuple(args.calendar), lookback=lookback)
+        else:
+            pipeline.ingest_bronze(wh, read, lookback=lookback)
     elif args.command == "build":
-        STEPS[args.layer](wh)
+        STEPS[args.layer](wh, *([tuple(args.calendar)] if args.layer == "gold" else []))
     else:
         pipeline.validate(wh, args.layer)
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.incremental import LEDGER, load_increment, loaded_rows, publish_watermarks
 from ..operators.quality import gate
-from ..schema import CALENDAR_RANGE, INCREMENTAL, PARTITIONED_BY, PURCHASE_WINDOW, SOURCE_COLUMNS
+from ..schema import CALENDAR_RANGE, INCREMENTAL, PARTITIONED_BY, PURCHASE_WINDOW, SOURCE_COLUMNS, TABLE_KEYS
 from ..sinks.tables import VERSIONS, Version, Warehouse, columns_of, log_rows, publish, recorded_rows, replace_tables
 from ..sources.files import read_csv, total_rows, with_provenance
 from ..sources.jdbc import JdbcSource, Slices, read_table
@@ -83,17 +83,23 @@ def _written(versions: dict[str, Version]) -> int:
     return sum(v.row_count for v in versions.values())
 
 
-def ingest_bronze(wh: Warehouse, read: Reader, tables=tuple(SOURCE_COLUMNS), run_ts: datetime | None = None) -> None:
+def ingest_bronze(
+    wh: Warehouse, read: Reader, tables=tuple(SOURCE_COLUMNS), run_ts: datetime | None = None, lookback: timedelta | None = None,
+) -> None:
     """Load every source table: incrementally where a watermark is defined, as a
-    whole otherwise."""
+    whole otherwise. The job's row counts are the rows it took in, of an
+    incremental table the new ones, and the rows it wrote. ``lookback`` also finds
+    late rows of incremental tables, told apart by their keys."""
     with job_run(wh, "bronze", "bronze_ingest") as run:
         sources = {t: with_provenance(read(t), t, run_ts) for t in tables}
-        for table in [t for t in tables if t in INCREMENTAL]:
-            load_increment(wh, sources.pop(table), f"bronze.{table}", *INCREMENTAL[table], run_ts=run_ts)
-        replace_tables(
+        loads = [
+            load_increment(wh, sources.pop(table), f"bronze.{table}", *INCREMENTAL[table], lookback=lookback, keys=TABLE_KEYS[table], run_ts=run_ts)
+            for table in [t for t in tables if t in INCREMENTAL]]
+        new = sum(load.row_count for load in loads)
+        versions = replace_tables(
             wh, {f"bronze.{t}": run.watch(df, "rows_in") for t, df in sources.items()},
             {f"bronze.{t}": spec for t, spec in PARTITIONED_BY.items()})
-        run.rows_out = _rows(wh, [f"bronze.{t}" for t in tables])  # the whole history, not only this load
+        run.rows_in, run.rows_out = new, new + _written(versions)
 
 
 def build_silver(wh: Warehouse) -> None:
@@ -163,11 +169,12 @@ def validate(wh: Warehouse, layer: str, window: tuple[str, str] = PURCHASE_WINDO
 
 def run_all(
     wh: Warehouse, read: Reader, run_ts: datetime | None = None, calendar: tuple[str, str] = CALENDAR_RANGE,
+    lookback: timedelta | None = None,
 ) -> None:
     """One full run with the gates between the layers. ``calendar`` gives the
     first and last day of the date dimension and of valid purchase times."""
     wh.bootstrap()
-    ingest_bronze(wh, read, run_ts=run_ts)
+    ingest_bronze(wh, read, run_ts=run_ts, lookback=lookback)
     validate(wh, "bronze")
     build_silver(wh)
     validate(wh, "silver", calendar)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import clean_text
@@ -16,12 +18,20 @@ from .roles import with_ctes
 @query("""
     SELECT 'orders' AS table_name, count(*) AS row_count, CAST(NULL AS BIGINT) AS distinct_keys,
            min(o_orderdate) AS first_ts, max(o_orderdate) AS last_ts FROM orders
-    UNION ALL SELECT 'lineitem', count(*), NULL, NULL, NULL FROM lineitem
-    UNION ALL SELECT 'part', count(*), NULL, NULL, NULL FROM part
-    UNION ALL SELECT 'events', count(*), count(DISTINCT user_id), min(ts), max(ts) FROM events""")
+    UNION ALL SELECT 'order_items', count(*), NULL, NULL, NULL FROM lineitem
+    UNION ALL SELECT 'customers', count(*), count(DISTINCT c_custkey // 2), NULL, NULL FROM customer
+    UNION ALL SELECT 'products', count(*), NULL, NULL, NULL FROM part
+    UNION ALL SELECT 'sellers', count(*), NULL, NULL, NULL FROM supplier
+    UNION ALL SELECT 'order_payments', count(*), NULL, NULL, NULL FROM lineitem
+    UNION ALL SELECT 'order_reviews', count(*), NULL, min(ts), max(ts) FROM events
+    UNION ALL SELECT 'geolocation', count(*), NULL, NULL, NULL FROM customer
+    UNION ALL SELECT 'category_translation', count(*), NULL, NULL, NULL FROM part WHERE p_type <> 'ECONOMY'""")
 def overview(t: Tables) -> DataFrame:
-    tables = {"orders": t.orders, "lineitem": t.lineitem, "part": t.part, "events": t.events}
-    return profiles.overview(tables, {"events": "user_id"}, {"orders": "o_orderdate", "events": "ts"})
+    """All source tables, the persons behind the customers, and the time spans."""
+    tables = {name: rows(t) for name, rows in roles.SOURCES.items() if name != "orders"}
+    return profiles.overview(
+        {"orders": roles.source_orders(t), **tables}, {"customers": "customer_unique_id"},
+        {"orders": "order_purchase_timestamp", "order_reviews": "review_creation_date"})
 
 
 @query(with_ctes("""
@@ -29,12 +39,17 @@ def overview(t: Tables) -> DataFrame:
         SELECT 'orders' AS table_name, 'order_delivered_customer_date' AS column_name,
                count(*) FILTER (WHERE order_delivered_customer_date IS NULL) AS n_null, count(*) AS n FROM src_orders
         UNION ALL SELECT 'order_reviews', 'review_comment_message', count(*) FILTER (WHERE review_comment_message IS NULL), count(*)
-        FROM src_reviews)
+        FROM src_reviews
+        UNION ALL SELECT 'products', 'product_category_name', count(*) FILTER (WHERE product_category_name IS NULL), count(*) FROM src_products
+        UNION ALL SELECT 'order_items', 'price', count(*) FILTER (WHERE price IS NULL), count(*) FROM src_items
+        UNION ALL SELECT 'order_payments', 'payment_type', count(*) FILTER (WHERE payment_type IS NULL), count(*) FROM src_payments)
     SELECT table_name, column_name, n_null, CAST(round(CAST(CAST(n_null / n * 100 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS pct_null FROM counts WHERE n_null > 0""",
-    "src_orders", "src_reviews"))
+    "src_orders", "src_reviews", "src_products", "src_items", "src_payments"))
 def null_profile(t: Tables) -> DataFrame:
-    return profiles.null_profile(roles.source_orders(t), "orders").unionByName(
-        profiles.null_profile(clean_text(roles.reviews(t)), "order_reviews"))
+    """The five fact and product tables, blanks counted as missing."""
+    named = {"orders": roles.source_orders, "order_items": roles.order_items, "products": roles.products,
+             "order_reviews": roles.reviews, "order_payments": roles.payments}
+    return reduce(DataFrame.unionByName, [profiles.null_profile(clean_text(rows(t)), name) for name, rows in named.items()])
 
 
 @query(with_ctes("""
@@ -129,13 +144,20 @@ def repeat_rate(t: Tables) -> DataFrame:
     return profiles.repeat_rate(per_person, "n", ("total_cust", "repeat_cust", "repeat_rate_pct"))
 
 
-@query("""
-    SELECT 'event_id' AS key_columns, count(*) AS total_rows, count(DISTINCT event_id) AS distinct_keys,
-           count(*) - count(DISTINCT event_id) AS duplicates FROM events
-    UNION ALL SELECT 'user_id', count(*), count(DISTINCT user_id), count(*) - count(DISTINCT user_id) FROM events
-    UNION ALL SELECT 'user_id,ts', count(*), count(DISTINCT (user_id, ts)), count(*) - count(DISTINCT (user_id, ts)) FROM events""")
+def _diagnosed(columns: str, source: str) -> str:
+    return (f"SELECT '{columns.replace(' ', '')}' AS key_columns, count(*) AS total_rows, count(DISTINCT ({columns})) AS distinct_keys, "
+            f"count(*) - count(DISTINCT ({columns})) AS duplicates FROM {source}")
+
+
+@query(with_ctes("\n    UNION ALL ".join([
+    _diagnosed("event_id", "events"), _diagnosed("user_id", "events"), _diagnosed("user_id, ts", "events"),
+    _diagnosed("geolocation_zip_code_prefix", "(SELECT c_nationkey AS geolocation_zip_code_prefix FROM customer)"),
+    _diagnosed("review_id", "src_reviews"), _diagnosed("review_id, order_id", "src_reviews")]), "src_reviews"))
 def key_diagnostics(t: Tables) -> DataFrame:
-    return profiles.key_diagnostics(t.events, [["event_id"], ["user_id"], ["user_id", "ts"]])
+    return reduce(DataFrame.unionByName, [
+        profiles.key_diagnostics(t.events, [["event_id"], ["user_id"], ["user_id", "ts"]]),
+        profiles.key_diagnostics(roles.geolocation(t), [["geolocation_zip_code_prefix"]]),
+        profiles.key_diagnostics(roles.reviews(t), [["review_id"], ["review_id", "order_id"]])])
 
 
 @query(with_ctes("""

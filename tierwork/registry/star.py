@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.skew import hot_keys
 from ..plans import gold, marts, pipeline, silver
 from . import roles
-from .base import Tables, query
+from .base import SQL, Tables, query
 from .roles import table_sql, with_ctes
 
 
@@ -154,16 +155,6 @@ def mart_monthly_revenue(t: Tables) -> DataFrame:
     return marts.monthly_revenue(_fact_orders(t), gold.dim_date_for(t.orders, "o_orderdate"), orders_unique=True)
 
 
-@query(MONTHLY)
-def layered_run(t: Tables) -> DataFrame:
-    """All layers as stored tables, with their gates; the result is one mart."""
-    span = t.orders.agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
-    wh = t.warehouse("run")
-    pipeline.run_all(
-        wh, lambda table: roles.SOURCES[table](t), datetime(2024, 2, 1), calendar=(str(span[0]), str(span[1])))
-    return wh.table("platinum.mart_monthly_revenue")
-
-
 @query(with_ctes("""
     SELECT state, count(DISTINCT order_id) AS order_count,
            CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
@@ -229,3 +220,60 @@ def mart_payment_distribution(t: Tables) -> DataFrame:
     FROM per_person""", "fact_orders", "dim_customer"))
 def mart_customer_retention(t: Tables) -> DataFrame:
     return marts.customer_retention(_fact_orders(t), _dim_customer(t), orders_unique=True)
+
+
+# mart -> the whole-number column whose sum is compared
+_CHECKED = {
+    "mart_monthly_revenue": "order_count", "mart_state_performance": "order_count", "mart_category_ranking": "items_sold",
+    "mart_delivery_kpi": "total_orders", "mart_review_by_category": "review_count",
+    "mart_payment_distribution": "payment_count", "mart_customer_retention": "total_customers",
+}
+
+
+@query("\n    UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, count(*) AS n_rows, CAST(sum({column}) AS BIGINT) AS total FROM ({SQL[mart]}) AS m" for mart, column in _CHECKED.items()))
+def layered_run(t: Tables) -> DataFrame:
+    """All layers as stored tables, with their gates; one row about each mart."""
+    span = t.orders.agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+    wh = t.warehouse("run")
+    pipeline.run_all(
+        wh, lambda table: roles.SOURCES[table](t), datetime(2024, 2, 1), calendar=(str(span[0]), str(span[1])))
+    return reduce(DataFrame.unionByName, [
+        wh.table(f"platinum.{mart}").agg(F.count("*").alias("n_rows"), F.sum(column).cast("bigint").alias("total")).select(F.lit(mart).alias("mart"), "*")
+        for mart, column in _CHECKED.items()])
+
+
+def _twice(df: DataFrame) -> DataFrame:
+    """Every row twice, so that no id is unique any more."""
+    return df.unionByName(df)
+
+
+@query(SQL["mart_customer_retention"])
+def mart_retention_of_repeated_orders(t: Tables) -> DataFrame:
+    """Orders that repeat count once where the key is not known to be unique."""
+    return marts.customer_retention(_twice(_fact_orders(t)), _dim_customer(t))
+
+
+@query(with_ctes("""
+    SELECT CAST(year AS INT) AS year, month, CAST(sum(2 * CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+           count(DISTINCT order_id) AS order_count
+    FROM fact_orders JOIN dim_date ON date_id = purchase_date_id
+    WHERE order_status NOT IN ('canceled', 'unavailable') GROUP BY 1, 2""", "fact_orders", "dim_date"))
+def mart_monthly_of_repeated_orders(t: Tables) -> DataFrame:
+    return marts.monthly_revenue(_twice(_fact_orders(t)), gold.dim_date_for(t.orders, "o_orderdate"))
+
+
+@query(with_ctes("""
+    SELECT state, count(DISTINCT order_id) AS order_count,
+           CAST(sum(2 * CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+           CAST(round(CAST(CAST(avg(delivery_days) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_delivery_days
+    FROM fact_orders JOIN dim_customer USING (customer_id)
+    WHERE order_status NOT IN ('canceled', 'unavailable') GROUP BY 1""", "fact_orders", "dim_customer"))
+def mart_state_of_repeated_orders(t: Tables) -> DataFrame:
+    return marts.state_performance(_twice(_fact_orders(t)), _dim_customer(t))
+
+
+@query(SQL["mart_review_by_category"])
+def mart_review_of_repeated_reviews(t: Tables) -> DataFrame:
+    return marts.review_by_category(
+        _twice(gold.fact_reviews(silver.order_reviews(roles.reviews(t)))), gold.fact_order_items(_silver_items(t)), _dim_product(t))

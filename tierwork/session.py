@@ -30,15 +30,16 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession, default: str | None = None) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, or else ``default``,
+    a folder that all executors reach.
 
     Only a local session may fall back to a temporary folder: on a cluster the
     executors could not read it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        folder = spark.sparkContext.getCheckpointDir()
+        folder = spark.sparkContext.getCheckpointDir() or default
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")

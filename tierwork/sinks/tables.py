@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.sets import upsert
 from ..schema import CONSTANT_PER_LOAD, LAYERS
+from ..session import shared_folder
 from ..sources.files import inline_rows
 
 VERSIONS = "meta.table_versions"
@@ -86,7 +87,9 @@ class Warehouse:
         return f"{self.namespace}{name}"
 
     def bootstrap(self) -> None:
-        """Create the layer databases with their locations; idempotent."""
+        """Create the layer databases with their locations; idempotent. Jobs that
+        cut lineage do so below the warehouse unless the cluster names a folder."""
+        shared_folder(self.spark, f"{self.layer_path('meta')}/checkpoints")
         for layer in LAYERS:
             self.spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS {self.namespace}{layer} LOCATION '{quoted(self.layer_path(layer))}'")
