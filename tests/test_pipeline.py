@@ -160,6 +160,36 @@ def test_gates_and_logs(run):
     assert jobs["silver_transform"].rows_in == jobs["bronze_ingest"].rows_out
 
 
+def test_job_rows_of_a_second_load(spark, tmp_path):
+    """An incremental table counts its new rows in and out, not its history."""
+    import uuid as ids
+
+    from tierwork.plans import pipeline as jobs
+    from tierwork.sinks.tables import Warehouse as House
+
+    wh = House(spark, f"{tmp_path}/wh", namespace=f"r{ids.uuid4().hex[:10]}_")
+    wh.bootstrap()
+    def load(*days):
+        rows = spark.createDataFrame([(f"o{d}", None, None) for d in days], "order_id string, a string, b string")
+        at = F.make_timestamp_ntz(F.lit(2017), F.lit(1), F.substring("order_id", 2, 2).cast("int"), F.lit(0), F.lit(0), F.lit(0))
+        orders = rows.select("order_id", at.alias("order_purchase_timestamp"), at.alias("source_updated_at"))
+        sellers = spark.range(3).select(F.col("id").cast("string").alias("seller_id"))
+        jobs.ingest_bronze(wh, lambda table: orders if table == "orders" else sellers, tables=("orders", "sellers"))
+
+    load(1, 2, 3)
+    load(1, 2, 3, 4)
+    log = [(r.rows_in, r.rows_out) for r in wh.table("meta.job_log").orderBy("run_timestamp").collect()]
+    assert log == [(6, 6), (4, 4)] and wh.table("bronze.orders").count() == 4
+
+
+def test_command_line_options():
+    from tierwork.__main__ import arguments
+
+    args = arguments().parse_args([
+        "run", "--warehouse", "/wh", "--jdbc", "{}", "--slices", '{"orders": ["id", 8]}', "--lookback", "1.5", "--calendar", "2017-01-01", "2018-01-01"])
+    assert args.slices == {"orders": ["id", 8]} and args.lookback == 1.5 and args.calendar == ["2017-01-01", "2018-01-01"]
+
+
 def test_a_new_catalog_finds_the_tables(run):
     wh, _, _ = run
     other = Warehouse(wh.spark, wh.root, namespace=f"a{uuid.uuid4().hex[:10]}_")

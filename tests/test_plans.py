@@ -99,6 +99,18 @@ def test_small_batch_does_not_shuffle_the_table(spark, tmp_path):
     assert "BroadcastHashJoin [k" in plan(fresh)
 
 
+def test_items_move_twice_to_a_small_dimension(spark, given):
+    found = plan(QUERIES["mart_review_by_category"](Tables(spark, given)))
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)", found)
+    assert sum("category_name_english" in m and "order_id" in m for m in moved) == 1
+    assert not any("product_id" in m and "order_id" in m for m in moved)
+
+
+def test_versions_are_read_by_partition(spark, given):
+    found = plan(QUERIES["version_as_of"](Tables(spark, given)))
+    assert re.search(r"PartitionFilters: \[[^]]*batch_id", found)
+
+
 def test_half_open_month_matches_any_timestamp_type(spark):
     df = spark.sql("SELECT timestamp'2020-02-29 23:00:00' AS zoned, timestamp_ntz'2020-02-29 23:00:00' AS plain")
     assert df.select(c.in_month("zoned", "2020-02"), c.in_month("plain", "2020-02")).first() == (True, True)

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import skew
 from .windows import dedupe
 
 
@@ -23,13 +24,18 @@ def stacked(reports: dict[str, DataFrame], label: str) -> DataFrame:
 def absent_rows(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows, one per key, whose key does not exist yet.
 
-    The existing side is reduced to its distinct keys where they are read, before
-    any of them moves; a hot key sends one row per task.
+    The existing side is reduced to the keys that occur in the batch first: the
+    keys of a batch that measures small are broadcast, and the big table is then
+    read (key columns only) without being shuffled. Beyond that both sides are
+    shuffled, with the hot keys of the existing side split.
     """
     fresh = dedupe(incoming, keys)
-    # both sides are unique by key when they meet, so a hot key is one row of each
-    taken = existing.select(*keys).distinct()
-    return fresh.join(taken, keys, "left_anti").select(*incoming.columns)
+    wanted, there = incoming.select(*keys), existing.select(*keys)
+    if skew.fits_broadcast(wanted):
+        taken = there.join(F.broadcast(wanted), keys, "left_semi")
+    else:
+        taken = skew.split_join(there, wanted.distinct(), keys, "left_semi", skew.hot_keys(there, keys, other=wanted))
+    return fresh.join(taken.distinct(), keys, "left_anti").select(*incoming.columns)
 
 
 def insert_absent(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:

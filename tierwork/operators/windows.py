@@ -66,4 +66,4 @@ def ordered_surrogate(df: DataFrame, column: str, id_column: str) -> DataFrame:
     )
     # one row per slice: bounded by the number of shuffle partitions
     numbered = placed.join(F.broadcast(offsets), "_slice")
-    return numbered.select((F.col("_offset") + F.col("_at") + 1).cast("int").alias(id_column), column)
+    return numbered.select((F.col("_offset") + F.col("_at") + 1).alias(id_column), column)

@@ -57,7 +57,7 @@ def dim_date_for(df: DataFrame, ts: str) -> DataFrame:
 
 
 def dim_payment_type(payments: DataFrame) -> DataFrame:
-    return ordered_surrogate(payments, "payment_type", "payment_type_id")
+    return ordered_surrogate(payments, "payment_type", "payment_type_id").withColumn("payment_type_id", F.col("payment_type_id").cast("int"))
 
 
 def _total(column: str) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import MONEY, as_amount, exact_sum, not_in, percent, reached
 from ..operators.joins import keep_known
 from ..operators.profiles import repeat_rate
-from ..operators.skew import HotKey, hot_keys, split_join
+from ..operators.skew import HotKey, fits_broadcast, hot_keys, split_join
 from ..operators.windows import dominant_value
 from ..schema import NON_REVENUE_STATUSES
 
@@ -97,11 +97,15 @@ def delivery_kpi(fact_orders: DataFrame) -> DataFrame:
 
 
 def order_category(fact_items: DataFrame, dim_product: DataFrame, hot_products: list[HotKey] | None = None) -> DataFrame:
-    """The dominant category of each order. Items are counted per (order,
-    product) first."""
-    hot = hot_keys(fact_items, ["product_id"]) if hot_products is None else hot_products
-    counted = fact_items.groupBy("order_id", "product_id").agg(F.count("*").alias("_n"))
+    """The dominant category of each order. A dimension that measures small is
+    broadcast to the items, which then move twice: by (order, category) and by
+    order. Otherwise items are counted per (order, product) before they meet it,
+    with hot products split."""
     categories = dim_product.select("product_id", "category_name_english")
+    if hot_products is None and fits_broadcast(categories):
+        return dominant_value(fact_items.join(F.broadcast(categories), "product_id"), ["order_id"], "category_name_english")
+    hot = hot_keys(fact_items, ["product_id"], other=dim_product) if hot_products is None else hot_products
+    counted = fact_items.groupBy("order_id", "product_id").agg(F.count("*").alias("_n"))
     categorised = split_join(counted, categories, ["product_id"], "inner", hot)
     return dominant_value(categorised, ["order_id"], "category_name_english", weight="_n")
 

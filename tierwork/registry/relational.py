@@ -172,7 +172,8 @@ def group_total_back(t: Tables) -> DataFrame:
     (SELECT o_orderpriority, CAST(row_number() OVER (ORDER BY o_orderpriority) AS INT) AS priority_id
      FROM (SELECT DISTINCT o_orderpriority FROM orders)) USING (o_orderpriority)""")
 def surrogate_join(t: Tables) -> DataFrame:
-    priorities = windows.ordered_surrogate(t.orders, "o_orderpriority", "priority_id")
+    numbered = windows.ordered_surrogate(t.orders, "o_orderpriority", "priority_id")
+    priorities = numbered.withColumn("priority_id", F.col("priority_id").cast("int"))
     orders = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
     return joins.attach_key(orders, priorities, "o_orderpriority", "priority_id")
 
@@ -318,7 +319,8 @@ def dominant_value(t: Tables) -> DataFrame:
     SELECT CAST(row_number() OVER (ORDER BY l_shipdate) AS INT) AS ship_id, l_shipdate
     FROM (SELECT DISTINCT l_shipdate FROM lineitem)""")
 def ordered_surrogate(t: Tables) -> DataFrame:
-    return windows.ordered_surrogate(t.lineitem, "l_shipdate", "ship_id")
+    numbered = windows.ordered_surrogate(t.lineitem, "l_shipdate", "ship_id")
+    return numbered.withColumn("ship_id", F.col("ship_id").cast("int"))
 
 
 # ---- sorts and set operations ------------------------------------------------------

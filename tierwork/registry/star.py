@@ -200,7 +200,7 @@ def mart_delivery_kpi(t: Tables) -> DataFrame:
 def mart_review_by_category(t: Tables) -> DataFrame:
     return marts.review_by_category(
         gold.fact_reviews(silver.order_reviews(roles.reviews(t))), gold.fact_order_items(_silver_items(t)),
-        _dim_product(t), reviews_unique=True, hot_products=hot_keys(roles.order_items(t), ["product_id"]))
+        _dim_product(t), reviews_unique=True)
 
 
 @query(with_ctes("""
