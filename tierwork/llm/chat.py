@@ -26,13 +26,16 @@ up. Other columns are ignored; no turns give no windows.
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import os
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import query, table
 
@@ -147,8 +150,6 @@ def counter(vocabulary: str | None):
     """Token counts of a list of texts."""
     if vocabulary is None:
         return lambda texts: [-(-len(t.encode("utf-8", "replace")) // 4) for t in texts]
-    import base64
-
     import tiktoken
 
     with open(vocabulary, "rb") as f:
@@ -189,8 +190,6 @@ def format_windows(
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=shape)
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
     kind = to_arrow_type(rows.schema["conv_id"].dataType)
     shape = pa.schema([
         ("conv_id", kind), ("window", pa.int32()), ("text", pa.string()), ("fresh_from", pa.int64()),
@@ -238,8 +237,6 @@ def digests(windows: DataFrame) -> DataFrame:
             close()
         yield made()
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     types = [to_arrow_type(kind), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
     ordered = windows.select("conv_id", "window", "text", "fresh_from", "loss").repartition("conv_id").sortWithinPartitions("conv_id", "window")
@@ -249,8 +246,6 @@ def digests(windows: DataFrame) -> DataFrame:
 
 def vocabulary_path() -> str | None:
     """The byte-pair vocabulary of the installed public tokenizers, if there is one."""
-    import os
-
     path = "/opt/tokenizers/byte_bpe_50k.tiktoken"
     return path if os.path.exists(path) else None
 

@@ -37,11 +37,6 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
-def with_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add result columns; an input column of the same name is replaced."""
-    return df.withColumns(columns)
-
-
 def fold(doc_id: str | Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a NULL id counts as the empty text."""
     key = F.col(f"`{doc_id}`") if isinstance(doc_id, str) else doc_id
@@ -88,4 +83,4 @@ def counts_in_batches(
     return df.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-__all__ = ["QUERIES", "SQL", "about", "counts_in_batches", "fold", "fresh", "pinned", "query", "table", "with_columns"]
+__all__ = ["QUERIES", "SQL", "about", "counts_in_batches", "fold", "fresh", "pinned", "query", "table"]

@@ -295,9 +295,9 @@ def stage(spark, docs, folder):
     without words stay. Rows that repeat id and text count once."""
     found = near_duplicates(docs.select("doc_id", "text"))
     first = found.filter("class_key is not null").groupBy("class_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
-    alone = found.filter("class_key is null").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    stays = first.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")).unionByName(alone).distinct()
-    mark = fresh(docs, "hash")
+    mark, key, text_hash = fresh(docs, "mark"), fresh(docs, "key"), fresh(docs, "hash")
+    alone = found.filter("class_key is null").select(F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash))
+    stays = first.select(F.col("first.doc_id").alias(key), F.col("first.text_hash").alias(text_hash)).unionByName(alone).distinct()
     kept = docs.withColumn(mark, F.xxhash64("text")).join(
-        stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(mark) == F.col("_hash")), "left_semi")
+        stays, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(mark) == F.col(text_hash)), "left_semi")
     return kept.dropDuplicates(["doc_id", mark]).select(*docs.columns)
