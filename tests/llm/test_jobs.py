@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import DOCUMENTS, sentence
+from invented import DOCUMENTS, sentence
 from pyspark.sql import functions as F
 
 from tierwork.llm import chat, decontaminate, jaccard, language, mixing, toxicity, warc

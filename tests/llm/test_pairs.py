@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import DOCUMENTS, sentence
+from invented import DOCUMENTS, sentence
 from pyspark.sql import functions as F
 
 from tierwork.llm import decontaminate, jaccard, neighbours

@@ -6,7 +6,7 @@ import zlib
 from collections import Counter
 
 import pytest
-from conftest import sentence
+from invented import sentence
 from pyspark.sql import functions as F
 
 from tierwork.llm import language, language_model, licenses, toxicity
