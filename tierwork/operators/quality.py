@@ -18,6 +18,7 @@ from ..functions.columns import outside
 from ..sources.files import inline_rows
 from .aggregates import duplicate_surplus
 from .joins import orphan_counts
+from .skew import fits_broadcast
 
 RESULT_SCHEMA = (
     "table_name string, layer string, check_name string, passed boolean, "
@@ -134,8 +135,16 @@ def _count_pair(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def check_table(df: DataFrame, table: str, layer: str, checks: list) -> DataFrame:
-    """Results of the checks of one table (without ``run_timestamp``)."""
+    """Results of the checks of one table (without ``run_timestamp``). Foreign keys
+    whose parents measure small are counted in the scan of the row-local checks,
+    with the parents' keys broadcast; others by :func:`orphan_counts`."""
+    small = [c for c in checks if isinstance(c, ForeignKey) and fits_broadcast(c.parent.select(c.parent_key))]
+    checks = [c for c in checks if c not in small]
     local = [c for c in checks if isinstance(c, RowCheck)]
+    for i, check in enumerate(small):
+        known = check.parent.select(F.col(check.parent_key).alias(f"_key{i}")).distinct().withColumn(f"_known{i}", F.lit(True))
+        df = df.join(F.broadcast(known), F.col(check.child_key) == F.col(f"_key{i}"), "left")
+        local.append(RowCheck(check.name, violations(F.col(f"_known{i}").isNull())))
     parts = [_row_local(df, table, layer, local)] if local else []
     for check in checks:
         if isinstance(check, Unique):
