@@ -62,6 +62,16 @@ def test_toxicity_edges(edge_docs, no_docs, toxic_model):
     assert toxicity.score(no_docs, toxic_model).count() == 0
 
 
+def test_toxicity_stage_leaves_columns_alone(spark, marked, folder):
+    docs, labels = marked
+    mine = docs.withColumns({"score": F.lit("mine"), "predicted": F.col("doc_id"), "_toxicity": F.lit(1)})
+    kept = toxicity.stage(spark, mine, folder(documents=docs, labels=labels))
+    found = kept.collect()
+    assert kept.columns == mine.columns and {r["score"] for r in found} == {"mine"}
+    ids = {r["doc_id"] for r in found}
+    assert sum(i % 4 == 0 for i in ids) <= 5 and len(ids) >= 285
+
+
 def test_toxicity_without_labels(spark, edge_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.score(edge_docs, toxicity.learn_from(edge_docs, none)).collect()} == {0.0}

@@ -11,9 +11,10 @@ Two things make lengths of short windows comparable. Characters are widened: eac
 becomes three bytes that hash the character and the one before it, so literals
 cost their full length while a match costs a few bytes. And a dictionary holds
 only word beginnings that set its class apart (document frequency, z-score and
-lift on the training rows), so that text common to both classes costs the same
-in both. zstandard's own trainer picks what is frequent in both classes instead;
-it separated the given data far worse (README).
+lift on the training rows), the shortest that do, so that text common to both
+classes costs the same in both and a whole match saves more than part of one.
+zstandard's own trainer picks what is frequent in both classes instead; it
+separated the given data far worse (README).
 
 Defined cases: a NULL or empty text, or one without letters or digits, has no
 windows and gets the score of zero distances. Equal texts get equal scores.
@@ -32,16 +33,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import about, fold, query, table
+from .common import about, fold, fresh, pinned, query, table
 
 SAMPLE_PER_CLASS = 4000     # documents of each class that dictionaries are trained on
-MIN_Z, MIN_LIFT = 6.0, 4.0
+MIN_Z, RELATIVE_Z, MIN_LIFT = 6.0, 0.25, 4.0     # of a toxic fragment; its z-score also against the largest
+ORDINARY_Z, ORDINARY_LIFT = 4.0, 3.0
 MAX_FRAGMENTS = 400
 THRESHOLD = 0.3
 SHARES = (0.25, 0.35, 0.45, 0.55)
-SAVED = 14
+SAVED = 8               # bytes; part of a shortest fragment saves less
 CACHE = 400_000             # distinct words whose distance a task keeps
 _GAP = re.compile(r"[\W_]+")
 
@@ -68,14 +70,14 @@ def widen(text: str) -> np.ndarray:
 
 
 def chosen(scored: list[tuple[str, float]]) -> list[str]:
-    """Fragments by falling z-score, without those that begin like a kept one;
-    of a chain of beginnings the longest that is nearly as telling stays."""
+    """Fragments by rising z-score, without those that begin like a kept one; of a
+    chain of beginnings the shortest that is nearly as telling stays."""
     kept: list[list] = []
     for fragment, z in sorted(scored, key=lambda x: (-x[1], x[0])):
         alike = [k for k in kept if fragment.startswith(k[0]) or k[0].startswith(fragment)]
         if not alike and len(kept) < MAX_FRAGMENTS:
             kept.append([fragment, z])
-        elif len(alike) == 1 and fragment.startswith(alike[0][0]) and z >= 0.9 * alike[0][1]:
+        elif len(alike) == 1 and alike[0][0].startswith(fragment) and z >= 0.9 * alike[0][1]:
             alike[0][0] = fragment
     return [k[0] for k in reversed(kept)]
 
@@ -139,7 +141,8 @@ class Model:
     def score(self, features: np.ndarray) -> np.ndarray:
         if self.weights is None:
             return np.full(len(features), self.prior)
-        z = np.c_[np.ones(len(features)), (features - self.mean) / self.scale] @ self.weights
+        # summed row by row, so that a score does not depend on the rows beside it
+        z = self.weights[0] + ((features - self.mean) / self.scale * self.weights[1:]).sum(1)
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
@@ -181,19 +184,24 @@ def feature_column(model: Model, text: Column) -> Column:
     return of(text)
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Model:
-    """Learn from rows of text and label 0 or 1. Dictionaries and calibration use
-    about SAMPLE_PER_CLASS documents of each class, taken by a hash of the key;
-    their texts are read whole and stay on the executors."""
-    rows = labelled.filter(F.col(label).isin(0, 1)).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.col(key).alias("key"))
+def train(docs: DataFrame, marks: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Model:
+    """Learn from the texts of ``docs`` whose key ``marks`` labels 0 or 1 (one row
+    for each key). Dictionaries and calibration use about SAMPLE_PER_CLASS
+    documents of each class, taken by a hash of the key before any text is read;
+    the texts are read whole and stay on the executors."""
+    rows = marks.filter(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     total = sum(sizes.values())
     prior = sizes.get(1, 0) / total if total else 0.0
     if len(sizes) < 2:
         return Model(b"", b"", prior)
     part = {c: about(rows.filter(F.col("label") == c), F.col("key"), sizes[c], SAMPLE_PER_CLASS) for c in (0, 1)}
-    sample = part[0].unionByName(part[1])
-    n = {c: min(sizes[c], SAMPLE_PER_CLASS) for c in (0, 1)}
+    ids = F.broadcast(part[0].unionByName(part[1]))     # about twice SAMPLE_PER_CLASS rows
+    texts = docs.select(F.col(text).alias("text"), F.col(key).alias("key")).join(ids, "key")
+    sample = pinned(texts.withColumn("hash", F.xxhash64("text")).dropDuplicates(["hash", "label"]).select("text", "label"))     # copies count once
+    n = {0: 0, 1: 0} | {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    if not all(n.values()):
+        return Model(b"", b"", prior)
     a = (F.col("n1") + 0.5) / (n[1] + 1)
     b = (F.col("n0") + 0.5) / (n[0] + 1)
     pooled = (F.col("n1") + F.col("n0") + 1) / (n[1] + n[0] + 2)
@@ -204,16 +212,19 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: st
                                  F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("n0"))
         .filter(F.col("n1") + F.col("n0") >= 5).withColumn("z", (a - b) / deviation)
         .withColumn("toxic", (F.col("z") >= MIN_Z) & (a >= MIN_LIFT * b))
-        .withColumn("ordinary", F.col("z") <= -1)
+        .withColumn("ordinary", (F.col("z") <= -ORDINARY_Z) & (b >= ORDINARY_LIFT * a))
     )
+    telling = pinned(telling.filter("toxic or ordinary").select("fragment", "z", "toxic", "ordinary"))
     best = {c: [(r["fragment"], abs(r["z"])) for r in telling.filter(F.col(c)).orderBy(F.abs("z").desc(), "fragment").limit(4 * MAX_FRAGMENTS).collect()]
             for c in ("toxic", "ordinary")}
+    least = RELATIVE_Z * max((z for _, z in best["toxic"]), default=0.0)
+    best["toxic"] = [(f, z) for f, z in best["toxic"] if z >= least]
     toxic = widen("".join(f" {w}" for w in chosen(best["toxic"])) + " " * 4).tobytes()
     ordinary = widen("".join(f" {w}" for w in chosen(best["ordinary"])) + " " * 4).tobytes()[-len(toxic):]
     model = Model(toxic, ordinary.rjust(len(toxic), b"\0"), prior)
     seen = sample.select("label", feature_column(model, F.col("text")).alias("f")).collect()
     x, y = np.array([r["f"] for r in seen]), np.array([r["label"] for r in seen], float)
-    if y.min(initial=1) == y.max(initial=0):
+    if not len(y) or y.min(initial=1) == y.max(initial=0):
         return model
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
     w = logistic(np.c_[np.ones(len(x)), (x - model.mean) / model.scale], y)
@@ -223,25 +234,28 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: st
     return model
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted (1 from ``threshold`` on)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)    # two dictionaries of at most some 20 KB
+def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
+    shared = spark.sparkContext.broadcast(model)    # two dictionaries of at most some 20 KB
 
     @F.pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:
         m = shared.value
         return pd.Series(m.score(np.array([m.features(t) for t in texts]).reshape(len(texts), -1)), dtype="float64")
 
-    scored = docs.withColumn("score", of(F.col(text).cast("string")))
+    return of(text.cast("string"))
+
+
+def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with score (0 to 1) and predicted (1 from ``threshold`` on)."""
+    scored = docs.withColumn("score", score_column(docs.sparkSession, model, F.col(text)))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def learn_from(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on labelled documents outside the held-out fold. Ids that repeat in
     ``labels`` count once, with their largest label."""
-    marks = labels.filter(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", "text").filter(fold("doc_id", 4) != 2).join(marks, "doc_id")
-    return train(rows)
+    marks = labels.filter(F.col("toxic").isNotNull() & (fold("doc_id", 4) != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return train(docs, marks)
 
 
 @query()
@@ -255,5 +269,5 @@ def op6_compression_toxicity(spark, folder):
 def stage(spark, docs, folder):
     """Drop the documents predicted to be toxic."""
     model = learn_from(table(spark, folder, "documents"), table(spark, folder, "labels"))
-    kept = score(docs, model).filter(F.col("predicted") == 0)
-    return kept.select(*docs.columns)
+    mark = fresh(docs, "toxicity")
+    return docs.withColumn(mark, score_column(spark, model, F.col("text"))).filter(F.col(mark) < THRESHOLD).drop(mark)
