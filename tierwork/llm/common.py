@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -63,7 +64,7 @@ def counts_in_batches(
         def merged():
             keys = np.concatenate([k for k, _ in held])
             counts = np.concatenate([c for _, c in held])
-            unique, where = np.unique(keys, return_inverse=True)
+            where, unique = pd.factorize(keys)
             return unique, np.bincount(where, weights=counts, minlength=len(unique)).astype(np.int64)
 
         for batch in batches:

@@ -34,6 +34,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -49,9 +50,10 @@ FREQUENT = 400_000          # tokens whose exact counts are broadcast
 WEIGHT = 0.4
 SMOOTHING = 0.1
 CACHE = 500_000
+STREAM = 100_000            # tokens of texts that are looked up together
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-END = 0x5DEECE66D1A4B087    # stands for the end of a text
+END = 0x5DEECE66D1A4B086    # stands for the end of a text
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -59,7 +61,7 @@ class _Hashes(dict):
     def __missing__(self, token: str) -> int:
         if len(self) > CACHE:
             self.clear()
-        value = self[token] = xxhash.xxh3_64_intdigest(token, 7)
+        value = self[token] = xxhash.xxh3_64_intdigest(token, 7) & ~1
         return value
 
 
@@ -78,9 +80,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def bigrams(tokens: np.ndarray) -> np.ndarray:
-    """Of each token with the one before it; a text begins after an end."""
+    """Of each token with the one before it; a text begins after an end. Hashes of
+    bigrams are odd, those of tokens are even."""
     before = np.concatenate([np.array([END], np.uint64), tokens[:-1]])
-    return mixed(before * _M1 + mixed(tokens * _M3))
+    return mixed(before * _M1 + mixed(tokens * _M3)) | np.uint64(1)
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys and, for each key, its place among them."""
+    where, unique = pd.factorize(keys.view(np.int64))
+    return unique.view(np.uint64), where
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
@@ -94,13 +103,18 @@ def middle(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, np.sqrt(low * high), 0.0)
 
 
-def positions(grams: np.ndarray, level: np.ndarray | int, blocks: int) -> np.ndarray:
-    """Bits of each (n-gram, level): (rows, PROBES), within the n-gram's block."""
+def positions(grams: np.ndarray, level: np.ndarray | int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """First bit of each (n-gram, level) and the step to the next ones, which stay
+    within the n-gram's block."""
     start = ((grams >> np.uint64(40)).astype(np.int64) % blocks) * BLOCK_BITS
     h = mixed(grams + np.asarray(level, np.uint64) * _M1)
-    step = (h >> np.uint64(33)) | np.uint64(1)
-    inside = (h[:, None] + np.arange(PROBES, dtype=np.uint64) * step[:, None]) % np.uint64(BLOCK_BITS)
-    return start[:, None] + inside.astype(np.int64)
+    return start + (h & np.uint64(BLOCK_BITS - 1)).astype(np.int64), ((h >> np.uint64(33)) | np.uint64(1)).astype(np.int64)
+
+
+def further(first: np.ndarray, step: np.ndarray, probe: int) -> np.ndarray:
+    """The bit of a later probe."""
+    low = first & (BLOCK_BITS - 1)
+    return first - low + ((low + probe * step) & (BLOCK_BITS - 1))
 
 
 @dataclass
@@ -119,40 +133,54 @@ class Model:
         for level in range(1, self.deepest + 1):
             if not len(alive):
                 break
-            at = positions(grams[alive], level, self.blocks)
-            member = ((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(1)
-            alive = alive[member]
+            first, step = positions(grams[alive], level, self.blocks)
+            for probe in range(PROBES):     # most that are not members leave at the first bit
+                at = further(first, step, probe)
+                member = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                alive, first, step = alive[member], first[member], step[member]
             out[alive] = level
         return out
 
-    def log10(self, tokens: np.ndarray) -> float:
+    def log10(self, tokens: np.ndarray, unique: np.ndarray, where: np.ndarray) -> np.ndarray:
+        """Of each token of a stream of texts, each with its end as last token; so
+        what stands before the first token of a text is an end as well. ``unique``
+        and ``where`` are those of the tokens."""
         if not self.total:
-            return 0.0
-        unique, where = np.unique(tokens, return_inverse=True)
+            return np.zeros(len(tokens))
         one = middle(self.levels(mixed(unique * _M3)))[where]
         base = (one + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1))
-        pairs, at = np.unique(bigrams(tokens), return_inverse=True)
+        pairs, at = distinct(bigrams(tokens))
         two = middle(self.levels(pairs))[at]
-        before = np.concatenate([one[-1:], one[:-1]])       # the end comes before the first
+        before = np.concatenate([one[-1:], one[:-1]])       # the stream ends in an end
         known = before > 0
         estimate = np.divide(np.minimum(two, before), before, out=np.zeros(len(two)), where=known)
         weight = np.where(known, WEIGHT, 0.0)
-        return float(np.log10(weight * estimate + (1 - weight) * base).sum())
+        return np.log10(weight * estimate + (1 - weight) * base)
+
+
+def streams(texts: list, seen: _Hashes):
+    """Lists of token arrays of some texts, about STREAM tokens at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(tokens_of(text, seen))
+        size += len(held[-1])
+        if size >= STREAM:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
-def counted(docs: DataFrame, grams_of) -> DataFrame:
-    """key, n over the texts of ``docs`` (text)."""
+def counted(docs: DataFrame) -> DataFrame:
+    """key, n of the tokens (even keys) and bigrams (odd keys) over the texts of
+    ``docs`` (text)."""
     def keys_of(batch):
         seen = _Hashes()
-        held, size = [], 0
-        for value in batch.column(0).to_pylist():
-            held.append(grams_of(tokens_of(value, seen)))
-            size += len(held[-1])
-            if size > 400_000:
-                yield np.unique(np.concatenate(held), return_counts=True)
-                held, size = [], 0
-        if held:
-            yield np.unique(np.concatenate(held), return_counts=True)
+        for held in streams(batch.column(0).to_pylist(), seen):
+            tokens = np.concatenate(held)
+            for keys in (tokens, bigrams(tokens)):
+                unique, where = distinct(keys)
+                yield unique, np.bincount(where)
 
     return counts_in_batches(docs, keys_of, flush=1_500_000)
 
@@ -183,9 +211,9 @@ def _cutoff(counts: DataFrame, room: float) -> tuple[int, float, int]:
 def train(docs: DataFrame, text: str = "text", filter_mb: float = FILTER_MB) -> tuple[Model, DataFrame]:
     """The model, and the exact counts of tokens (key, n), stored."""
     source = docs.select(F.col(text).cast("string").alias("text"))
-    ones = pinned(counted(source, lambda t: t))
+    both = pinned(counted(source))
+    ones, twos = both.filter(F.col("key").bitwiseAND(F.lit(1)) == 0), both.filter(F.col("key").bitwiseAND(F.lit(1)) == 1)
     summed = ones.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
-    twos = pinned(counted(source, bigrams))
     bits = int(filter_mb * (1 << 23))
     room = FILL * bits
     one_cut, one_held, one_deep = _cutoff(ones, 0.3 * room)
@@ -223,7 +251,9 @@ def train(docs: DataFrame, text: str = "text", filter_mb: float = FILTER_MB) ->
                     current, bits_of = blocks_of[part[0]], np.zeros(BLOCK_BITS, np.uint8)
                 for level in range(1, int(top[part].max()) + 1):
                     chosen = part[top[part] >= level]
-                    bits_of[(positions(keys[chosen], level, blocks) % BLOCK_BITS).ravel()] = 1
+                    first, step = positions(keys[chosen], level, blocks)
+                    for probe in range(PROBES):
+                        bits_of[further(first, step, probe) & (BLOCK_BITS - 1)] = 1
             if len(done) >= 64:
                 yield made()
                 done = []
@@ -234,7 +264,7 @@ def train(docs: DataFrame, text: str = "text", filter_mb: float = FILTER_MB) ->
 
     rows = grams.select(block.alias("block"), "key", "n").repartition("block").sortWithinPartitions("block")
     bits_now = np.zeros(blocks * BLOCK_BITS // 8, np.uint8)
-    for r in rows.mapInArrow(fill, "block long, bits binary").toLocalIterator():
+    for r in rows.mapInArrow(fill, "block long, bits binary").collect():      # the filter, no more
         at = r["block"] * BLOCK_BITS // 8
         bits_now[at:at + BLOCK_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
     model = Model(bits_now, blocks, deepest, int(summed["total"]), summed["distinct"], {"unigrams": one_cut, "bigrams": two_cut})
@@ -258,15 +288,21 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
         seen = _Hashes()
         for batch in batches:
             total, found, base, value, rest = [], [], [], [], []
-            for t in batch.column(1).to_pylist():
-                tokens = tokens_of(t, seen)
-                at = np.minimum(np.searchsorted(known, tokens), max(len(known) - 1, 0))
-                hit = known[at] == tokens if len(known) else np.zeros(len(tokens), bool)
-                total.append(len(tokens))
-                found.append(int(hit.sum()))
-                base.append(float(np.log10((n_of[at[hit]] + SMOOTHING) / weight).sum()))
-                value.append(m.log10(tokens))
-                rest.append(tokens[~hit].view(np.int64))
+            for held in streams(batch.column(1).to_pylist(), seen):
+                sizes = np.array([len(t) for t in held])
+                starts = np.cumsum(sizes) - sizes
+                tokens = np.concatenate(held)
+                unique, where = distinct(tokens)
+                at = np.minimum(np.searchsorted(known, unique), max(len(known) - 1, 0))
+                there = known[at] == unique if len(known) else np.zeros(len(unique), bool)
+                logs = np.zeros(len(unique))
+                logs[there] = np.log10((n_of[at[there]] + SMOOTHING) / weight)
+                hit = there[where]
+                total += sizes.tolist()
+                found += np.add.reduceat(hit.astype(np.int64), starts).tolist()
+                base += np.add.reduceat(logs[where], starts).tolist()
+                value += np.add.reduceat(m.log10(tokens, unique, where), starts).tolist()
+                rest += [t[~h].view(np.int64) for t, h in zip(held, np.split(hit, starts[1:]))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(total, pa.int64()), pa.array(found, pa.int64()), pa.array(base, pa.float64()), pa.array(value, pa.float64()),
                  pa.array(rest, pa.list_(pa.int64()))], ["id", "n_tokens", "n_known", "base", "score", "rest"])
