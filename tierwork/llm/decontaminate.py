@@ -20,8 +20,8 @@ bounded: at most BLOCK passages and RANK numbers for each of their terms.
 
 Defined cases: items that are NULL or have fewer than SHORTEST words are never
 found; NULL and empty documents hold nothing. Items with equal text are all
-reported. A NULL doc_id or item_id is kept as it is; repeated rows give repeated
-results. An empty benchmark or empty documents give no rows.
+reported, repeated benchmark rows once. A NULL doc_id or item_id is kept as it is;
+repeated documents give repeated results. An empty benchmark or empty documents give no rows.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType
 
 from .common import counts_in_batches, fresh, pinned, query, table
@@ -153,27 +154,35 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     spark = docs.sparkSession
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
-    items = benchmark.select(F.col(item).alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer")).filter("text is not null")
+    items = benchmark.select(F.col(item).alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer")).filter("text is not null").distinct()
     counted = items.agg(F.count("*"), F.coalesce(F.sum(F.ceil(F.size(F.split("text", r"\s+")) / PASSAGE)), F.lit(0))).first()
     blocks = max(1, math.ceil(counted[1] / BLOCK))
     kind = source.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kind[0]}, item_id {kind[1]}, cosine double, lcs_share double, answer_share double, at_word int"
+    item_type = to_arrow_type(items.schema["item_id"].dataType)
     out = None
     n_docs = source.count()
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()      # about BLOCK passages
         entries = [(r["item_id"], words_of(r["text"]), words_of(r["answer"])) for r in rows]
         entries = [(i, w, a or w[-ANSWER:]) for i, w, a in entries if len(w) >= SHORTEST]
-        part = _search_block(spark, source, entries, n_docs, schema) if entries else None
+        part = _search_block(spark, source, entries, n_docs, schema, item_type) if entries else None
         out = part if out is None else out if part is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], schema)
     return out
 
 
-def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema: str) -> DataFrame:
+class _Rows(dict):
+    """Rows of known words; 0 for others."""
+
+    def __missing__(self, word: str) -> int:
+        return 0
+
+
+def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema: str, item_type: pa.DataType) -> DataFrame:
     context = spark.sparkContext
-    vocabulary = context.broadcast({w: term(w) for _, words, _ in entries for w in words})
+    vocabulary = context.broadcast({w: term(w) for _, words, answer in entries for w in (*words, *answer)})
     frequency = {r["key"]: r["n"] for r in document_frequencies(source.select("text"), vocabulary).collect()}
     idf = {t: math.log((n_docs + 1) / (frequency.get(t, 0) + 1)) + 1e-3 for t in vocabulary.value.values()}
     passages, owner = [], []
@@ -191,11 +200,15 @@ def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema:
     latent = np.array([np.array(w) @ directions[[place[t] for t in ts]] for ts, w in passages])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     weighted = np.array([idf[int(t)] for t in terms])[:, None] * directions
-    # words by row of the space; row 0 stands for all other words
+    # words by row of the space; row 0 stands for all other words, the last rows for those of answers alone
+    for t in vocabulary.value.values():
+        place.setdefault(t, len(place))
     rows = {w: place[t] + 1 for w, t in vocabulary.value.items()}
+    space = np.zeros((len(place) + 1, weighted.shape[1]), np.float32)
+    space[1:len(weighted) + 1] = weighted
     model = context.broadcast((
-        rows, np.vstack([np.zeros((1, weighted.shape[1])), weighted]).astype(np.float32), latent.astype(np.float32),
-        np.array(owner), [(i, [rows[w] for w in words], [rows.get(w, -1) for w in answer]) for i, words, answer in entries]))
+        _Rows(rows), space, latent.astype(np.float32), np.array(owner),
+        [(i, np.array([rows[w] for w in words]), [rows[w] for w in answer]) for i, words, answer in entries]))
 
     def run(batches):
         known, space, wanted, owners, texts = model.value
@@ -208,18 +221,15 @@ def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema:
                 words = words_of(value)
                 if len(words) < SHORTEST:
                     continue
-                at = np.fromiter((known.get(w, 0) for w in words), np.int32, len(words))
+                at = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
                 for number, cosine, lcs_share, answer_share, start in _matches(at, space, wanted, owners, texts, step):
                     rows_of.append(row)
                     for column, x in zip(found[1:], (texts[number][0], cosine, lcs_share, answer_share, start)):
                         column.append(x)
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(rows_of, pa.int64())), *[pa.array(c, t) for c, t in zip(found[1:], (kind, pa.float64(), pa.float64(), pa.float64(), pa.int32()))]],
+                [ids.take(pa.array(rows_of, pa.int64())), *[pa.array(c, t) for c, t in zip(found[1:], (item_type, pa.float64(), pa.float64(), pa.float64(), pa.int32()))]],
                 ["doc_id", "item_id", "cosine", "lcs_share", "answer_share", "at_word"])
 
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import _parse_datatype_string
-    kind = to_arrow_type(_parse_datatype_string(schema)["item_id"].dataType)
     return source.mapInArrow(run, schema)
 
 
@@ -240,16 +250,24 @@ def _matches(at: np.ndarray, space: np.ndarray, wanted: np.ndarray, owners: np.n
         vectors = sums[b] - sums[a]
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         cosines = vectors @ wanted.T
-        for w, p in zip(*np.nonzero((cosines >= COSINE) & ((b - a) >= SHORTEST // 2)[:, None])):
-            number, cosine, start = int(owners[p]), float(cosines[w, p]), int(part[w])
-            old = best.get(number)
-            if old is None or cosine > old[0] + 1e-6:
-                best[number] = (cosine, start)
-    out = []
+        fits = (cosines >= COSINE) & ((b - a) >= SHORTEST // 2)[:, None]
+        near = np.flatnonzero(fits.any(0))
+        window = np.where(fits[:, near], cosines[:, near], -1).argmax(0)        # the best window of each passage
+        for p, w, cosine in zip(near.tolist(), window.tolist(), cosines[window, near].tolist()):
+            number = int(owners[p])
+            if number not in best or cosine > best[number][0] + 1e-6:
+                best[number] = (cosine, int(part[w]))
+    out, there = [], np.zeros(len(space), bool)
     for number, (cosine, start) in sorted(best.items()):
         _, words, answer = texts[number]
         reach = int(SLACK * len(words))
-        region = at[max(0, start - reach):start + PASSAGE + reach].tolist()
+        region = at[max(0, start - reach):start + PASSAGE + reach]
+        there[region] = True
+        found = int(there[words].sum())
+        there[region] = False
+        if found < PARAPHRASE * len(words):
+            continue    # the subsequence can't be longer than the words found at all
+        words, region = words.tolist(), region.tolist()
         share = lcs(words, region) / len(words)
         if share < PARAPHRASE:
             continue
@@ -279,9 +297,8 @@ def op3_latent_decontamination(spark, folder):
 def stage(spark, docs, folder):
     """Drop the documents that leak an item. Documents are told apart by id and
     text, so a repeated id with another text stays."""
-    mark = fresh(docs, "hash")
+    mark, key, text_hash = fresh(docs, "mark"), fresh(docs, "key"), fresh(docs, "hash")
     hashed = docs.withColumn(mark, F.xxhash64("text"))
-    keyed = hashed.select(F.struct("doc_id", mark).alias("key"), "text")
-    found = pinned(leaks(keyed, table(spark, folder, "benchmark"), key="key").select(
-        F.col("doc_id.doc_id").alias("_id"), F.col(f"doc_id.{mark}").alias("_hash")).distinct())
-    return hashed.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(mark) == F.col("_hash")), "left_anti").select(*docs.columns)
+    found = leaks(hashed.select(F.struct("doc_id", mark).alias("key"), "text"), table(spark, folder, "benchmark"), key="key")
+    bad = pinned(found.select(F.col("doc_id.doc_id").alias(key), F.col(f"doc_id.{mark}").alias(text_hash)).distinct())
+    return hashed.join(bad, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(mark) == F.col(text_hash)), "left_anti").select(*docs.columns)
