@@ -152,6 +152,23 @@ def test_bounded_filter_cuts_rare_bigrams(spark, edge_docs):
     assert model.blocks <= 2 and model.cutoffs["bigrams"] > 1
 
 
+def test_no_ngram_is_dropped_beyond_the_broadcast_bound(spark, edge_docs, monkeypatch):
+    def scores(model, counts):
+        found = language_model.score(edge_docs, model, counts).collect()
+        return sorted(((repr(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in found))
+
+    monkeypatch.setattr(language_model, "FILL", 1e-4)       # asks for more than FILTER_MB
+    monkeypatch.setattr(language_model, "FREQUENT", 15)
+    monkeypatch.setattr(language_model, "STREAM", 500)      # several streams a task
+    model, counts = language_model.train(edge_docs)
+    assert model.cutoffs == {"unigrams": 1, "bigrams": 1} and model.bits is None
+    apart = scores(model, counts)
+    monkeypatch.setattr(language_model, "FILTER_MB", 1000)
+    model, counts = language_model.train(edge_docs)
+    assert model.stored is None and len(apart) == edge_docs.count()
+    assert apart == scores(model, counts)
+
+
 def test_language_model_without_rows(edge_docs, no_docs):
     model, counts = language_model.train(no_docs)
     found = language_model.score(edge_docs, model, counts).collect()

@@ -6,12 +6,16 @@ quantised to the level 1 + floor(log(c) / log(BASE)), and the n-gram goes into t
 filter once for each level up to its own. A reader probes level 1, 2, ... until one
 is not a member; the last member stands for the count in the middle of its level.
 
-The filter is broadcast to the workers, so its size is fixed by a parameter and
-does not grow with the data. Where the bigrams don't fit at FILL insertions for
-each bit, those of the lowest counts are left to the smoothing; the cutoff comes
-from the counts of all bigrams and is part of the model. Unigrams beyond the size
-are cut in the same way. Filter blocks are made where the n-grams of a block meet,
-as streams of sorted rows; only the finished filter comes to the driver.
+The filter has one bit for 1 / FILL insertions and holds every n-gram, so it grows
+with the data. Its blocks are made where the n-grams of a block meet, as streams of
+sorted rows. Up to FILTER_MB the finished filter comes to the driver and is
+broadcast. A larger one stays a stored table of blocks, dealt out by ranges of
+blocks: each stream of texts sends its different n-grams, once each, to the ranges
+that hold them, where they are probed, and gets their levels back; so no range has
+a hot key and neither driver nor task holds more than a range. Scores are the same
+either way. Only a caller that asks for ``filter_mb`` gets a bounded filter: then
+the n-grams of the lowest counts are left to the smoothing, and the cutoffs are
+part of the model.
 
 A token's probability mixes its bigram estimate, weighted by WEIGHT where the
 history is known, with its unigram estimate, which is smoothed by 0.1 for each of
@@ -29,6 +33,7 @@ or have NULL ids; each gets its own result row. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from dataclasses import dataclass
@@ -37,12 +42,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import counts_in_batches, fold, pinned, query, table
 
 BASE = 1.6                  # ratio of counts between levels
-FILTER_MB = 24
+FILTER_MB = 24              # of a filter that is broadcast
+RANGE_MB = 4                # of a larger filter that a task holds, at most
+RANGES = 24                 # of a larger filter, at least
 PROBES = 4                  # bits of an insertion
 FILL = 0.08                 # insertions for each bit, at most
 BLOCK_BITS = 1 << 16        # bits of a filter block; an n-gram lies within one
@@ -119,24 +127,40 @@ def further(first: np.ndarray, step: np.ndarray, probe: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    bits: np.ndarray            # the filter, as bytes
+    bits: np.ndarray | None     # the filter, as bytes; None where it is ``stored``
     blocks: int
     deepest: int                # largest level in use
     total: int                  # N
     distinct: int               # V
     cutoffs: dict[str, int]     # smallest counts that the filter holds, by order
+    stored: DataFrame | None = None     # block, bits of a filter that is not broadcast
 
-    def levels(self, grams: np.ndarray) -> np.ndarray:
-        """Found by probing level after level; only members go on."""
+    def __getstate__(self):
+        return {**self.__dict__, "stored": None}
+
+    @property
+    def span(self) -> int:
+        """Blocks of a range."""
+        size = BLOCK_BITS // 8
+        return max(1, min((RANGE_MB << 20) // size, math.ceil(self.blocks / RANGES)))
+
+    def range_of(self, grams: np.ndarray) -> np.ndarray:
+        return (grams >> np.uint64(40)).astype(np.int64) % self.blocks // self.span
+
+    def levels(self, grams: np.ndarray, bits: np.ndarray | None = None, base: int = 0) -> np.ndarray:
+        """Found by probing level after level; only members go on. ``bits`` are
+        those of a range whose first block is ``base``."""
+        bits = self.bits if bits is None else bits
         out = np.zeros(len(grams), np.int64)
         alive = np.arange(len(grams))
         for level in range(1, self.deepest + 1):
             if not len(alive):
                 break
             first, step = positions(grams[alive], level, self.blocks)
+            first -= base * BLOCK_BITS
             for probe in range(PROBES):     # most that are not members leave at the first bit
                 at = further(first, step, probe)
-                member = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                member = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
                 alive, first, step = alive[member], first[member], step[member]
             out[alive] = level
         return out
@@ -147,10 +171,12 @@ class Model:
         and ``where`` are those of the tokens."""
         if not self.total:
             return np.zeros(len(tokens))
-        one = middle(self.levels(mixed(unique * _M3)))[where]
-        base = (one + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1))
         pairs, at = distinct(bigrams(tokens))
-        two = middle(self.levels(pairs))[at]
+        return self.mixture(middle(self.levels(mixed(unique * _M3)))[where], middle(self.levels(pairs))[at])
+
+    def mixture(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """From the counts of the tokens of a stream, and of their bigrams."""
+        base = (one + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1))
         before = np.concatenate([one[-1:], one[:-1]])       # the stream ends in an end
         known = before > 0
         estimate = np.divide(np.minimum(two, before), before, out=np.zeros(len(two)), where=known)
@@ -208,18 +234,18 @@ def _cutoff(counts: DataFrame, room: float) -> tuple[int, float, int]:
     return (cut if cut < low else math.ceil(BASE ** (cut - low - 1) - 1e-9)), held, deepest
 
 
-def train(docs: DataFrame, text: str = "text", filter_mb: float = FILTER_MB) -> tuple[Model, DataFrame]:
-    """The model, and the exact counts of tokens (key, n), stored."""
+def train(docs: DataFrame, text: str = "text", filter_mb: float | None = None) -> tuple[Model, DataFrame]:
+    """The model, and the exact counts of tokens (key, n), stored. The filter holds
+    all n-grams unless ``filter_mb`` bounds it."""
     source = docs.select(F.col(text).cast("string").alias("text"))
     both = pinned(counted(source))
     ones, twos = both.filter(F.col("key").bitwiseAND(F.lit(1)) == 0), both.filter(F.col("key").bitwiseAND(F.lit(1)) == 1)
     summed = ones.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
-    bits = int(filter_mb * (1 << 23))
-    room = FILL * bits
+    room = math.inf if filter_mb is None else FILL * int(filter_mb * (1 << 23))
     one_cut, one_held, one_deep = _cutoff(ones, 0.3 * room)
     two_cut, two_held, two_deep = _cutoff(twos, room - one_held)
-    # small data get a small filter: as many bits as the insertions ask for
-    blocks = max(1, min(bits, math.ceil((one_held + two_held) / FILL)) // BLOCK_BITS + 1)
+    # as many bits as the insertions ask for
+    blocks = math.ceil((one_held + two_held) / FILL) // BLOCK_BITS + 1
     deepest = max(one_deep, two_deep)
 
     def keyed(batches):
@@ -263,14 +289,91 @@ def train(docs: DataFrame, text: str = "text", filter_mb: float = FILTER_MB) ->
             yield made()
 
     rows = grams.select(block.alias("block"), "key", "n").repartition("block").sortWithinPartitions("block")
-    bits_now = np.zeros(blocks * BLOCK_BITS // 8, np.uint8)
-    for r in rows.mapInArrow(fill, "block long, bits binary").collect():      # the filter, no more
+    filled = rows.mapInArrow(fill, "block long, bits binary")
+    model = Model(None, blocks, deepest, int(summed["total"]), summed["distinct"], {"unigrams": one_cut, "bigrams": two_cut})
+    if blocks * BLOCK_BITS > FILTER_MB * (1 << 23):
+        model.stored = pinned(filled)
+        return model, ones
+    model.bits = np.zeros(blocks * BLOCK_BITS // 8, np.uint8)
+    for r in filled.collect():      # the filter, no more
         at = r["block"] * BLOCK_BITS // 8
-        bits_now[at:at + BLOCK_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
-    model = Model(bits_now, blocks, deepest, int(summed["total"]), summed["distinct"], {"unigrams": one_cut, "bigrams": two_cut})
+        model.bits[at:at + BLOCK_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
     return model, ones
 
 
+FILTER, ASKED, STREAMED = 0, 1, 2       # kinds of rows on their way between streams and ranges
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Small numbers, bytes of equal weight together, which compress well."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def _probed(model: Model, kind: str, sent: DataFrame) -> DataFrame:
+    """``sent`` (place, kind, stream, data, rows) with the n-grams of ASKED rows
+    replaced by their levels. ``place`` is the range, or below 0 for what passes."""
+    part = F.floor(F.col("block") / model.span).cast("long")
+    filters = model.stored.select(
+        part.alias("place"), F.lit(FILTER).alias("kind"), F.col("block").alias("stream"), F.col("bits").alias("data"),
+        F.lit(None).cast(sent.schema["rows"].dataType).alias("rows"))
+    together = sent.unionByName(filters).repartition("place").sortWithinPartitions("place", "kind")
+    shared = model.__class__(**model.__getstate__())
+    span, size = model.span, BLOCK_BITS // 8
+
+    def probe(batches):
+        current, bits = None, np.zeros(span * size, np.uint8)
+        for batch in batches:
+            places, kinds, streams_, datas = (batch.column(k).to_pylist() for k in range(4))
+            out = []
+            for place, what, stream, data in zip(places, kinds, streams_, datas):
+                if place >= 0 and place != current:
+                    current = place
+                    bits[:] = 0
+                if what == FILTER:
+                    at = (stream - place * span) * size
+                    bits[at:at + size] = np.frombuffer(data, np.uint8)
+                elif what == ASKED:
+                    data = shared.levels(np.frombuffer(data, np.uint64), bits, place * span).astype(np.uint8).tobytes()
+                out.append(data)
+            keep = pa.array([what != FILTER for what in kinds], pa.bool_())
+            columns = [*batch.columns[:3], pa.array(out, pa.binary()), batch.column(4)]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "kind", "stream", "data", "rows"]).filter(keep)
+
+    return together.mapInArrow(probe, kind)
+
+
+def _scored(model: Model, probed: DataFrame, schema: str) -> DataFrame:
+    """The rows of each stream, scored from the levels of its n-grams."""
+    shared = model.__class__(**model.__getstate__())
+
+    def run(batches):
+        current, levels = None, []
+        for batch in batches:
+            kinds, ids, datas = (batch.column(k).to_pylist() for k in (1, 2, 3))
+            for k, (what, stream, data) in enumerate(zip(kinds, ids, datas)):
+                if stream != current:
+                    current, levels = stream, []
+                if what == ASKED:       # in the order of ranges
+                    levels.append(np.frombuffer(data, np.uint8))
+                    continue
+                found = middle(np.concatenate(levels).astype(np.int64))
+                at = _numbers(data)
+                if len(found) != at.max() + 1:
+                    raise RuntimeError("a stream of texts changed while its n-grams were probed")
+                value = shared.mixture(found[at[:len(at) // 2]], found[at[len(at) // 2:]])
+                rows = batch.column(4).slice(k, 1).flatten()
+                sizes = np.array(rows.field("n_tokens"))
+                columns = [rows.field(c) for c in ("id", "n_tokens", "n_known", "base", "rest")]
+                columns.insert(4, pa.array(np.add.reduceat(value, np.cumsum(sizes) - sizes), pa.float64()))
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "n_known", "base", "score", "rest"])
+
+    return probed.repartition("stream").sortWithinPartitions("stream", "kind", "place").mapInArrow(run, schema)
+
+
 def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs``."""
     spark = docs.sparkSession
@@ -283,11 +386,35 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
     source = docs.select(F.struct(F.col(key).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("hash")).alias("id"), F.col(text).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
 
+    apart = model.stored is not None
+
+    def asked(ids, numbers, m, tokens, unique, where, rows):
+        """Rows that ask the ranges for the levels of a stream's n-grams, and the
+        stream itself, with the place of each of its n-grams among them."""
+        stream = next(numbers)
+        pairs, at = distinct(bigrams(tokens))
+        grams = np.concatenate([mixed(unique * _M3), pairs])
+        ranges = m.range_of(grams)
+        order = np.argsort(ranges, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        sorted_ranges, grams = ranges[order], grams[order]
+        edges = np.r_[0, np.flatnonzero(np.diff(sorted_ranges)) + 1, len(grams)]
+        places = [*sorted_ranges[edges[:-1]].tolist(), -1 - stream]
+        data = [grams[a:b].tobytes() for a, b in zip(edges, edges[1:])] + [_planes(np.concatenate([rank[where], rank[len(unique) + at]]))]
+        of = pa.StructArray.from_arrays([ids, *rows], ["id", "n_tokens", "n_known", "base", "rest"])
+        n = len(places)
+        lists = pa.ListArray.from_arrays(pa.array([0] * n + [len(of)], pa.int32()), of)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(places, pa.int64()), pa.array([ASKED] * (n - 1) + [STREAMED], pa.int32()), pa.array([stream] * n, pa.int64()), pa.array(data, pa.binary()), lists],
+            ["place", "kind", "stream", "data", "rows"])
+
     def run(batches):
         m, known, n_of = shared.value
         seen = _Hashes()
+        numbers = itertools.count((TaskContext.get().partitionId() if apart else 0) << 36)
         for batch in batches:
-            total, found, base, value, rest = [], [], [], [], []
+            total, found, base, value, rest, done = [], [], [], [], [], 0
             for held in streams(batch.column(1).to_pylist(), seen):
                 sizes = np.array([len(t) for t in held])
                 starts = np.cumsum(sizes) - sizes
@@ -298,16 +425,30 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
                 logs = np.zeros(len(unique))
                 logs[there] = np.log10((n_of[at[there]] + SMOOTHING) / weight)
                 hit = there[where]
+                missed = [t[~h].view(np.int64) for t, h in zip(held, np.split(hit, starts[1:]))]
+                if apart:
+                    ids = batch.column(0).slice(done, len(held))
+                    done += len(held)
+                    yield asked(ids, numbers, m, tokens, unique, where, [
+                        pa.array(sizes, pa.int64()), pa.array(np.add.reduceat(hit.astype(np.int64), starts), pa.int64()),
+                        pa.array(np.add.reduceat(logs[where], starts), pa.float64()), pa.array(missed, pa.list_(pa.int64()))])
+                    continue
                 total += sizes.tolist()
                 found += np.add.reduceat(hit.astype(np.int64), starts).tolist()
                 base += np.add.reduceat(logs[where], starts).tolist()
                 value += np.add.reduceat(m.log10(tokens, unique, where), starts).tolist()
-                rest += [t[~h].view(np.int64) for t, h in zip(held, np.split(hit, starts[1:]))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(total, pa.int64()), pa.array(found, pa.int64()), pa.array(base, pa.float64()), pa.array(value, pa.float64()),
-                 pa.array(rest, pa.list_(pa.int64()))], ["id", "n_tokens", "n_known", "base", "score", "rest"])
-
-    first = source.mapInArrow(run, f"id {kind}, n_tokens long, n_known long, base double, score double, rest array<long>")
+                rest += missed
+            if not apart:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(total, pa.int64()), pa.array(found, pa.int64()), pa.array(base, pa.float64()), pa.array(value, pa.float64()),
+                     pa.array(rest, pa.list_(pa.int64()))], ["id", "n_tokens", "n_known", "base", "score", "rest"])
+
+    schema = f"id {kind}, n_tokens long, n_known long, base double, score double, rest array<long>"
+    if apart:
+        sent = f"place long, kind int, stream long, data binary, rows array<struct<id: {kind}, n_tokens: long, n_known: long, base: double, rest: array<long>>>"
+        first = _scored(model, _probed(model, sent, source.mapInArrow(run, sent)), schema)
+    else:
+        first = source.mapInArrow(run, schema)
     unknown = math.log10(SMOOTHING / weight) if model.total else 0.0
     if everything:
         full = first.withColumn("more", F.lit(0).cast("long")).withColumn("log", F.size("rest") * F.lit(unknown))
