@@ -121,6 +121,18 @@ def test_decontamination_in_blocks(spark, benchmark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
 
 
+def test_items_that_share_a_prompt_are_all_found(spark):
+    rng = random.Random(21)
+    prompt = sentence(rng, 48)
+    items = [(i, f"{prompt} {sentence(rng, 35)}") for i in range(2)] + [(i, sentence(rng, 60)) for i in range(2, 12)]
+    docs = [(i, " ".join((sentence(rng, 20 + i), items[0][1], sentence(rng, 200), items[1][1], sentence(rng, 10)))) for i in range(24)]
+    # of the second item, the prompt alone stands before the whole
+    docs += [(100 + i, " ".join((sentence(rng, 12 * i), prompt, sentence(rng, 205 + i), items[1][1]))) for i in range(12)]
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = {(i, k) for i in range(24) for k in (0, 1)} | {(100 + i, 1) for i in range(12)}
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+
+
 def test_answers_decide_on_paraphrases(spark):
     rng = random.Random(2)
     words = sentence(rng, 40).split()

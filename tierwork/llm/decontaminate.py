@@ -9,7 +9,10 @@
    mapped into that space; passages within COSINE of it are its candidates.
 4. A candidate is verified on the words of the whole item: the longest common
    subsequence (LCS) with the document around the window, allowing for inserted
-   words. It is a leak when the LCS covers VERBATIM of the item, or PARAPHRASE of
+   words. All windows within COSINE of an item are tried, the nearest first, until
+   one passes, since the nearest need not be where the item is. Of windows close
+   together it is first asked whether their region has enough of the item's words
+   at all. It is a leak when the LCS covers VERBATIM of the item, or PARAPHRASE of
    it and the answer is there as well. The answer is the column of that name, or
    else the last ANSWER words of the item.
 
@@ -236,7 +239,7 @@ def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema:
 def _matches(at: np.ndarray, space: np.ndarray, wanted: np.ndarray, owners: np.ndarray, texts: list, step: int) -> list[tuple]:
     """Verified items of one document, given the rows of its words in the space."""
     starts = np.arange(0, max(1, len(at) - PASSAGE + step), step)
-    best: dict[int, tuple] = {}
+    near: dict[int, dict[int, float]] = {}      # of each item, its windows and their cosines
     for first in range(0, len(starts), 2048):       # long documents in slices
         part = starts[first:first + 2048]
         low, high = int(part[0]), min(len(at), int(part[-1]) + PASSAGE)
@@ -251,30 +254,53 @@ def _matches(at: np.ndarray, space: np.ndarray, wanted: np.ndarray, owners: np.n
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         cosines = vectors @ wanted.T
         fits = (cosines >= COSINE) & ((b - a) >= SHORTEST // 2)[:, None]
-        near = np.flatnonzero(fits.any(0))
-        window = np.where(fits[:, near], cosines[:, near], -1).argmax(0)        # the best window of each passage
-        for p, w, cosine in zip(near.tolist(), window.tolist(), cosines[window, near].tolist()):
-            number = int(owners[p])
-            if number not in best or cosine > best[number][0] + 1e-6:
-                best[number] = (cosine, int(part[w]))
+        window, passage = np.nonzero(fits)
+        for number, start, cosine in zip(owners[passage].tolist(), part[window].tolist(), cosines[window, passage].tolist()):
+            held = near.setdefault(number, {})
+            held[start] = max(held.get(start, -1.0), cosine)
     out, there = [], np.zeros(len(space), bool)
-    for number, (cosine, start) in sorted(best.items()):
-        _, words, answer = texts[number]
-        reach = int(SLACK * len(words))
-        region = at[max(0, start - reach):start + PASSAGE + reach]
+    for number, windows in sorted(near.items()):
+        found = _verified(at, windows, *texts[number][1:], there)
+        if found:
+            out.append((number, *found))
+    return out
+
+
+def _verified(at: np.ndarray, windows: dict[int, float], words: np.ndarray, answer: list, there: np.ndarray) -> tuple | None:
+    """(cosine, LCS share, answer share, start) of the nearest window that holds the
+    item. ``there`` is a scratch array over the rows of the space, all False."""
+    reach = int(SLACK * len(words))
+
+    def enough(low: int, high: int) -> bool:
+        # the subsequence can't be longer than the words found at all
+        region = at[low:high]
         there[region] = True
         found = int(there[words].sum())
         there[region] = False
-        if found < PARAPHRASE * len(words):
-            continue    # the subsequence can't be longer than the words found at all
-        words, region = words.tolist(), region.tolist()
-        share = lcs(words, region) / len(words)
+        return found >= PARAPHRASE * len(words)
+
+    starts = sorted(windows)
+    possible, begin = set(), 0
+    for k in range(1, len(starts) + 1):     # windows that overlap are asked together
+        if k == len(starts) or starts[k] - starts[k - 1] > PASSAGE:
+            if enough(max(0, starts[begin] - reach), starts[k - 1] + PASSAGE + reach):
+                possible.update(starts[begin:k])
+            begin = k
+    item, tried = words.tolist(), set()
+    for start in sorted(possible, key=lambda s: (-round(windows[s], 6), s)):
+        low, high = max(0, start - reach), min(len(at), start + PASSAGE + reach)
+        content = at[low:high].tobytes()
+        if content in tried or not enough(low, high):
+            continue
+        tried.add(content)
+        region = at[low:high].tolist()
+        share = lcs(item, region) / len(item)
         if share < PARAPHRASE:
             continue
         answered = lcs(answer, region) / len(answer) if answer else 0.0
-        if (share >= VERBATIM or answered >= ANSWER_SHARE) and _dense(words, region, share):
-            out.append((number, cosine, share, answered, start))
-    return out
+        if (share >= VERBATIM or answered >= ANSWER_SHARE) and _dense(item, region, share):
+            return windows[start], share, answered, start
+    return None
 
 
 def _dense(words: list, region: list, share: float) -> bool:
