@@ -103,6 +103,29 @@ def test_mixing_meets_targets(spark):
     assert all(abs(p + q - 1) < 1e-9 for _, p, q, _ in table)
 
 
+def test_small_sources_meet_their_targets(spark):
+    shares = [0.333] + [0.666 / 18] * 18 + [0.001]      # posteriors of a classifier that knows the shares alone
+    n, rows = len(shares), []
+    for d, share in enumerate(shares):
+        evidence = [c * (0.9 if k == d else 0.1 / (n - 1)) for k, c in enumerate(shares)]
+        rows.append((share * 1e6, *[e / sum(evidence) for e in evidence]))
+    table = spark.createDataFrame(rows, ", ".join(["mt double", *[f"m{k} double" for k in range(n)]])).coalesce(1)
+    rates = mixing.descend(table, [c ** 0.5 for c in shares], "m")
+    assert max(abs(e - t) / t for e, t in zip(rates.expected, rates.targets)) < 2e-3
+    rated = table.withColumn("rate", rates.of("m", n))
+    small = rated.agg(F.sum(F.col("mt") * F.col("rate") * F.col(f"m{n - 1}")), F.min("rate")).first()
+    assert small[0] == pytest.approx(rates.targets[-1], rel=2e-3) and small[1] >= 0
+
+
+def test_unreachable_targets_end_at_the_least_squares(spark):
+    table = spark.createDataFrame([(100.0, 0.8, 0.2), (100.0, 0.6, 0.4)], "mt double, m0 double, m1 double").coalesce(1)
+    rates = mixing.descend(table, [0.1, 0.9], "m")
+    # only the second document has a rate then, on the line of (60, 40): least (60r - 20)^2 / 20 + (40r - 180)^2 / 180
+    best = (60 * 20 / 20 + 40 * 180 / 180) / (60 ** 2 / 20 + 40 ** 2 / 180)
+    found = [r["rate"] for r in table.withColumn("rate", rates.of("m", 2)).orderBy("m0").collect()]
+    assert found == pytest.approx([best, 0.0], abs=2e-3)
+
+
 def test_unnamed_sources_rest_on_the_classifier(spark):
     docs = mixable(spark)
     posteriors, _, _, prefix = mixing.mix(docs.withColumn("source", F.when(F.col("doc_id") % 5 != 0, F.col("source"))), {"a": 1.0, "b": 1.0})
