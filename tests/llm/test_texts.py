@@ -2,6 +2,7 @@
 
 import math
 import random
+import textwrap
 import zlib
 from collections import Counter
 
@@ -197,6 +198,56 @@ def test_license_rules(spark):
     assert found[7] == (["mit.name", "mit.grant", "mit.condition"], ["MIT"], 1)     # the longer rule lies too far apart
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+"""
+BSD2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+"""
+AS_IS = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the rest.
+"""
+GPL = """This program is free software{mark} you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation{stop} either version {n} of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+"""
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy was not distributed, get one."
+
+
+def test_unmodified_licenses(spark):
+    texts = {
+        "MIT": MIT, "BSD-2-Clause": BSD2 + AS_IS, "BSD-3-Clause": BSD3 + AS_IS, "Apache-2.0": APACHE, "MPL-2.0": MPL,
+        "GPL-3.0-or-later": GPL.format(mark=":", stop=",", n=3), "GPL-2.0-or-later": GPL.format(mark=";", stop=";", n=2)}
+
+    def wrapped(text, width, sign):
+        return "\n".join(line for part in text.split("\n") for line in textwrap.wrap(part, width, initial_indent=sign, subsequent_indent=sign) or [sign])
+
+    rows = [(name, f"{before}{t}") for name, text in texts.items() for before in ("", "prose\n\n")
+            for t in (text, wrapped(text, 72, ""), wrapped(text, 60, " * "), wrapped(text, 78, "# ").replace("\n", "\r\n"))]
+    found = licenses.scan(spark.createDataFrame(rows, "name string, text string")).collect()
+    assert [(r["name"], r["licenses"], r["matches"]) for r in found] == [(name, [name], 1) for name, _ in rows]
+    telling = ["mit.grant", "mit.condition"]
+    assert all(r["sentence_ids"][-2:] == telling for r in found if r["name"] == "MIT")
+    assert licenses.scan(spark.createDataFrame([("not " + MPL,), (MPL.replace("2.0.", "2.0 or"),)], "text string")).filter("matches > 0").count() == 0
+
+
 def test_license_edges(edge_docs, no_docs):
     assert licenses.scan(edge_docs.withColumn("matches", F.lit("x"))).filter("matches > 0").count() == 0
     assert licenses.scan(no_docs).count() == 0

@@ -2,7 +2,12 @@
 
 A text is cut into sentences (at line ends and after . ! ? ; followed by a gap),
 each is normalised (lower case, everything but letters and digits as one space,
-trimmed) and mapped to the identifier of a known licence sentence. The identifiers
+trimmed) and mapped to the identifier of a known licence sentence. Before the cut,
+known sentences that begin and end where a sentence may are found by their words,
+whatever stands between these, and set on a line of their own: so wrapped lines,
+comment signs and breaks within a sentence (``v. 2.0``, ``WARRANTY; without``) do
+not hide one. WORDINGS has the full wording of licences where SENTENCES has less,
+with the numbered clauses of BSD. The identifiers
 of a text, in order, form its sequence. Ordered licence rules, each a sequence of
 identifiers, are matched against it: a rule matches where its identifiers follow
 each other with at most ``gap`` unknown sentences in between. Rules are tried in
@@ -74,6 +79,27 @@ RULES = [
     ("MPL-2.0", ("mpl2.notice",)),
     ("Proprietary", ("rights",)),
 ]
+# Further wordings of known sentences, normalised; words in brackets
+# may be missing.
+WORDINGS = {
+    "apache2.notice": ("licensed under the apache license version 2 0 the license",),
+    "apache2.copy": ("you may obtain a copy of the license at https www apache org licenses license 2 0",),
+    "mit.grant": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software "
+        "and to permit persons to whom the software is furnished to do so subject to the following conditions",),
+    "bsd.redistribute": (
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "[1] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "[2] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+        "in the documentation and or other materials provided with the distribution",),
+    "bsd.endorse": (
+        "[3] neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",),
+    "bsd.asis": (
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to "
+        "the implied warranties of merchantability and fitness for a particular purpose are disclaimed",),
+}
+HINT = r"(?i)licen[sc]e|copyright|redistribut|permission|warrant|reserved"      # every known sentence has one of these
 GAP = 2
 BREAK = r"[\r\n]+|(?<=[.!?;])[ \t]+"
 
@@ -82,12 +108,35 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), r"[^a-z0-9]+", " "))
 
 
+def wording(sentence: str) -> str:
+    """A pattern of the words of a sentence, whatever stands between them, from where
+    a sentence may begin to where it may end."""
+    out = ""
+    for w in sentence.split():
+        if w.startswith("["):
+            out += f"(?:{w[1:-1]}[^a-zA-Z0-9]+)?"
+        else:
+            out += w + "[^a-zA-Z0-9]+"
+    begin = r"(?i)(?:^|(?<=[\r\n])|(?<=[.!?;][ \t]{1,9}))[^a-zA-Z0-9\r\n]*"
+    end = r"(?:[^a-zA-Z0-9\r\n]*(?=[\r\n]|$)|[^a-zA-Z0-9\s]*[.!?;:][^a-zA-Z0-9\s]*[ \t]+)"
+    return begin + out.removesuffix("[^a-zA-Z0-9]+") + end
+
+
+def unwrapped(text: Column, sentences: dict[str, str]) -> Column:
+    """The text with each known sentence, in its normal form, on a line of its own."""
+    forms = [(s, s) for s in sentences.values()] + [(w, sentences[i]) for i, ws in WORDINGS.items() if sentences.get(i) == SENTENCES[i] for w in ws]
+    out = text
+    for form, sentence in sorted(forms, key=lambda f: -len(f[0])):      # long ones may begin like short ones
+        out = F.regexp_replace(out, F.lit(wording(form)), F.lit(f"\n{sentence}\n"))
+    return out if sentences is not SENTENCES else F.when(text.rlike(HINT), out).otherwise(text)
+
+
 def sequence(text: Column, sentences: dict[str, str]) -> Column:
     """The identifiers of a text in order, as one string ``|id|id|``; an unknown
     sentence stands as ``|-|``."""
     longest = max(map(len, sentences.values()), default=0)
     known = F.create_map(*[F.lit(x) for identifier, s in sentences.items() for x in (s, identifier)])
-    parts = F.split(F.coalesce(text.cast("string"), F.lit("")), BREAK)
+    parts = F.split(unwrapped(F.coalesce(text.cast("string"), F.lit("")), sentences), BREAK)
     # a sentence far longer than any known one needs no normalising
     found = F.transform(parts, lambda s: F.when(F.length(s) > 4 * longest + 80, "-").otherwise(
         F.coalesce(F.try_element_at(known, normalised(s)), F.lit("-"))))
