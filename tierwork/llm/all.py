@@ -1,6 +1,8 @@
 """Importing this module registers every query of the subpackage."""
 
-from . import chat, decontaminate, jaccard, language, language_model, licenses, mixing, neighbours, toxicity, warc  # noqa: F401
+from . import (  # noqa: F401
+    chat, decontaminate, fill_in_middle, jaccard, language, language_model, licenses, mixing, neighbours, toxicity, warc,
+)
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

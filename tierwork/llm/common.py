@@ -84,4 +84,22 @@ def counts_in_batches(
     return df.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-__all__ = ["QUERIES", "SQL", "about", "counts_in_batches", "fold", "fresh", "pinned", "query", "table"]
+HOT_SHARE = 1024
+
+
+def attach(big: DataFrame, small: DataFrame, key: str, weight: str, rows: int) -> DataFrame:
+    """Left join of ``big`` with ``small``, which is unique by ``key`` and knows in
+    ``weight`` how many of the ``rows`` rows of ``big`` have that key. Keys of more
+    than rows / HOT_SHARE rows, at most HOT_SHARE of them, are broadcast and their
+    rows stay where they are; all others are shuffled. ``big`` is read twice."""
+    hot, limit = fresh(big, "hot"), rows // HOT_SHARE
+    values = [c for c in small.columns if c not in (key, weight)]
+    frequent = small.filter(F.col(weight) > limit).select(key, F.struct(F.lit(1).alias("one"), *values).alias(hot))
+    marked = big.join(F.broadcast(frequent), key, "left")
+    here = marked.filter(F.col(hot).isNotNull()).select(*big.columns, *[F.col(f"{hot}.{c}").alias(c) for c in values])
+    rest = marked.filter(F.col(hot).isNull()).drop(hot).join(
+        small.filter(F.col(weight) <= limit).select(key, *values), key, "left").select(*big.columns, *values)
+    return here.unionByName(rest)
+
+
+__all__ = ["QUERIES", "SQL", "about", "attach", "counts_in_batches", "fold", "fresh", "pinned", "query", "table"]
