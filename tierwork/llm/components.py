@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import pinned
+from .common import attach, pinned
 
 MAX_ROUNDS = 60
 
@@ -27,8 +27,9 @@ def components(edges: DataFrame) -> DataFrame:
         if state[0] == 0:
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        # the rows of a star's centre stay where they are: its minimum is sent to them
+        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("a", "m"))
+        large = attach(both.filter("b > a"), low, "a", "n", 2 * state[0]).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = pinned(small.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
