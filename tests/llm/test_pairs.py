@@ -230,3 +230,45 @@ def test_pairs_come_in_order_of_distance():
     got = neighbours.cells_for(a, b, sizes, 7, 49)
     sums = [a[c // 7] + b[c % 7] for c in got]
     assert sorted(got) == list(range(49)) and sums == sorted(sums)
+
+
+def test_neighbours_of_repeated_ids_rows_and_vectors(spark):
+    rng = np.random.default_rng(7)
+    near = [1.0, 0.0, 0.1, 0.0]
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(30)]
+    rows += [(100, near)] * 8 + [(101, near), (102, near)]                                  # copies under one id and under others
+    rows += [(16, near), (16, near), (16, [1.0, 0.0, 0.2, 0.0])]                            # an id with several vectors
+    rows += [(200, [1.0, 0.001 * k, 0.1, 0.0]) for k in range(10)]                          # the query's own id all around it
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    wanted = {}
+    for query in (16, 100, 200, 3):
+        best = {}
+        for q in {tuple(v) for i, v in rows if i == query}:
+            for i, v in rows:
+                if i != query:
+                    best[i] = max(best.get(i, -2.0), float(np.dot(q, v) / np.sqrt(np.dot(q, q) * np.dot(v, v))))
+        wanted[query] = [(i, round(s, 9)) for s, i in sorted((-s, i) for i, s in best.items())[:5] for s in (-s,)]
+    found = {}
+    for r in neighbours.nearest_neighbours(df, df.filter("vec_id in (16, 100, 200, 3)")).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["vec_id"], round(r["score"], 9)))
+    assert found == wanted
+    assert [i for i, _ in found[100]][:2] == [16, 101]
+
+
+@pytest.mark.parametrize("items, words", [(1, 6), (1, 16), (40, 30), (3, 400)])
+def test_small_benchmarks_span_a_space(spark, items, words):
+    """Fewer terms than the rank: the space has as many directions as there are terms."""
+    rng = random.Random(items)
+    known = [f"w{k}" for k in range(30 if items == 40 else words)]
+    texts = [" ".join(rng.sample(known, min(words, len(known)))) for _ in range(items)]
+    docs = [(k, f"before {t} after") for k, t in enumerate(texts)] + [(1000, sentence(rng, 80)), (1001, ""), (1002, None)]
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert {(k, k) for k in range(items)} <= found and all(d < 1000 for d, _ in found)
+
+
+def test_items_of_few_words_are_exact_sequences(spark):
+    bench = spark.createDataFrame([(1, "Red, green blue!"), (2, "one two three four five"), (3, "too few"), (4, "red GREEN blue"), (5, None)], "item_id long, text string")
+    docs = [(1, "a red green blue b"), (2, "red green; or blue"), (3, "zero one two three four five"), (4, "too few words"), (5, "red green blue red green blue"), (6, None)]
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["at_word"]) for r in found) == [(1, 1, 1), (1, 4, 1), (3, 2, 1), (5, 1, 0), (5, 4, 0)]

@@ -21,8 +21,11 @@ tells items apart. Benchmarks of more than BLOCK passages are handled in blocks
 that size by item hash, each with a space of its own, so what is broadcast is
 bounded: at most BLOCK passages and RANK numbers for each of their terms.
 
-Defined cases: items that are NULL or have fewer than SHORTEST words are never
-found; NULL and empty documents hold nothing. Items with equal text are all
+Items of fewer than SHORTEST words are found as exact sequences of words, where they
+have at least EXACT; fewer words are no evidence.
+
+Defined cases: items that are NULL or have fewer than EXACT words are never found;
+NULL and empty documents hold nothing. Items with equal text are all
 reported, repeated benchmark rows once. A NULL doc_id or item_id is kept as it is;
 repeated documents give repeated results. An empty benchmark or empty documents give no rows.
 """
@@ -42,7 +45,7 @@ from pyspark.sql.types import LongType
 from .common import counts_in_batches, fresh, pinned, query, table
 
 PASSAGE = 48
-SHORTEST = 6
+SHORTEST, EXACT = 6, 3
 RANK, OVERSAMPLE, POWER = 96, 16, 2
 BLOCK = 1000                # passages of one latent space
 COSINE = 0.45
@@ -104,12 +107,13 @@ def document_frequencies(docs: DataFrame, vocabulary) -> DataFrame:
 
 def latent_terms(passages: DataFrame, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
     """Randomised SVD of the matrix of ``passages`` (terms array<long>, weights
-    array<double>): the terms and their rows of the right singular vectors.
+    array<double>): the terms and their rows of the right singular vectors. There
+    can't be more directions than terms, however small the benchmark.
 
     Each step multiplies with the matrix and its transpose where the rows are, and
     sums what tasks send by term. Only columns over the terms of one block, of
     rank + OVERSAMPLE numbers each, come to the driver."""
-    width = rank + OVERSAMPLE
+    width = min(rank + OVERSAMPLE, passages.select(F.explode("terms")).distinct().count())
 
     def apply(basis):
         """Sum over rows x of x'(x B): the term, and its row of the product."""
@@ -168,14 +172,45 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()      # about BLOCK passages
         entries = [(r["item_id"], words_of(r["text"]), words_of(r["answer"])) for r in rows]
+        short = [(i, w) for i, w, _ in entries if EXACT <= len(w) < SHORTEST]
         entries = [(i, w, a or w[-ANSWER:]) for i, w, a in entries if len(w) >= SHORTEST]
-        part = _search_block(spark, source, entries, n_docs, schema, item_type) if entries else None
-        out = part if out is None else out if part is None else out.unionByName(part)
+        for part in ([_search_block(spark, source, entries, n_docs, schema, item_type)] if entries else []) + (
+                [_exact_sequences(spark, source, short, schema, item_type)] if short else []):
+            out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], schema)
     return out
 
 
+def _exact_sequences(spark, source: DataFrame, short: list, schema: str, item_type: pa.DataType) -> DataFrame:
+    """Where the words of the items stand in a document one behind the other."""
+    sought: dict[tuple, list] = {}
+    for item, words in short:
+        sought.setdefault(tuple(words), []).append(item)
+    shared = spark.sparkContext.broadcast((sought, sorted({len(w) for w in sought}), {w[0] for w in sought}))
+
+    def run(batches):
+        sought, lengths, heads = shared.value
+        for batch in batches:
+            rows, items, starts = [], [], []
+            for row, value in enumerate(batch.column(1).to_pylist()):
+                words, seen = words_of(value), set()
+                for at, word in enumerate(words):
+                    for n in lengths if word in heads else ():
+                        found = tuple(words[at:at + n])
+                        if found in sought and found not in seen:
+                            seen.add(found)
+                            for item in sought[found]:
+                                rows.append(row)
+                                items.append(item)
+                                starts.append(at)
+            one = pa.array([1.0] * len(rows), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(items, item_type), one, one, one, pa.array(starts, pa.int32())],
+                                             ["doc_id", "item_id", "cosine", "lcs_share", "answer_share", "at_word"])
+
+    return source.mapInArrow(run, schema)
+
+
 class _Rows(dict):
     """Rows of known words; 0 for others."""
 
@@ -209,13 +244,20 @@ def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema:
     rows = {w: place[t] + 1 for w, t in vocabulary.value.items()}
     space = np.zeros((len(place) + 1, weighted.shape[1]), np.float32)
     space[1:len(weighted) + 1] = weighted
+    # by row of the space: the items that have its word, once for each place of the word
+    holders: list[list[int]] = [[] for _ in range(len(space))]
+    for number, (_, words, _) in enumerate(entries):
+        for w in words:
+            holders[rows[w]].append(number)
     model = context.broadcast((
         _Rows(rows), space, latent.astype(np.float32), np.array(owner),
-        [(i, np.array([rows[w] for w in words]), [rows[w] for w in answer]) for i, words, answer in entries]))
+        [(i, np.array([rows[w] for w in words]), [rows[w] for w in answer]) for i, words, answer in entries],
+        [np.array(h, np.int64) for h in holders]))
 
     def run(batches):
-        known, space, wanted, owners, texts = model.value
+        known, space, wanted, owners, texts, holders = model.value
         step = PASSAGE // 4
+        fewest = PARAPHRASE * np.array([len(words) for _, words, _ in texts])
         for batch in batches:
             found: list[list] = [[] for _ in range(6)]
             ids = batch.column(0)
@@ -225,7 +267,16 @@ def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema:
                 if len(words) < SHORTEST:
                     continue
                 at = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
-                for number, cosine, lcs_share, answer_share, start in _matches(at, space, wanted, owners, texts, step):
+                # a subsequence can't be longer than the words that the whole document has
+                there = set(at.tolist())
+                there.discard(0)
+                if len(there) < SHORTEST * PARAPHRASE:
+                    continue
+                held = np.bincount(np.concatenate([holders[k] for k in there]), minlength=len(texts))
+                passages = np.flatnonzero((held >= fewest)[owners])
+                if not len(passages):
+                    continue
+                for number, cosine, lcs_share, answer_share, start in _matches(at, space, wanted[passages], owners[passages], texts, step):
                     rows_of.append(row)
                     for column, x in zip(found[1:], (texts[number][0], cosine, lcs_share, answer_share, start)):
                         column.append(x)

@@ -8,7 +8,7 @@ the exact cosine of the original vectors in double precision.
 
 Centroids are fitted on a bounded sample; every vector is indexed. Their number
 grows with the square root of the number of vectors, so that cells keep their size.
-Exact copies of a vector are one entry with its smallest ids: as many as a query
+Exact copies of a vector are one entry with its smallest different ids: as many as a query
 can return, and one more, so nothing that could be returned is left out and a
 vector that fills the table stays a small group. Cells are dealt into shards of
 about SHARD entries, a larger cell into several; a query goes once to each shard
@@ -20,8 +20,9 @@ is measured in the tests and in README.
 
 Defined cases: a vector that is NULL, empty, zero, of another length than most, or
 has NULL or non-finite components takes no part. Rows without an id take no part.
-Repeated ids are kept as entries of their own, but a query never returns its own
-id. Ties go to the smaller id. A query with fewer candidates than k gets them all:
+Repeated rows count once. An id may have several vectors: it is found by the nearest
+of them, at most once in a result, and a query id with several vectors asks with each
+and gets the nearest over all. A query never returns its own id. Ties go to the smaller id. A query with fewer candidates than k gets them all:
 a table that holds at most PROBE distinct vectors is searched whole.
 """
 
@@ -125,7 +126,7 @@ def nearest_neighbours(
     dim, half = usual["d"], (usual["d"] + 1) // 2
     rows = rows.filter(F.size("v") == dim)
     # copies: the ids that a query can return at most, its own id apart
-    few = rows.withColumn("_r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).filter(F.col("_r") <= k + 1)
+    few = rows.distinct().withColumn("_r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).filter(F.col("_r") <= k + 1)
     entries = few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))      # at most k + 1 ids in a list
     entries = pinned(entries)
     n = entries.count()
@@ -176,7 +177,7 @@ def nearest_neighbours(
                 [batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64())), pa.array(shard, pa.int64()),
                  pa.array(cells, pa.list_(pa.int64()))], ["id", "v", "shard", "cells"])
 
-    asked = valid(queries, key, vector).filter(F.size("v") == dim)
+    asked = valid(queries, key, vector).filter(F.size("v") == dim).distinct()
     probes = asked.mapInArrow(traverse, f"id {kind}, v array<double>, shard long, cells array<long>")
     blocks = max(1, -(-asked.count() // QUERIES))
     probes = probes.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)))
@@ -191,14 +192,30 @@ def nearest_neighbours(
             names, start = np.unique(cell[order], return_index=True)
             members = {int(c): m for c, m in zip(names, np.split(order, start[1:]))}
             norms = np.sqrt((e * e).sum(1))
+            alone: dict = {}        # by id: the entries that no other id has
+            for row, known in enumerate(ids):
+                if len(known) == 1:
+                    alone.setdefault(known[0], []).append(row)
             for query_id, q, cells in zip(probe.column("id").to_pylist(), _matrix(probe.column("v")), probe.column("cells").to_pylist()):
                 at = np.concatenate([members[c] for c in cells if c in members] or [np.empty(0, int)])
+                at = at[~np.isin(at, alone.get(query_id, []))]
                 if not len(at):
                     continue
                 cosine = (e[at] @ q) / (norms[at] * math.sqrt(q @ q))
-                top = min(k + 1, len(at))       # each entry has an id other than the query's, but for the query itself
-                best = at[cosine >= np.partition(cosine, len(at) - top)[len(at) - top] - 1e-12]     # ties at the edge stay in
-                scored = sorted((-_cosine(q, e[b]), i) for b in best for i in ids[b] if i != query_id)[:k]
+                top, nearest_by_id = k, {}
+                while True:     # an id may have several of the nearest entries
+                    top = min(top, len(at))
+                    best = at[cosine >= np.partition(cosine, len(at) - top)[len(at) - top] - 1e-12]     # ties at the edge stay in
+                    nearest_by_id = {}
+                    for b in best:
+                        score = _cosine(q, e[b])
+                        for i in ids[b]:
+                            if i != query_id:
+                                nearest_by_id[i] = max(score, nearest_by_id.get(i, -2.0))
+                    if len(nearest_by_id) >= k or top == len(at):
+                        break
+                    top *= 2
+                scored = sorted((-score, i) for i, score in nearest_by_id.items())[:k]
                 for score, i in scored:
                     found["query_id"].append(query_id)
                     found["other"].append(i)
@@ -209,6 +226,7 @@ def nearest_neighbours(
     shape = pa.schema([("query_id", arrow), ("other", arrow), ("score", pa.float64())])
     best = placed.groupBy("shard", "block").cogroup(probes.groupBy("shard", "block")).applyInArrow(rerank, f"query_id {kind}, other {kind}, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "other")
+    best = best.groupBy("query_id", "other").agg(F.max("score").alias("score"))
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("other").alias(key), "score")
 
