@@ -10,16 +10,18 @@
 3. Bands of ROWS coordinates. A pair at the threshold meets in no band with chance
    (1 - 0.8^5)^40, about 1.3e-7.
 4. Every class is compared with the leader (smallest vertex) of each of its bands:
-   linear in the classes, whatever the size of a band. Components of these links
+   linear in the classes, whatever the size of a band. The pairs whose sketches (one
+   byte a coordinate) agree too seldom, with a chance below TOLERANCE at the threshold,
+   are dropped, the others confirmed on full shingle sets. Components of these links
    are the first components.
-5. Only pairs of a band that are in different components are still open. The members
-   outside a band's largest component are queries; they are dealt into units that
-   hold about QUERIES of them and stream at most about STREAM members past them, so a
-   band made of one component needs no work and a large band is split both ways.
-   Queries and members are compared by sketches (one byte a coordinate); pairs whose
-   agreement would have a chance below TOLERANCE at the threshold are dropped.
-6. All pairs that remain in 4 and 5 are confirmed on full shingle sets, which are read
-   again for the classes that occur in them.
+5. Only pairs of a band in different components are still open. The members outside a
+   band's largest component are queries; they are dealt into units that hold about
+   QUERIES of them (or SHINGLES shingles) and stream about STREAM members past them, so
+   a band made of one component needs no work and a large band is split both ways. A
+   first pass by sketches returns the rows of a unit that are near another one, never
+   the pairs; a second one gets the sets of these rows, confirms near pairs until their
+   components are joined, and returns the links that joined them. A pair is looked at
+   in the first band that it shares.
 
 Joins that a leader, a band or a group of copies could overload spread the keys whose
 counts are large (``common.attach``, ``_with_sets``). Components end in checkpoints.
@@ -49,7 +51,8 @@ PERCENT = 80
 HASHES, ROWS = 200, 5
 CIRCLE = 1 << 20
 TOLERANCE = 1e-9
-QUERIES, STREAM = 512, 16_384
+QUERIES, SHINGLES, STREAM = 512, 1 << 20, 16_384
+NAMED = 1_000_000       # row keys that are broadcast at most; more are joined by a shuffle
 CACHE = 400_000
 
 _order = np.random.default_rng(11).permutation(CIRCLE).astype(np.uint32)
@@ -199,12 +202,11 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, side: str, rows: int) -> DataF
     return spread.join(copies, [side, "part"]).drop("part")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links on their full sets."""
-    rows = pairs.count()
-    if rows == 0:
-        return pairs
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(classes, "v").select("row_key", "v", "set_key")
+def _sets(vertices: DataFrame, classes: DataFrame, source: DataFrame, words: int) -> DataFrame:
+    """(v, grams): the shingle sets of ``vertices``, from one text of each class."""
+    wanted = pinned(vertices.join(classes, "v").select("row_key", "v", "set_key"))
+    if wanted.count() <= NAMED:     # 8 bytes each: texts that nobody asked for stay where they are
+        source = source.join(F.broadcast(wanted.select("row_key").distinct()), "row_key", "left_semi")
 
     def read(batches):
         seen = WordHashes()
@@ -215,7 +217,15 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, words: i
 
     # a row key that two rows share names the wrong text for one of them: its set key shows it
     texts = source.select("row_key", "text").join(wanted, "row_key").select("v", "set_key", "text")
-    sets = pinned(texts.mapInArrow(read, "v long, grams binary").dropDuplicates(["v"]))
+    return pinned(texts.mapInArrow(read, "v long, grams binary").dropDuplicates(["v"]))
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are links on their full sets."""
+    rows = pairs.count()
+    if rows == 0:
+        return pairs
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct(), classes, source, words)
 
     def run(batches):
         for batch in batches:
@@ -226,42 +236,144 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, words: i
     return _with_sets(_with_sets(pairs, sets, "a", rows), sets, "b", rows).mapInArrow(run, "a long, b long")
 
 
-def _open_pairs(members: DataFrame, limit: int) -> DataFrame:
-    """Near pairs of a band whose ends lie in different components. ``members``:
-    band, v, component, sketch, q (is a query), blocks and parts of the band."""
-    rows = members.select("band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("v"), "parts").cast("int").alias("part"),
-                          F.lit(1).alias("side"), "v", "component", "sketch", "q")
-    asked = members.filter("q").select("band", F.pmod(F.xxhash64("v", F.lit(5)), "blocks").cast("int").alias("block"),
-                                       F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"), "v", "component", "sketch", "q")
-    units = asked.unionByName(rows).repartition("band", "block", "part").sortWithinPartitions("band", "block", "part", "side", "v")
+def _units(members: DataFrame) -> DataFrame:
+    """``members`` of open bands (with q, blocks and parts of the band) dealt into units
+    (band, block, part): queries, side 0, before the members that stream past them."""
+    block, part = F.pmod(F.xxhash64("v", F.lit(5)), "blocks").cast("int"), F.pmod(F.xxhash64("v"), "parts").cast("int")
+    streamed = members.select("band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), part.alias("part"), F.lit(1).alias("side"), "v", "component", "q")
+    asked = members.filter("q").select("band", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                                       F.lit(0).alias("side"), "v", "component", "q")
+    return asked.unionByName(streamed)
+
+
+class Unit:
+    """Queries of one unit, and the pairs that a streamed member makes with them."""
+
+    def __init__(self, band: int, limit: int, percent: int):
+        self.band, self.limit, self.percent = band, limit, percent
+        self.rows: list[tuple] = []
+
+    def add(self, row: tuple) -> None:
+        self.rows.append(row)
+
+    def close(self) -> None:
+        self.v, self.component, self.size = (np.array([r[k] for r in self.rows], np.int64) for k in range(3))
+        self.bands = np.array([r[3] for r in self.rows], np.int64).reshape(-1, HASHES // ROWS)
+        self.sketches = np.array([r[4] for r in self.rows], np.uint8).reshape(-1, HASHES)
+        self.place = (self.bands == self.band).argmax(1)
+
+    def near(self, v: int, component: int, size: int, keys: np.ndarray, sketch: np.ndarray, also: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Queries that may be linked with a member, and their equal coordinates: of
+        other components, of fitting size, met in no earlier band. Two queries meet
+        from either side and are taken once."""
+        at = (self.component != component) & (100 * np.minimum(self.size, size) >= self.percent * np.maximum(self.size, size))
+        if also:
+            at &= self.v < v
+        at = np.flatnonzero(at)
+        equal = (self.sketches[at] == sketch).sum(1)
+        at, equal = at[equal >= self.limit], equal[equal >= self.limit]
+        first = (self.bands[at] == keys).argmax(1) == self.place[at]
+        return at[first], equal[first]
+
+
+def _touched(units: DataFrame, classes: DataFrame, limit: int, percent: int) -> DataFrame:
+    """The rows of ``units`` that are near another one of their unit: at most all of
+    them, however many pairs they make."""
+    def run(batches):
+        unit, name, hit = None, None, np.zeros(0, bool)
+        schema = ["band", "block", "part", "side", "v", "component", "q"]
 
+        def made(out):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()))], schema)
+
+        def asked():
+            return [(*name, 0, int(unit.v[k]), int(unit.component[k]), True) for k in np.flatnonzero(hit)]
+
+        for batch in batches:
+            out = []
+            bands = np.frombuffer(b"".join(batch.column(8).to_pylist()), np.int64).reshape(-1, HASHES // ROWS)
+            sketches = np.frombuffer(b"".join(batch.column(9).to_pylist()), np.uint8).reshape(-1, HASHES)
+            for k, (band, block, part, side, v, component, q, size) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(8)))):
+                if (band, block, part) != name:
+                    out += asked() if len(hit) else []
+                    name, unit, hit = (band, block, part), Unit(band, limit, percent), np.zeros(0, bool)
+                if side == 0:
+                    unit.add((v, component, size, bands[k], sketches[k]))
+                    continue
+                if len(hit) == 0:
+                    unit.close()
+                    hit = np.zeros(len(unit.rows), bool)
+                at, _ = unit.near(v, component, size, bands[k], sketches[k], q)
+                if len(at):
+                    hit[at] = True
+                    out.append((*name, 1, v, component, q))
+            yield made(out)
+        if len(hit):
+            yield made(asked())
+
+    known = units.join(classes.select("v", "n_shingles", "bands", "sketch"), "v").select(*units.columns, "n_shingles", "bands", "sketch")
+    dealt = known.repartition("band", "block", "part").sortWithinPartitions("band", "block", "part", "side", "v")
+    return dealt.mapInArrow(run, "band long, block int, part int, side int, v long, component long, q boolean")
+
+
+def _linked_in_units(touched: DataFrame, classes: DataFrame, sets: DataFrame, limit: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of each unit, confirmed on full sets, the
+    nearest pairs of a member first; pairs that are joined already are passed over."""
     def run(batches):
-        unit, v, component, seen = None, [], [], []
+        unit, name, grams, root, closed = None, None, [], {}, False
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
         for batch in batches:
-            names = list(zip(*(batch.column(k).to_pylist() for k in range(3))))
-            side, vs, cs = (batch.column(k).to_numpy() for k in (3, 4, 5))
-            sketches = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, HASHES)
-            also = batch.column(7).to_numpy(zero_copy_only=False)
             out_a, out_b = [], []
-            for k, name in enumerate(names):
-                if name != unit:
-                    unit, v, component, seen = name, [], [], []
-                if side[k] == 0:
-                    v.append(vs[k])
-                    component.append(cs[k])
-                    seen.append(sketches[k])
+            bands = np.frombuffer(b"".join(batch.column(8).to_pylist()), np.int64).reshape(-1, HASHES // ROWS)
+            sketches = np.frombuffer(b"".join(batch.column(9).to_pylist()), np.uint8).reshape(-1, HASHES)
+            held = batch.column(10)
+            for k, (band, block, part, side, v, component, q, size) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(8)))):
+                if (band, block, part) != name:
+                    name, unit, grams, root, closed = (band, block, part), Unit(band, limit, percent), [], {}, False
+                mine = np.frombuffer(held[k].as_py(), np.uint64)
+                if side == 0:
+                    unit.add((v, component, size, bands[k], sketches[k]))
+                    grams.append(mine)
                     continue
-                if isinstance(seen, list):
-                    v, component, seen = np.array(v), np.array(component), np.array(seen, np.uint8).reshape(-1, HASHES)
-                # two queries meet twice, once from either side
-                meet = np.flatnonzero((component != cs[k]) & ((v < vs[k]) if also[k] else np.ones(len(v), bool)))
-                if len(meet):
-                    near = meet[(seen[meet] == sketches[k]).sum(1) >= limit]
-                    out_a += np.maximum(v[near], vs[k]).tolist()
-                    out_b += np.minimum(v[near], vs[k]).tolist()
+                if not closed:
+                    unit.close()
+                    closed = True
+                at, equal = unit.near(v, component, size, bands[k], sketches[k], q)
+                for j in at[np.argsort(-equal, kind="stable")].tolist():
+                    x, y = find(component), find(int(unit.component[j]))
+                    if x != y and linked(mine, grams[j], percent):
+                        root[max(x, y)] = min(x, y)
+                        out_a.append(v)
+                        out_b.append(int(unit.v[j]))
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    return units.mapInArrow(run, "a long, b long").distinct()
+    known = touched.join(classes.select("v", "n_shingles", "bands", "sketch"), "v").join(sets, "v").select(*touched.columns, "n_shingles", "bands", "sketch", "grams")
+    dealt = known.repartition("band", "block", "part").sortWithinPartitions("band", "block", "part", "side", "v")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _open(placed: DataFrame, rows: int) -> DataFrame:
+    """The rows (band, v, component, n_shingles) of bands whose members are in several
+    components, with main, the largest one of the band, its size n, and the number of
+    members and shingles outside it."""
+    shares = placed.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    mixed = shares.groupBy("band").agg(F.max(F.struct("n", "component", "size")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("k"))
+    mixed = mixed.filter("k > 1").select("band", F.col("most.component").alias("main"), "n", F.col("n").alias("members"), (F.col("n") - F.col("most.n")).alias("others"),
+                                         (F.col("size") - F.col("most.size")).alias("others_size"))
+    return pinned(attach(placed, pinned(mixed), "band", "n", rows).filter("main is not null"))
+
+
+def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` with the component of each."""
+    grouped = components(links).select(F.col("vertex").alias("v"), F.col("root").alias("component"))
+    return pinned(members.join(grouped, "v", "left").withColumn("component", F.coalesce("component", "v")))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT,
@@ -273,30 +385,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     limit = fewest(percent)
     classes = found.filter("set_key is not null").groupBy("set_key").agg(
         F.min("id").alias("low"), F.count("*").alias("copies"), F.min("row_key").alias("row_key"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        F.min("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = pinned(classes.withColumn("v", F.monotonically_increasing_id()))
     rows = classes.count() * (HASHES // ROWS)
 
     members = _members(classes)
     crowded = members.groupBy("band").agg(F.min("v").alias("leader"), F.max("v").alias("top"), F.count("*").alias("n")).filter("leader <> top")
-    led = pinned(attach(members, crowded.select("band", "leader", "n"), "band", "n", rows).filter("leader is not null"))
-    first = pinned(led.filter("v <> leader").select(F.col("v").alias("a"), F.col("leader").alias("b")).distinct())
+    led = pinned(attach(members, crowded.select("band", "leader", "n"), "band", "n", rows).filter("v <> leader"))
+    first = pinned(led.select(F.col("v").alias("a"), F.col("leader").alias("b")).distinct())
     near = pinned(_near(first, classes, first.count(), limit))
     links = pinned(_confirmed(near, classes, source, words, percent))
 
     # bands in which members other than the leader are in different components
-    grouped = components(links).select(F.col("vertex").alias("v"), F.col("root").alias("component"))
-    placed = led.filter("v <> leader").select("band", "v").join(grouped, "v", "left").withColumn("component", F.coalesce("component", "v"))
-    placed = pinned(placed)
-    shares = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
-    mixed = shares.groupBy("band").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("components")).filter("components > 1")
-    units = mixed.select("band", F.col("most.component").alias("main"), "n", F.ceil((F.col("n") - F.col("most.n")) / queries).cast("int").alias("blocks"),
-                         F.ceil(F.col("n") / stream).cast("int").alias("parts"))
-    still = attach(placed, pinned(units), "band", "n", rows).filter("main is not null").withColumn("q", F.col("component") != F.col("main")).drop("main")
-    still = pinned(still)
-    shown = still.join(classes.select("v", "sketch"), "v").select(*still.columns, "sketch")
-    more = pinned(_open_pairs(shown, limit))
-    links = links.unionByName(_confirmed(more, classes, source, words, percent))
+    followers = led.select("band", "v").join(classes.select("v", "n_shingles"), "v")
+    still = _open(_placed(followers, links), rows)
+    sized = still.withColumn("q", F.col("component") != F.col("main")).withColumn("parts", F.ceil(F.col("members") / stream).cast("int")).withColumn(
+        "blocks", F.greatest(F.ceil(F.col("others") / queries), F.ceil(F.col("others_size") / SHINGLES)).cast("int"))
+    touched = pinned(_touched(_units(sized), classes, limit, percent))
+    sets = _sets(touched.select("v").distinct(), classes, source, words)
+    links = links.unionByName(pinned(_linked_in_units(touched, classes, sets, limit, percent)))
 
     joined = components(links).select(F.col("vertex").alias("v"), "root")
     named = classes.select("set_key", "v", "low", "copies").join(joined, "v", "left").withColumn("root", F.coalesce("root", "v"))
