@@ -250,13 +250,15 @@ def near_duplicates(
     """One row for each row of ``docs``: key, text_hash, set_key, class_id, n_links,
     where n_links counts the documents of similarity ``threshold`` or more."""
     source = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
-    found = pinned(signatures(source.select(F.struct("id", F.xxhash64("text").alias("text_hash")).alias("id"), "text"), "text", words)
-                   .select("id.id", "id.text_hash", "set_key", "signature"))
+    source = source.withColumn("row_key", F.xxhash64("id", "text"))
+    found = pinned(signatures(source.select(F.struct("id", F.xxhash64("text").alias("text_hash"), "row_key").alias("id"), "text"), "text", words)
+                   .select("id.id", "id.text_hash", "id.row_key", "set_key", "signature"))
     classes = pinned(found.filter("set_key is not null").groupBy("set_key").agg(
-        F.min("id").alias("low"), F.count("*").alias("copies"), F.min("signature").alias("signature"), F.min("text_hash").alias("text_hash")))
+        F.min("id").alias("low"), F.count("*").alias("copies"), F.min("signature").alias("signature"), F.min("row_key").alias("row_key")))
     clusters = components(_band_links(classes)).select(F.col("vertex").alias("set_key"), F.col("root").alias("cluster"))
     sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    # the text of one document for each clustered class is read again for its shingles
+    # the text of one document for each clustered class is read again for its shingles;
+    # one row is named, so that the copies of a text do not meet in a task
     wanted = classes.join(clusters, "set_key").join(sizes, "cluster")
 
     def regram(batches):
@@ -265,10 +267,9 @@ def near_duplicates(
             grams = pa.array([shingles(t, seen, words).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
             yield batch.drop_columns(["text"]).append_column("grams", grams)
 
-    texts = source.withColumn("text_hash", F.xxhash64("text")).join(wanted.select("text_hash").distinct(), "text_hash", "left_semi")
-    texts = texts.select("text_hash", "text").dropDuplicates(["text_hash"])
-    held = wanted.select("cluster", "blocks", F.pmod(F.xxhash64("set_key"), "blocks").cast("int").alias("block"), "set_key", "copies", "signature", "text_hash")
-    grams = pinned(held.join(texts, "text_hash").drop("text_hash").mapInArrow(
+    texts = source.select("row_key", "text").join(wanted.select("row_key").distinct(), "row_key", "left_semi").dropDuplicates(["row_key"])
+    held = wanted.select("cluster", "blocks", F.pmod(F.xxhash64("set_key"), "blocks").cast("int").alias("block"), "set_key", "copies", "signature", "row_key")
+    grams = pinned(held.join(texts, "row_key").drop("row_key").mapInArrow(
         regram, "cluster long, blocks int, block int, set_key long, copies long, signature binary, grams binary"))
     members = grams.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set_key", "copies", "signature", "grams")
@@ -279,7 +280,7 @@ def near_duplicates(
         "root", F.coalesce("root", "set_key"))
     named = named.join(named.groupBy("root").agg(F.min("low").alias("class_id")), "root").select(
         "set_key", F.col("root").alias("class_key"), "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return found.drop("signature").join(named, "set_key", "left").select(
+    return found.drop("signature", "row_key").join(named, "set_key", "left").select(
         F.col("id").alias(key), "text_hash", "set_key", "class_key",
         F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
