@@ -178,6 +178,29 @@ def test_streaming_load_follows_a_folder(spark, wh, tmp_path, files_per_batch):
     assert sorted(r.id for r in wh.table("bronze.feed").collect()) == [0, 1, 2, 3]
 
 
+def test_a_stream_adds_to_a_table_that_was_loaded_before(spark, wh, tmp_path):
+    drop = str(tmp_path / "drop")
+    incremental.load_increment(wh, feed(spark, *[(n, d(1, 1 + n)) for n in range(10)]), "bronze.feed", "changed", "bought")
+    arguments = (wh, drop, FEED, "bronze.feed", "changed", "bought", "parquet")
+    for first in (10, 20):
+        feed(spark, *[(n, d(1, 1 + n % 10)) for n in range(first, first + 10)]).coalesce(1).write.mode("append").parquet(drop)
+        follow_folder(*arguments)
+        assert wh.table("bronze.feed").count() == first + 10
+    assert sorted(r.id for r in wh.table("bronze.feed").collect()) == list(range(30))
+    # a repeated micro-batch is passed over
+    last = wh.table(incremental.LEDGER).filter("batch_id = 3").first()["operation"].split()
+    again = incremental.load_micro_batch(wh, feed(spark, (99, d(1))), "bronze.feed", "changed", "bought", last[1], int(last[2]))
+    assert again.row_count == 0 and wh.table("bronze.feed").count() == 30
+
+
+def test_a_stream_without_its_progress_is_refused(spark, wh):
+    rows = feed(spark, (1, d(1, 5)))
+    incremental.load_micro_batch(wh, rows, "bronze.feed", "changed", "bought", "first", 0)
+    with pytest.raises(RuntimeError, match="another stream"):
+        incremental.load_micro_batch(wh, rows, "bronze.feed", "changed", "bought", "second", 0)
+    assert wh.table("bronze.feed").count() == 1
+
+
 def test_a_repeated_batch_is_not_loaded_twice(spark, wh):
     for rows in (feed(spark, (1, d(1, 5))), feed(spark, (1, d(1, 5)), (2, d(1, 6)))):
         incremental.load_batch(wh, rows, "bronze.feed", "changed", "bought", 1)

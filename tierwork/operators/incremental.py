@@ -97,12 +97,31 @@ def publish_watermarks(wh: Warehouse) -> None:
     )
 
 
-def _commit(wh: Warehouse, name: str, batch_id: int, rows: int, mark: datetime, run_ts: datetime) -> None:
-    entry = (name, batch_id, uuid.uuid4().hex, "append", rows, mark, run_ts)
+def _commit(wh: Warehouse, name: str, batch_id: int, rows: int, mark: datetime, run_ts: datetime, operation: str) -> None:
+    entry = (name, batch_id, uuid.uuid4().hex, operation, rows, mark, run_ts)
     append_rows(wh, inline_rows(wh.spark, [entry], LEDGER_SCHEMA), LEDGER)
     publish_watermarks(wh)
 
 
+def load_micro_batch(wh: Warehouse, rows: DataFrame, name: str, mark_column: str, partition_ts: str, stream: str, epoch: int) -> Load:
+    """Append micro-batch ``epoch`` of a stream as the table's next batch.
+
+    The ledger keeps stream and epoch with the batch, so a repeated micro-batch is
+    told from a new one whatever else was loaded into the table. A stream that the
+    ledger doesn't know, on a table that another stream has fed, has lost its progress
+    and would load every file again: it is refused. One control row reaches the driver.
+    """
+    own, at = f"stream {stream} {epoch}", position(wh, name)
+    if at.batch_id:
+        fed = wh.table(LEDGER).filter((F.col("table_name") == name) & F.col("operation").startswith("stream "))
+        seen = fed.agg(F.count_if(F.col("operation") == own).alias("own"), F.count_if(~F.col("operation").startswith(f"stream {stream} ")).alias("others")).first()
+        if seen["own"]:
+            return Load(None, 0, at.watermark)
+        if seen["others"]:
+            raise RuntimeError(f"{name} was fed by another stream: its progress folder is lost, and the files it has read would be loaded again")
+    return load_batch(wh, rows, name, mark_column, partition_ts, at.batch_id + 1, operation=own)
+
+
 def load_increment(
     wh: Warehouse, df: DataFrame, name: str, mark_column: str, partition_ts: str,
     lookback: timedelta | None = None, keys: list[str] | None = None, run_ts: datetime | None = None,
@@ -128,9 +147,11 @@ def load_increment(
 
 def load_batch(
     wh: Warehouse, rows: DataFrame, name: str, mark_column: str, partition_ts: str, batch_id: int, run_ts: datetime | None = None,
+    operation: str = "append",
 ) -> Load:
     """Append ``rows`` as batch ``batch_id``, whatever their watermark. A batch that
-    the ledger already names is not loaded again."""
+    the ledger already names is not loaded again. ``operation`` is what the ledger
+    says of the batch."""
     at = position(wh, name)
     if batch_id <= at.batch_id:
         return Load(None, 0, at.watermark)
@@ -148,6 +169,6 @@ def load_batch(
             publish_empty(wh, name, with_partitions(rows, spec)[0].withColumn("batch_id", F.lit(0)))
         return Load(None, 0, at.watermark)
     mark = max(at.watermark, loaded["mark"] or at.watermark)
-    _commit(wh, name, batch_id, loaded["n"], mark, run_ts or datetime.now(timezone.utc))
+    _commit(wh, name, batch_id, loaded["n"], mark, run_ts or datetime.now(timezone.utc), operation)
     publish(wh, name, wh.location(name), f"batch_id <= {batch_id}")
     return Load(batch_id, loaded["n"], mark)

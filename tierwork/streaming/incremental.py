@@ -1,10 +1,11 @@
 """Batches driven by arriving files.
 
 Structured Streaming remembers which files were read and numbers its
-micro-batches; each becomes the table's batch of that number. What is loaded does
-not depend on how many files one micro-batch holds, nor on the order in which
-they arrive, and a micro-batch that is repeated after a failure is not loaded
-twice. A table is fed either so or by watermark loads.
+micro-batches; each becomes the table's next batch, and the ledger keeps the stream
+and the number with it. What is loaded does not depend on how many files one
+micro-batch holds, nor on the order in which they arrive; a micro-batch that is
+repeated after a failure is not loaded twice, and one of a table that watermark
+loads have fed as well is not lost. A stream without its progress is refused.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from ..operators.incremental import load_batch
+from ..operators.incremental import load_micro_batch
 from ..sinks.tables import Warehouse
 
 
@@ -28,7 +29,9 @@ def follow_folder(
     )
 
     def load(batch: DataFrame, epoch: int) -> None:
-        load_batch(wh, batch, name, mark_column, partition_ts, epoch + 1)
+        # Spark names the query here; the name stays with the progress folder
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_micro_batch(wh, batch, name, mark_column, partition_ts, stream, epoch)
 
     query = (
         arriving.writeStream.foreachBatch(load)
