@@ -4,6 +4,9 @@ Facts are aggregated by the foreign key before they meet a dimension. The join
 then carries one row per key, a hot key included, and needs no extra shuffle:
 the aggregate already left its rows partitioned by that key.
 
+Where order ids repeat, ``order_number`` names a column with a whole number for each
+order: distinct orders are then counted by bitmaps, and no order id is shuffled.
+
 ``orders_unique`` states that ``order_id`` is unique in the fact (the gold suite
 checks it). Counting rows then replaces the exact distinct count, which would
 shuffle every order id.
@@ -14,11 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import MONEY, as_amount, exact_sum, not_in, percent, reached
+from ..operators.distinct import bitmap_counts, id_bitmaps, merged_bitmaps
 from ..operators.joins import keep_known
 from ..operators.profiles import repeat_rate
 from ..operators.skew import HotKey, fits_broadcast, hot_keys, split_join
 from ..operators.windows import dominant_value
 from ..schema import NON_REVENUE_STATUSES
+from ..sinks.bucketed import Bucketed, bucket_join
 
 
 def revenue_orders(fact_orders: DataFrame) -> DataFrame:
@@ -43,8 +48,13 @@ def _to_dimension(per_key: DataFrame, fact: DataFrame, dim: DataFrame, key: str,
     return split_join(per_key, dim, [key], "inner", [] if unique else hot_keys(fact, [key]))
 
 
-def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame, orders_unique: bool = False) -> DataFrame:
+def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame, orders_unique: bool = False, order_number: str | None = None) -> DataFrame:
     """Revenue and orders per month; dates outside the calendar are dropped."""
+    if order_number and not orders_unique:
+        daily = id_bitmaps(revenue_orders(fact_orders), ["purchase_date_id"], order_number, {"_revenue": exact_sum("total_revenue")})
+        monthly = merged_bitmaps(daily.join(dim_date.select(F.col("date_id").alias("purchase_date_id"), "year", "month"), "purchase_date_id"), ["year", "month"], ["_revenue"])
+        return bitmap_counts(monthly, ["year", "month"], "order_count", ["_revenue"]).select(
+            "year", "month", as_amount("_revenue").alias("revenue"), "order_count").orderBy("year", "month")
     daily = _per_order_rows(
         revenue_orders(fact_orders), ["purchase_date_id"], orders_unique, _revenue=exact_sum("total_revenue"))
     days = dim_date.select(F.col("date_id").alias("purchase_date_id"), "year", "month")
@@ -55,7 +65,18 @@ def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame, orders_unique:
     )
 
 
-def state_performance(fact_orders: DataFrame, dim_customer: DataFrame, orders_unique: bool = False) -> DataFrame:
+def state_performance(
+    fact_orders: DataFrame, dim_customer: DataFrame, orders_unique: bool = False, order_number: str | None = None,
+) -> DataFrame:
+    if order_number and not orders_unique:
+        # a customer has few orders, so the state is attached to the rows before ids become bits
+        sold = revenue_orders(fact_orders).select("customer_id", order_number, "total_revenue", "delivery_days")
+        placed = split_join(sold, dim_customer.select("customer_id", "state"), ["customer_id"], "inner", hot_keys(fact_orders, ["customer_id"]))
+        parts = id_bitmaps(placed, ["state"], order_number, {
+            "_revenue": exact_sum("total_revenue"), "_days": F.sum("delivery_days"), "_delivered": F.count("delivery_days")})
+        return bitmap_counts(parts, ["state"], "order_count", ["_revenue", "_days", "_delivered"]).select(
+            "state", "order_count", as_amount("_revenue").alias("revenue"), F.round(F.try_divide("_days", "_delivered"), 2).alias("avg_delivery_days")
+        ).orderBy(F.desc("order_count"), "state")
     per_customer = _per_order_rows(
         revenue_orders(fact_orders), ["customer_id"], orders_unique, _revenue=exact_sum("total_revenue"),
         _days=F.sum("delivery_days"), _delivered=F.count("delivery_days"),
@@ -76,7 +97,15 @@ def category_ranking(
     fact_items: DataFrame, fact_orders: DataFrame, dim_product: DataFrame, hot_orders: list[HotKey] | None = None,
 ) -> DataFrame:
     """Revenue and items sold per category, over items of revenue orders."""
-    sold = keep_known(fact_items, revenue_orders(fact_orders), ["order_id"], hot_orders)
+    return _ranked(keep_known(fact_items, revenue_orders(fact_orders), ["order_id"], hot_orders), dim_product)
+
+
+def category_ranking_of_buckets(fact_items: Bucketed, fact_orders: Bucketed, dim_product: DataFrame) -> DataFrame:
+    """The same from facts bucketed by order: items meet their orders without a shuffle."""
+    return _ranked(bucket_join(fact_items, fact_orders, "left_semi", [], not_in("order_status", NON_REVENUE_STATUSES)), dim_product)
+
+
+def _ranked(sold: DataFrame, dim_product: DataFrame) -> DataFrame:
     per_product = sold.groupBy("product_id").agg(exact_sum("price").alias("_revenue"), F.count("*").alias("_items"))
     return (
         per_product.join(dim_product.select("product_id", "category_name_english"), "product_id")

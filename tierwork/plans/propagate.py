@@ -28,6 +28,7 @@ the bronze suite reports them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -46,6 +47,7 @@ LOG = "meta.propagation"
 LOG_SCHEMA = "batch_id bigint, step string, at timestamp"
 SUM = "decimal(38,2)"
 PERSONS = "platinum.state_persons"
+AT_ONCE = 4     # writes that run at the same time
 
 
 @dataclass(frozen=True)
@@ -202,6 +204,10 @@ class _Batch:
         df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
         return self.wh.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
+    def keep_all(self, folder: str, built: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            return dict(zip(built, pool.map(lambda name: self.keep(f"{folder}/{name}", built[name]), built)))
+
     def current(self, name: str, ids: DataFrame, key: str, slot_of: str | None) -> DataFrame | None:
         """Rows of a table whose ``key`` is among ``ids``. Where the key names the slot,
         only slots that occur in ``ids`` are read: their numbers, at most one for each
@@ -260,7 +266,7 @@ def _replaced(old: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFra
 def _stage(b: _Batch) -> None:
     """Write what the batch changes: new silver rows, new fact rows, signed sums."""
     wh = b.wh
-    new = {t: b.keep(f"silver/{t}", b.new_silver(t)) for t in KEYS if t in b.changes}
+    new = b.keep_all("silver", {t: b.new_silver(t) for t in KEYS if t in b.changes})
 
     def ids(*frames: DataFrame) -> DataFrame:
         return reduce(DataFrame.unionByName, [f.select("order_id") for f in frames]).filter("order_id is not null").distinct()
@@ -292,7 +298,8 @@ def _stage(b: _Batch) -> None:
         "order_payments": old("silver.order_payments", paid, "order_id", "order_id", empty["order_payments"]),
         "order_reviews": old("silver.order_reviews", orders, "order_id", "review_id", empty["order_reviews"]),
     }
-    after = {t: _replaced(before[t], fresh[t], KEYS[t][0]) for t in before}
+    before = b.keep_all("before", before)
+    after = b.keep_all("after", {t: _replaced(before[t], fresh[t], KEYS[t][0]) for t in before})
     dims = {t: wh.table(f"silver.{t}").drop("slot") if wh.exists(f"silver.{t}") else empty[t] for t in DIMENSIONS}
     new_dims = {t: _replaced(dims[t], fresh[t], KEYS[t][0]) for t in DIMENSIONS}
     facts = {
@@ -301,14 +308,13 @@ def _stage(b: _Batch) -> None:
         "fact_reviews": gold.fact_reviews(after["order_reviews"]),
         "fact_payments": after["order_payments"].select("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"),
     }
-    facts = {name: b.keep(f"gold/{name}", df) for name, df in facts.items()}
+    facts = b.keep_all("gold", facts)
     was = _star(
-        old("gold.fact_orders", orders, "order_id", "order_id", facts["fact_orders"].limit(0)), gold.fact_order_items(before["order_items"]),
+        b.keep("before/facts", old("gold.fact_orders", orders, "order_id", "order_id", facts["fact_orders"].limit(0))), gold.fact_order_items(before["order_items"]),
         gold.fact_reviews(before["order_reviews"]), before["order_payments"], dims["customers"], dims["products"], b.dates)
     now = _star(facts["fact_orders"], facts["fact_order_items"], facts["fact_reviews"], facts["fact_payments"], new_dims["customers"], new_dims["products"], b.dates)
     sums_before, sums_after = partial_marts(was), partial_marts(now)
-    for mart in sums_after:
-        b.keep(f"delta/{mart}", difference(sums_before[mart], sums_after[mart], GROUPS[mart]))
+    b.keep_all("delta", {mart: difference(sums_before[mart], sums_after[mart], GROUPS[mart]) for mart in sums_after})
     # persons: what their orders change, and what they had
     moved = b.keep("persons", difference(person_orders(was), person_orders(now), ["person"]))
     slots = F.pmod(F.xxhash64("person"), F.lit(b.layout.slots))
@@ -324,7 +330,7 @@ def _stage(b: _Batch) -> None:
 def _apply(wh: Warehouse, batch: int, layout: Layout) -> dict[str, list]:
     """Rewrite the touched slots and fold the sums; returns the slots by table."""
     spark, folder = wh.spark, _folder(wh, batch)
-    written = {}
+    rewritten = {}
 
     def staged(name: str) -> DataFrame | None:
         try:
@@ -338,8 +344,11 @@ def _apply(wh: Warehouse, batch: int, layout: Layout) -> dict[str, list]:
         for table, (keys, slot_of) in tables.items():
             rows = staged(f"{layer}/{table}")
             if rows is not None:
-                written[f"{layer}.{table}"] = upsert_partitions(wh, rows.withColumn("slot", layout.slot(slot_of)), f"{layer}.{table}", keys, "slot")
-    written[PERSONS] = upsert_partitions(wh, staged("persons_after"), PERSONS, ["person"], "slot")
+                rewritten[f"{layer}.{table}"] = (rows.withColumn("slot", layout.slot(slot_of)), keys)
+    rewritten[PERSONS] = (staged("persons_after"), ["person"])
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        slots = pool.map(lambda name: upsert_partitions(wh, rewritten[name][0], name, rewritten[name][1], "slot"), rewritten)
+        written = dict(zip(rewritten, slots))
     states = {}
     for mart, groups in GROUPS.items():
         name, delta = f"platinum.state_{mart}", staged(f"delta/{mart}")

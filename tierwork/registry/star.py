@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.skew import hot_keys
 from ..plans import gold, marts, pipeline, silver
+from ..sinks.bucketed import write_bucketed
 from . import roles
 from .base import SQL, Tables, query
 from .roles import table_sql, with_ctes
@@ -222,6 +223,25 @@ def mart_customer_retention(t: Tables) -> DataFrame:
     return marts.customer_retention(_fact_orders(t), _dim_customer(t), orders_unique=True)
 
 
+BUCKETS = 16
+
+
+@query(SQL["fact_orders"])
+def fact_orders_bucketed(t: Tables) -> DataFrame:
+    """Orders and items stored in buckets of the order, then joined bucket by bucket."""
+    wh = t.warehouse("buckets")
+    orders = write_bucketed(wh, _silver_orders(t), "silver.orders", "order_id", BUCKETS, unique=True)
+    return gold.fact_orders_of_buckets(orders, write_bucketed(wh, _silver_items(t), "silver.order_items", "order_id", BUCKETS))
+
+
+@query(SQL["mart_category_ranking"])
+def mart_category_ranking_bucketed(t: Tables) -> DataFrame:
+    wh = t.warehouse("buckets")
+    orders = write_bucketed(wh, _silver_orders(t), "gold.fact_orders", "order_id", BUCKETS, unique=True)
+    items = write_bucketed(wh, gold.fact_order_items(_silver_items(t)), "gold.fact_order_items", "order_id", BUCKETS)
+    return marts.category_ranking_of_buckets(items, orders, _dim_product(t))
+
+
 # mart -> the whole-number column whose sum is compared
 _CHECKED = {
     "mart_monthly_revenue": "order_count", "mart_state_performance": "order_count", "mart_category_ranking": "items_sold",
@@ -273,6 +293,17 @@ def mart_state_of_repeated_orders(t: Tables) -> DataFrame:
     return marts.state_performance(_twice(_fact_orders(t)), _dim_customer(t))
 
 
+@query(SQL["mart_monthly_of_repeated_orders"])
+def mart_monthly_by_bitmaps(t: Tables) -> DataFrame:
+    """The given order ids are whole numbers already."""
+    return marts.monthly_revenue(_twice(_fact_orders(t)), gold.dim_date_for(t.orders, "o_orderdate"), order_number="order_id")
+
+
+@query(SQL["mart_state_of_repeated_orders"])
+def mart_state_by_bitmaps(t: Tables) -> DataFrame:
+    return marts.state_performance(_twice(_fact_orders(t)), _dim_customer(t), order_number="order_id")
+
+
 @query(SQL["mart_review_by_category"])
 def mart_review_of_repeated_reviews(t: Tables) -> DataFrame:
     return marts.review_by_category(
