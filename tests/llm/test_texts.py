@@ -253,3 +253,19 @@ def test_license_edges(edge_docs, no_docs):
     assert licenses.scan(no_docs).count() == 0
     with pytest.raises(ValueError):
         licenses.scan(edge_docs, rules=[("X", ("no.such",))])
+
+
+def test_toxicity_stage_keeps_documents_when_nothing_was_learnt(spark, folder):
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(k, sentence(rng, 30), "en", "s", 1) for k in range(60)], DOCUMENTS)
+    labels = spark.createDataFrame([(k, 1, 1) for k in range(2)], "doc_id long, quality int, toxic int")
+    assert toxicity.stage(spark, docs, folder(documents=docs, labels=labels)).count() == 60
+
+
+def test_language_keeps_a_column_of_the_helper_name(spark, edge_docs):
+    model = language.learn_from(edge_docs)
+    plain = language.identify(edge_docs, model)
+    clash = language.identify(edge_docs.withColumn("_language", F.lit("mine")), model)
+    assert clash.columns == [*edge_docs.columns, "_language", "lang_pred", "score", "rejected"]
+    rows = lambda df: sorted((tuple(r) for r in df.drop("_language", "text").collect()), key=str)      # noqa: E731
+    assert rows(clash) == rows(plain) and {r["_language"] for r in clash.select("_language").collect()} == {"mine"}

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import counts_in_batches, fold, query, table
+from .common import counts_in_batches, fold, fresh, query, table
 
 BUCKETS = 1 << 14
 SAMPLE_PER_LANGUAGE = 1500      # documents of each language that centroids are fitted on
@@ -166,9 +166,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         return pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score", "rejected"])
 
     names = ("lang_pred", "score", "rejected")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in names]
-    return docs.select(*kept, of(F.col(text).cast("string")).alias("_language")).select(
-        *kept, *[F.col(f"_language.{n}").alias(n) for n in names])
+    kept, found = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in names], fresh(docs, "language")
+    return docs.select(*kept, of(F.col(text).cast("string")).alias(found)).select(
+        *kept, *[F.col(f"{found}.{n}").alias(n) for n in names])
 
 
 def learn_from(docs: DataFrame) -> Model:

@@ -267,7 +267,11 @@ def op6_compression_toxicity(spark, folder):
 
 
 def stage(spark, docs, folder):
-    """Drop the documents predicted to be toxic."""
+    """Drop the documents predicted to be toxic. Labels from which nothing could be
+    learnt (one class alone, or no telling words) drop no document: their share of
+    toxic rows says nothing about a text."""
     model = learn_from(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    if model.weights is None:
+        return docs
     mark = fresh(docs, "toxicity")
     return docs.withColumn(mark, score_column(spark, model, F.col("text"))).filter(F.col(mark) < THRESHOLD).drop(mark)
