@@ -240,8 +240,11 @@ def append_batch(wh: Warehouse, df: DataFrame, name: str, batch_id: int, partiti
     """Append one batch to an append-only table and return its folder.
 
     The batch owns the folder ``batch_id=<n>``; writing it again replaces it, so
-    a retried batch cannot load twice.
+    a retried batch cannot load twice. Batches are Parquet folders; with another
+    table format they would be files that its catalog doesn't know, so it is refused.
     """
+    if wh.table_format != "parquet":
+        raise ValueError("batches are appended as Parquet folders; use the table format's own append")
     folder = f"{wh.location(name)}/batch_id={batch_id}"
     writer = partitioned_writer(df.drop("batch_id"), partitioned_by, "overwrite")
     writer.option("partitionOverwriteMode", "static").parquet(folder)
