@@ -126,6 +126,45 @@ def test_unreachable_targets_end_at_the_least_squares(spark):
     assert found == pytest.approx([best, 0.0], abs=2e-3)
 
 
+def test_rates_agree_with_least_squares_by_hand(spark):
+    """Against the rates nearest to 1 among those that meet all targets; where rates
+    are held at 0, against the targets."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    n, rows = 5, 60
+    p = rng.dirichlet([0.4] * n, rows)
+    t = rng.integers(1, 400, rows).astype(float)
+    table = spark.createDataFrame([(x, *y) for x, y in zip(t.tolist(), p.tolist())], ", ".join(["mt double", *[f"m{k} double" for k in range(n)]])).coalesce(1)
+
+    def found(weights):
+        rates = mixing.descend(table, weights, "m")
+        got = {r["m0"]: r["rate"] for r in table.withColumn("rate", rates.of("m", n)).collect()}
+        return rates, np.array([got[x] for x in p[:, 0].tolist()])
+
+    mass = t @ p
+    near = (mass * [1.1, 0.9, 1.05, 0.95, 1.0]).tolist()
+    rates, got = found(near)
+    goal = t.sum() * np.array(near) / sum(near)
+    assert got == pytest.approx(1 + p @ np.linalg.solve((p * t[:, None]).T @ p, goal - mass), abs=1e-3) and rates.residual <= 1e-4
+
+    far = [1.0, 2.0, 3.0, 4.0, 5.0]
+    rates, got = found(far)
+    goal = t.sum() * np.array(far) / sum(far)
+    assert got.min() >= 0 and (got == 0).any() and (t * got) @ p == pytest.approx(goal, rel=1e-3)
+    assert len(rates.steps) > mixing.CHAIN      # rates that were stored on the way are those of the whole chain
+    assert (t * got) @ p == pytest.approx(np.array(rates.expected), rel=1e-6)
+
+
+def test_rare_domains_are_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SAMPLE", 60)
+    rows = [(i, f"word{i % 7} of {i % 11}", "x", "big", 1) for i in range(2000)] + [(5000, "quite other words here", "x", "zz", 1)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    posteriors, classifier, _, prefix = mixing.mix(docs, {"big": 1.0, "absent": 1.0, "zz": 1.0})
+    assert classifier.domains == ["absent", "big", "zz"] and classifier.unseen == (0,)
+    rare = posteriors.filter("doc_id = 5000").first()
+    assert rare[f"{prefix}2"] > 0.05 and rare[f"{prefix}0"] > 0
+
+
 def test_unnamed_sources_rest_on_the_classifier(spark):
     docs = mixable(spark)
     posteriors, _, _, prefix = mixing.mix(docs.withColumn("source", F.when(F.col("doc_id") % 5 != 0, F.col("source"))), {"a": 1.0, "b": 1.0})
