@@ -228,6 +228,41 @@ def test_a_broken_source_stops_at_its_gate(spark, tmp_path):
     with pytest.raises(QualityError, match="customers.customer_id_not_null.*sellers.row_count_gt_0"):
         pipeline.run_all(wh, pipeline.csv_reader(wh.spark, f"{tmp_path}/csv"), run_ts=RUN)
     assert not wh.exists("silver.orders")
+    assert not wh.exists("bronze.sellers")      # what failed was never published
+
+
+def test_a_failing_suite_leaves_readers_on_the_old_version(run, tmp_path):
+    """A later run whose sources break a silver check, and one that breaks a gold one."""
+    _, tables, _ = run
+    folder = str(tmp_path)
+    wh = Warehouse(run[0].spark, f"{folder}/wh", namespace=f"p{uuid.uuid4().hex[:10]}_")
+    write_csv(f"{folder}/good", tables)
+    pipeline.run_all(wh, pipeline.csv_reader(wh.spark, f"{folder}/good"), run_ts=RUN)
+    before = {t: sorted(map(str, wh.table(t).collect())) for t in ("silver.order_payments", "silver.products", "gold.fact_orders")}
+
+    odd = [["o0", 1, "shells", "2", "3.00"], *tables["order_payments"][1:]]
+    write_csv(f"{folder}/odd", {**tables, "order_payments": odd, "products": tables["products"][:-1]})
+    with pytest.raises(QualityError, match="1 check.*silver.order_payments.payment_type_accepted_values"):
+        pipeline.run_all(wh, pipeline.csv_reader(wh.spark, f"{folder}/odd"), run_ts=RUN)
+    assert {t: sorted(map(str, wh.table(t).collect())) for t in before} == before
+    failed = wh.table("meta.dq_results").filter("NOT passed").collect()
+    assert [(r.table_name, r.value) for r in failed] == [("silver.order_payments", 1.0)]
+    assert wh.table("meta.job_log").filter("status = 'failed'").first()["job_name"] == "silver_transform"
+
+    write_csv(f"{folder}/lost", {**tables, "products": tables["products"][:2]})
+    with pytest.raises(QualityError, match="fk_product_id"):
+        pipeline.run_all(wh, pipeline.csv_reader(wh.spark, f"{folder}/lost"), run_ts=RUN)
+    assert wh.table("silver.products").count() == 2                    # silver has no check against it
+    assert sorted(map(str, wh.table("gold.fact_orders").collect())) == before["gold.fact_orders"]
+    assert wh.table("gold.dim_product").count() == 12                  # no dimension without its facts
+
+
+def test_row_checks_taken_while_writing_agree_with_a_scan(run):
+    wh, _, _ = run
+    logged = {(r.table_name, r.check_name): (r.passed, r.value, r.threshold) for r in wh.table("meta.dq_results").collect()}
+    for layer in ("bronze", "silver", "gold"):
+        for r in pipeline.validate(wh, layer):
+            assert logged[r.table_name, r.check_name] == (r.passed, r.value, r.threshold)
 
 
 # ---- marts on facts that break the usual assumptions -------------------------------

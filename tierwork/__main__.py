@@ -17,7 +17,7 @@ from .session import build_session
 from .sinks.tables import Warehouse
 from .sources.jdbc import JdbcSource, column_slices
 
-STEPS = {"silver": pipeline.build_silver, "gold": pipeline.build_gold, "platinum": pipeline.build_platinum}
+STEPS = ("silver", "gold", "platinum")
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -40,7 +40,8 @@ def arguments() -> argparse.ArgumentParser:
         if name in ("run", "build"):
             command.add_argument("--calendar", nargs=2, metavar=("FIRST", "LAST"), default=CALENDAR_RANGE, help="days of the date dimension")
         if name == "build":
-            command.add_argument("layer", choices=sorted(STEPS))
+            command.add_argument("layer", choices=STEPS)
+            command.add_argument("--audit", action="store_true", help="publish only when the layer's suite passes (silver, gold)")
         if name == "validate":
             command.add_argument("layer", choices=["bronze", "silver", "gold"])
     return parser
@@ -67,7 +68,13 @@ def main(argv: list[str] | None = None) -> None:
         else:
             pipeline.ingest_bronze(wh, read, lookback=lookback)
     elif args.command == "build":
-        STEPS[args.layer](wh, *([tuple(args.calendar)] if args.layer == "gold" else []))
+        calendar = tuple(args.calendar)
+        if args.layer == "gold":
+            pipeline.build_gold(wh, calendar, args.audit)
+        elif args.layer == "silver":
+            pipeline.build_silver(wh, calendar if args.audit else None)
+        else:
+            pipeline.build_platinum(wh)
     else:
         pipeline.validate(wh, args.layer)
 

@@ -134,10 +134,28 @@ def _count_pair(left: DataFrame, right: DataFrame) -> DataFrame:
     return sides.agg(F.sum("value").alias("value"), F.sum("threshold").alias("threshold"))
 
 
-def check_table(df: DataFrame, table: str, layer: str, checks: list) -> DataFrame:
+def row_measures(checks: list) -> dict[str, Column]:
+    """The aggregates of the row-local checks, to be taken while a table is written."""
+    return {c.name: c.value for c in checks if isinstance(c, RowCheck)}
+
+
+def _settled(spark: SparkSession, table: str, layer: str, checks: list[RowCheck], measured: dict) -> DataFrame:
+    """Verdicts from values that were taken while the table was written."""
+    rows = []
+    for c in checks:
+        value = float(measured[c.name] or 0)
+        rows.append((table, layer, c.name, value > c.threshold if c.greater else value == c.threshold, value, float(c.threshold)))
+    return inline_rows(spark, rows, RESULT_SCHEMA.rsplit(",", 1)[0])
+
+
+def check_table(df: DataFrame, table: str, layer: str, checks: list, measured: dict | None = None) -> DataFrame:
     """Results of the checks of one table (without ``run_timestamp``). Foreign keys
     whose parents measure small are counted in the scan of the row-local checks,
-    with the parents' keys broadcast; others by :func:`orphan_counts`."""
+    with the parents' keys broadcast; others by :func:`orphan_counts`. Row-local
+    checks that ``measured`` names take their value from there and scan nothing."""
+    known_values = [c for c in checks if isinstance(c, RowCheck) and c.name in (measured or {})]
+    settled = [_settled(df.sparkSession, table, layer, known_values, measured)] if known_values else []
+    checks = [c for c in checks if c not in known_values]
     small = [c for c in checks if isinstance(c, ForeignKey) and fits_broadcast(c.parent.select(c.parent_key))]
     checks = [c for c in checks if c not in small]
     local = [c for c in checks if isinstance(c, RowCheck)]
@@ -145,7 +163,7 @@ def check_table(df: DataFrame, table: str, layer: str, checks: list) -> DataFram
         known = check.parent.select(F.col(check.parent_key).alias(f"_key{i}")).distinct().withColumn(f"_known{i}", F.lit(True))
         df = df.join(F.broadcast(known), F.col(check.child_key) == F.col(f"_key{i}"), "left")
         local.append(RowCheck(check.name, violations(F.col(f"_known{i}").isNull())))
-    parts = [_row_local(df, table, layer, local)] if local else []
+    parts = settled + ([_row_local(df, table, layer, local)] if local else [])
     for check in checks:
         if isinstance(check, Unique):
             found = duplicate_surplus(df, list(check.columns)).select(
@@ -161,9 +179,11 @@ def check_table(df: DataFrame, table: str, layer: str, checks: list) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_suite(layer: str, frames: list[tuple[str, DataFrame, list]]) -> DataFrame:
-    """Results of a whole suite: ``(table, frame, checks)`` entries."""
-    return reduce(DataFrame.unionByName, [check_table(df, table, layer, checks) for table, df, checks in frames])
+def check_suite(layer: str, frames: list[tuple[str, DataFrame, list]], measured: dict[str, dict] | None = None) -> DataFrame:
+    """Results of a whole suite: ``(table, frame, checks)`` entries. ``measured``
+    holds by table what was measured while it was written."""
+    taken = measured or {}
+    return reduce(DataFrame.unionByName, [check_table(df, table, layer, checks, taken.get(table)) for table, df, checks in frames])
 
 
 def reconcile(source: DataFrame, target: DataFrame, partial_source: bool = False) -> DataFrame:

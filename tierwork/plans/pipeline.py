@@ -9,9 +9,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.incremental import LEDGER, load_increment, loaded_rows, publish_watermarks
-from ..operators.quality import gate
+from ..operators.quality import check_suite, gate, row_measures
 from ..schema import CALENDAR_RANGE, INCREMENTAL, PARTITIONED_BY, PURCHASE_WINDOW, SOURCE_COLUMNS, TABLE_KEYS
-from ..sinks.tables import VERSIONS, Version, Warehouse, columns_of, log_rows, publish, recorded_rows, replace_tables
+from ..sinks.tables import (
+    VERSIONS, Version, Warehouse, columns_of, log_rows, publish, publish_staged, recorded_rows, replace_tables, stage_tables,
+)
 from ..sources.files import read_csv, total_rows, with_provenance
 from ..sources.jdbc import JdbcSource, Slices, read_table
 from . import gold, marts, silver, suites
@@ -83,51 +85,109 @@ def _written(versions: dict[str, Version]) -> int:
     return sum(v.row_count for v in versions.values())
 
 
+Suite = Callable[[dict[str, DataFrame]], suites.Entries]
+
+
+def audited_replace(
+    wh: Warehouse, layer: str, steps: list[Callable[[dict[str, DataFrame]], dict[str, DataFrame]]], suite: Suite,
+    partitioned_by: dict[str, str] | None = None,
+) -> dict[str, Version]:
+    """Write new versions of a layer's tables, run its suite over them, and publish
+    them together only when every check passes; otherwise readers stay on the
+    versions they have, and :class:`QualityError` is raised.
+
+    Each step makes tables from those written before it. The row-local checks are
+    aggregated in the stage that writes, so the audit reads the new files only for
+    uniqueness, foreign keys and counts, and only the columns of those. ``suite`` is
+    called with the frames once before they are written, for the list of their row
+    checks, and once with what was written."""
+    staged, frames = {}, {}
+    for step in steps:
+        built = step(frames)
+        listed = {table: checks for table, _, checks in suite({**frames, **built})}
+        staged |= stage_tables(wh, built, partitioned_by, {t: row_measures(listed.get(t, [])) for t in built})
+        frames |= {t: staged[t].rows(wh.spark) for t in built}
+    results = check_suite(layer, suite(frames), {t: s.measured for t, s in staged.items()})
+    gate(wh.spark, results, save=lambda rows: log_rows(wh, rows, DQ_RESULTS))
+    return publish_staged(wh, staged)
+
+
 def ingest_bronze(
     wh: Warehouse, read: Reader, tables=tuple(SOURCE_COLUMNS), run_ts: datetime | None = None, lookback: timedelta | None = None,
+    audit: bool = False,
 ) -> None:
     """Load every source table: incrementally where a watermark is defined, as a
     whole otherwise. The job's row counts are the rows it took in, of an
     incremental table the new ones, and the rows it wrote. ``lookback`` also finds
-    late rows of incremental tables, told apart by their keys."""
+    late rows of incremental tables, told apart by their keys. With ``audit`` the
+    replaced tables are published only when the bronze suite passes; an increment
+    is committed with its ledger row before that."""
     with job_run(wh, "bronze", "bronze_ingest") as run:
         sources = {t: with_provenance(read(t), t, run_ts) for t in tables}
         loads = [
             load_increment(wh, sources.pop(table), f"bronze.{table}", *INCREMENTAL[table], lookback=lookback, keys=TABLE_KEYS[table], run_ts=run_ts)
             for table in [t for t in tables if t in INCREMENTAL]]
         new = sum(load.row_count for load in loads)
-        versions = replace_tables(
-            wh, {f"bronze.{t}": run.watch(df, "rows_in") for t, df in sources.items()},
-            {f"bronze.{t}": spec for t, spec in PARTITIONED_BY.items()})
+        whole = {f"bronze.{t}": run.watch(df, "rows_in") for t, df in sources.items()}
+        specs = {f"bronze.{t}": spec for t, spec in PARTITIONED_BY.items()}
+        if audit:
+            versions = audited_replace(wh, "bronze", [lambda _: whole], lambda made: suites.bronze_checks({
+                t: made[f"bronze.{t}"] if f"bronze.{t}" in made else wh.table(f"bronze.{t}") for t in tables}), specs)
+        else:
+            versions = replace_tables(wh, whole, specs)
         run.rows_in, run.rows_out = new, new + _written(versions)
 
 
-def build_silver(wh: Warehouse) -> None:
+def _silver_suite(window: tuple[str, str]) -> Suite:
+    return lambda t: suites.silver_checks(*[t[f"silver.{name}"] for name in ("orders", "order_items", "order_payments", "order_reviews")], window)
+
+
+def build_silver(wh: Warehouse, audit: tuple[str, str] | None = None) -> None:
+    """``audit`` is the window of valid purchase times: with it the tables are
+    published only when the silver suite passes."""
     with job_run(wh, "silver", "silver_transform") as run:
         run.rows_in = _rows(wh, [f"bronze.{t}" for t in SOURCE_COLUMNS])
-        run.rows_out = _written(replace_tables(wh, {
+        built = {
             f"silver.{table}": build(*[wh.table(f"bronze.{t}") for t in inputs])
             for table, (build, inputs) in silver.TABLES.items()
-        }))
+        }
+        run.rows_out = _written(
+            replace_tables(wh, built) if audit is None else audited_replace(wh, "silver", [lambda _: built], _silver_suite(audit)))
 
 
-def build_gold(wh: Warehouse, calendar: tuple[str, str] = CALENDAR_RANGE) -> None:
-    """Dimensions first: the payment fact takes its surrogate key from one."""
+def build_gold(wh: Warehouse, calendar: tuple[str, str] = CALENDAR_RANGE, audit: bool = False) -> None:
+    """Dimensions first: the payment fact takes its surrogate key from one. With
+    ``audit`` dimensions and facts are published together, when the suite passes."""
     s = {t: wh.table(f"silver.{t}") for t in silver.TABLES}
-    with job_run(wh, "gold", "gold_build") as run:
-        run.rows_in = _rows(wh, [f"silver.{t}" for t in silver.TABLES])
-        dimensions = replace_tables(wh, {
+
+    def dimensions(_: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        return {
             "gold.dim_customer": gold.dim_customer(s["customers"]), "gold.dim_product": gold.dim_product(s["products"]),
             "gold.dim_seller": gold.dim_seller(s["sellers"]), "gold.dim_date": gold.dim_date(wh.spark, *calendar),
             "gold.dim_payment_type": gold.dim_payment_type(s["order_payments"]),
-        })
-        facts = replace_tables(wh, {
+        }
+
+    def facts(made: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        return {
             "gold.fact_orders": gold.fact_orders(s["orders"], s["order_items"]),
             "gold.fact_order_items": gold.fact_order_items(s["order_items"]),
             "gold.fact_reviews": gold.fact_reviews(s["order_reviews"]),
-            "gold.fact_payments": gold.fact_payments(s["order_payments"], wh.table("gold.dim_payment_type")),
-        })
-        run.rows_out = _written(dimensions) + _written(facts)
+            "gold.fact_payments": gold.fact_payments(s["order_payments"], made["gold.dim_payment_type"]),
+        }
+
+    def suite(made: dict[str, DataFrame]) -> suites.Entries:
+        if len(made) < len(GOLD_TABLES):    # the dimensions, which have row checks of their own
+            return suites.dimension_checks({name.split(".")[1]: df for name, df in made.items()})
+        return suites.gold_checks({name.split(".")[1]: df for name, df in made.items()}, s["orders"])
+
+    with job_run(wh, "gold", "gold_build") as run:
+        run.rows_in = _rows(wh, [f"silver.{t}" for t in silver.TABLES])
+        if audit:
+            run.rows_out = _written(audited_replace(wh, "gold", [dimensions, facts], suite))
+        else:
+            first = replace_tables(wh, dimensions({}))
+            second = replace_tables(wh, facts({name: wh.table(name) for name in first}))
+            run.rows_out = _written(first) + _written(second)
 
 
 def build_platinum(wh: Warehouse) -> None:
@@ -171,13 +231,19 @@ def run_all(
     wh: Warehouse, read: Reader, run_ts: datetime | None = None, calendar: tuple[str, str] = CALENDAR_RANGE,
     lookback: timedelta | None = None,
 ) -> None:
-    """One full run with the gates between the layers. ``calendar`` gives the
-    first and last day of the date dimension and of valid purchase times."""
+    """One full run with the gates between the layers: a layer is published when
+    its suite has passed over what was written. ``calendar`` gives the first and last
+    day of the date dimension and of valid purchase times. A table format replaces
+    tables in one step, so there the suite runs after it."""
     wh.bootstrap()
-    ingest_bronze(wh, read, run_ts=run_ts, lookback=lookback)
-    validate(wh, "bronze")
-    build_silver(wh)
-    validate(wh, "silver", calendar)
-    build_gold(wh, calendar)
-    validate(wh, "gold")
+    audit = wh.table_format == "parquet"
+    ingest_bronze(wh, read, run_ts=run_ts, lookback=lookback, audit=audit)
+    if not audit:
+        validate(wh, "bronze")
+    build_silver(wh, calendar if audit else None)
+    if not audit:
+        validate(wh, "silver", calendar)
+    build_gold(wh, calendar, audit)
+    if not audit:
+        validate(wh, "gold")
     build_platinum(wh)

@@ -105,26 +105,34 @@ def quoted(text: str) -> str:
     return text.replace("'", "''")
 
 
-def partitioned_writer(df: DataFrame, spec: str, mode: str, counted: Observation | None = None) -> DataFrameWriter:
+def partitioned_writer(
+    df: DataFrame, spec: str, mode: str, counted: Observation | None = None, measures: dict[str, Column] | None = None,
+) -> DataFrameWriter:
     """Writer partitioned by ``spec``. The rebalance hint lets adaptive execution
     size the files: it splits a partition value that holds much of the data and
     merges small ones. It costs a shuffle, so it is left out when all rows of a
-    load share the partition value. ``counted`` takes the row count in the
-    writing stage, where a retried task is counted once."""
+    load share the partition value. ``counted`` takes the row count, and ``measures``
+    by name, in the writing stage, where a retried task is counted once."""
     df, names = with_partitions(df, spec)
     moves = any(column not in CONSTANT_PER_LOAD for _, column in partition_terms(spec))
     shaped = df.hint("rebalance", *names) if moves else df
     if counted is not None:
-        shaped = shaped.observe(counted, F.count(F.lit(1)).alias("n"))
+        shaped = shaped.observe(counted, F.count(F.lit(1)).alias("n"), *[m.alias(name) for name, m in (measures or {}).items()])
     writer = shaped.write.mode(mode)
     return writer.partitionBy(*names) if names else writer
 
 
 def write_files(df: DataFrame, path: str, spec: str = "", mode: str = "errorifexists") -> int:
     """Write Parquet and return the number of rows written."""
+    return write_measured(df, path, {}, spec, mode)["n"]
+
+
+def write_measured(df: DataFrame, path: str, measures: dict[str, Column], spec: str = "", mode: str = "errorifexists") -> dict:
+    """Write Parquet and return the aggregates ``measures`` over the written rows,
+    and their number as ``n``. They are taken while writing: no second scan."""
     counted = Observation()
-    partitioned_writer(df, spec, mode, counted).parquet(path)
-    return counted.get["n"]
+    partitioned_writer(df, spec, mode, counted, measures).parquet(path)
+    return counted.get
 
 
 def publish(wh: Warehouse, name: str, path: str, condition: str = "", columns: StructType | None = None) -> None:
@@ -170,38 +178,71 @@ class Version:
     row_count: int
 
 
-def replace_tables(wh: Warehouse, built: dict[str, DataFrame], partitioned_by: dict[str, str] | None = None, at_once: int = 4) -> dict[str, Version]:
-    """Create or replace independent tables and return their new versions. A
-    frame may read the table it replaces.
+@dataclass(frozen=True)
+class Staged:
+    """A version that is written but that no reader of the table sees yet."""
+
+    id: str
+    path: str
+    row_count: int
+    columns: StructType
+    measured: dict      # measures by name, taken while the rows were written
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.columns).parquet(self.path).select(self.columns.names)
+
+
+def stage_tables(
+    wh: Warehouse, built: dict[str, DataFrame], partitioned_by: dict[str, str] | None = None,
+    measures: dict[str, dict[str, Column]] | None = None, at_once: int = 4,
+) -> dict[str, Staged]:
+    """Write new versions of independent tables without publishing them.
 
     Up to ``at_once`` writes run at the same time, so that the last tasks of one
-    table do not leave the cluster idle. All versions are recorded with one
+    table do not leave the cluster idle. A version that is never published leaves a
+    folder nobody reads."""
+    if wh.table_format != "parquet":
+        raise ValueError("versions are staged as Parquet folders; a table format replaces a table in one step")
+    specs, wanted = partitioned_by or {}, measures or {}
+
+    def write(name: str) -> Staged:
+        version, spec = uuid.uuid4().hex, specs.get(name, "")
+        path = f"{wh.location(name)}/version={version}"
+        found = dict(write_measured(built[name], path, wanted.get(name, {}), spec))
+        return Staged(version, path, found.pop("n"), with_partitions(built[name], spec)[0].schema, found)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(built, pool.map(write, built)))
+
+
+def publish_staged(wh: Warehouse, staged: dict[str, Staged]) -> dict[str, Version]:
+    """Record staged versions with one append and move the readers to them."""
+    record_version(wh, {name: (s.id, s.path, s.row_count, s.columns) for name, s in staged.items()})
+    for name, s in staged.items():
+        publish(wh, name, s.path, columns=s.columns)
+    return {name: Version(s.id, s.row_count) for name, s in staged.items()}
+
+
+def replace_tables(wh: Warehouse, built: dict[str, DataFrame], partitioned_by: dict[str, str] | None = None, at_once: int = 4) -> dict[str, Version]:
+    """Create or replace independent tables and return their new versions. A
+    frame may read the table it replaces. All versions are recorded with one
     append; the tables are published after that.
     """
     specs = partitioned_by or {}
-    ids = {name: uuid.uuid4().hex for name in built}
-    paths = {name: f"{wh.location(name)}/version={version}" for name, version in ids.items()}
-
-    def write(name: str) -> int:
-        df, spec = built[name], specs.get(name, "")
-        if wh.table_format == "parquet":
-            return write_files(df, paths[name], spec)
-        counted = Observation()
+    if wh.table_format == "parquet":
+        return publish_staged(wh, stage_tables(wh, built, specs, at_once=at_once))
+
+    def write(name: str) -> Version:
+        df, spec, counted = built[name], specs.get(name, ""), Observation()
         writer = df.observe(counted, F.count(F.lit(1)).alias("n")).writeTo(wh.catalog_name(name)).using(wh.table_format)
         writer = writer.tableProperty("location", wh.location(name))
         if spec:
             writer = writer.partitionedBy(*native_partitioning(spec))
         writer.createOrReplace()
-        return counted.get["n"]
+        return Version(uuid.uuid4().hex, counted.get["n"])
 
     with ThreadPoolExecutor(at_once) as pool:
-        rows = dict(zip(built, pool.map(write, built)))
-    if wh.table_format == "parquet":
-        columns = {name: with_partitions(df, specs.get(name, ""))[0].schema for name, df in built.items()}
-        record_version(wh, {name: (ids[name], paths[name], rows[name], columns[name]) for name in built})
-        for name in built:
-            publish(wh, name, paths[name], columns=columns[name])
-    return {name: Version(ids[name], rows[name]) for name in built}
+        return dict(zip(built, pool.map(write, built)))
 
 
 def replace_table(wh: Warehouse, df: DataFrame, name: str, partitioned_by: str = "") -> str:
