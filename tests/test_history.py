@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tierwork.operators import changelog, incremental, versions, windows
+from tierwork.operators import changelog, contents, incremental, versions, windows
 from tierwork.plans import metrics, pipeline
 from tierwork.sinks import rewrite, tables
 from tierwork.streaming.incremental import follow_folder
@@ -308,6 +308,51 @@ def test_rewrite_guard(spark, wh, monkeypatch):
     assert wh.table("silver.t").count() == 10
 
 
+def test_rewrite_guard_finds_a_changed_value(spark, wh, monkeypatch):
+    rows = spark.createDataFrame([(1, "a", None), (2, "b", 2.0), (2, "b", 2.0)], "k int, s string, x double")
+    tables.replace_table(wh, rows, "silver.t")
+    real = rewrite.write_files
+    swapped = F.when(F.col("k") == 1, "b").otherwise("a")
+    monkeypatch.setattr(rewrite, "write_files", lambda df, *rest: real(df.withColumn("s", swapped), *rest))
+    with pytest.raises(rewrite.RewriteError, match="not those of the original"):
+        rewrite.rewrite_table(wh, "silver.t", wh.table("silver.t"), f"{wh.root}/swapped/t")
+    monkeypatch.setattr(rewrite, "write_files", real)
+    assert rewrite.rewrite_table(wh, "silver.t", wh.table("silver.t"), f"{wh.root}/split/t", "s") == (3, 3)
+    assert wh.table("silver.t").exceptAll(rows).isEmpty()
+
+
+# ---- content fingerprints ----------------------------------------------------------
+
+
+def test_fingerprints_follow_the_multiset(spark):
+    kinds = "a int, b int, s string, d array<int>"
+    rows = [(1, None, "x", [1]), (None, 1, "x", []), (1, None, "x", [1]), (2, 2, "", None)]
+    same = contents.whole(spark.createDataFrame(rows, kinds).repartition(3))
+    assert contents.whole(spark.createDataFrame(rows[::-1], kinds).select("s", "d", "b", "a")) == same
+    for other in (rows[:3], [*rows[:2], rows[3], rows[3]], [(None, 1, "x", [1]), *rows[1:]], [(1, None, "x", [1]), (None, 1, "x", None), *rows[2:]]):
+        assert contents.whole(spark.createDataFrame(other, kinds)) != same
+    assert contents.whole(spark.createDataFrame([], kinds)) == (0, 0, 0, 0)
+
+
+def test_versions_are_compared_partition_by_partition(spark, wh):
+    kinds, by = "v int, p string, q int", ["p", "q"]
+    one = [(v, p, q) for v in range(20) for p in ("a", "007", None) for q in (1, 2)]
+    two = [(v + (v == 3 and p is None and q == 2), p, q) for v, p, q in one if (v, p, q) != (5, "007", 1)] + [(5, "new", 1)]
+    ids = [tables.replace_table(wh, spark.createDataFrame(rows, kinds), "silver.t", "p, q") for rows in (one, two)]
+    with pytest.raises(LookupError):
+        rewrite.record_contents(wh, "silver.t", ids[0], by)
+        rewrite.compare_versions(wh, "silver.t", *ids)
+    rewrite.record_contents(wh, "silver.t", ids[1], by)
+    slots = rewrite.compare_versions(wh, "silver.t", *ids)
+    assert {(r.slot, r.rows_before, r.rows_after) for r in slots.collect()} == {
+        ('{"p":null,"q":2}', 20, 20), ('{"p":"007","q":1}', 20, 19), ('{"p":"new","q":1}', 0, 1)}
+    assert all("version_contents" in f for f in slots.inputFiles())       # no data file
+    changes = rewrite.changed_between(wh, "silver.t", *ids, by)
+    assert {tuple(r) for r in changes.select("v", "p", "q", "change").collect()} == {
+        (3, None, 2, -1), (4, None, 2, 1), (5, "007", 1, -1), (5, "new", 1, 1)}
+    assert rewrite.changed_between(wh, "silver.t", ids[0], ids[0], by).isEmpty()
+
+
 # ---- job metrics -------------------------------------------------------------------
 
 
