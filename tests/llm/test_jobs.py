@@ -72,13 +72,30 @@ def test_escapes_are_reversible():
         assert [t[:2] for t in chat.read_turns(formatted)] == [("x" + text, text)]
 
 
+def test_chat_long_system_turn_is_not_repeated(spark):
+    """With a budget of 100, system turns of 1004, 54 and 50 tokens."""
+    rows = [(c, k, "system" if k == 0 else "user", ("s" if k == 0 else "u") * (size if k == 0 else 40))
+            for c, size in ((1, 4000), (2, 200), (3, 184)) for k in range(30)]
+    df = spark.createDataFrame(rows, TURNS)
+    windows = chat.format_windows(df, 100, 20)
+    found = {c: [] for c in (1, 2, 3)}
+    for w in windows.orderBy("conv_id", "window").collect():
+        found[w["conv_id"]].append(("[ROLE]" in w["text"], w["tokens"], w["new_turns"]))
+    assert found[1][0] == (True, 1004, 1)
+    for c in (1, 2):
+        assert not any(system or tokens > 100 for system, tokens, _ in found[c][1:]) and len(found[c]) < 8
+    assert all(system and tokens <= 100 for system, tokens, _ in found[3])
+    assert all(sum(n for _, _, n in w) == 30 for w in found.values())
+    assert {r["conv_id"]: r["n_turns"] for r in chat.digests(windows).collect()} == {1: 30, 2: 30, 3: 30}
+
+
 def test_chat_edges(spark):
     assert chat.digests(chat.format_windows(spark.createDataFrame([], TURNS))).count() == 0
     with pytest.raises(ValueError):
         chat.format_windows(spark.createDataFrame([], TURNS), 10, 10)
     path = chat.vocabulary_path()
     if path:
-        assert chat.counter(path)(["", "hello there"]) == [0, 2]
+        assert chat.counter(chat.vocabulary_bytes(path))(["", "hello there"]) == [0, 2]
 
 
 # mixing

@@ -19,9 +19,12 @@ one chain over its turns, so one conversation stays in one task.
 Defined cases: NULL text or role is empty; NULL conv_id is a conversation of its
 own; a NULL turn comes first. Repeated rows and equal turn numbers are all kept,
 ordered by role and text. A turn that alone exceeds the budget is never cut: it
-gets a window of its own, whose ``tokens`` shows the excess. Tokens are counted by
-a byte-pair vocabulary where its path is given, else as UTF-8 bytes / 4, rounded
-up. Other columns are ignored; no turns give no windows.
+gets a window of its own, whose ``tokens`` shows the excess. A system turn of more
+than half the budget would fill the windows it is repeated in, so it stands in the
+first window only. Tokens are counted by a byte-pair
+vocabulary where its path is given (the driver reads the file, up to VOCABULARY_MB,
+and broadcasts it), else as UTF-8 bytes / 4, rounded up. Other columns are ignored;
+no turns give no windows.
 """
 
 from __future__ import annotations
@@ -48,6 +51,7 @@ _MARK = re.compile(rf"\\.|({_CONTROL})", re.S)
 _PLAIN = re.compile(r"\\(.)", re.S)
 MARKS = 4       # tokens that the template adds to a turn
 OPEN = 64       # turns cut into windows at once
+VOCABULARY_MB = 16
 
 
 def escape(text: str) -> str:
@@ -107,7 +111,7 @@ class _Conversation:
     def cut(self, last: bool) -> Iterator[dict]:
         """Windows over the waiting turns; the last one stays open unless ``last``."""
         while self.waiting:
-            repeated = [self.system] if self.system and self.window else []
+            repeated = [self.system] if self.system and self.window and 2 * self.system[2] <= self.budget else []
             ends = [0]      # prefix sums of the waiting turns
             for _, _, n in self.waiting:
                 ends.append(ends[-1] + n)
@@ -146,14 +150,23 @@ class _Conversation:
                 "loss": [{"start": a, "end": b} for a, b in spans], "tokens": tokens, "new_turns": len(new)}
 
 
-def counter(vocabulary: str | None):
+def vocabulary_bytes(path: str | None) -> bytes | None:
+    """A vocabulary file, read where the job is planned."""
+    if path is None:
+        return None
+    if os.path.getsize(path) > VOCABULARY_MB << 20:
+        raise ValueError(f"the vocabulary exceeds {VOCABULARY_MB} MB and can't be broadcast")
+    with open(path, "rb") as f:
+        return f.read()
+
+
+def counter(vocabulary: bytes | None):
     """Token counts of a list of texts."""
     if vocabulary is None:
         return lambda texts: [-(-len(t.encode("utf-8", "replace")) // 4) for t in texts]
     import tiktoken
 
-    with open(vocabulary, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
     pattern = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
     coder = tiktoken.Encoding("turns", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     return lambda texts: [len(x) for x in coder.encode_ordinary_batch(texts, num_threads=1)]
@@ -171,8 +184,10 @@ def format_windows(
         F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
+    shared = turns.sparkSession.sparkContext.broadcast(vocabulary_bytes(vocabulary))
+
     def run(batches):
-        count, open_conv, out, size = counter(vocabulary), None, [], 0
+        count, open_conv, out, size = counter(shared.value), None, [], 0
         for batch in batches:
             roles, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for conv_id, r, t, n in zip(batch.column(0).to_pylist(), roles, texts, count(texts)):
