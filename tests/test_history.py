@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tierwork.operators import changelog, contents, incremental, versions, windows
+from tierwork.operators import changelog, contents, incremental, membership, versions, windows
 from tierwork.plans import metrics, pipeline
 from tierwork.sinks import rewrite, tables
 from tierwork.streaming.incremental import follow_folder
@@ -136,6 +136,41 @@ def test_lookback_finds_late_and_tied_rows_once(spark, wh):
     assert sorted(r.id for r in wh.table("bronze.feed").collect()) == [1, 2, 3, 4]
 
 
+def test_filters_pass_what_they_hold(spark):
+    df = spark.range(5000).select(F.col("id"), F.col("id").cast("string").alias("s"))
+    sketches = membership.sketch(df, ["id", "s"], 5000).withColumn("batch_id", F.lit(7).cast("bigint"))
+    sizes = {7: sketches.first()["size_log2"]}
+    ask = lambda rows: membership.may_hold(rows, sketches, ["id", "s"], sizes)
+    assert sizes == {7: 17} and all(ask(df.filter(F.col("id") == k)) == [7] for k in (0, 17, 4999))
+    assert ask(df.limit(0)) == [] and membership.may_hold(df, sketches, ["id", "s"], {}) == []
+    # absent keys: each of 40 tested apart, as one batch of 40 rows each time
+    strange = [spark.range(k, k + 1).select("id", F.lit("x").alias("s")) for k in range(6)]
+    assert sum(ask(rows) == [7] for rows in strange) <= 1
+
+
+def test_a_lookback_reads_only_batches_that_may_hold_a_row(spark, wh, monkeypatch):
+    options = {"lookback": timedelta(days=20), "keys": ["id"]}
+    for month in (1, 2, 3):
+        load(wh, feed(spark, *[(month * 100 + k, d(month, 1 + k)) for k in range(20)]), **options)
+    load(wh, feed(spark, *[(400 + k, d(3, 15, k)) for k in range(1, 5)]), **options)
+    rows = feed(spark, (305, d(3, 6)), (305, d(3, 7)), (999, d(3, 8)), (999, d(3, 8)), (500, d(4, 1)))
+    start, keys = d(3, 1), ["id", "changed"]
+    assert incremental.holding_batches(wh, "bronze.feed", rows, keys, start) == [3]          # not 4, though its time fits
+    assert incremental.holding_batches(wh, "bronze.feed", feed(spark, (999, d(3, 8))), keys, start) == []
+    assert incremental.holding_batches(wh, "bronze.feed", feed(spark, (402, d(3, 15, 2))), keys, d(1, 1)) == [4]
+    wider = rows.withColumn("id", F.col("id").cast("bigint"))
+    assert incremental.holding_batches(wh, "bronze.feed", wider, keys, start) == [3, 4]      # other types: by time alone
+    unseen = lambda: incremental.unseen_rows(wh, "bronze.feed", rows, keys, "changed", start, d(3, 20))
+    files = [f for f in unseen().inputFiles() if "batch_id" in f]
+    plan = unseen()._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id" in plan and "PartitionFilters: [" in plan and "(batch_id#" in plan and "= 3)" in plan, (files, plan)
+    got = sorted((r.id, r.changed) for r in unseen().collect())
+    monkeypatch.setattr(incremental, "holding_batches", lambda *_: [1, 2, 3, 4])
+    assert got == sorted((r.id, r.changed) for r in unseen().collect()) == [(305, d(3, 7)), (500, d(4, 1)), (999, d(3, 8))]
+    monkeypatch.undo()
+    assert load(wh, rows, **options).row_count == 3 and load(wh, rows, **options).row_count == 0
+
+
 def test_a_load_that_died_is_replaced(spark, wh, monkeypatch):
     load(wh, feed(spark, (1, d(1, 5))))
     with monkeypatch.context() as patch:

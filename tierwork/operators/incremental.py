@@ -17,10 +17,13 @@ from ..functions.columns import newer_than
 from ..schema import EPOCH_WATERMARK
 from ..sinks.tables import Warehouse, append_batch, append_rows, publish, publish_empty, with_partitions
 from ..sources.files import inline_rows
+from . import membership
 from .sets import absent_rows, replace_rows
+from .windows import dedupe
 
 LEDGER = "meta.batch_ledger"
 WATERMARKS = "meta.ingest_watermark"
+MEMBERS = "meta.batch_members"
 LEDGER_SCHEMA = (
     "table_name string, batch_id bigint, batch_uuid string, operation string, "
     "row_count bigint, watermark_value timestamp_ntz, committed_at timestamp"
@@ -97,8 +100,8 @@ def publish_watermarks(wh: Warehouse) -> None:
     )
 
 
-def _commit(wh: Warehouse, name: str, batch_id: int, rows: int, mark: datetime, run_ts: datetime, operation: str) -> None:
-    entry = (name, batch_id, uuid.uuid4().hex, operation, rows, mark, run_ts)
+def _commit(wh: Warehouse, name: str, batch_id: int, rows: int, mark: datetime, run_ts: datetime, operation: str, batch_uuid: str) -> None:
+    entry = (name, batch_id, batch_uuid, operation, rows, mark, run_ts)
     append_rows(wh, inline_rows(wh.spark, [entry], LEDGER_SCHEMA), LEDGER)
     publish_watermarks(wh)
 
@@ -131,8 +134,9 @@ def load_increment(
 
     By default late rows and rows equal to the watermark are not loaded. With
     ``lookback`` the window starts earlier and rows already present (same
-    ``keys`` and watermark value) are left out instead. A source without the
-    watermark column falls back to ``partition_ts``.
+    ``keys`` and watermark value) are left out instead; see :func:`unseen_rows` for
+    what is read for that. A source without the watermark column falls back to
+    ``partition_ts``.
     """
     if lookback and not keys:
         raise ValueError("a load that looks back needs the keys that tell rows apart")
@@ -140,18 +144,54 @@ def load_increment(
     at = position(wh, name)
     start = at.watermark - lookback if lookback else at.watermark
     rows = new_rows(df, mark_column, start)
+    identity = [*keys, mark_column] if lookback else None
     if lookback and at.batch_id:
-        rows = absent_rows(rows, new_rows(wh.table(name), mark_column, start), [*keys, mark_column])
-    return load_batch(wh, rows, name, mark_column, partition_ts, at.batch_id + 1, run_ts)
+        rows = unseen_rows(wh, name, rows, identity, mark_column, start, at.watermark)
+    return load_batch(wh, rows, name, mark_column, partition_ts, at.batch_id + 1, run_ts, members=identity)
+
+
+def holding_batches(wh: Warehouse, name: str, rows: DataFrame, keys: list[str], start: datetime) -> list[int]:
+    """Committed batches that may hold one of ``rows`` (all later than ``start``): those
+    whose watermark is past ``start`` and whose filter passes a key. A batch without
+    a filter over these keys, or whose keys are of other types, counts as holding."""
+    ledger = wh.table(LEDGER).filter((F.col("table_name") == name) & (F.col("watermark_value") > F.lit(start)))
+    found = {r["batch_id"]: r["batch_uuid"] for r in ledger.select("batch_id", "batch_uuid").collect()}     # one row a batch
+    if not wh.exists(MEMBERS):
+        return sorted(found)
+    stored, said = wh.table(name), _identity(rows, keys)
+    if said != _identity(stored, keys):
+        return sorted(found)
+    sketches = wh.table(MEMBERS).filter((F.col("table_name") == name) & (F.col("identity") == said) & F.col("batch_uuid").isin(*found.values()))
+    sizes = {r["batch_id"]: r["size_log2"] for r in sketches.select("batch_id", "size_log2").distinct().collect()}
+    return sorted({b for b in found if b not in sizes} | set(membership.may_hold(rows, sketches, keys, sizes)))
+
+
+def _identity(df: DataFrame, keys: list[str]) -> str:
+    """Names and types of the keys: filters hash values of exactly these types."""
+    return ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+
+
+def unseen_rows(wh: Warehouse, name: str, rows: DataFrame, keys: list[str], mark_column: str, start: datetime, watermark: datetime) -> DataFrame:
+    """The rows that the table doesn't hold yet, one per key (``mark_column`` is one of
+    ``keys``). Rows past the watermark can't be in it; only the others are compared,
+    and only with the batches that may hold one of them, which prunes partitions."""
+    ahead = newer_than(mark_column, watermark)
+    late = rows.filter(~ahead)
+    batches = holding_batches(wh, name, late, keys, start)
+    newer = dedupe(rows.filter(ahead), keys).select(*rows.columns)
+    if not batches:
+        return dedupe(late, keys).select(*rows.columns).unionByName(newer)
+    held = wh.table(name).filter(F.col("batch_id").isin(*batches))
+    return absent_rows(late, new_rows(held, mark_column, start), keys).unionByName(newer)
 
 
 def load_batch(
     wh: Warehouse, rows: DataFrame, name: str, mark_column: str, partition_ts: str, batch_id: int, run_ts: datetime | None = None,
-    operation: str = "append",
+    operation: str = "append", members: list[str] | None = None,
 ) -> Load:
     """Append ``rows`` as batch ``batch_id``, whatever their watermark. A batch that
     the ledger already names is not loaded again. ``operation`` is what the ledger
-    says of the batch."""
+    says of the batch. With ``members`` a filter over these columns is kept with it."""
     at = position(wh, name)
     if batch_id <= at.batch_id:
         return Load(None, 0, at.watermark)
@@ -169,6 +209,12 @@ def load_batch(
             publish_empty(wh, name, with_partitions(rows, spec)[0].withColumn("batch_id", F.lit(0)))
         return Load(None, 0, at.watermark)
     mark = max(at.watermark, loaded["mark"] or at.watermark)
-    _commit(wh, name, batch_id, loaded["n"], mark, run_ts or datetime.now(timezone.utc), operation)
+    batch_uuid = uuid.uuid4().hex
+    if members:     # before the commit; a load that dies here leaves a filter under an id that the ledger never names
+        kept = membership.sketch(written, members, loaded["n"])
+        append_rows(wh, kept.select(
+            F.lit(name).alias("table_name"), F.lit(batch_uuid).alias("batch_uuid"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.lit(_identity(written, members)).alias("identity"), "size_log2", "bucket", "bits"), MEMBERS)
+    _commit(wh, name, batch_id, loaded["n"], mark, run_ts or datetime.now(timezone.utc), operation, batch_uuid)
     publish(wh, name, wh.location(name), f"batch_id <= {batch_id}")
     return Load(batch_id, loaded["n"], mark)

@@ -8,12 +8,13 @@ from datetime import datetime, timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.incremental import LEDGER, load_increment, loaded_rows, publish_watermarks
+from ..operators.incremental import LEDGER, MEMBERS, load_increment, loaded_rows, publish_watermarks
 from ..operators.quality import check_suite, gate, row_measures
 from ..schema import CALENDAR_RANGE, INCREMENTAL, PARTITIONED_BY, PURCHASE_WINDOW, SOURCE_COLUMNS, TABLE_KEYS
 from ..sinks.tables import (
     VERSIONS, Version, Warehouse, columns_of, log_rows, publish, publish_staged, recorded_rows, replace_tables, stage_tables,
 )
+from ..sinks.rewrite import CONTENTS
 from ..sources.files import read_csv, total_rows, with_provenance
 from ..sources.jdbc import JdbcSource, Slices, read_table
 from . import gold, marts, silver, suites
@@ -57,7 +58,7 @@ def attach(wh: Warehouse) -> list[str]:
         return rows
 
     versions, ledger = log(VERSIONS), log(LEDGER)
-    for name in (DQ_RESULTS, JOB_LOG):
+    for name in (DQ_RESULTS, JOB_LOG, MEMBERS, CONTENTS):
         log(name)
     found = []
     if versions is not None:
