@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tierwork.operators import aggregates, joins, profiles, sets, skew, windows
+from tierwork.sources import files
 
 
 def rows(df):
@@ -250,3 +251,21 @@ def test_late_rate_counts_delivered_only(spark):
         [("delivered", d2, d1), ("delivered", d1, d2), ("shipped", None, d1), ("delivered", None, d1)],
         "s string, a timestamp_ntz, p timestamp_ntz")
     assert profiles.late_rate(df, "s", "delivered", "a", "p").first() == (3, 1, 33.33)
+
+
+# ---- rows at fault in CSV files ----------------------------------------------------
+
+
+def test_rejects_are_found_with_file_and_reason(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,price,at,note\n1,2.50,2020-01-01,"x, y"\n2,2.5o,never,z\n,3.0,,\n4\n5,1,2020-01-01,u,v\n')
+    (tmp_path / "b.csv").write_text("id,price,at,note\n6,,2020-01-02,\n7,12,2020-01-02,\"it \"\"is\"\"\"\n")
+    types = {"id": "int", "price": "double", "at": "timestamp_ntz"}
+    good, rejects = files.read_csv_with_rejects(spark, str(tmp_path), types, ("id",))
+    assert sorted((r.id, r.price, r.note) for r in good.collect()) == [(1, 2.5, "x, y"), (6, None, None), (7, 12.0, 'it "is"')]
+    assert good.count() == 3 and rejects.count() == 4        # whatever columns are asked for
+    assert {(r._source_file, r.reason, r.record) for r in rejects.collect()} == {
+        ("a.csv", "price: not a double; at: not a timestamp_ntz", "2,2.5o,never,z"), ("a.csv", "id: missing", ",3.0,,"),
+        ("a.csv", "malformed line", "4"), ("a.csv", "malformed line", "5,1,2020-01-01,u,v")}
+    assert dict(good.dtypes) == {**types, "note": "string"}
+    empty, none = files.read_csv_with_rejects(spark, str(tmp_path / "b.csv"), types, ("id",), header=True)
+    assert empty.count() == 2 and none.isEmpty()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -47,6 +47,22 @@ def incremental_load(t: Tables) -> DataFrame:
     return wh.table("bronze.events").select("event_id", "ts", "user_id", F.col("batch_id").cast("int").alias("batch_id"))
 
 
+@query(f"""
+    WITH parts AS (SELECT event_id, ts, user_id, ts < TIMESTAMP '{HALF}' AND event_id % 50 <> 0 AS early FROM events)
+    SELECT event_id, ts, user_id, CASE WHEN early THEN 1 ELSE 2 END AS batch_id FROM parts
+    WHERE early OR ts > (SELECT max(ts) FROM parts WHERE early) - INTERVAL 5 DAY""")
+def lookback_load(t: Tables) -> DataFrame:
+    """A load that lacks some events, one that also finds those of them that came up to
+    five days late, and one that finds nothing."""
+    wh = t.warehouse("lookback")
+    events = t.events.select("event_id", "ts", "user_id")
+    early = (F.col("ts") < F.lit(HALF)) & (F.col("event_id") % 50 != 0)
+    for source in (events.filter(early), events, events):
+        incremental.load_increment(
+            wh, source, "bronze.events", "ts", "ts", lookback=timedelta(days=5), keys=["event_id"], run_ts=datetime(2024, 2, 1))
+    return wh.table("bronze.events").select("event_id", "ts", "user_id", F.col("batch_id").cast("int").alias("batch_id"))
+
+
 @query(f"""
     SELECT 'bronze.events' AS table_name, CAST(batch_id AS BIGINT) AS batch_id, 'append' AS operation, row_count, watermark_value FROM (
         SELECT CASE WHEN ts < TIMESTAMP '{HALF}' THEN 1 ELSE 2 END AS batch_id, count(*) AS row_count,

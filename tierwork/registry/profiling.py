@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.columns import clean_text
 from ..operators import aggregates, profiles
 from ..session import scratch_path
-from ..sources.files import count_tables, read_csv, with_provenance
+from ..sources.files import count_tables, read_csv, read_csv_with_rejects, with_provenance
 from . import roles
 from .base import Tables, query
 from .roles import with_ctes
@@ -184,6 +184,39 @@ def csv_scan(t: Tables) -> DataFrame:
     return read_csv(t.spark, path, types)
 
 
+# lines of orders, some of them broken on the way
+_LINES = """
+    WITH lines AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s,
+        CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' WHEN o_orderkey % 89 = 0 THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS p FROM orders)"""
+_CUT = "k % 83 = 0"
+
+
+def _broken_csv(t: Tables) -> tuple[DataFrame, DataFrame]:
+    key = F.col("o_orderkey")
+    value = F.when(key % 97 == 0, "n/a").when(key % 89 == 0, "").otherwise(F.col("o_custkey").cast("string"))
+    fields = [key.cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus")]
+    line = F.when(key % 83 == 0, F.concat_ws(",", *fields)).otherwise(F.concat_ws(",", *fields, value))
+    path = scratch_path(t.spark, "broken")
+    t.orders.select(line.alias("value")).write.text(path)
+    return read_csv_with_rejects(
+        t.spark, path, {"key": "bigint", "customer": "bigint", "amount": "double"}, ("amount",), ["key", "customer", "status", "amount"])
+
+
+@query(_LINES + f"""
+    SELECT k AS key, c AS customer, s AS status, CAST(p AS DOUBLE) AS amount FROM lines WHERE NOT {_CUT} AND p NOT IN ('', 'n/a')""")
+def csv_kept_rows(t: Tables) -> DataFrame:
+    return _broken_csv(t)[0]
+
+
+@query(_LINES + f"""
+    SELECT CASE WHEN {_CUT} THEN 'malformed line' WHEN p = '' THEN 'amount: missing' ELSE 'amount: not a double' END AS reason,
+           CASE WHEN {_CUT} THEN concat_ws(',', k, c, s) ELSE concat_ws(',', k, c, s, p) END AS record
+    FROM lines WHERE {_CUT} OR p IN ('', 'n/a')""")
+def csv_rejected_rows(t: Tables) -> DataFrame:
+    """Rows at fault, with what is wrong and the line as it stood."""
+    return _broken_csv(t)[1].select("reason", "record")
+
+
 @query("""
     SELECT 'given_orders' AS table_name, count(*) AS row_count FROM orders
     UNION ALL SELECT 'given_lineitem', count(*) FROM lineitem

@@ -6,9 +6,9 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.columns import coerce_columns
+from ..functions.columns import blank_to_null, coerce_columns, coerced
 
 
 def read_csv(spark: SparkSession, path: str, types: dict[str, str], **options) -> DataFrame:
@@ -23,6 +23,45 @@ def read_csv(spark: SparkSession, path: str, types: dict[str, str], **options) -
     return coerce_columns(raw, types)
 
 
+BROKEN = "_broken_line"
+
+
+def read_csv_with_rejects(
+    spark: SparkSession, path: str, types: dict[str, str], required: tuple[str, ...] = (), columns: list[str] | None = None, **options,
+) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`read_csv`, and the rows that are at fault, with all their reasons:
+    ``_source_file``, ``reason``, ``record`` (the line as it stands where it has too few
+    or too many fields, else its fields joined by commas).
+
+    Reasons are a malformed line, a value that does not parse as its type, and a missing
+    value in a ``required`` column. Rows at fault are left out of the first frame; with
+    ``read_csv`` they would stay, with NULLs. Every row is in one of the two frames. Files
+    without a header need ``columns``. Both frames scan the files when they are used.
+    """
+    given = {"escape": '"', "header": columns is None, **options}
+    names = columns or spark.read.options(**given).csv(path).columns
+    schema = StructType([StructField(c, StringType()) for c in (*names, BROKEN)])
+    # the number of fields is only checked where lines are parsed as a whole
+    raw = spark.read.options(**{**given, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, "columnPruning": False}).schema(schema).csv(path)
+
+    def fault(c: str) -> list[Column]:
+        found, text = [], F.col(f"`{c}`")
+        if types.get(c, "string") != "string":
+            found.append(F.when(blank_to_null(text).isNotNull() & coerced(text, types[c]).isNull(), F.lit(f"{c}: not a {types[c]}")))
+        if c in required:
+            found.append(F.when(blank_to_null(text).isNull(), F.lit(f"{c}: missing")))
+        return found
+
+    whole = F.col(BROKEN).isNull()
+    reasons = F.when(whole, F.array_compact(F.array(F.lit(None).cast("string"), *[r for c in names for r in fault(c)]))).otherwise(F.array(F.lit("malformed line")))
+    judged = raw.withColumn("_reasons", reasons)
+    good = coerce_columns(judged.filter(F.size("_reasons") == 0).select(*names), types)
+    line = F.coalesce(F.col(BROKEN), F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in names]))
+    rejects = judged.filter(F.size("_reasons") > 0).select(
+        F.col("_metadata.file_name").alias("_source_file"), F.concat_ws("; ", "_reasons").alias("reason"), line.alias("record"))
+    return good, rejects
+
+
 def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
