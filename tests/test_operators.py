@@ -269,3 +269,31 @@ def test_rejects_are_found_with_file_and_reason(spark, tmp_path):
     assert dict(good.dtypes) == {**types, "note": "string"}
     empty, none = files.read_csv_with_rejects(spark, str(tmp_path / "b.csv"), types, ("id",), header=True)
     assert empty.count() == 2 and none.isEmpty()
+
+
+# ---- uniqueness in two phases ------------------------------------------------------
+
+
+def test_uniqueness_by_fingerprint_is_exact(spark):
+    kinds = "a string, b int"
+    cases = [
+        [], [("x", 1)], [("x", 1), ("x", 2), ("y", 1)], [("x", 1)] * 4 + [("x", 2), (None, 1), (None, 1), (None, None), ("", None)],
+        [(f"k{i % 40}", i % 3) for i in range(300)] + [(None, i % 2) for i in range(9)],
+    ]
+    collisions = [None, F.lit(1).cast("bigint"), F.pmod(F.xxhash64("a"), F.lit(7))]
+    for case in cases:
+        df = spark.createDataFrame(case, kinds)
+        for equal in (True, False):
+            want = aggregates.duplicate_surplus(df, ["a", "b"], equal).first()
+            for fp in collisions:
+                got = aggregates.duplicate_surplus_by_fingerprint(df, ["a", "b"], equal, fp)
+                assert got.first() == want and got.dtypes == [("total_rows", "bigint"), ("distinct_keys", "bigint"), ("duplicates", "bigint")]
+            assert aggregates.duplicate_surplus_by_fingerprint(df, ["a", "b"], equal, max_repeated=0).first() == want
+
+
+def test_fingerprints_travel_without_their_keys(spark, tmp_path):
+    spark.range(50).select(F.repeat(F.col("id").cast("string"), 50).alias("wide")).write.parquet(f"{tmp_path}/t")
+    counts = aggregates.fingerprint_counts(spark.read.parquet(f"{tmp_path}/t"), ["wide"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    exchange = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchange) == 1 and "_fp" in exchange[0] and "wide" not in exchange[0]

@@ -282,6 +282,16 @@ def duplicate_surplus(t: Tables) -> DataFrame:
     return aggregates.duplicate_surplus(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
+@query("""
+    WITH rows AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1992-06-01')
+    SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM rows)) AS distinct_keys,
+           count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM rows)) AS duplicates FROM rows""")
+def duplicate_surplus_of_wide_keys(t: Tables) -> DataFrame:
+    """Whole rows as the key, some of them twice; fingerprints first, rows where these repeat."""
+    twice = t.lineitem.unionByName(t.lineitem.filter(F.col("l_shipdate") < F.lit("1992-06-01")))
+    return aggregates.duplicate_surplus_by_fingerprint(twice, t.lineitem.columns)
+
+
 @query("SELECT event_type, count(*) AS cnt FROM events GROUP BY 1 ORDER BY 2 DESC")
 def frequency(t: Tables) -> DataFrame:
     return aggregates.frequency(t.events, "event_type")
