@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tierwork.operators import changelog, contents, incremental, membership, versions, windows
+from tierwork.operators import changelog, contents, incremental, membership, profile_states, versions, windows
 from tierwork.plans import metrics, pipeline
 from tierwork.sinks import rewrite, tables
 from tierwork.streaming.incremental import follow_folder
@@ -356,6 +356,36 @@ def test_rewrite_guard_finds_a_changed_value(spark, wh, monkeypatch):
     assert wh.table("silver.t").exceptAll(rows).isEmpty()
 
 
+# ---- profiles by batch -------------------------------------------------------------
+
+
+def test_merged_profiles_equal_a_full_scan(spark, wh):
+    spec = profile_states.ProfileSpec(("kind",), {"id": (0, 10, 5)})
+
+    def rows(*entries):
+        return feed(spark, *entries).withColumn("kind", F.when(F.col("id") % 3 > 0, F.col("id") % 3))
+
+    def counts(df):
+        return {tuple(r) for r in df.collect()}
+
+    load(wh, rows(*[(k, d(1, 1 + k)) for k in range(9)]))
+    assert profile_states.update(wh, "bronze.feed", spec) == 1
+    load(wh, rows((50, d(2, 1)), (-3, d(2, 2)), (None, d(2, 3))))
+    load(wh, rows((4, d(3, 1))))
+    fresh = profile_states.new_batches(wh, "bronze.feed")
+    assert sorted(fresh) == [2, 3]
+    plan = profile_states.pending(wh, "bronze.feed", fresh)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "batch_id#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert profile_states.update(wh, "bronze.feed", spec) == 2 and profile_states.update(wh, "bronze.feed", spec) == 0
+    whole = profile_states.merged(profile_states.states_of(wh.table("bronze.feed").withColumn("batch_id", F.lit(1)), spec))
+    got = counts(profile_states.profile(wh, "bronze.feed"))
+    assert got == counts(whole) and ("rows", None, None, 13) in got and ("nulls", "id", None, 1) in got
+    assert ("value", "kind", None, 5) in got and ("bin", "id", "0", 3) in got
+    wh.table(profile_states.STATES).limit(3).write.mode("append").parquet(f"{wh.location(profile_states.STATES)}/rows")
+    wh.spark.catalog.refreshTable(wh.catalog_name(profile_states.STATES))
+    assert counts(profile_states.profile(wh, "bronze.feed")) == got
+
+
 # ---- content fingerprints ----------------------------------------------------------
 
 

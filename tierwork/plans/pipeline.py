@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.incremental import LEDGER, MEMBERS, load_increment, loaded_rows, publish_watermarks
+from ..operators.profile_states import STATES
 from ..operators.quality import check_suite, gate, row_measures
 from ..schema import CALENDAR_RANGE, INCREMENTAL, PARTITIONED_BY, PURCHASE_WINDOW, SOURCE_COLUMNS, TABLE_KEYS
 from ..sinks.tables import (
@@ -58,7 +59,7 @@ def attach(wh: Warehouse) -> list[str]:
         return rows
 
     versions, ledger = log(VERSIONS), log(LEDGER)
-    for name in (DQ_RESULTS, JOB_LOG, MEMBERS, CONTENTS):
+    for name in (DQ_RESULTS, JOB_LOG, MEMBERS, CONTENTS, STATES):
         log(name)
     found = []
     if versions is not None:

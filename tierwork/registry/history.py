@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import aggregates, changelog, contents, incremental, versions
+from ..operators import aggregates, changelog, contents, incremental, profile_states, versions
 from ..schema import EPOCH_WATERMARK
 from ..sinks import rewrite, tables
 from ..plans.metrics import job_run
@@ -63,6 +63,27 @@ def lookback_load(t: Tables) -> DataFrame:
     return wh.table("bronze.events").select("event_id", "ts", "user_id", F.col("batch_id").cast("int").alias("batch_id"))
 
 
+@query("""
+    SELECT 'rows' AS kind, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS VARCHAR) AS value, count(*) AS n FROM events
+    UNION ALL SELECT 'nulls', 'event_id', NULL, count(*) - count(event_id) FROM events
+    UNION ALL SELECT 'nulls', 'ts', NULL, count(*) - count(ts) FROM events
+    UNION ALL SELECT 'nulls', 'event_type', NULL, count(*) - count(event_type) FROM events
+    UNION ALL SELECT 'nulls', 'hour', NULL, count(*) - count(ts) FROM events
+    UNION ALL SELECT 'nulls', '_part_ts', NULL, count(*) - count(ts) FROM events
+    UNION ALL SELECT 'nulls', 'part_ts_month', NULL, count(*) - count(ts) FROM events
+    UNION ALL SELECT 'value', 'event_type', event_type, count(*) FROM events GROUP BY 3
+    UNION ALL SELECT 'bin', 'hour', CAST(CAST(floor(extract(hour FROM ts) / 6) AS BIGINT) AS VARCHAR), count(*) FROM events WHERE ts IS NOT NULL GROUP BY 3""")
+def merged_profile(t: Tables) -> DataFrame:
+    """Events loaded in two batches; each update of the profile reads the new one."""
+    wh = t.warehouse("profile")
+    events = t.events.select("event_id", "ts", "event_type", F.hour("ts").alias("hour"))
+    spec = profile_states.ProfileSpec(("event_type",), {"hour": (0, 24, 4)})
+    for source in (events.filter(F.col("ts") < F.lit(HALF)), events):
+        incremental.load_increment(wh, source, "bronze.events", "ts", "ts", run_ts=datetime(2024, 2, 1))
+        profile_states.update(wh, "bronze.events", spec)
+    return profile_states.profile(wh, "bronze.events")
+
+
 @query(f"""
     SELECT 'bronze.events' AS table_name, CAST(batch_id AS BIGINT) AS batch_id, 'append' AS operation, row_count, watermark_value FROM (
         SELECT CASE WHEN ts < TIMESTAMP '{HALF}' THEN 1 ELSE 2 END AS batch_id, count(*) AS row_count,
