@@ -242,16 +242,18 @@ def mart_category_ranking_bucketed(t: Tables) -> DataFrame:
     return marts.category_ranking_of_buckets(items, orders, _dim_product(t))
 
 
-# mart -> the whole-number column whose sum is compared
+# mart -> a whole-number column and one with two decimals, whose sums are compared
 _CHECKED = {
-    "mart_monthly_revenue": "order_count", "mart_state_performance": "order_count", "mart_category_ranking": "items_sold",
-    "mart_delivery_kpi": "total_orders", "mart_review_by_category": "review_count",
-    "mart_payment_distribution": "payment_count", "mart_customer_retention": "total_customers",
+    "mart_monthly_revenue": ("order_count", "revenue"), "mart_state_performance": ("order_count", "revenue"),
+    "mart_category_ranking": ("items_sold", "revenue"), "mart_delivery_kpi": ("total_orders", "late_delivery_rate_pct"),
+    "mart_review_by_category": ("review_count", "avg_review_score"), "mart_payment_distribution": ("payment_count", "total_value"),
+    "mart_customer_retention": ("total_customers", "retention_rate_pct"),
 }
 
 
 @query("\n    UNION ALL ".join(
-    f"SELECT '{mart}' AS mart, count(*) AS n_rows, CAST(sum({column}) AS BIGINT) AS total FROM ({SQL[mart]}) AS m" for mart, column in _CHECKED.items()))
+    f"SELECT '{mart}' AS mart, count(*) AS n_rows, CAST(sum({column}) AS BIGINT) AS total, "
+    f"CAST(sum(CAST({amount} AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM ({SQL[mart]}) AS m" for mart, (column, amount) in _CHECKED.items()))
 def layered_run(t: Tables) -> DataFrame:
     """All layers as stored tables, with their gates; one row about each mart."""
     span = t.orders.agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
@@ -259,8 +261,10 @@ def layered_run(t: Tables) -> DataFrame:
     pipeline.run_all(
         wh, lambda table: roles.SOURCES[table](t), datetime(2024, 2, 1), calendar=(str(span[0]), str(span[1])))
     return reduce(DataFrame.unionByName, [
-        wh.table(f"platinum.{mart}").agg(F.count("*").alias("n_rows"), F.sum(column).cast("bigint").alias("total")).select(F.lit(mart).alias("mart"), "*")
-        for mart, column in _CHECKED.items()])
+        wh.table(f"platinum.{mart}").agg(
+            F.count("*").alias("n_rows"), F.sum(column).cast("bigint").alias("total"), F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("amount"),
+        ).select(F.lit(mart).alias("mart"), "*")
+        for mart, (column, amount) in _CHECKED.items()])
 
 
 def _twice(df: DataFrame) -> DataFrame:
