@@ -259,7 +259,7 @@ def test_a_failing_suite_leaves_readers_on_the_old_version(run, tmp_path):
 
 def test_row_checks_taken_while_writing_agree_with_a_scan(run):
     wh, _, _ = run
-    logged = {(r.table_name, r.check_name): (r.passed, r.value, r.threshold) for r in wh.table("meta.dq_results").collect()}
+    logged = {(r.table_name, r.check_name): (r.passed, r.value, r.threshold) for r in wh.table("meta.dq_results").orderBy("run_timestamp").collect()}
     for layer in ("bronze", "silver", "gold"):
         for r in pipeline.validate(wh, layer):
             assert logged[r.table_name, r.check_name] == (r.passed, r.value, r.threshold)
