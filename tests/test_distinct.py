@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from tierwork.operators.distinct import bitmap_counts, id_bitmaps, merged_bitmaps, numbered
+from tierwork.operators.distinct import bitmap_counts, gathered, id_bitmaps, merged_bitmaps, numbered
+from tierwork.plans import gold, marts
 
 EDGES = [0, 1, 32767, 32768, 32769, 65536, 1 << 40, -1, -32768]
 
@@ -41,3 +42,23 @@ def test_no_id_is_shuffled(spark):
     assert len(exchanges) == 2 and not any("order_no" in line for line in exchanges) and "bitmap_construct_agg" in plan
     written = id_bitmaps(df, ["g"], "order_no")
     assert written.count() <= 3 * (200_000 // 32768 + 2)
+
+
+def test_ids_dealt_over_all_tasks_are_gathered(spark):
+    """A bucket's ids meet in one task (or few), so a task writes few bitmaps."""
+    df = spark.range(320_000).select("id").repartition(8, F.xxhash64("id"))
+    placed = F.bitmap_bucket_number("id").alias("bucket"), F.spark_partition_id().alias("task")
+    assert df.select(*placed).distinct().count() > 60
+    assert gathered(df, "id").select(*placed).distinct().count() <= 20
+    assert gathered(df, "id").columns == ["id"]
+
+
+def test_months_are_attached_before_bitmaps(spark):
+    """One bitmap for each month and bucket, not for each day; the rows are gathered."""
+    sold = spark.range(2_000).selectExpr(
+        "id % 700 AS order_id", "20240101 + id % 28 AS purchase_date_id", "'delivered' AS order_status", "1.0D AS total_revenue")
+    mart = marts.monthly_revenue(sold, gold.dim_date(spark, "2024-01-01", "2024-01-31"), order_number="order_id")
+    plan = mart._jdf.queryExecution().optimizedPlan().toString()
+    made = next(line for line in plan.splitlines() if "bitmap_construct_agg" in line)
+    assert "purchase_date_id" not in made and "month" in made and "RebalancePartitions" in plan
+    assert [tuple(r) for r in mart.collect()] == [(2024, 1, 2000.0, 700)]

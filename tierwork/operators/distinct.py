@@ -7,6 +7,12 @@ whatever the number of repeats. Bitmaps of finer groups (days) merge into those
 coarser ones (months) by OR. It pays where groups are few or their ids dense; per
 person, where a bitmap would hold one or two ids, the ids themselves are smaller.
 
+A task can merge only what it reads. Where the ids of a bucket are dealt over all tasks,
+as after a shuffle by a hash of the id, each task would write a bitmap of its own for
+every group and bucket, most of them for one or two ids: ``gathered`` brings
+neighbouring ids together first, for one narrow row each, and what is written then
+follows the ids, however many tasks there are.
+
 Ids must be whole numbers; ``numbered`` gives the values of any other column dense ones.
 """
 
@@ -25,6 +31,17 @@ def numbered(df: DataFrame, column: str, number: str) -> DataFrame:
     return attach_key(df, ordered_surrogate(df, column, number), column, number)
 
 
+def gathered(df: DataFrame, number: str) -> DataFrame:
+    """``df`` with neighbouring ids in the same tasks; select few columns before. A
+    bucket that repeats hold in large numbers is split over several tasks."""
+    return near(df, F.bitmap_bucket_number(F.col(number).cast("bigint")))
+
+
+def near(df: DataFrame, bucket: Column) -> DataFrame:
+    """``df`` dealt by the bucket of its bitmaps."""
+    return df.withColumn("_near", bucket).hint("rebalance", "_near").drop("_near")
+
+
 def id_bitmaps(df: DataFrame, groups: list[str], number: str, sums: dict[str, Column] | None = None) -> DataFrame:
     """One row for each group and bucket: the ids as bits, and further sums. A NULL
     number counts in the sums only."""
