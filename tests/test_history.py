@@ -136,6 +136,16 @@ def test_lookback_finds_late_and_tied_rows_once(spark, wh):
     assert sorted(r.id for r in wh.table("bronze.feed").collect()) == [1, 2, 3, 4]
 
 
+def test_bits_of_a_filter_are_gathered_before_they_are_set(spark):
+    """Every task holds bits of every bitmap; a bitmap is made where they meet."""
+    df = spark.range(30_000).select("id").repartition(8)
+    made = membership.sketch(df, ["id"], 30_000)
+    assert "RebalancePartitions" in made._jdf.queryExecution().optimizedPlan().toString()
+    assert made.count() == (1 << made.first()["size_log2"]) >> membership.BITMAP_LOG2
+    assert made.agg(F.sum(F.bitmap_count("bits"))).first()[0] == df.select(
+        F.explode(membership._hashes(["id"])).alias("h")).select(F.col("h").bitwiseAND(F.lit((1 << 19) - 1))).distinct().count()
+
+
 def test_filters_pass_what_they_hold(spark):
     df = spark.range(5000).select(F.col("id"), F.col("id").cast("string").alias("s"))
     sketches = membership.sketch(df, ["id", "s"], 5000).withColumn("batch_id", F.lit(7).cast("bigint"))

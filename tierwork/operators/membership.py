@@ -1,7 +1,7 @@
 """Which batches of a table may hold a key: Bloom filters kept with the batches.
 
 A filter has BITS_PER_ROW bits for each row of its batch (a power of two of them), cut
-into bitmaps of 4 KB that merge map-side while the batch is sketched. A key that is not
+into bitmaps of 4 KB, each made where its bits are brought together. A key that is not
 in a batch passes its filter with a chance of about one in 400; a key that is in it
 always passes, so a filter only saves reads and can't change a result.
 """
@@ -12,6 +12,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .distinct import near
+
 BITS_PER_ROW = 16
 HASHES = 4
 BITMAP_LOG2 = 15    # bits of a bitmap, fixed by the aggregate
@@ -30,9 +32,13 @@ def size_log2(rows: int) -> int:
 
 
 def sketch(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """The filter of ``df`` (size_log2, bucket, bits), ``rows`` being its row count."""
+    """The filter of ``df`` (size_log2, bucket, bits), ``rows`` being its row count.
+    Where it is cut into several bitmaps, every task would write nearly all of them, so
+    the bits of a bitmap are brought together before they are set."""
     size = size_log2(rows)
     at = df.select(F.explode(_hashes(keys)).alias("h")).select(_place(F.col("h"), F.lit(size)).alias("p"))
+    if size > BITMAP_LOG2:
+        at = near(at, F.shiftright("p", BITMAP_LOG2))
     return at.groupBy(F.shiftright("p", BITMAP_LOG2).alias("bucket")).agg(
         F.bitmap_construct_agg(F.col("p").bitwiseAND(F.lit((1 << BITMAP_LOG2) - 1))).alias("bits")).select(F.lit(size).alias("size_log2"), "bucket", "bits")
 
