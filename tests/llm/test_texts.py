@@ -170,6 +170,25 @@ def test_no_ngram_is_dropped_beyond_the_broadcast_bound(spark, edge_docs, monkey
     assert apart == scores(model, counts)
 
 
+def test_stored_ranges_answer_counts_without_a_join(spark, edge_docs, monkeypatch):
+    monkeypatch.setattr(language_model, "FREQUENT", 15)
+    small, counts = language_model.train(edge_docs)
+    want = sorted((repr(r["doc_id"]), r["n_known"], round(r["base_score"], 4)) for r in language_model.score(edge_docs, small, counts).collect())
+    monkeypatch.setattr(language_model, "FILL", 1e-4)
+    model, counts = language_model.train(edge_docs)
+    scored = language_model.score(edge_docs, model, counts)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+    assert sorted((repr(r["doc_id"]), r["n_known"], round(r["base_score"], 4)) for r in scored.collect()) == want
+
+
+def test_sorted_hashes_take_the_bytes_of_their_gaps():
+    np = language_model.np
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 44, 100_000).astype(np.uint64))
+    data = language_model._packed(keys)
+    assert (language_model._unpacked(data) == keys).all() and len(data) < 4.2 * len(keys)
+
+
 def test_language_model_without_rows(edge_docs, no_docs):
     model, counts = language_model.train(no_docs)
     found = language_model.score(edge_docs, model, counts).collect()

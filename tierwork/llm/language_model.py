@@ -6,25 +6,27 @@ quantised to the level 1 + floor(log(c) / log(BASE)), and the n-gram goes into t
 filter once for each level up to its own. A reader probes level 1, 2, ... until one
 is not a member; the last member stands for the count in the middle of its level.
 
-The filter has one bit for 1 / FILL insertions and holds every n-gram, so it grows
-with the data. Its blocks are made where the n-grams of a block meet, as streams of
-sorted rows. Up to FILTER_MB the finished filter comes to the driver and is
-broadcast. A larger one stays a stored table of blocks, dealt out by ranges of
-blocks: each stream of texts sends its different n-grams, once each, to the ranges
-that hold them, where they are probed, and gets their levels back; so no range has
-a hot key and neither driver nor task holds more than a range. Scores are the same
-either way. Only a caller that asks for ``filter_mb`` gets a bounded filter: then
-the n-grams of the lowest counts are left to the smoothing, and the cutoffs are
-part of the model.
+N-grams are dealt out by ranges of their hashes, as many as the texts' size asks for.
+Tasks send what they have counted as sorted hashes, packed as gaps, once to each
+range; there the counts meet, and the range makes its own filter, with one bit for
+1 / FILL insertions, in the same task. The filter holds every n-gram, so it grows with
+the data. Filters and exact token counts of the ranges are stored. Up to FILTER_MB the
+filters come to the driver and are broadcast. Otherwise each stream of texts sends its
+different n-grams, once each, to their ranges, where they are probed, and gets back
+levels and exact counts; so no range has a hot key and neither driver nor task holds
+more than a range. Scores are the same either way. Only a caller that asks for
+``filter_mb`` gets a bounded filter: then the n-grams of the lowest counts are left to
+the smoothing, and the cutoffs are part of the model.
 
 A token's probability mixes its bigram estimate, weighted by WEIGHT where the
 history is known, with its unigram estimate, which is smoothed by 0.1 for each of
 the V + 1 tokens; both come from probes alone. The score of a text is the sum of
 log10 probabilities over its tokens, the end included.
 
-``base_score`` needs exact counts: those of the most frequent tokens (a bounded
-number) are broadcast; the other tokens of a text go, by hash, to the exact count
-table in a join. Tokens are told apart by 64-bit hashes.
+``base_score`` needs exact counts: those of the ranges, or, beside a broadcast filter,
+those of the most frequent tokens (a bounded number), which are broadcast too; the
+other tokens of a text then go, by hash, to the exact count table in a join. Tokens
+are told apart by 64-bit hashes, n-grams in the filter by the upper 44 bits.
 
 Defined cases: a NULL or empty text has its end as only token. Without training
 rows N and V are 0, counts are 0, and every token has probability 1. Rows may repeat
@@ -42,15 +44,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import counts_in_batches, fold, pinned, query, table
+from ..session import scratch_path
+from .common import fold, pinned, query, table
 
 BASE = 1.6                  # ratio of counts between levels
 FILTER_MB = 24              # of a filter that is broadcast
-RANGE_MB = 4                # of a larger filter that a task holds, at most
-RANGES = 24                 # of a larger filter, at least
+RANGE_BYTES = 16 << 20      # of training texts that a range stands for
+RANGES = 24                 # at least
 PROBES = 4                  # bits of an insertion
 FILL = 0.08                 # insertions for each bit, at most
 BLOCK_BITS = 1 << 16        # bits of a filter block; an n-gram lies within one
@@ -58,15 +62,17 @@ FREQUENT = 400_000          # tokens whose exact counts are broadcast
 WEIGHT = 0.4
 SMOOTHING = 0.1
 CACHE = 500_000
-STREAM = 100_000            # tokens of texts that are looked up together
+DROPPED = np.uint64(20)     # bits of a hash that the filter does without
+STREAM = 1_000_000          # tokens of texts that are looked up together
+FLUSH = 3_000_000           # tokens that a task counts before it sends anything
+PROBED = 8 << 20            # packed bytes of n-grams that are probed at once
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 END = 0x5DEECE66D1A4B086    # stands for the end of a text
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
 class _Hashes(dict):
-    def __missing__(self, token: str) -> int:
+    def __missing__(self, token: bytes) -> int:
         if len(self) > CACHE:
             self.clear()
         value = self[token] = xxhash.xxh3_64_intdigest(token, 7) & ~1
@@ -74,8 +80,9 @@ class _Hashes(dict):
 
 
 def tokens_of(text: str | None, seen: _Hashes) -> np.ndarray:
-    """Hashes of the tokens of a text, its end last."""
-    found = _TOKEN.findall(text.translate(_LOWER)) if text else []
+    """Hashes of the tokens of a text, its end last. Of bytes, ``lower`` and ``split``
+    know the letters A-Z and the white space of _TOKEN alone."""
+    found = text.encode().lower().split() if text else []
     out = np.empty(len(found) + 1, np.uint64)
     out[:-1] = np.fromiter(map(seen.__getitem__, found), np.uint64, len(found))
     out[-1] = END
@@ -87,11 +94,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def paired(before: np.ndarray, short: np.ndarray) -> np.ndarray:
+    """Bigrams, from the 44 bits of their unigrams."""
+    return mixed(before * _M1 + mixed(short * _M3))
+
+
 def bigrams(tokens: np.ndarray) -> np.ndarray:
-    """Of each token with the one before it; a text begins after an end. Hashes of
-    bigrams are odd, those of tokens are even."""
-    before = np.concatenate([np.array([END], np.uint64), tokens[:-1]])
-    return mixed(before * _M1 + mixed(tokens * _M3)) | np.uint64(1)
+    """Of each token with the one before it; a text begins after an end."""
+    one = mixed(np.concatenate([np.array([END], np.uint64), tokens]) * _M3) >> DROPPED
+    return paired(one[:-1], one[1:])
 
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,12 +122,17 @@ def middle(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, np.sqrt(low * high), 0.0)
 
 
-def positions(grams: np.ndarray, level: np.ndarray | int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """First bit of each (n-gram, level) and the step to the next ones, which stay
-    within the n-gram's block."""
-    start = ((grams >> np.uint64(40)).astype(np.int64) % blocks) * BLOCK_BITS
-    h = mixed(grams + np.asarray(level, np.uint64) * _M1)
-    return start + (h & np.uint64(BLOCK_BITS - 1)).astype(np.int64), ((h >> np.uint64(33)) | np.uint64(1)).astype(np.int64)
+def home(short: np.ndarray, blocks: np.ndarray | int) -> np.ndarray:
+    """The block of an n-gram (44 bits) among those of its range; the upper 24 bits
+    name the range."""
+    return (short & np.uint64(0xFFFFF)).astype(np.int64) % blocks
+
+
+def positions(short: np.ndarray, block: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """First bit of each n-gram (44 bits) at a level and the step to the next ones,
+    which stay within the n-gram's block."""
+    h = mixed(short + np.array([level], np.uint64) * _M1)
+    return block * BLOCK_BITS + (h & np.uint64(BLOCK_BITS - 1)).astype(np.int64), ((h >> np.uint64(33)) | np.uint64(1)).astype(np.int64)
 
 
 def further(first: np.ndarray, step: np.ndarray, probe: int) -> np.ndarray:
@@ -125,39 +141,42 @@ def further(first: np.ndarray, step: np.ndarray, probe: int) -> np.ndarray:
     return first - low + ((low + probe * step) & (BLOCK_BITS - 1))
 
 
+def place_of(short: np.ndarray, places: int) -> np.ndarray:
+    """The range of n-grams (44 bits), in their order."""
+    return ((short >> np.uint64(20)) * np.uint64(places) >> np.uint64(24)).astype(np.int64)
+
+
 @dataclass
 class Model:
-    bits: np.ndarray | None     # the filter, as bytes; None where it is ``stored``
-    blocks: int
+    bits: np.ndarray | None     # the filters of all ranges, as bytes; None where they are ``stored``
+    sizes: np.ndarray           # blocks of each range
     deepest: int                # largest level in use
     total: int                  # N
     distinct: int               # V
     cutoffs: dict[str, int]     # smallest counts that the filter holds, by order
-    stored: DataFrame | None = None     # block, bits of a filter that is not broadcast
+    stored: DataFrame | None = None     # the ranges (RANGE) of a filter that is not broadcast
 
     def __getstate__(self):
         return {**self.__dict__, "stored": None}
 
     @property
-    def span(self) -> int:
-        """Blocks of a range."""
-        size = BLOCK_BITS // 8
-        return max(1, min((RANGE_MB << 20) // size, math.ceil(self.blocks / RANGES)))
-
-    def range_of(self, grams: np.ndarray) -> np.ndarray:
-        return (grams >> np.uint64(40)).astype(np.int64) % self.blocks // self.span
-
-    def levels(self, grams: np.ndarray, bits: np.ndarray | None = None, base: int = 0) -> np.ndarray:
-        """Found by probing level after level; only members go on. ``bits`` are
-        those of a range whose first block is ``base``."""
-        bits = self.bits if bits is None else bits
-        out = np.zeros(len(grams), np.int64)
-        alive = np.arange(len(grams))
+    def blocks(self) -> int:
+        return int(self.sizes.sum())
+
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """Levels of n-grams, from the broadcast filters."""
+        short = grams >> DROPPED
+        place = place_of(short, len(self.sizes))
+        return self.found(short, (np.cumsum(self.sizes) - self.sizes)[place] + home(short, self.sizes[place]), self.bits)
+
+    def found(self, short: np.ndarray, block: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        """Found by probing level after level; only members go on."""
+        out = np.zeros(len(short), np.int64)
+        alive = np.arange(len(short))
         for level in range(1, self.deepest + 1):
             if not len(alive):
                 break
-            first, step = positions(grams[alive], level, self.blocks)
-            first -= base * BLOCK_BITS
+            first, step = positions(short[alive], block[alive], level)
             for probe in range(PROBES):     # most that are not members leave at the first bit
                 at = further(first, step, probe)
                 member = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
@@ -197,273 +216,378 @@ def streams(texts: list, seen: _Hashes):
         yield held
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """key, n of the tokens (even keys) and bigrams (odd keys) over the texts of
-    ``docs`` (text)."""
-    def keys_of(batch):
-        seen = _Hashes()
-        for held in streams(batch.column(0).to_pylist(), seen):
-            tokens = np.concatenate(held)
-            for keys in (tokens, bigrams(tokens)):
-                unique, where = distinct(keys)
-                yield unique, np.bincount(where)
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers, bytes of equal weight together, compressed."""
+    return zstandard.compress(x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys, as gaps."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(data), dtype=np.uint64)
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, sorted, and the sum of their counts (1 each by default)."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
+    if counts is None:
+        keys = np.sort(keys)
+        edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        return keys[edges], np.diff(np.r_[edges, len(keys)])
+    order = np.argsort(keys)
+    keys = keys[order]
+    edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[edges], np.add.reduceat(counts[order], edges)
+
 
-    return counts_in_batches(docs, keys_of, flush=1_500_000)
+def _cuts(short: np.ndarray, places: int) -> np.ndarray:
+    """Where each range begins among sorted n-grams (44 bits), and the end."""
+    return np.searchsorted(place_of(short, places), np.arange(places + 1))
 
 
-def _levels(counts: DataFrame) -> DataFrame:
-    level = 1 + F.floor(F.log(F.col("n").cast("double")) / math.log(BASE) + 1e-9)
-    return counts.withColumn("level", level.cast("int"))
+ONES, TWOS = 0, 1       # kinds of n-grams: unigrams, known by 64 bits, and bigrams, by 44
 
 
-def _cutoff(counts: DataFrame, room: float) -> tuple[int, float, int]:
-    """Smallest count that is held within ``room`` insertions, the insertions, and
-    the deepest level. One row for each count up to the base of level 8, and for
-    each level beyond, is all that is looked at."""
+def counted(docs: DataFrame, places: int) -> DataFrame:
+    """place, kind, keys, counts: n-grams of the texts of ``docs`` (text), as each task
+    has counted them."""
+    def run(batches):
+        seen = _Hashes()
+        ones, twos, size = [], [], 0
+
+        def sent():
+            out = []
+            for kind, held, drop in ((ONES, ones, DROPPED), (TWOS, twos, np.uint64(0))):
+                keys, counts = _summed(np.concatenate(held))
+                cuts = _cuts(keys >> drop, places)
+                out += [(k, kind, _packed(keys[a:b]), _planes(counts[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.binary()),
+                 pa.array([r[3] for r in out], pa.binary())], ["place", "kind", "keys", "counts"])
+
+        for batch in batches:
+            for held in streams(batch.column(0).to_pylist(), seen):
+                tokens = np.concatenate(held)
+                ones.append(mixed(tokens * _M3))
+                twos.append(bigrams(tokens) >> DROPPED)
+                size += len(tokens)
+                if size >= FLUSH:
+                    yield sent()
+                    ones, twos, size = [], [], 0
+        if size:
+            yield sent()
+
+    return docs.mapInArrow(run, "place long, kind int, keys binary, counts binary")
+
+
+def _met(batches):
+    """Each range with its n-grams, unigrams and bigrams: sorted keys and counts."""
+    current, held = None, ([], [])
+
+    def merged():
+        out = []
+        for pieces in held:
+            keys = [_unpacked(k) for k, _ in pieces]
+            counts = [_numbers(c).astype(np.int64) for _, c in pieces]
+            out.append(_summed(np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])))
+        return current, *out
+
+    for batch in batches:
+        for place, kind, keys, counts in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if place != current:
+                if current is not None:
+                    yield merged()
+                current, held = place, ([], [])
+            held[kind].append((keys, counts))
+    if current is not None:
+        yield merged()
+
+
+def _cutoff(counts: DataFrame, room: float) -> tuple[int, float]:
+    """Smallest count that is held within ``room`` insertions, and the insertions, from
+    how many n-grams have each count (n, rows). One row for each count up to the base
+    of level 8, and for each level beyond, is all that is looked at."""
     low = math.ceil(BASE ** 7)
-    shown = F.when(F.col("n") < low, F.col("n")).otherwise(F.lit(low) + F.col("level"))
+    level = (1 + F.floor(F.log(F.col("n").cast("double")) / math.log(BASE) + 1e-9)).cast("int")
+    shown = F.when(F.col("n") < low, F.col("n")).otherwise(F.lit(low) + level)
     rows = sorted((r["shown"], r["rows"], r["level"]) for r in
-                  _levels(counts).groupBy(shown.alias("shown")).agg(F.count("*").alias("rows"), F.max("level").alias("level")).collect())
-    held, cut, deepest = 0.0, None, 0
+                  counts.groupBy(shown.alias("shown")).agg(F.sum("rows").alias("rows"), F.max(level).alias("level")).collect())
+    held, cut = 0.0, None
     for shown_, n, level in reversed(rows):
         if held + n * level > room:
             break
-        held, cut, deepest = held + n * level, shown_, max(deepest, level)
+        held, cut = held + n * level, shown_
     if cut is None:
-        return 1 << 62, 0.0, 0
-    return (cut if cut < low else math.ceil(BASE ** (cut - low - 1) - 1e-9)), held, deepest
+        return 1 << 62, 0.0
+    return (cut if cut < low else math.ceil(BASE ** (cut - low - 1) - 1e-9)), held
+
+
+def _ranges(met: DataFrame) -> DataFrame:
+    return met.repartition("place").sortWithinPartitions("place")
+
+
+RANGE = "place long, blocks long, deepest int, total long, distinct long, bits binary, keys binary, counts binary"
 
 
 def train(docs: DataFrame, text: str = "text", filter_mb: float | None = None) -> tuple[Model, DataFrame]:
     """The model, and the exact counts of tokens (key, n), stored. The filter holds
     all n-grams unless ``filter_mb`` bounds it."""
     source = docs.select(F.col(text).cast("string").alias("text"))
-    both = pinned(counted(source))
-    ones, twos = both.filter(F.col("key").bitwiseAND(F.lit(1)) == 0), both.filter(F.col("key").bitwiseAND(F.lit(1)) == 1)
-    summed = ones.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
-    room = math.inf if filter_mb is None else FILL * int(filter_mb * (1 << 23))
-    one_cut, one_held, one_deep = _cutoff(ones, 0.3 * room)
-    two_cut, two_held, two_deep = _cutoff(twos, room - one_held)
-    # as many bits as the insertions ask for
-    blocks = math.ceil((one_held + two_held) / FILL) // BLOCK_BITS + 1
-    deepest = max(one_deep, two_deep)
-
-    def keyed(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(mixed(np.array(batch.column(0)).view(np.uint64) * _M3).view(np.int64)), batch.column(1)], ["key", "n"])
-
-    unigrams = ones.filter(F.col("n") >= one_cut).mapInArrow(keyed, "key long, n long")
-    grams = unigrams.unionByName(twos.filter(F.col("n") >= two_cut))
-    block = F.shiftrightunsigned("key", 40) % blocks
+    size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    places = min(max(RANGES, math.ceil(size / RANGE_BYTES)), 1 << 16)
+    cuts = [1, 1]
+    if filter_mb is None:
+        sent = counted(source, places)
+    else:
+        room = FILL * int(filter_mb * (1 << 23))
+        places = max(1, min(places, int(filter_mb * (1 << 23)) // BLOCK_BITS // 8))
+        sent = pinned(counted(source, places))
 
-    def fill(batches):
-        current, bits_of = None, None
-        done: list[tuple[int, bytes]] = []
+        def histogram(batches):
+            for _, *both in _met(batches):
+                for kind, (_, counts) in enumerate(both):
+                    n, rows = np.unique(counts, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind), pa.int32()), pa.array(n, pa.int64()), pa.array(rows, pa.int64())], ["kind", "n", "rows"])
 
-        def made():
-            return pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.binary())], ["block", "bits"])
+        held = pinned(_ranges(sent).mapInArrow(histogram, "kind int, n long, rows long").groupBy("kind", "n").agg(F.sum("rows").alias("rows")))
+        cuts[ONES], used = _cutoff(held.filter(F.col("kind") == ONES), 0.3 * room)
+        cuts[TWOS], _ = _cutoff(held.filter(F.col("kind") == TWOS), room - used)
 
+    def fill(batches):
+        for place, (ones, n_ones), (twos, n_twos) in _met(batches):
+            top = level_of(np.concatenate([n_ones[n_ones >= cuts[ONES]], n_twos[n_twos >= cuts[TWOS]]]))
+            short = np.concatenate([ones[n_ones >= cuts[ONES]] >> DROPPED, twos[n_twos >= cuts[TWOS]]])
+            # as many bits as the insertions ask for
+            blocks = math.ceil(int(top.sum()) / FILL) // BLOCK_BITS + 1
+            deepest = int(top.max()) if len(top) else 0
+            bits, block = np.zeros(blocks * BLOCK_BITS, np.uint8), home(short, blocks)
+            for level in range(1, deepest + 1):
+                chosen = top >= level
+                first, step = positions(short[chosen], block[chosen], level)
+                for probe in range(PROBES):
+                    bits[further(first, step, probe)] = 1
+            row = (place, blocks, deepest, int(n_ones.sum()), len(ones), zstandard.compress(np.packbits(bits, bitorder="little").tobytes(), 1), _packed(ones), _planes(n_ones))
+            yield pa.RecordBatch.from_pylist([dict(zip(names, row))], made)
+
+    names = [field.split()[0] for field in RANGE.split(", ")]
+    made = pa.schema(list(zip(names, [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])))
+    path = scratch_path(source.sparkSession, "ranges")
+    _ranges(sent).mapInArrow(fill, RANGE).write.parquet(path)
+    ranges = source.sparkSession.read.schema(RANGE).parquet(path)
+    sizes, deepest, total, distinct_ = np.ones(places, np.int64), 0, 0, 0
+    for r in ranges.select("place", "blocks", "deepest", "total", "distinct").collect():     # a row of numbers for each range
+        sizes[r["place"]] = r["blocks"]
+        deepest, total, distinct_ = max(deepest, r["deepest"]), total + r["total"], distinct_ + r["distinct"]
+    model = Model(None, sizes, deepest, total, distinct_, {"unigrams": cuts[ONES], "bigrams": cuts[TWOS]})
+
+    def opened(batches):
         for batch in batches:
-            blocks_of, keys = np.array(batch.column(0)), np.array(batch.column(1)).view(np.uint64)
-            top = level_of(np.array(batch.column(2)))
-            edges = np.flatnonzero(np.diff(blocks_of)) + 1
-            for part in np.split(np.arange(len(keys)), edges):
-                if not len(part):
-                    continue
-                if blocks_of[part[0]] != current:
-                    if current is not None:
-                        done.append((int(current), np.packbits(bits_of, bitorder="little").tobytes()))
-                    current, bits_of = blocks_of[part[0]], np.zeros(BLOCK_BITS, np.uint8)
-                for level in range(1, int(top[part].max()) + 1):
-                    chosen = part[top[part] >= level]
-                    first, step = positions(keys[chosen], level, blocks)
-                    for probe in range(PROBES):
-                        bits_of[further(first, step, probe) & (BLOCK_BITS - 1)] = 1
-            if len(done) >= 64:
-                yield made()
-                done = []
-        if current is not None:
-            done.append((int(current), np.packbits(bits_of, bitorder="little").tobytes()))
-        if done:
-            yield made()
-
-    rows = grams.select(block.alias("block"), "key", "n").repartition("block").sortWithinPartitions("block")
-    filled = rows.mapInArrow(fill, "block long, bits binary")
-    model = Model(None, blocks, deepest, int(summed["total"]), summed["distinct"], {"unigrams": one_cut, "bigrams": two_cut})
-    if blocks * BLOCK_BITS > FILTER_MB * (1 << 23):
-        model.stored = pinned(filled)
-        return model, ones
-    model.bits = np.zeros(blocks * BLOCK_BITS // 8, np.uint8)
-    for r in filled.collect():      # the filter, no more
-        at = r["block"] * BLOCK_BITS // 8
-        model.bits[at:at + BLOCK_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
-    return model, ones
+            for keys, counts in zip(*(batch.column(k).to_pylist() for k in range(2))):
+                yield pa.RecordBatch.from_arrays([pa.array(_unpacked(keys).view(np.int64)), pa.array(_numbers(counts).astype(np.int64))], ["key", "n"])
+
+    counts = ranges.select("keys", "counts").mapInArrow(opened, "key long, n long")
+    if model.blocks * BLOCK_BITS > FILTER_MB * (1 << 23):
+        model.stored = ranges
+        return model, counts
+    size = BLOCK_BITS // 8
+    model.bits = np.zeros(model.blocks * size, np.uint8)
+    starts = np.cumsum(sizes) - sizes
+    for r in ranges.select("place", "blocks", "bits").collect():      # the filters, no more
+        at = starts[r["place"]] * size
+        model.bits[at:at + r["blocks"] * size] = np.frombuffer(zstandard.decompress(r["bits"]), np.uint8)
+    return model, counts
 
 
 FILTER, ASKED, STREAMED = 0, 1, 2       # kinds of rows on their way between streams and ranges
+SENT = "place long, kind int, stream long, a binary, b binary, c binary, rows array<struct<id: {}, n_tokens: long>>"
+SENT_NAMES = ["place", "kind", "stream", "a", "b", "c", "rows"]
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Small numbers, bytes of equal weight together, which compress well."""
-    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _numbers(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
-
-
-def _probed(model: Model, kind: str, sent: DataFrame) -> DataFrame:
-    """``sent`` (place, kind, stream, data, rows) with the n-grams of ASKED rows
-    replaced by their levels. ``place`` is the range, or below 0 for what passes."""
-    part = F.floor(F.col("block") / model.span).cast("long")
+def _probed(model: Model, schema: str, sent: DataFrame) -> DataFrame:
+    """``sent`` with the unigrams (a) of ASKED rows shortened to 44 bits, the bigrams (b)
+    replaced by the unigrams' exact counts, and the levels of both in c. ``place`` is the
+    range, or below 0 for what passes."""
     filters = model.stored.select(
-        part.alias("place"), F.lit(FILTER).alias("kind"), F.col("block").alias("stream"), F.col("bits").alias("data"),
+        "place", F.lit(FILTER).alias("kind"), F.lit(-1).cast("long").alias("stream"), F.col("keys").alias("a"), F.col("counts").alias("b"), F.col("bits").alias("c"),
         F.lit(None).cast(sent.schema["rows"].dataType).alias("rows"))
     together = sent.unionByName(filters).repartition("place").sortWithinPartitions("place", "kind")
     shared = model.__class__(**model.__getstate__())
-    span, size = model.span, BLOCK_BITS // 8
 
     def probe(batches):
-        current, bits = None, np.zeros(span * size, np.uint8)
+        current, bits, keys, counts = None, None, None, None
+
+        def answered(asked):
+            """For rows of one range: counts and levels."""
+            ones, twos = [_unpacked(a) for a, _ in asked], [_unpacked(b) for _, b in asked]
+            every = np.concatenate(ones)
+            n = np.zeros(len(every), np.int64)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, every), len(keys) - 1)
+                n = np.where(keys[at] == every, counts[at], 0)
+            short = np.concatenate([every >> DROPPED, *twos])
+            levels = shared.found(short, home(short, len(bits) * 8 // BLOCK_BITS), bits).astype(np.uint8) if len(bits) else np.zeros(len(short), np.uint8)
+            i, j = 0, len(every)
+            for one, two in zip(ones, twos):
+                both = np.concatenate([levels[i:i + len(one)], levels[j:j + len(two)]])
+                yield _packed(one >> DROPPED), _planes(n[i:i + len(one)]), zstandard.compress(both.tobytes(), 1)
+                i, j = i + len(one), j + len(two)
+
         for batch in batches:
-            places, kinds, streams_, datas = (batch.column(k).to_pylist() for k in range(4))
-            out = []
-            for place, what, stream, data in zip(places, kinds, streams_, datas):
-                if place >= 0 and place != current:
-                    current = place
-                    bits[:] = 0
-                if what == FILTER:
-                    at = (stream - place * span) * size
-                    bits[at:at + size] = np.frombuffer(data, np.uint8)
-                elif what == ASKED:
-                    data = shared.levels(np.frombuffer(data, np.uint64), bits, place * span).astype(np.uint8).tobytes()
-                out.append(data)
+            places, kinds, a, b, c = (batch.column(k).to_pylist() for k in (0, 1, 3, 4, 5))
+            k = 0
+            while k < len(kinds):
+                if kinds[k] == FILTER:
+                    current, bits = places[k], np.frombuffer(zstandard.decompress(c[k]), np.uint8)
+                    keys, counts = _unpacked(a[k]), _numbers(b[k]).astype(np.int64)
+                elif kinds[k] == ASKED:
+                    if places[k] != current:    # a range without n-grams
+                        current, bits, keys, counts = places[k], np.zeros(0, np.uint8), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                    last = k
+                    size = 0
+                    while last < len(kinds) and places[last] == current and (last == k or size < PROBED):
+                        size += len(a[last]) + len(b[last])
+                        last += 1
+                    a[k:last], b[k:last], c[k:last] = zip(*answered(list(zip(a[k:last], b[k:last]))))
+                    k = last
+                    continue
+                k += 1
             keep = pa.array([what != FILTER for what in kinds], pa.bool_())
-            columns = [*batch.columns[:3], pa.array(out, pa.binary()), batch.column(4)]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "kind", "stream", "data", "rows"]).filter(keep)
+            columns = [*batch.columns[:3], pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(c, pa.binary()), batch.column(6)]
+            yield pa.RecordBatch.from_arrays(columns, SENT_NAMES).filter(keep)
 
-    return together.mapInArrow(probe, kind)
+    return together.mapInArrow(probe, schema)
 
 
 def _scored(model: Model, probed: DataFrame, schema: str) -> DataFrame:
-    """The rows of each stream, scored from the levels of its n-grams."""
+    """The rows of each stream, scored from counts and levels of its n-grams."""
     shared = model.__class__(**model.__getstate__())
+    weight = model.total + SMOOTHING * (model.distinct + 1)
 
     def run(batches):
-        current, levels = None, []
+        current, met = None, []
         for batch in batches:
-            kinds, ids, datas = (batch.column(k).to_pylist() for k in (1, 2, 3))
-            for k, (what, stream, data) in enumerate(zip(kinds, ids, datas)):
+            kinds, ids, a, b, c = (batch.column(k).to_pylist() for k in (1, 2, 3, 4, 5))
+            for k, (what, stream) in enumerate(zip(kinds, ids)):
                 if stream != current:
-                    current, levels = stream, []
+                    current, met = stream, []
                 if what == ASKED:       # in the order of ranges
-                    levels.append(np.frombuffer(data, np.uint8))
+                    one = _unpacked(a[k])
+                    levels = np.frombuffer(zstandard.decompress(c[k]), np.uint8)
+                    met.append((one, _numbers(b[k]).astype(np.int64), levels[:len(one)], levels[len(one):]))
                     continue
-                found = middle(np.concatenate(levels).astype(np.int64))
-                at = _numbers(data)
-                if len(found) != at.max() + 1:
+                shorts, n, ones, twos = (np.concatenate(x) for x in zip(*met))
+                where = _numbers(a[k]).astype(np.int64)
+                before = np.concatenate([where[-1:], where[:-1]])       # the stream ends in an end
+                pairs, at = np.unique(paired(shorts[before], shorts[where]) >> DROPPED, return_inverse=True)
+                if len(pairs) != len(twos):
                     raise RuntimeError("a stream of texts changed while its n-grams were probed")
-                value = shared.mixture(found[at[:len(at) // 2]], found[at[len(at) // 2:]])
-                rows = batch.column(4).slice(k, 1).flatten()
+                value = shared.mixture(middle(ones.astype(np.int64))[where], middle(twos.astype(np.int64))[at])
+                rows = batch.column(6).slice(k, 1).flatten()
                 sizes = np.array(rows.field("n_tokens"))
-                columns = [rows.field(c) for c in ("id", "n_tokens", "n_known", "base", "rest")]
-                columns.insert(4, pa.array(np.add.reduceat(value, np.cumsum(sizes) - sizes), pa.float64()))
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "n_known", "base", "score", "rest"])
+                starts = np.cumsum(sizes) - sizes
+                base = np.log10((n + SMOOTHING) / weight)[where]
+                columns = [rows.field("id"), rows.field("n_tokens"), pa.array(np.add.reduceat((n > 0).astype(np.int64)[where], starts), pa.int64()),
+                           pa.array(np.add.reduceat(base, starts), pa.float64()), pa.array(np.add.reduceat(value, starts), pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "n_known", "base", "score"])
 
     return probed.repartition("stream").sortWithinPartitions("stream", "kind", "place").mapInArrow(run, schema)
 
 
+def _by_ranges(source: DataFrame, model: Model, kind: str) -> DataFrame:
+    """id, n_tokens, n_known, base, score of ``source`` (id, text), from the stored ranges."""
+    places = len(model.sizes)
+
+    def run(batches):
+        seen = _Hashes()
+        numbers = itertools.count(TaskContext.get().partitionId() << 36)
+        for batch in batches:
+            done = 0
+            for held in streams(batch.column(1).to_pylist(), seen):
+                stream = next(numbers)
+                tokens = np.concatenate(held)
+                unigrams, where = np.unique(mixed(tokens * _M3), return_inverse=True)
+                pairs = np.unique(bigrams(tokens) >> DROPPED)
+                ones, twos = _cuts(unigrams >> DROPPED, places), _cuts(pairs, places)
+                asked = [p for p in range(places) if ones[p + 1] > ones[p] or twos[p + 1] > twos[p]]
+                of = pa.StructArray.from_arrays([batch.column(0).slice(done, len(held)), pa.array([len(t) for t in held], pa.int64())], ["id", "n_tokens"])
+                done += len(held)
+                n = len(asked) + 1
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([*asked, -1 - stream], pa.int64()), pa.array([ASKED] * (n - 1) + [STREAMED], pa.int32()), pa.array([stream] * n, pa.int64()),
+                    pa.array([*[_packed(unigrams[ones[p]:ones[p + 1]]) for p in asked], _planes(where)], pa.binary()),
+                    pa.array([*[_packed(pairs[twos[p]:twos[p + 1]]) for p in asked], None], pa.binary()), pa.nulls(n, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0] * n + [len(of)], pa.int32()), of)], SENT_NAMES)
+
+    schema = SENT.format(kind)
+    return _scored(model, _probed(model, schema, source.mapInArrow(run, schema)), f"id {kind}, n_tokens long, n_known long, base double, score double")
+
+
 def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs``."""
     spark = docs.sparkSession
-    frequent = counts.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
-    names = np.array(frequent.column("key")).view(np.uint64)
-    order = np.argsort(names)
-    shared = spark.sparkContext.broadcast((model, names[order], np.array(frequent.column("n"))[order]))
-    everything = len(names) < FREQUENT      # no token is known beyond the broadcast ones
     weight = model.total + SMOOTHING * (model.distinct + 1)
     source = docs.select(F.struct(F.col(key).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("hash")).alias("id"), F.col(text).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
 
-    apart = model.stored is not None
+    def named(full: DataFrame, n_known, base):
+        return full.select(
+            F.col("id.id").alias(key), "n_tokens", n_known.cast("long").alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
+            base.alias("base_score") if model.total else F.lit(0.0).alias("base_score"), "score")
 
-    def asked(ids, numbers, m, tokens, unique, where, rows):
-        """Rows that ask the ranges for the levels of a stream's n-grams, and the
-        stream itself, with the place of each of its n-grams among them."""
-        stream = next(numbers)
-        pairs, at = distinct(bigrams(tokens))
-        grams = np.concatenate([mixed(unique * _M3), pairs])
-        ranges = m.range_of(grams)
-        order = np.argsort(ranges, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        sorted_ranges, grams = ranges[order], grams[order]
-        edges = np.r_[0, np.flatnonzero(np.diff(sorted_ranges)) + 1, len(grams)]
-        places = [*sorted_ranges[edges[:-1]].tolist(), -1 - stream]
-        data = [grams[a:b].tobytes() for a, b in zip(edges, edges[1:])] + [_planes(np.concatenate([rank[where], rank[len(unique) + at]]))]
-        of = pa.StructArray.from_arrays([ids, *rows], ["id", "n_tokens", "n_known", "base", "rest"])
-        n = len(places)
-        lists = pa.ListArray.from_arrays(pa.array([0] * n + [len(of)], pa.int32()), of)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(places, pa.int64()), pa.array([ASKED] * (n - 1) + [STREAMED], pa.int32()), pa.array([stream] * n, pa.int64()), pa.array(data, pa.binary()), lists],
-            ["place", "kind", "stream", "data", "rows"])
+    if model.stored is not None:
+        return named(_by_ranges(source, model, kind), F.col("n_known"), F.col("base"))
+    frequent = counts.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
+    names = np.array(frequent.column("key")).view(np.uint64)
+    order = np.argsort(names)
+    shared = spark.sparkContext.broadcast((model, names[order], np.array(frequent.column("n"))[order]))
+    everything = len(names) < FREQUENT      # no token is known beyond the broadcast ones
 
     def run(batches):
         m, known, n_of = shared.value
         seen = _Hashes()
-        numbers = itertools.count((TaskContext.get().partitionId() if apart else 0) << 36)
         for batch in batches:
-            total, found, base, value, rest, done = [], [], [], [], [], 0
+            total, found, base, value, rest = [], [], [], [], []
             for held in streams(batch.column(1).to_pylist(), seen):
                 sizes = np.array([len(t) for t in held])
                 starts = np.cumsum(sizes) - sizes
                 tokens = np.concatenate(held)
                 unique, where = distinct(tokens)
-                at = np.minimum(np.searchsorted(known, unique), max(len(known) - 1, 0))
-                there = known[at] == unique if len(known) else np.zeros(len(unique), bool)
+                grams = mixed(unique * _M3)
+                at = np.minimum(np.searchsorted(known, grams), max(len(known) - 1, 0))
+                there = known[at] == grams if len(known) else np.zeros(len(unique), bool)
                 logs = np.zeros(len(unique))
                 logs[there] = np.log10((n_of[at[there]] + SMOOTHING) / weight)
                 hit = there[where]
-                missed = [t[~h].view(np.int64) for t, h in zip(held, np.split(hit, starts[1:]))]
-                if apart:
-                    ids = batch.column(0).slice(done, len(held))
-                    done += len(held)
-                    yield asked(ids, numbers, m, tokens, unique, where, [
-                        pa.array(sizes, pa.int64()), pa.array(np.add.reduceat(hit.astype(np.int64), starts), pa.int64()),
-                        pa.array(np.add.reduceat(logs[where], starts), pa.float64()), pa.array(missed, pa.list_(pa.int64()))])
-                    continue
+                missed = grams[where].view(np.int64)
+                rest += [t[~h] for t, h in zip(np.split(missed, starts[1:]), np.split(hit, starts[1:]))]
                 total += sizes.tolist()
                 found += np.add.reduceat(hit.astype(np.int64), starts).tolist()
                 base += np.add.reduceat(logs[where], starts).tolist()
                 value += np.add.reduceat(m.log10(tokens, unique, where), starts).tolist()
-                rest += missed
-            if not apart:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(total, pa.int64()), pa.array(found, pa.int64()), pa.array(base, pa.float64()), pa.array(value, pa.float64()),
-                     pa.array(rest, pa.list_(pa.int64()))], ["id", "n_tokens", "n_known", "base", "score", "rest"])
-
-    schema = f"id {kind}, n_tokens long, n_known long, base double, score double, rest array<long>"
-    if apart:
-        sent = f"place long, kind int, stream long, data binary, rows array<struct<id: {kind}, n_tokens: long, n_known: long, base: double, rest: array<long>>>"
-        first = _scored(model, _probed(model, sent, source.mapInArrow(run, sent)), schema)
-    else:
-        first = source.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(total, pa.int64()), pa.array(found, pa.int64()), pa.array(base, pa.float64()), pa.array(value, pa.float64()),
+                 pa.array(rest, pa.list_(pa.int64()))], ["id", "n_tokens", "n_known", "base", "score", "rest"])
+
+    first = source.mapInArrow(run, f"id {kind}, n_tokens long, n_known long, base double, score double, rest array<long>")
     unknown = math.log10(SMOOTHING / weight) if model.total else 0.0
     if everything:
-        full = first.withColumn("more", F.lit(0).cast("long")).withColumn("log", F.size("rest") * F.lit(unknown))
-    else:
-        first = pinned(first)
-        asked = first.select("id", "rest").dropDuplicates(["id"]).select("id", F.explode("rest").alias("key")).groupBy("id", "key").agg(F.count("*").alias("times"))
-        met = asked.join(counts, "key", "left")
-        sums = met.groupBy("id").agg(
-            F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
-            F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + SMOOTHING) / weight)).alias("log")).withColumnRenamed("id", "of")
-        full = first.drop("rest").join(sums, F.col("id").eqNullSafe(F.col("of")), "left").withColumns(
-            {"more": F.coalesce("more", F.lit(0)), "log": F.coalesce("log", F.lit(0.0))})
-    return full.select(
-        F.col("id.id").alias(key), "n_tokens", (F.col("n_known") + F.col("more")).cast("long").alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("log")).alias("base_score") if model.total else F.lit(0.0).alias("base_score"), "score")
+        return named(first, F.col("n_known"), F.col("base") + F.size("rest") * F.lit(unknown))
+    first = pinned(first)
+    asked = first.select("id", "rest").dropDuplicates(["id"]).select("id", F.explode("rest").alias("key")).groupBy("id", "key").agg(F.count("*").alias("times"))
+    met = asked.join(counts, "key", "left")
+    sums = met.groupBy("id").agg(
+        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
+        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + SMOOTHING) / weight)).alias("log")).withColumnRenamed("id", "of")
+    full = first.drop("rest").join(sums, F.col("id").eqNullSafe(F.col("of")), "left")
+    return named(full, F.col("n_known") + F.coalesce("more", F.lit(0)), F.col("base") + F.coalesce("log", F.lit(0.0)))
 
 
 @query()
