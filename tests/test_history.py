@@ -304,6 +304,15 @@ def test_upsert_touches_only_its_partitions(spark, wh):
     assert sorted((r.k, r.s, r.p) for r in wh.table("gold.t").collect()) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
 
 
+def test_upsert_merges_in_parts(spark, wh, monkeypatch):
+    monkeypatch.setattr(tables, "PART_ROWS", 3)
+    schema = "k int, s string, p string"
+    tables.upsert_partitions(wh, spark.createDataFrame([(k, "old", "x") for k in range(20)] + [(None, "old", "x")] * 2, schema), "gold.t", ["k"], "p")
+    tables.upsert_partitions(wh, spark.createDataFrame([(k, "new", "x") for k in range(0, 24, 2)] + [(None, "new", "x")], schema), "gold.t", ["k"], "p")
+    want = [(k, "new" if k % 2 == 0 else "old") for k in (*range(20), 20, 22)] + [(None, "old")] * 2 + [(None, "new")]
+    assert sorted(((r.k, r.s) for r in wh.table("gold.t").collect()), key=str) == sorted(want, key=str)
+
+
 STRANGE = ["007", "7", "01", "a:b", "x/y", "k=v", "50%", "sp ace", "plain", "2020-01-01", None]
 
 

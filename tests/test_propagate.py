@@ -3,6 +3,7 @@
 import random
 import uuid
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,6 +115,16 @@ def test_batches_equal_a_rebuild_and_write_touched_slots_only(spark, wh):
         propagate.propagate(wh, 5, {}, translation, LAYOUT)
 
 
+def test_rows_are_stored_once_with_a_batch(spark, wh):
+    """Facts that are columns of silver rows, and rows that replace nothing, are not written again."""
+    translation = spark.createDataFrame([("toys", "Toys")], SCHEMAS["category_translation"])
+    propagate.propagate(wh, 1, frames(spark, batches(random.Random(10))[0]), translation, LAYOUT)
+    stored = {"/".join(str(f.relative_to(propagate._folder(wh, 1))).split("/")[:-1]) for f in Path(propagate._folder(wh, 1)).rglob("*.parquet")}
+    assert "silver/order_items" in stored and "gold/fact_orders" in stored
+    assert not {name for name in stored if name.startswith(("after", "gold/fact_order_items", "gold/fact_payments", "gold/fact_reviews"))}
+    assert wh.table("gold.fact_order_items").count() == wh.table("silver.order_items").count() > 0
+
+
 def test_a_run_that_dies_is_taken_up(spark, wh, monkeypatch):
     given = batches(random.Random(9))
     translation = spark.createDataFrame([("toys", "Toys")], SCHEMAS["category_translation"])

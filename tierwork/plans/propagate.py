@@ -76,6 +76,13 @@ FACTS = {
 }
 
 
+# facts that are columns of silver rows: made where they are read, not stored with a batch
+COLUMNS_OF = {
+    "fact_order_items": ("order_items", gold.fact_order_items), "fact_reviews": ("order_reviews", gold.fact_reviews),
+    "fact_payments": ("order_payments", lambda paid: paid.select("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value")),
+}
+
+
 @dataclass(frozen=True)
 class Star:
     """Facts and dimensions, all of them or those of some orders."""
@@ -126,7 +133,8 @@ def partial_marts(s: Star) -> dict[str, DataFrame]:
     counted = s.orders.select(whole, "delivery_days", done.alias("_done"), (done & F.col("is_late_delivery")).alias("_late"))
     per_order = partial_sums(s.reviews, ["order_id"], {
         "score": F.col("review_score"), "scored": F.col("review_score").isNotNull().cast("int"), "reviews": F.col("review_id").isNotNull().cast("int")})
-    categories = marts.order_category(s.items, s.products, [])
+    # of reviewed orders alone; once dealt by order, they need no other shuffle
+    categories = marts.order_category(s.items.join(per_order.select("order_id"), "order_id", "left_semi"), s.products, [])
     out = {
         "monthly_revenue": _again(daily.join(days, "purchase_date_id"), ["year", "month"], ["revenue"]),
         "state_performance": _again(placed.join(s.customers.select("customer_id", "state"), "customer_id"), ["state"], ["revenue", "days", "delivered"]),
@@ -201,7 +209,7 @@ class _Batch:
         self.folder = _folder(wh, number)
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.folder}/{name}")
         return self.wh.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
     def keep_all(self, folder: str, built: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -298,17 +306,14 @@ def _stage(b: _Batch) -> None:
         "order_payments": old("silver.order_payments", paid, "order_id", "order_id", empty["order_payments"]),
         "order_reviews": old("silver.order_reviews", orders, "order_id", "review_id", empty["order_reviews"]),
     }
-    before = b.keep_all("before", before)
-    after = b.keep_all("after", {t: _replaced(before[t], fresh[t], KEYS[t][0]) for t in before})
+    # a table that is not there yet has nothing to give way
+    held = [t for t in before if wh.exists(f"silver.{t}")]
+    before |= b.keep_all("before", {t: before[t] for t in held})
+    after = fresh | b.keep_all("after", {t: _replaced(before[t], fresh[t], KEYS[t][0]) for t in held})
     dims = {t: wh.table(f"silver.{t}").drop("slot") if wh.exists(f"silver.{t}") else empty[t] for t in DIMENSIONS}
     new_dims = {t: _replaced(dims[t], fresh[t], KEYS[t][0]) for t in DIMENSIONS}
-    facts = {
-        "fact_orders": gold.fact_orders(after["orders"], after["order_items"]),
-        "fact_order_items": gold.fact_order_items(after["order_items"]),
-        "fact_reviews": gold.fact_reviews(after["order_reviews"]),
-        "fact_payments": after["order_payments"].select("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"),
-    }
-    facts = b.keep_all("gold", facts)
+    facts = {"fact_orders": b.keep("gold/fact_orders", gold.fact_orders(after["orders"], after["order_items"]))}
+    facts |= {fact: columns(after[table]) for fact, (table, columns) in COLUMNS_OF.items()}
     was = _star(
         b.keep("before/facts", old("gold.fact_orders", orders, "order_id", "order_id", facts["fact_orders"].limit(0))), gold.fact_order_items(before["order_items"]),
         gold.fact_reviews(before["order_reviews"]), before["order_payments"], dims["customers"], dims["products"], b.dates)
@@ -342,7 +347,12 @@ def _apply(wh: Warehouse, batch: int, layout: Layout) -> dict[str, list]:
 
     for layer, tables in (("silver", KEYS), ("gold", FACTS)):
         for table, (keys, slot_of) in tables.items():
-            rows = staged(f"{layer}/{table}")
+            if table in COLUMNS_OF:
+                source, columns = COLUMNS_OF[table]
+                rows = staged(f"after/{source}")
+                rows = columns(staged(f"silver/{source}") if rows is None else rows)
+            else:
+                rows = staged(f"{layer}/{table}")
             if rows is not None:
                 rewritten[f"{layer}.{table}"] = (rows.withColumn("slot", layout.slot(slot_of)), keys)
     rewritten[PERSONS] = (staged("persons_after"), ["person"])
