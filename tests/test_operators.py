@@ -297,3 +297,19 @@ def test_fingerprints_travel_without_their_keys(spark, tmp_path):
     plan = counts._jdf.queryExecution().executedPlan().toString()
     exchange = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchange) == 1 and "_fp" in exchange[0] and "wide" not in exchange[0]
+
+
+@pytest.mark.parametrize("min_hot_rows", [1, 100_000])
+def test_deduped_total_is_the_same_with_and_without_hot_groups(spark, min_hot_rows):
+    df = spark.createDataFrame(
+        [(g, k, v) for g in ("a", "b") for k in (1, 2) for v in (3, 1)] + [("a", 3, None), ("c", 1, None), (None, 1, 5), (None, 1, 4), ("b", None, 2)],
+        "g string, k int, v int")
+    got = joins.deduped_with_total(df, ["g", "k"], ["g"], F.sum("v"), "total", min_hot_rows)
+    assert rows(got) == sorted(
+        [("a", 1, 1, 8), ("a", 2, 1, 8), ("a", 3, None, 8), ("b", 1, 1, 10), ("b", 2, 1, 10), ("b", None, 2, 10), ("c", 1, None, None), (None, 1, 4, None)], key=repr)
+
+
+def test_dedupe_within_a_part_of_the_key(spark):
+    df = spark.createDataFrame([(1, 1, "b"), (1, 1, "a"), (1, 2, None), (None, 2, "x"), (None, 2, "y")], "g int, k int, v string")
+    assert rows(windows.dedupe(df, ["g", "k"], within=["g"])) == rows(windows.dedupe(df, ["g", "k"])) == sorted(
+        [(1, 1, "a"), (1, 2, None), (None, 2, "x")], key=repr)

@@ -124,3 +124,36 @@ def test_jdbc_options():
         "url": "jdbc:x://h/db", "driver": "org.x.Driver", "user": "u", "dbtable": "shop.orders",
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "8",
     }
+
+
+def test_payments_move_once_without_hot_orders(spark):
+    from tierwork.plans import silver
+    df = spark.range(2000).selectExpr(
+        "id div 8 AS order_id", "CAST(id % 4 AS INT) AS payment_sequential", "'a' AS payment_type", "1 AS payment_installments",
+        "CAST(id AS DOUBLE) AS payment_value")
+    found = final_plan(silver.order_payments(df)).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Exchange hashpartitioning", found)) == 1 and "Join" not in found
+
+
+def test_orders_find_their_category_in_two_moves(spark, no_broadcast):
+    items = spark.range(4000).selectExpr("id div 4 AS order_id", "id % 50 AS product_id")
+    products = spark.range(50).selectExpr("id AS product_id", "concat('c', id % 3) AS category_name_english")
+    once, more = (marts.order_category(items, products, [], hot_orders) for hot_orders in ([], None))
+    moves = [len(re.findall(r"Exchange hashpartitioning\(order_id", final_plan(df).split("== Initial Plan ==")[0])) for df in (once, more)]
+    assert moves == [1, 2]
+    assert sorted(once.collect()) == sorted(more.collect())
+
+
+def test_the_day_of_a_load_is_no_work_per_row(spark, tmp_path):
+    """Rows that share the partition value are neither sorted by it nor formatted."""
+    from tierwork.sinks.tables import OPEN_FILES, Warehouse, replace_table, stage_tables
+    wh = Warehouse(spark, str(tmp_path), namespace="dayload_")
+    wh.bootstrap()
+    before = spark.conf.get(OPEN_FILES)
+    df = spark.range(0, 400, 1, 1).selectExpr("id", "id % 7 AS part", "399 - id AS falling")
+    staged = stage_tables(wh, {"bronze.t": df}, {"bronze.t": "part"})["bronze.t"]
+    replace_table(wh, df, "bronze.u", "part")
+    assert spark.conf.get(OPEN_FILES) == before
+    for got in (staged.rows(spark), wh.table("bronze.u")):
+        assert sorted(map(tuple, got.select("id", "part", "falling").collect())) == [(i, i % 7, 399 - i) for i in range(400)]
+    assert len(os.listdir(staged.path)) >= 7

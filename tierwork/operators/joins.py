@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import skew
-from .windows import dedupe
+from .windows import dedupe, full_row_order
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str, default) -> DataFrame:
@@ -43,6 +43,27 @@ def with_group_total(
     return joined.select(*df.columns, name)
 
 
+def deduped_with_total(
+    df: DataFrame, keys: list[str], group: list[str], total: Column, name: str, min_hot_rows: int = skew.MIN_HOT_ROWS,
+) -> DataFrame:
+    """One row per key as :func:`dedupe` keeps it, with the total of its ``group`` (some
+    of the keys; ``total`` is a bare aggregate) over all rows, also those that are
+    dropped. A row with a NULL in ``group`` gets NULL.
+
+    Without hot groups the rows move once, by ``group``, and windows add both: no group
+    is then large. With one, totals are aggregated and joined, as :func:`with_group_total`
+    does; they depend on the group alone, so fewer rows are joined after the
+    deduplication."""
+    if skew.hot_keys(df, group, min_hot_rows):
+        return with_group_total(dedupe(df, keys), group, total, name, over=df, min_hot_rows=min_hot_rows)
+    complete = F.lit(True)
+    for key in group:
+        complete = complete & F.col(key).isNotNull()
+    ranked = df.repartition(*group).withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*full_row_order(df, keys))))
+    totalled = ranked.withColumn(name, F.when(complete, total.over(Window.partitionBy(*group))))
+    return totalled.filter(F.col("_rank") == 1).drop("_rank")
+
+
 def attach_key(fact: DataFrame, dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
     """Left join that attaches the surrogate key of a dimension."""
     return skew.sized_join(fact, dim.select(natural, surrogate), [natural], "left")

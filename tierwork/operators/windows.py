@@ -27,19 +27,24 @@ def latest_version(df: DataFrame, keys: list[str], newest_by: list[str]) -> Data
     return first_per_key(df, keys, newest + full_row_order(df, [*keys, *newest_by]))
 
 
-def dedupe(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Unique key subset with a deterministic survivor: the least full row."""
-    return first_per_key(df, keys, full_row_order(df, keys))
+def dedupe(df: DataFrame, keys: list[str], within: list[str] | None = None) -> DataFrame:
+    """Unique key subset with a deterministic survivor: the least full row.
 
+    ``within`` names some of the keys that no hot group shares: rows are then dealt by
+    these alone and sorted once, after the shuffle, and rows that agree in them stay
+    together in what is written."""
+    return first_per_key(df.repartition(*within) if within else df, keys, full_row_order(df, keys))
 
-def dominant_value(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
+
+def dominant_value(df: DataFrame, keys: list[str], value: str, weight: str | None = None, hot: bool = True) -> DataFrame:
     """Most frequent value per key, smallest value on a tie.
 
     The (key, value) counts are aggregated first; ``weight`` names a count
-    column when the input is already aggregated.
+    column when the input is already aggregated. Where no key is ``hot``, rows move
+    once, by key; otherwise partial counts move by key and value and counts by key.
     """
     count = F.count("*") if weight is None else F.sum(weight)
-    counts = df.groupBy(*keys, value).agg(count.alias("_cnt"))
+    counts = (df if hot else df.repartition(*keys)).groupBy(*keys, value).agg(count.alias("_cnt"))
     return first_per_key(counts, keys, [F.desc("_cnt"), F.col(value).asc_nulls_first()]).select(*keys, value)
 
 

@@ -128,33 +128,37 @@ def delivery_kpi(fact_orders: DataFrame) -> DataFrame:
     return counts.select("total_orders", "avg_delivery_days", percent("_late", "_delivered").alias("late_delivery_rate_pct"))
 
 
-def order_category(fact_items: DataFrame, dim_product: DataFrame, hot_products: list[HotKey] | None = None) -> DataFrame:
+def order_category(
+    fact_items: DataFrame, dim_product: DataFrame, hot_products: list[HotKey] | None = None, hot_orders: list[HotKey] | None = None,
+) -> DataFrame:
     """The dominant category of each order. A dimension that measures small is
     broadcast to the items, which then move twice: by (order, category) and by
-    order. Otherwise items are counted per (order, product) before they meet it,
-    with hot products split."""
+    order. Otherwise items move once more, to meet it, with hot products split. An empty
+    list of ``hot_orders`` says that no order holds much of the items; they then move
+    once, by order."""
+    hot_order = hot_orders is None or bool(hot_orders)
     categories = dim_product.select("product_id", "category_name_english")
     if hot_products is None and fits_broadcast(categories):
-        return dominant_value(fact_items.join(F.broadcast(categories), "product_id"), ["order_id"], "category_name_english")
+        return dominant_value(fact_items.join(F.broadcast(categories), "product_id"), ["order_id"], "category_name_english", hot=hot_order)
     hot = hot_keys(fact_items, ["product_id"], other=dim_product) if hot_products is None else hot_products
-    counted = fact_items.groupBy("order_id", "product_id").agg(F.count("*").alias("_n"))
-    categorised = split_join(counted, categories, ["product_id"], "inner", hot)
-    return dominant_value(categorised, ["order_id"], "category_name_english", weight="_n")
+    categorised = split_join(fact_items.select("order_id", "product_id"), categories, ["product_id"], "inner", hot)
+    return dominant_value(categorised, ["order_id"], "category_name_english", hot=hot_order)
 
 
 def review_by_category(
     fact_reviews: DataFrame, fact_items: DataFrame, dim_product: DataFrame, reviews_unique: bool = False,
-    hot_products: list[HotKey] | None = None, hot_orders: list[HotKey] | None = None,
+    hot_products: list[HotKey] | None = None, hot_orders: list[HotKey] | None = None, hot_item_orders: list[HotKey] | None = None,
 ) -> DataFrame:
     """Reviews per category. An order with items of several categories counts
     for one of them only, so a review is never multiplied.
 
     With unique review ids the reviews collapse to one row per order before the
     join. Otherwise the id stays in the grain for the distinct count, and orders
-    with very many reviews are split.
+    with very many reviews are split. ``hot_orders`` are those of the reviews,
+    ``hot_item_orders`` those of the items.
     """
     score = [F.sum("review_score").alias("_score"), F.count("review_score").alias("_scored")]
-    categories = order_category(fact_items, dim_product, hot_products)
+    categories = order_category(fact_items, dim_product, hot_products, hot_item_orders)
     if reviews_unique:
         per_order = fact_reviews.groupBy("order_id").agg(*score, F.count("review_id").alias("_reviews"))
         joined, reviews = per_order.join(categories, "order_id"), F.sum("_reviews")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.incremental import LEDGER, MEMBERS, load_increment, loaded_rows, publish_watermarks
 from ..operators.profile_states import STATES
 from ..operators.quality import check_suite, gate, row_measures
+from ..operators.skew import hot_keys
 from ..schema import CALENDAR_RANGE, INCREMENTAL, PARTITIONED_BY, PURCHASE_WINDOW, SOURCE_COLUMNS, TABLE_KEYS
 from ..sinks.tables import (
     VERSIONS, Version, Warehouse, columns_of, log_rows, publish, publish_staged, recorded_rows, replace_tables, stage_tables,
@@ -125,12 +126,15 @@ def ingest_bronze(
     replaced tables are published only when the bronze suite passes; an increment
     is committed with its ledger row before that."""
     with job_run(wh, "bronze", "bronze_ingest") as run:
-        sources = {t: with_provenance(read(t), t, run_ts) for t in tables}
+        sources = {t: read(t) for t in tables}
         loads = [
-            load_increment(wh, sources.pop(table), f"bronze.{table}", *INCREMENTAL[table], lookback=lookback, keys=TABLE_KEYS[table], run_ts=run_ts)
+            load_increment(
+                wh, with_provenance(sources.pop(table), table, run_ts), f"bronze.{table}", *INCREMENTAL[table], lookback=lookback,
+                keys=TABLE_KEYS[table], run_ts=run_ts)
             for table in [t for t in tables if t in INCREMENTAL]]
         new = sum(load.row_count for load in loads)
-        whole = {f"bronze.{t}": run.watch(df, "rows_in") for t, df in sources.items()}
+        # rows are counted below the constants of the load: above, each row would format the day again
+        whole = {f"bronze.{t}": with_provenance(run.watch(df, "rows_in"), t, run_ts) for t, df in sources.items()}
         specs = {f"bronze.{t}": spec for t, spec in PARTITIONED_BY.items()}
         if audit:
             versions = audited_replace(wh, "bronze", [lambda _: whole], lambda made: suites.bronze_checks({
@@ -151,7 +155,7 @@ def build_silver(wh: Warehouse, audit: tuple[str, str] | None = None) -> None:
         run.rows_in = _rows(wh, [f"bronze.{t}" for t in SOURCE_COLUMNS])
         built = {
             f"silver.{table}": build(*[wh.table(f"bronze.{t}") for t in inputs])
-            for table, (build, inputs) in silver.TABLES.items()
+            for table, (build, inputs) in silver.STORED.items()
         }
         run.rows_out = _written(
             replace_tables(wh, built) if audit is None else audited_replace(wh, "silver", [lambda _: built], _silver_suite(audit)))
@@ -199,12 +203,13 @@ def build_platinum(wh: Warehouse) -> None:
     orders, items, customers, products = g["fact_orders"], g["fact_order_items"], g["dim_customer"], g["dim_product"]
     with job_run(wh, "platinum", "platinum_build_marts") as run:
         run.rows_in = _rows(wh, [f"gold.{t}" for t in GOLD_TABLES])
+        hot = hot_keys(items, ["order_id"], other=orders)
         built = {
             "monthly_revenue": marts.monthly_revenue(orders, g["dim_date"], orders_unique=True),
             "state_performance": marts.state_performance(orders, customers, orders_unique=True),
-            "category_ranking": marts.category_ranking(items, orders, products),
+            "category_ranking": marts.category_ranking(items, orders, products, hot),
             "delivery_kpi": marts.delivery_kpi(orders),
-            "review_by_category": marts.review_by_category(g["fact_reviews"], items, products, reviews_unique=True),
+            "review_by_category": marts.review_by_category(g["fact_reviews"], items, products, reviews_unique=True, hot_item_orders=hot),
             "payment_distribution": marts.payment_distribution(g["fact_payments"]),
             "customer_retention": marts.customer_retention(orders, customers, orders_unique=True),
         }

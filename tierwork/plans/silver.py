@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import MONEY, calendar_days, clean_text, coerce_columns, in_box
-from ..operators.joins import lookup, with_group_total
+from ..operators.joins import deduped_with_total, lookup
+from ..operators.skew import hot_keys
 from ..operators.windows import dedupe, latest_version
 from ..schema import LATITUDE_RANGE, LONGITUDE_RANGE, NO_CATEGORY, SOURCE_COLUMNS, TABLE_KEYS
 
@@ -30,6 +31,14 @@ def order_items(bronze: DataFrame) -> DataFrame:
     return dedupe(typed(bronze, "order_items"), TABLE_KEYS["order_items"])
 
 
+def order_items_together(bronze: DataFrame) -> DataFrame:
+    """The same for a stored table: items of an order stay together in its files, where
+    later aggregates by order combine them before they move. An order that holds much
+    of the rows keeps them apart."""
+    rows = typed(bronze, "order_items")
+    return order_items(bronze) if hot_keys(rows, ["order_id"]) else dedupe(rows, TABLE_KEYS["order_items"], within=["order_id"])
+
+
 def customers(bronze: DataFrame) -> DataFrame:
     upper = typed(bronze, "customers").withColumn("customer_state", F.upper("customer_state"))
     return dedupe(upper, TABLE_KEYS["customers"])
@@ -51,12 +60,11 @@ def sellers(bronze: DataFrame) -> DataFrame:
 
 def order_payments(bronze: DataFrame) -> DataFrame:
     """Payments with the total of their order. The total counts every bronze
-    row, also those the deduplication drops; it depends on the order alone, so
-    it is joined after the deduplication, to fewer rows."""
-    rows = typed(bronze, "order_payments")
-    total = F.sum(F.col("payment_value").cast(MONEY)).cast("double")
-    kept = dedupe(rows, TABLE_KEYS["order_payments"])
-    return with_group_total(kept, ["order_id"], total, "total_payment_value", over=rows)
+    row, also those the deduplication drops."""
+    name = "total_payment_value"
+    kept = deduped_with_total(
+        typed(bronze, "order_payments"), TABLE_KEYS["order_payments"], ["order_id"], F.sum(F.col("payment_value").cast(MONEY)), name)
+    return kept.withColumn(name, F.col(name).cast("double"))
 
 
 def order_reviews(bronze: DataFrame) -> DataFrame:
@@ -79,3 +87,5 @@ TABLES = {
     "order_reviews": (order_reviews, ["order_reviews"]),
     "geolocation": (geolocation, ["geolocation"]),
 }
+# the same as they are stored
+STORED = {**TABLES, "order_items": (order_items_together, ["order_items"])}
