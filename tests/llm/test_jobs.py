@@ -296,3 +296,16 @@ def test_pipeline_runs_stage_by_stage(spark, edge_rows, folder):
     assert not mixed & {500, 103, 100, 101, 102} and not mixed & {300 + i for i in range(0, 120, 3)}
     assert len(out) >= 0.6 * len(kept)
     assert decontaminate.lcs([1, 2], [2]) == 1
+
+
+def test_words_found_in_windows_match_a_count_by_window(monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    for cells in (1, 500, decontaminate.CELLS):
+        monkeypatch.setattr(decontaminate, "CELLS", cells)
+        for _ in range(100):
+            at, words = rng.integers(0, 30, rng.integers(6, 300)).astype(np.int32), rng.integers(1, 40, rng.integers(6, 20))
+            starts, place = np.arange(0, max(1, len(at) - 36), 12), np.zeros(60, np.int32)
+            lows, highs = np.maximum(starts - 20, 0), np.minimum(starts + 68, len(at))
+            got = decontaminate._covered(at, lows, highs, *np.unique(words, return_counts=True), place)
+            assert got.tolist() == [np.isin(words, at[a:b]).sum() for a, b in zip(lows, highs)] and not place.any()

@@ -10,9 +10,9 @@
 4. A candidate is verified on the words of the whole item: the longest common
    subsequence (LCS) with the document around the window, allowing for inserted
    words. All windows within COSINE of an item are tried, the nearest first, until
-   one passes, since the nearest need not be where the item is. Of windows close
-   together it is first asked whether their region has enough of the item's words
-   at all. It is a leak when the LCS covers VERBATIM of the item, or PARAPHRASE of
+   one passes, since the nearest need not be where the item is. Of every window it is
+   first asked whether its region has enough of the item's words at all, of all
+   windows of an item in one go. It is a leak when the LCS covers VERBATIM of the item, or PARAPHRASE of
    it and the answer is there as well. The answer is the column of that name, or
    else the last ANSWER words of the item.
 
@@ -34,6 +34,8 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,7 @@ BLOCK = 1000                # passages of one latent space
 COSINE = 0.45
 VERBATIM, PARAPHRASE, ANSWER_SHARE = 0.7, 0.5, 0.6
 ANSWER = 6
+CELLS = 1 << 20             # of hits by words of an item, held at once
 SLACK = 1.5                 # words of the document looked at, as a multiple of the item's
 _WORD = re.compile(r"\w+")
 
@@ -95,10 +98,9 @@ def document_frequencies(docs: DataFrame, vocabulary) -> DataFrame:
     """Of the terms in a broadcast vocabulary, over all documents."""
     def keys_of(batch):
         known = vocabulary.value
-        held: dict[int, int] = {}
+        held: Counter[str] = Counter()
         for value in batch.column(0).to_pylist():
-            for w in known.keys() & set(words_of(value)):
-                held[w] = held.get(w, 0) + 1
+            held.update(known.keys() & set(words_of(value)))
         keys = np.array([known[w] for w in held], np.int64)
         yield keys, np.array(list(held.values()), np.int64)
 
@@ -211,13 +213,6 @@ def _exact_sequences(spark, source: DataFrame, short: list, schema: str, item_ty
     return source.mapInArrow(run, schema)
 
 
-class _Rows(dict):
-    """Rows of known words; 0 for others."""
-
-    def __missing__(self, word: str) -> int:
-        return 0
-
-
 def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema: str, item_type: pa.DataType) -> DataFrame:
     context = spark.sparkContext
     vocabulary = context.broadcast({w: term(w) for _, words, answer in entries for w in (*words, *answer)})
@@ -250,14 +245,15 @@ def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema:
         for w in words:
             holders[rows[w]].append(number)
     model = context.broadcast((
-        _Rows(rows), space, latent.astype(np.float32), np.array(owner),
-        [(i, np.array([rows[w] for w in words]), [rows[w] for w in answer]) for i, words, answer in entries],
+        rows, space, latent.astype(np.float32), np.array(owner),
+        [(i, np.array(at), [rows[w] for w in answer], *np.unique(at, return_counts=True)) for i, at, answer in
+         ((i, [rows[w] for w in words], answer) for i, words, answer in entries)],
         [np.array(h, np.int64) for h in holders]))
 
     def run(batches):
         known, space, wanted, owners, texts, holders = model.value
         step = PASSAGE // 4
-        fewest = PARAPHRASE * np.array([len(words) for _, words, _ in texts])
+        fewest = PARAPHRASE * np.array([len(words) for _, words, *_ in texts])
         for batch in batches:
             found: list[list] = [[] for _ in range(6)]
             ids = batch.column(0)
@@ -266,7 +262,7 @@ def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema:
                 words = words_of(value)
                 if len(words) < SHORTEST:
                     continue
-                at = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
+                at = np.fromiter(map(known.get, words, repeat(0)), np.int32, len(words))
                 # a subsequence can't be longer than the words that the whole document has
                 there = set(at.tolist())
                 there.discard(0)
@@ -309,39 +305,50 @@ def _matches(at: np.ndarray, space: np.ndarray, wanted: np.ndarray, owners: np.n
         for number, start, cosine in zip(owners[passage].tolist(), part[window].tolist(), cosines[window, passage].tolist()):
             held = near.setdefault(number, {})
             held[start] = max(held.get(start, -1.0), cosine)
-    out, there = [], np.zeros(len(space), bool)
+    out, place = [], np.zeros(len(space), np.int32)
     for number, windows in sorted(near.items()):
-        found = _verified(at, windows, *texts[number][1:], there)
+        found = _verified(at, windows, *texts[number][1:], place)
         if found:
             out.append((number, *found))
     return out
 
 
-def _verified(at: np.ndarray, windows: dict[int, float], words: np.ndarray, answer: list, there: np.ndarray) -> tuple | None:
+def _covered(at: np.ndarray, lows: np.ndarray, highs: np.ndarray, distinct: np.ndarray, times: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For regions ``at[low:high]``, how many words of an item are found in them at all:
+    its ``distinct`` words, which it has so many ``times``. ``place`` is a scratch array
+    over the rows of the space, all 0."""
+    base = int(lows[0])
+    place[distinct] = np.arange(1, len(distinct) + 1)
+    codes = place[at[base:int(highs[-1])]]
+    place[distinct] = 0
+    hits = np.flatnonzero(codes)
+    if len(hits) * len(distinct) > CELLS:      # halves, down to one region
+        if len(lows) == 1:
+            return times[np.unique(codes[hits]) - 1].sum(keepdims=True)
+        half = len(lows) // 2
+        return np.concatenate([_covered(at, lows[k], highs[k], distinct, times, place) for k in (slice(half), slice(half, None))])
+    seen = np.zeros((len(hits) + 1, len(distinct)), np.int32)
+    seen[np.arange(1, len(hits) + 1), codes[hits] - 1] = 1
+    np.cumsum(seen, axis=0, out=seen)
+    here = seen[np.searchsorted(hits, highs - base)] > seen[np.searchsorted(hits, lows - base)]
+    return here.astype(np.float64) @ times
+
+
+def _verified(
+    at: np.ndarray, windows: dict[int, float], words: np.ndarray, answer: list, distinct: np.ndarray, times: np.ndarray, place: np.ndarray,
+) -> tuple | None:
     """(cosine, LCS share, answer share, start) of the nearest window that holds the
-    item. ``there`` is a scratch array over the rows of the space, all False."""
+    item. ``place`` is a scratch array over the rows of the space, all 0."""
     reach = int(SLACK * len(words))
-
-    def enough(low: int, high: int) -> bool:
-        # the subsequence can't be longer than the words found at all
-        region = at[low:high]
-        there[region] = True
-        found = int(there[words].sum())
-        there[region] = False
-        return found >= PARAPHRASE * len(words)
-
-    starts = sorted(windows)
-    possible, begin = set(), 0
-    for k in range(1, len(starts) + 1):     # windows that overlap are asked together
-        if k == len(starts) or starts[k] - starts[k - 1] > PASSAGE:
-            if enough(max(0, starts[begin] - reach), starts[k - 1] + PASSAGE + reach):
-                possible.update(starts[begin:k])
-            begin = k
+    starts = np.array(sorted(windows))
+    lows, highs = np.maximum(starts - reach, 0), np.minimum(starts + PASSAGE + reach, len(at))
+    # the subsequence can't be longer than the words found at all
+    possible = starts[_covered(at, lows, highs, distinct, times, place) >= PARAPHRASE * len(words)].tolist()
     item, tried = words.tolist(), set()
     for start in sorted(possible, key=lambda s: (-round(windows[s], 6), s)):
         low, high = max(0, start - reach), min(len(at), start + PASSAGE + reach)
         content = at[low:high].tobytes()
-        if content in tried or not enough(low, high):
+        if content in tried:
             continue
         tried.add(content)
         region = at[low:high].tolist()
