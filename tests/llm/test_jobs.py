@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import re
 
+import numpy as np
 import pytest
 from invented import DOCUMENTS, sentence
 from pyspark.sql import functions as F
@@ -309,3 +311,35 @@ def test_words_found_in_windows_match_a_count_by_window(monkeypatch):
             lows, highs = np.maximum(starts - 20, 0), np.minimum(starts + 68, len(at))
             got = decontaminate._covered(at, lows, highs, *np.unique(words, return_counts=True), place)
             assert got.tolist() == [np.isin(words, at[a:b]).sum() for a, b in zip(lows, highs)] and not place.any()
+
+
+def test_words_of_latin_and_other_texts():
+    texts = ["", None, "Plain words, x_1!", "ÀÉ×ß÷ µ²¼ªº\xa0naïve\x85end\x1cx", "Ünder “quoted” – İstanbul ΑΣ'Β ΟΔΟΣ", *(f"a{chr(c)}B" for c in range(700))]
+    for text in texts:
+        assert decontaminate.words_of(text) == (re.findall(r"\w+", text.lower()) if text else [])
+
+
+def test_possible_items_keep_all_that_verify_and_no_scattered_words():
+    rng = random.Random(8)
+    items = [[rng.randint(1, 12) if rng.random() < 0.4 else rng.randint(13, 90) for _ in range(n)] for n in (6, 7, 15, 18, 40, 59, 120)]
+    lengths, places, scratch = np.array([len(x) for x in items]), decontaminate._places([np.array(x) for x in items]), np.zeros(91, np.int32)
+    kept = verified = 0
+    for _ in range(300):
+        words = [rng.randint(0, 14) if rng.random() < 0.5 else 0 for _ in range(rng.choice([4, 30, 200, 900]))]
+        for item in rng.sample(items, 2):       # parts of items, with words put in between
+            part = [x for w in item if rng.random() < 0.8 for x in (w, *([0] if rng.random() < 0.3 else []))]
+            where = rng.randint(0, len(words))
+            words[where:where] = part
+        at = np.array(words, np.int32)
+        able = set(decontaminate._possible(at, 91, places, lengths).tolist())
+        kept += len(able)
+        windows = dict.fromkeys(range(0, max(1, len(at) - decontaminate.PASSAGE + 12), 12), 1.0)
+        for k, item in enumerate(items):
+            found = decontaminate._verified(at, windows, np.array(item), item[-6:], *np.unique(item, return_counts=True), scratch)
+            verified += found is not None
+            assert found is None or k in able
+    assert verified > 200 and kept < 300 * len(items)
+    scattered = np.zeros(60 * 40, np.int32)
+    scattered[::60] = items[4]
+    assert 4 not in decontaminate._possible(scattered, 91, places, lengths)
+    assert 4 in decontaminate._possible(np.array(items[4], np.int32), 91, places, lengths)

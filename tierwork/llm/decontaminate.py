@@ -12,7 +12,9 @@
    words. All windows within COSINE of an item are tried, the nearest first, until
    one passes, since the nearest need not be where the item is. Of every window it is
    first asked whether its region has enough of the item's words at all, of all
-   windows of an item in one go. It is a leak when the LCS covers VERBATIM of the item, or PARAPHRASE of
+   windows of an item in one go. Before the search, an item is passed over for a
+   document of which no stretch of SLACK times its length has the words that a leak
+   needs there. It is a leak when the LCS covers VERBATIM of the item, or PARAPHRASE of
    it and the answer is there as well. The answer is the column of that name, or
    else the last ANSWER words of the item.
 
@@ -55,11 +57,21 @@ VERBATIM, PARAPHRASE, ANSWER_SHARE = 0.7, 0.5, 0.6
 ANSWER = 6
 CELLS = 1 << 20             # of hits by words of an item, held at once
 SLACK = 1.5                 # words of the document looked at, as a multiple of the item's
+DENSE = 0.9                 # of a common subsequence, in a stretch of SLACK times the item's length
+UNIT = 16                   # words of the document, in which its stretches are counted
 _WORD = re.compile(r"\w+")
+# lower-case word characters of Latin-1, and blanks for its other characters
+_LATIN = "".join(c if _WORD.match(c) else " " for c in map(str.lower, map(chr, range(256)))).encode("latin-1")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """The matches of ``\\w+`` in the text in lower case."""
+    if not text:
+        return []
+    try:
+        return text.encode("latin-1").translate(_LATIN).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORD.findall(text.lower())
 
 
 def term(word: str) -> int:
@@ -239,21 +251,16 @@ def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema:
     rows = {w: place[t] + 1 for w, t in vocabulary.value.items()}
     space = np.zeros((len(place) + 1, weighted.shape[1]), np.float32)
     space[1:len(weighted) + 1] = weighted
-    # by row of the space: the items that have its word, once for each place of the word
-    holders: list[list[int]] = [[] for _ in range(len(space))]
-    for number, (_, words, _) in enumerate(entries):
-        for w in words:
-            holders[rows[w]].append(number)
     model = context.broadcast((
         rows, space, latent.astype(np.float32), np.array(owner),
         [(i, np.array(at), [rows[w] for w in answer], *np.unique(at, return_counts=True)) for i, at, answer in
          ((i, [rows[w] for w in words], answer) for i, words, answer in entries)],
-        [np.array(h, np.int64) for h in holders]))
+        _places([np.array([rows[w] for w in words]) for _, words, _ in entries])))
 
     def run(batches):
-        known, space, wanted, owners, texts, holders = model.value
+        known, space, wanted, owners, texts, places = model.value
         step = PASSAGE // 4
-        fewest = PARAPHRASE * np.array([len(words) for _, words, *_ in texts])
+        lengths = np.array([len(words) for _, words, *_ in texts])
         for batch in batches:
             found: list[list] = [[] for _ in range(6)]
             ids = batch.column(0)
@@ -263,13 +270,7 @@ def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema:
                 if len(words) < SHORTEST:
                     continue
                 at = np.fromiter(map(known.get, words, repeat(0)), np.int32, len(words))
-                # a subsequence can't be longer than the words that the whole document has
-                there = set(at.tolist())
-                there.discard(0)
-                if len(there) < SHORTEST * PARAPHRASE:
-                    continue
-                held = np.bincount(np.concatenate([holders[k] for k in there]), minlength=len(texts))
-                passages = np.flatnonzero((held >= fewest)[owners])
+                passages = np.flatnonzero(np.isin(owners, _possible(at, len(space), places, lengths)))
                 if not len(passages):
                     continue
                 for number, cosine, lcs_share, answer_share, start in _matches(at, space, wanted[passages], owners[passages], texts, step):
@@ -283,6 +284,58 @@ def _search_block(spark, source: DataFrame, entries: list, n_docs: int, schema:
     return source.mapInArrow(run, schema)
 
 
+def _places(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Each word that items have, and each repeat of it that any has: its row of the space,
+    which repeat it is, and where its items stand in the last array."""
+    having: dict[tuple[int, int], list[int]] = {}
+    for number, at in enumerate(texts):
+        for row, times in zip(*(x.tolist() for x in np.unique(at, return_counts=True))):
+            for k in range(times):
+                having.setdefault((row, k + 1), []).append(number)
+    rows, repeats = (np.array([x[k] for x in having], np.int64) for k in range(2))
+    return rows, repeats, np.cumsum([0, *map(len, having.values())]), np.array([i for x in having.values() for i in x], np.int64)
+
+
+def _possible(at: np.ndarray, n_rows: int, places: tuple[np.ndarray, ...], lengths: np.ndarray) -> np.ndarray:
+    """The items that a document can hold: it has PARAPHRASE of the item's words, and a
+    stretch of SLACK times the item's length has DENSE of these, a word as often as both
+    have it. No common subsequence is longer than that. ``lengths`` of the items, and
+    their ``places``."""
+    rows, repeats, ends, items = places
+    often = np.bincount(at, minlength=n_rows)
+    here = np.flatnonzero(often[rows] >= repeats)
+    sizes = ends[here + 1] - ends[here]
+    items = items[np.arange(sizes.sum()) + np.repeat(ends[here] - np.cumsum(sizes) + sizes, sizes)]
+    able = np.flatnonzero(np.bincount(items, minlength=len(lengths)) >= PARAPHRASE * lengths)
+    if not len(able):
+        return able
+    column = np.full(len(lengths), -1)
+    column[able] = np.arange(len(able))
+    columns = column[items]
+    taken = np.flatnonzero(columns >= 0)
+    wanted = np.zeros((len(here), len(able)), np.float32)
+    wanted[np.repeat(np.arange(len(here)), sizes)[taken], columns[taken]] = 1
+    some = np.flatnonzero(wanted.any(axis=1))
+    here, wanted = here[some], wanted[some]
+    often[:] = 0
+    often[rows[here]] = 1
+    width = int(often.sum())
+    code = np.cumsum(often) * often     # numbers of the words
+    found = code[at]
+    hits = np.flatnonzero(found)
+    n_units = len(at) // UNIT + 1
+    counts = np.bincount((hits // UNIT + 1) * width + found[hits] - 1, minlength=(n_units + 1) * width).reshape(-1, width).cumsum(axis=0)
+    counts, repeats = counts[:, code[rows[here]] - 1], repeats[here]
+    # any stretch of so many words lies in so many units
+    across = np.minimum(((SLACK * lengths[able]).astype(int) + UNIT - 2) // UNIT + 1, n_units)
+    stays = np.zeros(len(able), bool)
+    for n in np.unique(across):
+        own = np.flatnonzero(across == n)
+        seen = (counts[n:] - counts[:-n] >= repeats).astype(np.float32)
+        stays[own] = (seen @ wanted[:, own]).max(axis=0) >= DENSE * PARAPHRASE * lengths[able[own]] - 1e-3
+    return able[stays]
+
+
 def _matches(at: np.ndarray, space: np.ndarray, wanted: np.ndarray, owners: np.ndarray, texts: list, step: int) -> list[tuple]:
     """Verified items of one document, given the rows of its words in the space."""
     starts = np.arange(0, max(1, len(at) - PASSAGE + step), step)
@@ -363,13 +416,13 @@ def _verified(
 
 def _dense(words: list, region: list, share: float) -> bool:
     """Whether the common subsequence lies close together: its best part within
-    SLACK times the item's length keeps nine tenths of it. Common words spread
+    SLACK times the item's length keeps DENSE of it. Common words spread
     over a long region are no leak."""
     length = int(SLACK * len(words))
     if len(region) <= length:
         return True
     step = max(1, len(words) // 4)
-    return any(lcs(words, region[k:k + length]) >= 0.9 * share * len(words) for k in range(0, len(region) - length + step, step))
+    return any(lcs(words, region[k:k + length]) >= DENSE * share * len(words) for k in range(0, len(region) - length + step, step))
 
 
 @query()
