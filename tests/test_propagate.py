@@ -3,6 +3,7 @@
 import random
 import uuid
 from datetime import datetime, timedelta
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,8 @@ from tierwork.operators.delta import difference, folded, partial_sums
 from tierwork.plans import gold, marts, propagate, silver
 from tierwork.plans.propagate import FACTS, GROUPS, KEYS, LOG, Layout
 from tierwork.schema import SOURCE_COLUMNS
-from tierwork.sinks.tables import Warehouse
+from tierwork.sources.files import inline_rows, listed_rows
+from tierwork.sinks.tables import Warehouse, upsert_partitions
 
 LAYOUT = Layout(slots=4, of=lambda key: F.floor(F.substring(key, 2, 9).cast("int") / 20))
 SCHEMAS = {t: ", ".join(f"{c} {k}" for c, k in SOURCE_COLUMNS[t].items()) for t in (*KEYS, "category_translation")}
@@ -125,6 +127,52 @@ def test_rows_are_stored_once_with_a_batch(spark, wh):
     assert wh.table("gold.fact_order_items").count() == wh.table("silver.order_items").count() > 0
 
 
+@pytest.fixture
+def altered(spark, monkeypatch):
+    """The statements that change a table's partitions."""
+    said, sql = [], type(spark).sql
+
+    def noted(self, text, *args, **kwargs):
+        if text.startswith("ALTER TABLE"):
+            said.append(text)
+        return sql(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", noted)
+    return said
+
+
+def test_new_slots_are_added_at_once(spark, wh, altered):
+    """Statements on the catalog follow the slots that are there already, not the new ones."""
+    numbered = lambda first, last, v: spark.range(first, last).selectExpr("id as k", "id % 60 as slot", f"{v} as v")     # noqa: E731
+    assert upsert_partitions(wh, numbered(0, 240, 1), "silver.many", ["k"], "slot") == list(range(60))
+    assert len(altered) == 1
+    altered.clear()
+    # slots 0 to 2 are there, a NULL and a new one are not
+    second = numbered(0, 3, 2).unionByName(spark.sql("SELECT 900L AS k, CAST(NULL AS BIGINT) AS slot, 2 AS v UNION ALL SELECT 901L, 70L, 2"))
+    assert upsert_partitions(wh, second, "silver.many", ["k"], "slot") == [None, 0, 1, 2, 70]
+    assert len(altered) == 4
+    found = {r["k"]: (r["slot"], r["v"]) for r in wh.table("silver.many").collect()}
+    assert found == {k: (k % 60, 2 if k < 3 else 1) for k in range(240)} | {900: (None, 2), 901: (70, 2)}
+
+
+def test_slots_without_rows_are_moved(spark, wh, altered):
+    """A slot that a failed run added, or one without rows, is known to the catalog alone."""
+    rows = spark.sql("SELECT 1L AS k, 'a b' AS slot UNION ALL SELECT 2L, 'c'")
+    upsert_partitions(wh, rows, "silver.few", ["k"], "slot")
+    table = wh.catalog_name("silver.few")
+    spark.sql(f"ALTER TABLE {table} ADD PARTITION (slot='it''s') LOCATION '{wh.location('silver.few')}/nothing'")
+    upsert_partitions(wh, spark.sql("SELECT 3L AS k, 'it''s' AS slot UNION ALL SELECT 4L, 'd' UNION ALL SELECT 2L, 'c'"), "silver.few", ["k"], "slot")
+    assert rows_of(wh.table("silver.few")) == [(1, "a b"), (2, "c"), (3, "it's"), (4, "d")]
+
+
+def test_listed_rows_equal_inline_rows(spark):
+    schema = "a int, b string, c date, d timestamp_ntz, e double, f decimal(10,2), g boolean"
+    rows = [(1, "it's \\ \"é\" ", datetime(2020, 1, 2).date(), datetime(2020, 1, 2, 3, 4, 5, 678), 0.1, Decimal("12.50"), True), (None,) * 7]
+    found, wanted = listed_rows(spark, rows, schema), inline_rows(spark, rows, schema)
+    assert found.dtypes == wanted.dtypes and found.collect() == wanted.collect() and len(found.collect()) == 2
+    assert listed_rows(spark, [], schema).collect() == []
+
+
 def test_a_run_that_dies_is_taken_up(spark, wh, monkeypatch):
     given = batches(random.Random(9))
     translation = spark.createDataFrame([("toys", "Toys")], SCHEMAS["category_translation"])

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.columns import blank_to_null, coerce_columns, coerced
 
@@ -82,6 +83,16 @@ def inline_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
 
 
+def listed_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """The same for hundreds of rows and more: one literal holds them all as text, where
+    :func:`inline_rows` has several calls for every value. Their values are cast from text."""
+    fields = StructType.fromDDL(schema).fields
+    text = json.dumps([
+        {f.name: None if v is None else v.isoformat(sep=" ") if isinstance(v, datetime) else str(v) for v, f in zip(row, fields, strict=True)} for row in rows])
+    parsed = F.from_json(F.lit(text), ArrayType(StructType([StructField(f.name, StringType()) for f in fields])), {"mode": "FAILFAST"})
+    return spark.range(0, 1, 1, 1).select(F.inline(parsed)).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
+
+
 def with_provenance(df: DataFrame, source: str | Column, run_ts: datetime | None = None) -> DataFrame:
     """Add ``_ingested_at`` and ``_source_file``. ``source`` is a name, or
     ``F.col('_metadata.file_name')`` for a real file scan. Give ``run_ts`` for a
